@@ -80,6 +80,19 @@ def filter_rows(image: str | Column, pred: Callable[[Column], Column]) -> Column
     return F.filter(_c(image), pred)
 
 
+def reshape_rows(image: str | Column, names: list[str], add: dict[str, Callable[[Column], Column]] | None = None,
+                 drop: tuple[str, ...] = ()) -> Column:
+    """M7: add and drop columns in every row, keeping the fields in name order.
+
+    ``names`` are the current field names (``df.schema['after'].dataType.elementType.names``).
+    """
+    add = add or {}
+    keep = [n for n in names if n not in drop and n not in add]
+    order = sorted(set(keep) | set(add))
+    return F.transform(_c(image), lambda r: F.struct(
+        *[(add[n](r) if n in add else r[n]).alias(n) for n in order]))
+
+
 def sorted_struct(s: Column, names: list[str]) -> Column:
     """Rebuild a struct with its fields in name order (encoded key order)."""
     return F.struct(*[s[n].alias(n) for n in sorted(names)])

@@ -85,3 +85,23 @@ def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     offsets = sums.select(*keys, _B, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
     j = d.join(offsets, on=[*keys, _B], how="left")
     return j.select(*[F.col(c) for c in df.columns], (F.col("_rs_local") + F.col("_off")).alias(name))
+
+
+def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str,
+                     width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Add ``name`` = last non-null ``col`` at or before the row within its key.
+
+    Same result as ``last(col, ignorenulls=True)`` over
+    ``partitionBy(keys).orderBy(order).rowsBetween(unboundedPreceding, 0)``.
+    """
+    keys, order = list(keys), list(order)
+    upto = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = (df.withColumn(_B, _bucket(order, width))
+           .withColumn("_lv_local", F.last(col, ignorenulls=True).over(upto)))
+    ordk = F.struct(*[F.col(o) for o in order])
+    tails = d.groupBy(*keys, _B).agg(
+        F.max_by(F.col(col), F.when(F.col(col).isNotNull(), ordk)).alias("_tail"))
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = tails.select(*keys, _B, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    j = d.join(carry, on=[*keys, _B], how="left")
+    return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))

@@ -60,6 +60,10 @@ class Rule:
     verdict: Column | int | None = None
     set: Mapping[str, Column] = field(default_factory=dict)
 
+    @property
+    def matches_all(self) -> bool:
+        return not self.match_schema and not self.match_table
+
     @property
     def is_noop(self) -> bool:
         return self.verdict is None and not self.set
@@ -74,8 +78,14 @@ def drop_rule(name: str, match_schema: str = "", match_table: str = "") -> Rule:
     return Rule(name, match_schema, match_table, verdict=F.lit(ACTION_DROP))
 
 
-def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column) -> dict[str, Column]:
-    """Top-level column -> new expression, guarded (unmatched rows keep their value)."""
+def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column | None) -> dict[str, Column]:
+    """Top-level column -> new expression, guarded (unmatched rows keep their value).
+
+    ``g=None`` means the rule matches every event: the new value is used as
+    is, so a rule may then change a column's type (add or drop image columns).
+    Under a real guard the type must stay, since the typed layout has one
+    schema per column; split the frame per table or use the mixed layout.
+    """
     grouped: dict[str, list[tuple[str | None, Column]]] = {}
     for target, expr in sets.items():
         top, _, sub = target.partition(".")
@@ -87,7 +97,7 @@ def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column) -> dict[s
         new = F.col(top)
         for sub, expr in items:
             new = expr if sub is None else new.withField(sub, expr)
-        out[top] = F.when(g, new).otherwise(F.col(top))
+        out[top] = new if g is None else F.when(g, new).otherwise(F.col(top))
     return out
 
 
@@ -111,7 +121,7 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
         v = F.coalesce(v, F.lit(ACTION_DROP))
     else:
         v = F.coalesce(v, F.lit(ACTION_CONT))
-    new = _assignments(df, rule.set, g)
+    new = _assignments(df, rule.set, None if (rule.matches_all and active is None) else g)
     cols = [new.get(c, F.col(c)).alias(c) for c in df.columns if c != VERDICT_COL]
     verdict = F.when(g, v).otherwise(F.lit(ACTION_CONT))
     if active is not None:

@@ -228,3 +228,210 @@ def payload_decode(spark, sf_dir):
                      RF.first_row("after")["text_col"].alias("after_text"),
                      RF.first_row("after")["user_id"].alias("after_user_id"),
                      RF.first_row("before")["value"].alias("before_value"))
+
+
+# ---------------------------------------------------------------- value normalisation (E5)
+
+@query("string_values", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, text_col, length(text_col)::BIGINT AS text_len FROM c
+""")
+def string_values(spark, sf_dir):
+    log = fx.chg_events(spark, sf_dir)
+    # the source delivers text_col as raw bytes; the type map says it is a string
+    raw = log.withColumn("rows", F.transform("rows", lambda r: r.withField("text_col", F.encode(r["text_col"], "UTF-8"))))
+    ev = build_events(raw, pipeline="p1", timestamp=F.lit(0), string_columns=["text_col"])
+    img = F.coalesce(RF.first_row("after"), RF.first_row("before"))
+    return ev.select("gtid_seq", img["text_col"].alias("text_col"),
+                     F.length(img["text_col"]).cast("bigint").alias("text_len"))
+
+
+# ---------------------------------------------------------------- raw log entries
+
+CHG_BINLOG_SQL = """
+SELECT 'binlog.' || lpad(((event_id // 1000) + 1)::VARCHAR, 6, '0') AS log_file, event_id AS pos,
+       CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' WHEN 'click' THEN 'update'
+                       WHEN 'view' THEN 'gtid' ELSE 'xid' END AS action,
+       CASE WHEN event_type = 'view' THEN event_id + 1 END AS gtid_seq
+FROM events
+"""
+
+
+@query("row_events_only", f"""
+WITH b AS ({CHG_BINLOG_SQL})
+SELECT log_file, pos, action FROM b WHERE action IN ('insert', 'update', 'delete')
+""")
+def row_events_only_q(spark, sf_dir):
+    from rowcast.sources.changelog import row_events_only
+    return row_events_only(fx.chg_binlog(spark, sf_dir)).select("log_file", "pos", "action")
+
+
+@query("gtid_stamp", f"""
+WITH b AS ({CHG_BINLOG_SQL}),
+s AS (SELECT *, last_value(gtid_seq IGNORE NULLS) OVER (PARTITION BY log_file ORDER BY pos
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stamped FROM b)
+SELECT log_file, pos, action, stamped AS gtid_seq FROM s WHERE action IN ('insert', 'update', 'delete')
+""")
+def gtid_stamp(spark, sf_dir):
+    from rowcast.sources.changelog import row_events_only, stamp_gtid
+    stamped = stamp_gtid(fx.chg_binlog(spark, sf_dir))
+    return row_events_only(stamped).select("log_file", "pos", "action", "gtid_seq")
+
+
+# ---------------------------------------------------------------- guards, filters, verdicts
+
+GUARD_SQL = "regexp_matches(schema_name, 'test_.*') AND regexp_matches(table_name, 'test_.*')"
+
+
+@query("source_filter", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, schema_name, table_name FROM c
+WHERE (regexp_matches(schema_name, 'test_.*') OR regexp_matches(schema_name, 'audit'))
+  AND NOT regexp_matches(schema_name, '^test_shop$')
+  AND (regexp_matches(table_name, 'events') OR regexp_matches(table_name, 'entity'))
+  AND NOT regexp_matches(table_name, '_1$')
+""")
+def source_filter(spark, sf_dir):
+    sfilter = SourceFilter(include_schemas=["test_.*", "audit", ""], exclude_schemas=["^test_shop$"],
+                           include_tables=["events", "entity"], exclude_tables=["_1$"])
+    spec = PipelineSpec(name="p1", source_filter=sfilter, pk=["user_id"], timestamp=F.lit(0))
+    return run_events(spec, fx.chg_events(spark, sf_dir)).select(
+        "gtid_seq", F.col("schema").alias("schema_name"), F.col("table").alias("table_name"))
+
+
+@query("rule_guard", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, {GUARD_SQL} AS generic_match,
+       regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1') AS tenant_match
+FROM c
+""")
+def rule_guard(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return ev.select("gtid_seq", samples.generic_rule().guard().alias("generic_match"),
+                     samples.tenant_drop_rule().guard().alias("tenant_match"))
+
+
+@query("rule_keep_first_row", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key,
+       CASE WHEN action <> 'delete' THEN text_col END AS after_text
+FROM c
+WHERE NOT ({GUARD_SQL}) OR (action <> 'delete' AND coalesce(text_col = 'should-continue', false))
+""")
+def rule_keep_first_row(spark, sf_dir):
+    out = apply_rules(_events(spark, sf_dir), [samples.keep_should_continue_rule()])
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"),
+                      RF.first_row("after")["text_col"].alias("after_text"))
+
+
+@query("rule_drop_any_row", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, action FROM c
+WHERE NOT ({GUARD_SQL} AND action <> 'delete' AND coalesce(text_col = 'ignore', false))
+""")
+def rule_drop_any_row(spark, sf_dir):
+    rule = Rule("drop-ignored", "test_.*", "test_.*",
+                verdict=F.when(RF.any_row("after", "text_col", lambda v: v == "ignore"), ACTION_DROP)
+                         .otherwise(ACTION_CONT))
+    return apply_rules(_events(spark, sf_dir), [rule]).select("gtid_seq", "action")
+
+
+@query("rule_drop_table", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, schema_name || '.' || table_name AS topic FROM c
+WHERE NOT (regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1'))
+""")
+def rule_drop_table(spark, sf_dir):
+    out = apply_rules(_events(spark, sf_dir), [samples.tenant_drop_rule()])
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"))
+
+
+def chain_rules() -> list[Rule]:
+    """A chain that shows the fold: no-op rule, a rename the next rules see,
+    a verdict 2 that a non-matching rule resets, DROP, and a final verdict 2."""
+    text = F.coalesce(RF.first_row("after")["text_col"], RF.first_row("before")["text_col"])
+    return [
+        samples.empty_rule(),
+        Rule("rename", match_schema="audit_db", set={"schema": F.lit("test_audit")}),
+        Rule("hold-abc", "test_.*", "entity_1", verdict=F.when(text == "abc", 2).otherwise(ACTION_CONT)),
+        Rule("drop-null-text", "test_.*", "test_events",
+             verdict=F.when(text.isNull(), ACTION_DROP).otherwise(ACTION_CONT)),
+        Rule("hold-audit-deletes", "test_audit", "", verdict=F.when(F.col("action") == "delete", 2).otherwise(0)),
+    ]
+
+
+@query("rule_chain", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+s AS (SELECT *, CASE WHEN regexp_matches(schema_name, 'audit_db') THEN 'test_audit' ELSE schema_name END AS schema2
+      FROM c)
+SELECT gtid_seq, schema2 AS schema_name, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key
+FROM s
+WHERE NOT (regexp_matches(schema2, 'test_.*') AND regexp_matches(table_name, 'test_events') AND text_col IS NULL)
+  AND NOT (regexp_matches(schema2, 'test_audit') AND action = 'delete')
+""")
+def rule_chain(spark, sf_dir):
+    out = apply_rules(_events(spark, sf_dir), chain_rules())
+    return out.select("gtid_seq", F.col("schema").alias("schema_name"), F.col("kafka.topic").alias("topic"),
+                      F.col("kafka.key").alias("key"))
+
+
+# ---------------------------------------------------------------- mutation (M1-M7)
+
+@query("mask_column", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+m AS (SELECT *, CASE WHEN {GUARD_SQL} AND length(text_col) > 3 THEN '****' ELSE text_col END AS tm FROM c)
+SELECT gtid_seq,
+  to_json(CASE action
+     WHEN 'update' THEN [{{'event_id': prev_event_id, 'text_col': tm, 'user_id': user_id, 'value': prev_value}}]
+     WHEN 'delete' THEN [{{'event_id': event_id, 'text_col': tm, 'user_id': user_id, 'value': value}}] END)::VARCHAR
+     AS before_json,
+  to_json(CASE WHEN action <> 'delete'
+     THEN [{{'event_id': event_id, 'text_col': tm, 'user_id': user_id, 'value': value}}] END)::VARCHAR AS after_json
+FROM m
+""")
+def mask_column(spark, sf_dir):
+    # both images are masked, so an update does not leak the old value in ``before``
+    rule = Rule("mask", "test_.*", "test_.*", set={"after": RF.mask_field("after", "text_col", 3),
+                                                     "before": RF.mask_field("before", "text_col", 3)})
+    out = apply_rules(_events(spark, sf_dir), [rule])
+    return out.select("gtid_seq", image_json("before").alias("before_json"), image_json("after").alias("after_json"))
+
+
+@query("reroute", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+r AS (SELECT *, {GUARD_SQL} AND action <> 'delete' AND coalesce(text_col = 'change-kafka', false) AS hit FROM c)
+SELECT gtid_seq,
+       CASE WHEN hit THEN 'rerouted.' || table_name ELSE schema_name || '.' || table_name END AS topic,
+       CASE WHEN hit THEN user_id::VARCHAR || '#' || gtid_seq::VARCHAR ELSE user_id::VARCHAR END AS key
+FROM r
+""")
+def reroute(spark, sf_dir):
+    hit = RF.any_row("after", "text_col", lambda v: v == "change-kafka")
+    rule = Rule("reroute", "test_.*", "test_.*", set={
+        "kafka.topic": F.when(hit, F.concat(F.lit("rerouted."), F.col("table"))).otherwise(F.col("kafka.topic")),
+        "kafka.key": F.when(hit, F.concat(F.col("kafka.key"), F.lit("#"), F.col("gtid_seq").cast("string")))
+                      .otherwise(F.col("kafka.key")),
+    })
+    out = apply_rules(_events(spark, sf_dir), [rule])
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"))
+
+
+@query("image_add_drop_column", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, 'p1-reshaped' AS pipeline, upper(action) AS action,
+  to_json(CASE WHEN action <> 'delete' THEN [{{'event_id': event_id, 'user_id': user_id, 'value': value,
+     'value_cents': round(value * 100)::BIGINT}}] END)::VARCHAR AS after_json
+FROM c
+""")
+def image_add_drop_column(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    names = ev.schema["after"].dataType.elementType.names
+    rule = Rule("reshape", set={
+        "after": RF.reshape_rows("after", names, add={"value_cents": lambda r: F.round(r["value"] * 100).cast("bigint")},
+                                 drop=("text_col",)),
+        "meta.pipeline": F.lit("p1-reshaped"),
+        "action": F.upper("action"),
+    })
+    out = apply_rules(ev, [rule])
+    return out.select("gtid_seq", F.col("meta.pipeline").alias("pipeline"), "action",
+                      image_json("after").alias("after_json"))
