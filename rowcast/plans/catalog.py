@@ -435,3 +435,291 @@ def image_add_drop_column(spark, sf_dir):
     out = apply_rules(ev, [rule])
     return out.select("gtid_seq", F.col("meta.pipeline").alias("pipeline"), "action",
                       image_json("after").alias("after_json"))
+
+
+# ---------------------------------------------------------------- positions
+
+CRASH_AT = "2024-01-15 00:00:00"  # the moment the pipelines stopped, for the resume cases
+
+
+def _gtid_text(spark, sf_dir):
+    """GTID-set texts derived from the events: singletons, ranges, several
+    intervals and a second server uuid, with whitespace after commas."""
+    ev = fx.table(spark, sf_dir, "events")
+    seq = (F.col("event_id") + 1).cast("string")
+    hi = (F.col("event_id") + 1 + F.col("user_id")).cast("string")
+    first = F.concat(F.lit(fx.SOURCE_UUID.upper() + ":"), seq,
+                     F.when(F.col("event_type").isin("click", "view"), F.concat(F.lit("-"), hi)).otherwise(F.lit("")))
+    second = F.when(F.col("value") >= 250, F.concat(
+        F.lit(",\n " + fx.OTHER_UUID + ":1-"), (F.col("user_id") + 1).cast("string"),
+        F.lit(":"), (F.col("user_id") + 3).cast("string"))).otherwise(F.lit(""))
+    return ev.select("event_id", F.concat(first, second).alias("gtid"))
+
+
+GTID_TEXT_SQL = f"""
+SELECT event_id,
+  upper('{fx.SOURCE_UUID}') || ':' || (event_id + 1)::VARCHAR
+  || CASE WHEN event_type IN ('click', 'view') THEN '-' || (event_id + 1 + user_id)::VARCHAR ELSE '' END
+  || CASE WHEN value >= 250 THEN ',' || chr(10) || ' {fx.OTHER_UUID}:1-' || (user_id + 1)::VARCHAR
+          || ':' || (user_id + 3)::VARCHAR ELSE '' END AS gtid
+FROM events
+"""
+
+
+@query("gtid_parse", f"""
+WITH s AS ({GTID_TEXT_SQL}),
+m AS (SELECT event_id, unnest(string_split(regexp_replace(gtid, '\\s+', '', 'g'), ',')) AS member FROM s),
+i AS (SELECT event_id, lower(split_part(member, ':', 1)) AS uuid,
+             unnest(string_split(member, ':')[2:]) AS iv FROM m)
+SELECT event_id, uuid, split_part(iv, '-', 1)::BIGINT AS lo,
+       coalesce(nullif(split_part(iv, '-', 2), ''), split_part(iv, '-', 1))::BIGINT AS hi
+FROM i
+""")
+def gtid_parse(spark, sf_dir):
+    from rowcast.functions.gtid import parse_gtid_set
+    s = _gtid_text(spark, sf_dir)
+    return (s.select("event_id", F.explode(parse_gtid_set("gtid")).alias("r"))
+            .select("event_id", "r.uuid", "r.lo", "r.hi"))
+
+
+STATE_LOG_SQL = f"""
+SELECT CASE user_id % 3 WHEN 0 THEN 'p0' WHEN 1 THEN 'p1' ELSE 'p2' END AS name,
+       event_id + 1 AS gtid_seq, ts AS saved_at FROM events
+"""
+
+
+def _states(spark, sf_dir, before: str | None = None, foreign: str | None = None):
+    """State rows ``(name, gtid, timestamp)`` in the upstream ``uuid:N`` form."""
+    st = fx.state_log(spark, sf_dir)
+    if before is not None:
+        st = st.filter(F.col("saved_at") < F.lit(before).cast("timestamp_ntz"))
+    uuid = F.col("gtid_uuid")
+    if foreign is not None:
+        uuid = F.when(F.col("name") == foreign, F.lit(fx.OTHER_UUID)).otherwise(uuid)
+    return st.select("name", F.concat(uuid, F.lit(":"), F.col("gtid_seq").cast("string")).alias("gtid"),
+                     F.unix_micros(F.col("saved_at").cast("timestamp")).alias("timestamp"))
+
+
+@query("state_latest", f"""
+WITH s AS ({STATE_LOG_SQL})
+SELECT name, '{fx.SOURCE_UUID}:' || arg_max(gtid_seq, saved_at)::VARCHAR AS gtid,
+       arg_max(gtid_seq, saved_at) AS gtid_seq
+FROM s GROUP BY name
+""")
+def state_latest(spark, sf_dir):
+    from rowcast.functions.gtid import parse_gtid_set
+    from rowcast.operators.position import latest_state
+    st = latest_state(_states(spark, sf_dir))
+    return st.select("name", "gtid", F.get(parse_gtid_set("gtid"), 0)["hi"].alias("gtid_seq"))
+
+
+def _pipeline_log(spark, sf_dir):
+    return fx.chg_events(spark, sf_dir).withColumn("pipeline", fx.pipeline_of(F.get(F.col("rows"), 0)["user_id"]))
+
+
+PIPELINE_EVENTS_SQL = f"""
+SELECT event_id + 1 AS gtid_seq, CASE user_id % 3 WHEN 0 THEN 'p0' WHEN 1 THEN 'p1' ELSE 'p2' END AS pipeline, ts
+FROM events
+"""
+
+
+@query("resume_filter", f"""
+WITH c AS ({PIPELINE_EVENTS_SQL}), s AS ({STATE_LOG_SQL}),
+st AS (SELECT name, arg_max(gtid_seq, saved_at) AS saved FROM s
+       WHERE saved_at < TIMESTAMP '{CRASH_AT}' GROUP BY name)
+SELECT gtid_seq, pipeline FROM c
+WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.name = c.pipeline AND c.gtid_seq BETWEEN 1 AND st.saved)
+""")
+def resume_filter_q(spark, sf_dir):
+    from rowcast.operators.position import resume_filter
+    out = resume_filter(_pipeline_log(spark, sf_dir), _states(spark, sf_dir, before=CRASH_AT))
+    return out.select("gtid_seq", "pipeline")
+
+
+@query("resume_foreign_uuid", f"""
+WITH c AS ({PIPELINE_EVENTS_SQL}), s AS ({STATE_LOG_SQL}),
+st AS (SELECT name, arg_max(gtid_seq, saved_at) AS saved FROM s
+       WHERE saved_at < TIMESTAMP '{CRASH_AT}' GROUP BY name)
+SELECT pipeline, count(*) AS replayed, pipeline = 'p2' AS foreign_state FROM c
+WHERE pipeline = 'p2' OR NOT EXISTS (SELECT 1 FROM st WHERE st.name = c.pipeline AND c.gtid_seq BETWEEN 1 AND st.saved)
+GROUP BY pipeline
+""")
+def resume_foreign_uuid(spark, sf_dir):
+    from rowcast.operators.position import check_ahead, resume_filter
+    ev = _pipeline_log(spark, sf_dir)
+    st = _states(spark, sf_dir, before=CRASH_AT, foreign="p2")
+    replayed = resume_filter(ev, st).groupBy("pipeline").agg(F.count(F.lit(1)).alias("replayed"))
+    flags = check_ahead(ev, st).groupBy(F.col("name").alias("pipeline")).agg(F.bool_or("foreign").alias("foreign_state"))
+    return replayed.join(flags, "pipeline", "left").select("pipeline", "replayed", "foreign_state")
+
+
+@query("state_ahead", f"""
+WITH s AS ({STATE_LOG_SQL}),
+st AS (SELECT name, arg_max(gtid_seq, saved_at) AS saved_seq FROM s GROUP BY name),
+h AS (SELECT max(event_id + 1) AS head_seq FROM events WHERE ts < TIMESTAMP '{CRASH_AT}')
+SELECT name, saved_seq, head_seq, saved_seq > head_seq AS ahead FROM st, h
+""")
+def state_ahead(spark, sf_dir):
+    from rowcast.operators.position import check_ahead
+    # the source was restored from a copy taken at CRASH_AT; the saved positions are newer
+    restored = fx.chg_events(spark, sf_dir).filter(F.col("ts") < F.lit(CRASH_AT).cast("timestamp_ntz"))
+    return check_ahead(restored, _states(spark, sf_dir)).select("name", "saved_seq", "head_seq", "ahead")
+
+
+@query("state_from_batch", f"""
+WITH c AS ({PIPELINE_EVENTS_SQL})
+SELECT pipeline AS name, '{fx.SOURCE_UUID}:1-' || max(gtid_seq)::VARCHAR AS gtid, count(*) AS n_events
+FROM c GROUP BY pipeline
+""")
+def state_from_batch_q(spark, sf_dir):
+    from rowcast.operators.position import state_from_batch
+    # position = highest processed event, dropped ones included
+    ev = build_events(_pipeline_log(spark, sf_dir), pipeline=F.col("pipeline"), timestamp=F.lit(0))
+    st = state_from_batch(ev, F.col("meta.pipeline"), timestamp=F.lit(0))
+    return st.select("name", "gtid", "n_events")
+
+
+# ---------------------------------------------------------------- delivery
+
+@query("dedupe", f"""
+WITH c AS ({PIPELINE_EVENTS_SQL}), s AS ({STATE_LOG_SQL}),
+st AS (SELECT name, arg_max(gtid_seq, saved_at) AS saved FROM s
+       WHERE saved_at < TIMESTAMP '{CRASH_AT}' GROUP BY name)
+SELECT gtid_seq, pipeline,
+       1 + (NOT EXISTS (SELECT 1 FROM st WHERE st.name = c.pipeline AND c.gtid_seq <= st.saved))::BIGINT AS copies
+FROM c
+""")
+def dedupe_q(spark, sf_dir):
+    from rowcast.operators.delivery import dedupe
+    from rowcast.operators.position import resume_filter
+    log = _pipeline_log(spark, sf_dir)
+    spec = PipelineSpec(name="p1", pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    first = run_events(spec, log)
+    # after the crash every pipeline resumed from its saved position and re-sent what followed
+    replay = resume_filter(first, _states(spark, sf_dir, before=CRASH_AT))
+    delivered = first.unionByName(replay).select("gtid_uuid", "gtid_seq", "pos", "pipeline",
+                                                 payload().alias("value"))
+    return dedupe(delivered, copies="copies").select("gtid_seq", "pipeline", "copies")
+
+
+@query("per_key_order", f"""
+WITH r AS ({'{'}sample{'}'})
+SELECT topic, key, gtid_seq, row_number() OVER (PARTITION BY topic, key ORDER BY gtid_seq) AS seq_in_key FROM r
+""")
+def per_key_order(spark, sf_dir):
+    from rowcast.operators.delivery import sequence_in_key
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    recs = run_batch(spec, fx.chg_events(spark, sf_dir))
+    return sequence_in_key(recs).select("topic", "key", "gtid_seq", "seq_in_key")
+
+
+ORACLES["per_key_order"] = ORACLES["per_key_order"].replace("{sample}", ORACLES["sample_chain"])
+
+
+@query("many_pipelines", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+g AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c),
+a AS (SELECT 'sample' AS pipeline, gtid_seq,
+             CASE WHEN g AND coalesce(t = 'change-kafka', false) THEN 'another-topic'
+                  ELSE schema_name || '.' || table_name END AS topic,
+             CASE WHEN g AND coalesce(t = 'change-kafka', false) THEN 'another-msg-key'
+                  ELSE user_id::VARCHAR END AS key
+      FROM g WHERE NOT (g AND coalesce(t = 'ignore', false))
+        AND NOT (regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1'))),
+b AS (SELECT 'plain' AS pipeline, gtid_seq, schema_name || '.' || table_name AS topic,
+             schema_name || '.' || table_name AS key FROM g),
+k AS (SELECT 'keep' AS pipeline, gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key
+      FROM g WHERE NOT g OR coalesce(t = 'should-continue', false))
+SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM k
+""")
+def many_pipelines(spark, sf_dir):
+    from rowcast.plans.pipeline import run_many
+    log = fx.chg_events(spark, sf_dir)
+    specs = [
+        PipelineSpec(name="sample", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.lit(0)),
+        PipelineSpec(name="plain", rules=[samples.empty_rule()], pk=[], timestamp=F.lit(0)),
+        PipelineSpec(name="keep", rules=[samples.keep_should_continue_rule()], pk=["user_id"], timestamp=F.lit(0)),
+    ]
+    return run_many(specs, log).select("pipeline", "gtid_seq", "topic", "key")
+
+
+SINK_TIME = "2024-02-01 00:00:00"
+
+
+@query("delivery_latency", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+l AS (SELECT schema_name || '.' || table_name AS topic,
+             epoch_us(TIMESTAMP '{SINK_TIME}') - epoch_us(ts) AS lat FROM c)
+SELECT topic, count(*) AS n, sum(lat)::BIGINT AS sum_latency_us, min(lat) AS min_latency_us,
+       max(lat) AS max_latency_us, (sum(lat) // count(*))::BIGINT AS avg_latency_us
+FROM l GROUP BY topic
+""")
+def delivery_latency(spark, sf_dir):
+    from rowcast.operators.delivery import latency_by_topic
+    ev = build_events(fx.chg_events(spark, sf_dir), pipeline="p1",
+                      timestamp=F.unix_micros(F.col("ts").cast("timestamp")))
+    sink = F.unix_micros(F.lit(SINK_TIME).cast("timestamp"))
+    return latency_by_topic(encode(ev), sink).drop("p99_latency_us")
+
+
+@query("enrich_join", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT c.gtid_seq,
+  to_json(CASE WHEN action <> 'delete' THEN [{{'c_mktsegment': cu.c_mktsegment, 'c_name': cu.c_name,
+     'event_id': event_id, 'text_col': text_col, 'user_id': user_id, 'value': value}}] END)::VARCHAR AS after_json
+FROM c LEFT JOIN customer cu ON cu.c_custkey = c.user_id
+""")
+def enrich_join(spark, sf_dir):
+    from rowcast.operators.delivery import enrich_rows
+    ev = _events(spark, sf_dir)
+    cust = fx.table(spark, sf_dir, "customer")
+    out = enrich_rows(ev, "after", cust, on=("user_id", "c_custkey"), fields=["c_mktsegment", "c_name"])
+    return out.select("gtid_seq", image_json("after").alias("after_json"))
+
+
+@query("source_query", """
+SELECT o_orderstatus, count(*) AS n_orders, max(o_orderkey) AS max_orderkey
+FROM orders GROUP BY o_orderstatus
+""")
+def source_query_q(spark, sf_dir):
+    from rowcast.sources.changelog import register_tables, source_query
+    register_tables(spark, sf_dir, ["orders"])
+    return source_query(spark, ORACLES["source_query"])
+
+
+# ---------------------------------------------------------------- user code
+
+def keep_should_continue(event: dict) -> int:
+    """The upstream ``simple_test_transform`` script as a Python function."""
+    after = event.get("after")
+    text = after[0].get("text_col") if after else None
+    return ACTION_CONT if text == "should-continue" else ACTION_DROP
+
+
+@query("python_rule", ORACLES["rule_keep_first_row"])
+def python_rule(spark, sf_dir):
+    from rowcast.operators.pyrule import PythonRule
+    rule = PythonRule("generic-test-1", "test_.*", "test_.*", keep_should_continue)
+    spec = PipelineSpec(name="p1", rules=[rule], pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    out = run_events(spec, fx.chg_events(spark, sf_dir))
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"),
+                      RF.first_row("after")["text_col"].alias("after_text"))
+
+
+@query("stateful_rule", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+k AS (SELECT gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key,
+             round(value * 100)::BIGINT AS cents FROM c)
+SELECT gtid_seq, topic, key,
+       row_number() OVER (PARTITION BY topic, key ORDER BY gtid_seq) AS seen,
+       (sum(cents) OVER (PARTITION BY topic, key ORDER BY gtid_seq
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS running_cents
+FROM k
+""")
+def stateful_rule(spark, sf_dir):
+    from rowcast.streaming.stateful import running_totals
+    recs = encode(_events(spark, sf_dir))
+    img = F.coalesce(F.get_json_object("value", "$.after[0].value"), F.get_json_object("value", "$.before[0].value"))
+    recs = recs.withColumn("cents", F.round(img.cast("double") * 100).cast("bigint"))
+    out = running_totals(recs, ["topic", "key"], "cents", sum_name="running_cents")
+    return out.select("gtid_seq", "topic", "key", "seen", F.col("running_cents").cast("bigint").alias("running_cents"))
