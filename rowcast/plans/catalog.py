@@ -706,6 +706,14 @@ def python_rule(spark, sf_dir):
                       RF.first_row("after")["text_col"].alias("after_text"))
 
 
+@query("python_sample_chain", ORACLES["sample_chain"])
+def python_sample_chain(spark, sf_dir):
+    """The flagship chain with both rules as Python functions (mapInPandas)."""
+    spec = PipelineSpec(name="p1", rules=samples.sample_python_rules(), pk=["user_id"],
+                        timestamp=F.col("gtid_seq") * 1000)
+    return run_batch(spec, fx.chg_events(spark, sf_dir)).select("gtid_seq", "topic", "key", "value")
+
+
 @query("stateful_rule", f"""
 WITH c AS ({CHG_EVENTS_SQL}),
 k AS (SELECT gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key,
@@ -723,3 +731,34 @@ def stateful_rule(spark, sf_dir):
     recs = recs.withColumn("cents", F.round(img.cast("double") * 100).cast("bigint"))
     out = running_totals(recs, ["topic", "key"], "cents", sum_name="running_cents")
     return out.select("gtid_seq", "topic", "key", "seen", F.col("running_cents").cast("bigint").alias("running_cents"))
+
+
+# ---------------------------------------------------------------- streaming (S1, K1, P1 on a stream)
+
+@query("topic_counts", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+e AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c)
+SELECT CASE WHEN g AND coalesce(t = 'change-kafka', false) THEN 'another-topic'
+            ELSE schema_name || '.' || table_name END AS topic, count(*) AS n
+FROM e
+WHERE NOT (g AND coalesce(t = 'ignore', false))
+  AND NOT (regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1'))
+GROUP BY 1
+""")
+def topic_counts(spark, sf_dir):
+    """The sample pipeline as a streaming query (``availableNow``) over the
+    change log written as files; returns records per delivered topic."""
+    from rowcast.session import shared_path
+    from rowcast.sources.changelog import stream_log
+    from rowcast.streaming.stream import start_pipeline
+    base = shared_path(spark, "topic_counts")
+    log = fx.chg_events(spark, sf_dir)
+    log.write.parquet(f"{base}/log")
+    stream = stream_log(spark, f"{base}/log", log.schema, max_files_per_trigger=4)
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    q = start_pipeline(spec, stream, f"{base}/out", f"{base}/checkpoint", f"{base}/state")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out")
+    return out.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))

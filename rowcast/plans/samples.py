@@ -52,3 +52,34 @@ def keep_should_continue_rule() -> Rule:
 def empty_rule() -> Rule:
     """A rule with no function: a no-op that resets the verdict."""
     return Rule(name="")
+
+
+# ---------------------------------------------------------------- the same rules as Python functions
+
+def utf16_length(s: str) -> int:
+    """A script's ``.length``: UTF-16 code units."""
+    return len(s.encode("utf-16-le")) // 2
+
+
+def generic_script(event: dict) -> int:
+    verdict = ACTION_CONT
+    for row in event.get("after") or []:  # a null image is a no-op, as for expression rules
+        text = row.get("text_col")
+        if text == "ignore":
+            verdict = ACTION_DROP
+        if text == "change-kafka":
+            event["kafka"]["topic"] = REROUTE_TOPIC
+            event["kafka"]["key"] = REROUTE_KEY
+        if text is not None and utf16_length(text) > 3:
+            row["text_col"] = "****"
+    return verdict
+
+
+def drop_script(event: dict) -> int:
+    return ACTION_DROP
+
+
+def sample_python_rules():
+    from rowcast.operators.pyrule import PythonRule
+    return [PythonRule("generic", "test_.*", "test_.*", generic_script),
+            PythonRule("another-rule", "tenant_.*", "entity_1", drop_script)]
