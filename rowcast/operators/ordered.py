@@ -82,9 +82,13 @@ def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     sums = d.groupBy(*keys, _B).agg(F.sum(value).alias("_s"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, _B, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    offsets = sums.select(*keys, _B, F.sum("_s").over(before).alias("_off"))
     j = d.join(offsets, on=[*keys, _B], how="left")
-    return j.select(*[F.col(c) for c in df.columns], (F.col("_rs_local") + F.col("_off")).alias(name))
+    loc, off = F.col("_rs_local"), F.col("_off")
+    # SQL sum semantics: null only while every value so far is null
+    total = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
+        F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
+    return j.select(*[F.col(c) for c in df.columns], total.alias(name))
 
 
 def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str,
