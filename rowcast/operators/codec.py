@@ -29,10 +29,24 @@ def image_json(image: str | Column) -> Column:
 
 
 def encode(events: DataFrame, keep: tuple[str, ...] = (GTID_UUID, GTID_SEQ, POS)) -> DataFrame:
-    """Events -> delivery records ``(pipeline, topic, key, value, <position>)``."""
+    """Events -> delivery records ``(pipeline, topic, key, value, <position>)``.
+
+    Mixed-layout images (maps) get their entries put in name order first, so
+    both layouts encode to the same text.
+    """
+    from rowcast.operators.mixed import sorted_rows
+
     side = [c for c in keep if c in events.columns]
+    parts = []
+    for f in ENVELOPE_FIELDS:
+        dt = events.schema[f].dataType
+        if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.MapType):
+            parts.append(sorted_rows(F.col(f)).alias(f))
+        else:
+            parts.append(F.col(f))
+    value = F.to_json(F.struct(*parts), JSON_OPTIONS)
     return events.select(F.col("meta.pipeline").alias("pipeline"), F.col("kafka.topic").alias("topic"),
-                         F.col("kafka.key").alias("key"), payload().alias("value"), *side)
+                         F.col("kafka.key").alias("key"), value.alias("value"), *side)
 
 
 def event_schema(image_type: T.DataType) -> T.StructType:

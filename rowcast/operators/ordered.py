@@ -5,11 +5,13 @@ holding a third of all rows becomes one giant sort.  The operators here split
 each key into fixed-width buckets of its integer order column (a sequence
 number, a GTID, an event id).  The window runs per ``(key, bucket)``, which is
 bounded by the bucket width when the order value is unique per key, and the
-first row of every bucket is repaired from a per-bucket summary: one row per
-``(key, bucket)``, small next to the data.
+first rows of every bucket are repaired from the previous buckets' summary.
 
-The summary is windowed per key; for a key holding ``n`` rows it has at most
-``n / width`` rows, so that step stays small as well.
+One pass computes the local window values and flags each bucket's last row;
+those last rows are the per-bucket summary (one row per ``(key, bucket)``),
+so the data is scanned and shuffled once (the summary branch reuses the same
+exchange).  The summary is windowed per key: for a key holding ``n`` rows it
+has at most ``n / width`` rows.
 """
 
 from __future__ import annotations
@@ -22,10 +24,35 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 _B = "_ord_bucket"
+_LAST = "_ord_last"
 
 
 def _bucket(order: Sequence[str], width: int) -> Column:
-    return F.floor(F.col(order[0]) / F.lit(int(width))).cast("bigint")
+    """Exact integer bucket of the first order column."""
+    return F.expr(f"CAST(`{order[0]}` AS BIGINT) div {int(width)}")
+
+
+def _local(df: DataFrame, keys: list[str], order: list[str], width: int, **cols) -> DataFrame:
+    """Add the bucket, the per-(key, bucket) window columns and the last-row flag.
+
+    ``cols`` values are window functions, or ``(function, frame)`` pairs where
+    ``frame`` maps the window spec to a framed one.
+    """
+    w = Window.partitionBy(*keys, _B).orderBy(*order)
+    d = df.withColumn(_B, _bucket(order, width))
+    for name, c in cols.items():
+        d = d.withColumn(name, c[0].over(c[1](w)) if isinstance(c, tuple) else c.over(w))
+    return d.withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull())
+
+
+def _carry(d: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
+    """Per (key, bucket): ``agg`` over the earlier buckets' last rows."""
+    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    return d.filter(F.col(_LAST)).select(*keys, _B, agg.over(before).alias(name))
+
+
+def _upto(fn: Column):
+    return fn, lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
@@ -37,21 +64,11 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Se
     """
     keys, order, cols = list(keys), list(order), list(cols)
     img = F.struct(*[F.col(c).alias(c) for c in cols])
-    local_w = Window.partitionBy(*keys, _B).orderBy(*order)
-    d = (df.withColumn(_B, _bucket(order, width))
-           .withColumn("_lag_local", F.lag(img).over(local_w)))
-
-    # Last row of every (key, bucket), then the previous non-empty bucket's last row.
-    tails = (d.groupBy(*keys, _B)
-              .agg(F.max_by(img, F.struct(*[F.col(o) for o in order])).alias("_tail")))
-    prev = (tails.withColumn("_lag_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy(_B)))
-                 .select(*keys, _B, "_lag_carry"))
-
-    j = d.join(prev, on=[*keys, _B], how="left")
+    d = _local(df.withColumn("_img", img), keys, order, width, _lag_local=F.lag("_img"))
+    carry = _carry(d, keys, F.last("_img"), "_lag_carry")
+    j = d.join(carry, on=[*keys, _B], how="left")
     lagged = F.coalesce(F.col("_lag_local"), F.col("_lag_carry"))
-    out = j.select(*[F.col(c) for c in df.columns],
-                   *[lagged[c].alias(prefix + c) for c in cols])
-    return out
+    return j.select(*[F.col(c) for c in df.columns], *[lagged[c].alias(prefix + c) for c in cols])
 
 
 def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
@@ -62,28 +79,20 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     (ties broken by the full ``order`` list, which should be unique per key).
     """
     keys, order = list(keys), list(order)
-    d = (df.withColumn(_B, _bucket(order, width))
-           .withColumn("_rn_local", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*order))))
-    counts = d.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    j = d.join(offsets, on=[*keys, _B], how="left")
+    d = _local(df, keys, order, width, _rn_local=F.row_number())
+    carry = _carry(d, keys, F.sum("_rn_local"), "_off")
+    j = d.join(carry, on=[*keys, _B], how="left")
     return j.select(*[F.col(c) for c in df.columns],
-                    (F.col("_rn_local") + F.col("_off")).cast("bigint").alias(name))
+                    (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint").alias(name))
 
 
 def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
                       width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Running sum of ``value`` per key (inclusive of the current row), bucketed."""
     keys, order = list(keys), list(order)
-    d = (df.withColumn(_B, _bucket(order, width))
-           .withColumn("_rs_local", F.sum(value).over(
-               Window.partitionBy(*keys, _B).orderBy(*order)
-                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    sums = d.groupBy(*keys, _B).agg(F.sum(value).alias("_s"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, _B, F.sum("_s").over(before).alias("_off"))
-    j = d.join(offsets, on=[*keys, _B], how="left")
+    d = _local(df, keys, order, width, _rs_local=_upto(F.sum(value)))
+    carry = _carry(d, keys, F.sum("_rs_local"), "_off")
+    j = d.join(carry, on=[*keys, _B], how="left")
     loc, off = F.col("_rs_local"), F.col("_off")
     # SQL sum semantics: null only while every value so far is null
     total = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
@@ -99,13 +108,7 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     ``partitionBy(keys).orderBy(order).rowsBetween(unboundedPreceding, 0)``.
     """
     keys, order = list(keys), list(order)
-    upto = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (df.withColumn(_B, _bucket(order, width))
-           .withColumn("_lv_local", F.last(col, ignorenulls=True).over(upto)))
-    ordk = F.struct(*[F.col(o) for o in order])
-    tails = d.groupBy(*keys, _B).agg(
-        F.max_by(F.col(col), F.when(F.col(col).isNotNull(), ordk)).alias("_tail"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*keys, _B, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    d = _local(df, keys, order, width, _lv_local=_upto(F.last(col, ignorenulls=True)))
+    carry = _carry(d, keys, F.last("_lv_local", ignorenulls=True), "_carry")
     j = d.join(carry, on=[*keys, _B], how="left")
     return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))

@@ -733,6 +733,30 @@ def stateful_rule(spark, sf_dir):
     return out.select("gtid_seq", "topic", "key", "seen", F.col("running_cents").cast("bigint").alias("running_cents"))
 
 
+# ---------------------------------------------------------------- mixed layout (many tables, one frame)
+
+REGION_PAYLOAD_SQL = """
+SELECT (r_regionkey + 1)::BIGINT AS gtid_seq, 'ref_db.region' AS topic, 'ref_db.region' AS key,
+  to_json({'schema': 'ref_db', 'table': 'region', 'action': 'insert', 'before': NULL,
+           'after': [{'r_name': r_name, 'r_regionkey': r_regionkey}],
+           'meta': {'timestamp': (r_regionkey + 1)::BIGINT * 1000, 'pipeline': 'p1'},
+           'kafka': {'topic': 'ref_db.region', 'key': 'ref_db.region'}})::VARCHAR AS value
+FROM region
+"""
+
+
+@query("mixed_sample_chain", f"""
+SELECT * FROM ({ORACLES['sample_chain']}) UNION ALL {REGION_PAYLOAD_SQL}
+""")
+def mixed_sample_chain(spark, sf_dir):
+    """Two tables of different shapes in one frame (``map<string, variant>``
+    images, per-row key columns) through the flagship rules."""
+    from rowcast.operators.mixed import union_logs
+    log = union_logs([fx.chg_events(spark, sf_dir), fx.chg_region(spark, sf_dir)])
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules_mixed(), timestamp=F.col("gtid_seq") * 1000)
+    return run_batch(spec, log).select("gtid_seq", "topic", "key", "value")
+
+
 # ---------------------------------------------------------------- streaming (S1, K1, P1 on a stream)
 
 @query("topic_counts", f"""

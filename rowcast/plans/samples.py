@@ -83,3 +83,24 @@ def sample_python_rules():
     from rowcast.operators.pyrule import PythonRule
     return [PythonRule("generic", "test_.*", "test_.*", generic_script),
             PythonRule("another-rule", "tenant_.*", "entity_1", drop_script)]
+
+
+# ---------------------------------------------------------------- the same rules for the mixed layout
+
+def generic_rule_mixed() -> Rule:
+    from rowcast.functions import mixed as MF
+
+    hit = MF.any_row("after", "text_col", lambda v: v == "change-kafka")
+    return Rule(
+        name="generic", match_schema="test_.*", match_table="test_.*",
+        verdict=F.when(MF.any_row("after", "text_col", lambda v: v == "ignore"), ACTION_DROP).otherwise(ACTION_CONT),
+        set={
+            "kafka.topic": F.when(hit, F.lit(REROUTE_TOPIC)).otherwise(F.col("kafka.topic")),
+            "kafka.key": F.when(hit, F.lit(REROUTE_KEY)).otherwise(F.col("kafka.key")),
+            "after": MF.mask_field("after", "text_col", 3),
+        },
+    )
+
+
+def sample_rules_mixed() -> list[Rule]:
+    return [generic_rule_mixed(), tenant_drop_rule()]
