@@ -42,6 +42,8 @@ def encode(events: DataFrame, keep: tuple[str, ...] = (GTID_UUID, GTID_SEQ, POS)
         dt = events.schema[f].dataType
         if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.MapType):
             parts.append(sorted_rows(F.col(f)).alias(f))
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+            parts.append(prepare_images(F.col(f), dt.elementType).alias(f))
         else:
             parts.append(F.col(f))
     value = F.to_json(F.struct(*parts), JSON_OPTIONS)

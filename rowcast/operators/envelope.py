@@ -66,6 +66,19 @@ def normalise_strings(rows: Column, image_type: T.DataType, string_columns: Sequ
     return rows
 
 
+def name_positional(rows: Column, columns: Column | Sequence[str], value_type: str = "variant") -> Column:
+    """Positional raw rows (``array<array<...>>``) -> named row images.
+
+    ``columns`` is the table's column list (a per-row ``array<string>`` column
+    or a fixed list).  A row shorter than the column list gets nulls for the
+    missing values (upstream indexes past the end and crashes).  The result is
+    the mixed layout, ``array<map<string, value_type>>``.
+    """
+    cols = columns if isinstance(columns, Column) else F.array(*[F.lit(c) for c in columns])
+    return F.transform(rows, lambda r: F.map_from_entries(F.transform(
+        cols, lambda c, i: F.struct(c.alias("key"), F.get(r, i).cast(value_type).alias("value")))))
+
+
 def images(action: Column, rows: Column) -> tuple[Column, Column]:
     """(before, after) per action; update rows pair up by position."""
     before = (F.when(action == ACTION_DELETE, rows)
