@@ -112,3 +112,13 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     carry = _carry(d, keys, F.last("_lv_local", ignorenulls=True), "_carry")
     j = d.join(carry, on=[*keys, _B], how="left")
     return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))
+
+
+def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str,
+                      width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Running maximum of ``col`` per key (inclusive, nulls ignored), bucketed."""
+    keys, order = list(keys), list(order)
+    d = _local(df, keys, order, width, _rm_local=_upto(F.max(col)))
+    carry = _carry(d, keys, F.max("_rm_local"), "_carry")
+    j = d.join(carry, on=[*keys, _B], how="left")
+    return j.select(*[F.col(c) for c in df.columns], F.greatest("_rm_local", "_carry").alias(name))

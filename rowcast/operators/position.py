@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rowcast.functions.gtid import format_gtid_set, parse_gtid_set, widen_single
 from rowcast.model import GTID_SEQ, GTID_UUID
+from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_running_max
 from rowcast.session import bounded_broadcast
 
 MAX_BROADCAST_RANGES = 1_000_000
@@ -55,20 +56,42 @@ def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
 
 
 def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column = "pipeline",
-                  start: int = 1, max_broadcast: int = MAX_BROADCAST_RANGES) -> DataFrame:
+                  start: int = 1, max_broadcast: int = MAX_BROADCAST_RANGES,
+                  width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Drop the events already inside the saved position of their pipeline.
 
-    A left-anti join with the equi keys ``(pipeline, uuid)`` and
-    ``seq BETWEEN lo AND hi``.  The range side is broadcast when it has at most
-    ``max_broadcast`` rows (checked), else the join shuffles on the equi keys.
+    Small saved sets (at most ``max_broadcast`` intervals, checked): a
+    broadcast left-anti join with equi keys ``(pipeline, uuid)`` and
+    ``seq BETWEEN lo AND hi``; no shuffle of the events.
+
+    Larger sets: an exact as-of form that no hot uuid can unbalance.  Events
+    and intervals (placed at ``lo``, carrying ``hi``) are put in one frame;
+    an event is covered when the running maximum of ``hi`` over everything
+    at or before its sequence number, within its (pipeline, uuid), reaches
+    it.  The running maximum is the bucketed window of ``ordered.py``.
+
     Events of a uuid the state does not know (P5) all pass.
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
-    ranges, _ = bounded_broadcast(saved_ranges(states, start), max_broadcast)
+    ranges, small = bounded_broadcast(saved_ranges(states, start), max_broadcast)
     ev = events.withColumn("_pipe", p)
-    cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])
-            & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]))
-    return ev.join(ranges, cond, "left_anti").drop("_pipe")
+    if small:
+        cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])
+                & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]))
+        return ev.join(ranges, cond, "left_anti").drop("_pipe")
+    return _resume_as_of(ev, ranges, width).drop("_pipe")
+
+
+def _resume_as_of(ev: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
+    cols = ev.columns
+    e = ev.select(*cols, F.col("_pipe").alias("_k1"), F.col(GTID_UUID).alias("_k2"),
+                  F.col(GTID_SEQ).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_hi"))
+    iv = ranges.select(F.col("name").alias("_k1"), F.col("uuid").alias("_k2"), F.col("lo").alias("_at"),
+                       F.lit(0).alias("_kind"), F.col("hi").alias("_hi"))
+    both = e.unionByName(iv, allowMissingColumns=True)
+    covered = keyed_running_max(both, ["_k1", "_k2"], ["_at", "_kind"], "_hi", "_cover", width)
+    keep = (F.col("_kind") == 1) & (F.col("_cover").isNull() | (F.col("_cover") < F.col("_at")))
+    return covered.filter(keep).select(*cols)
 
 
 def source_heads(events: DataFrame) -> DataFrame:

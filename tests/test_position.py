@@ -65,11 +65,18 @@ def test_resume_filter_per_pipeline(spark, states):
     assert got == [("p1", 100), ("p1", 101), ("p2", 5), ("p3", 1)]
 
 
-def test_resume_filter_shuffle_join_when_large(spark, states):
-    ev = spark.createDataFrame([("p1", U, 50, 0), ("p1", U, 150, 0)],
+def test_resume_filter_as_of_path_equals_broadcast_path(spark):
+    # many intervals for one uuid (a hot key), overlapping ones, and a second pipeline
+    gtid = ":".join(f"{lo}-{lo + 4}" for lo in range(10, 400, 10)) + ":395-420"
+    states = spark.createDataFrame([("p1", f"{U}:{gtid},{V}:1-3", 1), ("p2", f"{U}:100", 1)],
+                                   "name string, gtid string, timestamp bigint")
+    ev = spark.createDataFrame([(p, u, s, 0) for p in ("p1", "p2", "p3") for u in (U, V) for s in range(0, 460, 3)],
                                "pipeline string, gtid_uuid string, gtid_seq bigint, pos bigint")
-    got = [r.gtid_seq for r in resume_filter(ev, states, max_broadcast=1).collect()]
-    assert got == [150]
+    small = {tuple(r) for r in resume_filter(ev, states).collect()}
+    large = {tuple(r) for r in resume_filter(ev, states, max_broadcast=0, width=16).collect()}
+    assert small == large
+    assert ("p1", U, 12, 0) not in large and ("p1", U, 15, 0) in large and ("p1", U, 420, 0) not in large
+    assert ("p2", U, 99, 0) not in large and ("p2", U, 102, 0) in large and ("p1", V, 3, 0) not in large
 
 
 def test_check_ahead(spark, states):
