@@ -90,3 +90,22 @@ def test_stateful_rule_stream_matches_batch_totals(spark, tmp_dir):
         w_last = max((s, v) for (kk, s), v in want.items() if kk == k)[1]
         g_last = max(v for (kk, _s), v in got.items() if kk == k)
         assert g_last == w_last
+
+
+def test_stream_dedupe_and_observed_metrics(spark, tmp_dir):
+    from rowcast.operators.codec import encode
+    from rowcast.operators.delivery import dedupe_stream
+    from rowcast.operators.envelope import build_events
+    from rowcast.streaming.stream import observed
+
+    log = fx.chg_region(spark, SF_SMALL).withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    log.union(log).write.parquet(f"{tmp_dir}/log")        # every position delivered twice
+    s = stream_log(spark, f"{tmp_dir}/log", log.schema)
+    recs = encode(build_events(s, pipeline="p", timestamp=F.lit(0)), keep=("gtid_uuid", "gtid_seq", "pos", "ts"))
+    out = observed(dedupe_stream(recs, "ts", "1 hour"), name="delivery")
+    q = (out.writeStream.format("memory").queryName("dedup_out").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("dedup_out").count() == 5
+    metrics = [p["observedMetrics"]["delivery"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["records"] for m in metrics) == 5
