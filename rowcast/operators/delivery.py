@@ -19,15 +19,17 @@ def dedupe(records: DataFrame, keys: Sequence[str] = POSITION_KEYS, copies: str
     """One record per source position (at-least-once replays removed).
 
     An aggregate with a map-side partial step, so many copies of one position
-    collapse inside each task before the shuffle.  ``copies`` adds how many
-    copies were seen.
+    collapse inside each task before the shuffle.  Of differing copies (a
+    replay carries a new processing time) the smallest is kept, so a retried
+    task picks the same one.  ``copies`` adds how many copies were seen.
     """
     keys = list(keys)
     rest = [c for c in records.columns if c not in keys]
-    aggs = [F.first(c).alias(c) for c in rest]
+    aggs = [F.min(F.struct(*[F.col(c) for c in rest])).alias("_keep")]
     if copies:
         aggs.append(F.count(F.lit(1)).alias(copies))
-    return records.groupBy(*keys).agg(*aggs)
+    out = records.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, *[F.col("_keep")[c].alias(c) for c in rest], *([copies] if copies else []))
 
 
 def dedupe_stream(records: DataFrame, event_time: str, delay: str, keys: Sequence[str] = POSITION_KEYS) -> DataFrame:

@@ -19,6 +19,7 @@ from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_running_max
 from rowcast.session import bounded_broadcast
 
 MAX_BROADCAST_RANGES = 1_000_000
+MAX_RANGES_PER_KEY = 64
 
 
 def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
@@ -57,12 +58,13 @@ def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
 
 def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column = "pipeline",
                   start: int = 1, max_broadcast: int = MAX_BROADCAST_RANGES,
-                  width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                  max_per_key: int = MAX_RANGES_PER_KEY, width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Drop the events already inside the saved position of their pipeline.
 
-    Small saved sets (at most ``max_broadcast`` intervals, checked): a
-    broadcast left-anti join with equi keys ``(pipeline, uuid)`` and
-    ``seq BETWEEN lo AND hi``; no shuffle of the events.
+    Small saved sets (at most ``max_broadcast`` intervals in all and at most
+    ``max_per_key`` per (pipeline, uuid), both checked): a broadcast left-anti
+    join with equi keys ``(pipeline, uuid)`` and ``seq BETWEEN lo AND hi``; no
+    shuffle of the events, and each event is tested against a few intervals.
 
     Larger sets: an exact as-of form that no hot uuid can unbalance.  Events
     and intervals (placed at ``lo``, carrying ``hi``) are put in one frame;
@@ -74,6 +76,11 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
     ranges, small = bounded_broadcast(saved_ranges(states, start), max_broadcast)
+    if small:
+        widest = ranges.groupBy("name", "uuid").count().agg(F.max("count")).first()[0]
+        small = (widest or 0) <= max_per_key
+        if not small:
+            ranges = saved_ranges(states, start)
     ev = events.withColumn("_pipe", p)
     if small:
         cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])

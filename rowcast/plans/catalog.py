@@ -616,7 +616,7 @@ def per_key_order(spark, sf_dir):
 ORACLES["per_key_order"] = ORACLES["per_key_order"].replace("{sample}", ORACLES["sample_chain"])
 
 
-@query("many_pipelines", f"""
+@query("multi_spec_union", f"""
 WITH c AS ({CHG_EVENTS_SQL}),
 g AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c),
 a AS (SELECT 'sample' AS pipeline, gtid_seq,
@@ -632,7 +632,7 @@ k AS (SELECT 'keep' AS pipeline, gtid_seq, schema_name || '.' || table_name AS t
       FROM g WHERE NOT g OR coalesce(t = 'should-continue', false))
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM k
 """)
-def many_pipelines(spark, sf_dir):
+def multi_spec_union(spark, sf_dir):
     from rowcast.plans.pipeline import run_many
     log = fx.chg_events(spark, sf_dir)
     specs = [

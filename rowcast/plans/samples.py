@@ -13,30 +13,38 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowcast import functions as RF
-from rowcast.model import ACTION_CONT, ACTION_DROP
+from rowcast.model import ACTION_CONT, ACTION_DROP, MASK_TEXT
 from rowcast.operators.rules import Rule, drop_rule
 
-# Fixed values of the sample configuration.
+# Fixed values of the upstream sample configuration (must stay equal to it).
+GENERIC_SCHEMA = "test_.*"
+GENERIC_TABLE = "test_.*"
+IGNORE_TEXT = "ignore"
+REROUTE_TEXT = "change-kafka"
 REROUTE_TOPIC = "another-topic"
 REROUTE_KEY = "another-msg-key"
+MASK_MIN_LENGTH = 3
+TENANT_SCHEMA = "tenant_.*"
+TENANT_TABLE = "entity_1"
+KEEP_TEXT = "should-continue"
 
 
 def generic_rule() -> Rule:
-    hit = RF.any_row("after", "text_col", lambda v: v == "change-kafka")
+    hit = RF.any_row("after", "text_col", lambda v: v == REROUTE_TEXT)
     return Rule(
-        name="generic", match_schema="test_.*", match_table="test_.*",
-        verdict=F.when(RF.any_row("after", "text_col", lambda v: v == "ignore"), ACTION_DROP)
+        name="generic", match_schema=GENERIC_SCHEMA, match_table=GENERIC_TABLE,
+        verdict=F.when(RF.any_row("after", "text_col", lambda v: v == IGNORE_TEXT), ACTION_DROP)
                  .otherwise(ACTION_CONT),
         set={
             "kafka.topic": F.when(hit, F.lit(REROUTE_TOPIC)).otherwise(F.col("kafka.topic")),
             "kafka.key": F.when(hit, F.lit(REROUTE_KEY)).otherwise(F.col("kafka.key")),
-            "after": RF.mask_field("after", "text_col", 3),
+            "after": RF.mask_field("after", "text_col", MASK_MIN_LENGTH),
         },
     )
 
 
 def tenant_drop_rule() -> Rule:
-    return drop_rule("another-rule", match_schema="tenant_.*", match_table="entity_1")
+    return drop_rule("another-rule", match_schema=TENANT_SCHEMA, match_table=TENANT_TABLE)
 
 
 def sample_rules() -> list[Rule]:
@@ -45,8 +53,8 @@ def sample_rules() -> list[Rule]:
 
 def keep_should_continue_rule() -> Rule:
     first = RF.first_row("after")
-    return Rule(name="generic-test-1", match_schema="test_.*", match_table="test_.*",
-                verdict=F.when(first["text_col"] == "should-continue", ACTION_CONT).otherwise(ACTION_DROP))
+    return Rule(name="generic-test-1", match_schema=GENERIC_SCHEMA, match_table=GENERIC_TABLE,
+                verdict=F.when(first["text_col"] == KEEP_TEXT, ACTION_CONT).otherwise(ACTION_DROP))
 
 
 def empty_rule() -> Rule:
@@ -65,13 +73,13 @@ def generic_script(event: dict) -> int:
     verdict = ACTION_CONT
     for row in event.get("after") or []:  # a null image is a no-op, as for expression rules
         text = row.get("text_col")
-        if text == "ignore":
+        if text == IGNORE_TEXT:
             verdict = ACTION_DROP
-        if text == "change-kafka":
+        if text == REROUTE_TEXT:
             event["kafka"]["topic"] = REROUTE_TOPIC
             event["kafka"]["key"] = REROUTE_KEY
-        if text is not None and utf16_length(text) > 3:
-            row["text_col"] = "****"
+        if text is not None and utf16_length(text) > MASK_MIN_LENGTH:
+            row["text_col"] = MASK_TEXT
     return verdict
 
 
@@ -81,8 +89,8 @@ def drop_script(event: dict) -> int:
 
 def sample_python_rules():
     from rowcast.operators.pyrule import PythonRule
-    return [PythonRule("generic", "test_.*", "test_.*", generic_script),
-            PythonRule("another-rule", "tenant_.*", "entity_1", drop_script)]
+    return [PythonRule("generic", GENERIC_SCHEMA, GENERIC_TABLE, generic_script),
+            PythonRule("another-rule", TENANT_SCHEMA, TENANT_TABLE, drop_script)]
 
 
 # ---------------------------------------------------------------- the same rules for the mixed layout
@@ -90,14 +98,14 @@ def sample_python_rules():
 def generic_rule_mixed() -> Rule:
     from rowcast.functions import mixed as MF
 
-    hit = MF.any_row("after", "text_col", lambda v: v == "change-kafka")
+    hit = MF.any_row("after", "text_col", lambda v: v == REROUTE_TEXT)
     return Rule(
-        name="generic", match_schema="test_.*", match_table="test_.*",
-        verdict=F.when(MF.any_row("after", "text_col", lambda v: v == "ignore"), ACTION_DROP).otherwise(ACTION_CONT),
+        name="generic", match_schema=GENERIC_SCHEMA, match_table=GENERIC_TABLE,
+        verdict=F.when(MF.any_row("after", "text_col", lambda v: v == IGNORE_TEXT), ACTION_DROP).otherwise(ACTION_CONT),
         set={
             "kafka.topic": F.when(hit, F.lit(REROUTE_TOPIC)).otherwise(F.col("kafka.topic")),
             "kafka.key": F.when(hit, F.lit(REROUTE_KEY)).otherwise(F.col("kafka.key")),
-            "after": MF.mask_field("after", "text_col", 3),
+            "after": MF.mask_field("after", "text_col", MASK_MIN_LENGTH),
         },
     )
 
