@@ -1,5 +1,16 @@
 """rowcast: change-data-capture event processing on Spark DataFrames."""
 
+import sys as _sys
+
+# Python code that runs in tasks (Python rules, stateful rules) is shipped by
+# value, so executors need no installed copy of this package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
+
 from rowcast.model import ACTION_CONT, ACTION_DROP
 from rowcast.operators.codec import decode, encode, payload
 from rowcast.operators.envelope import build_events
