@@ -129,3 +129,20 @@ def register_sql_helpers(spark) -> None:
 register_helper("obfuscate", obfuscate)
 register_helper("js_length", js_length)
 register_helper("mask_field", mask_field)
+
+
+# ---------------------------------------------------------------- ENUM / SET labels (optional, Q14)
+
+def enum_label(index: str | Column, labels: list[str]) -> Column:
+    """ENUM index (1-based, 0 = empty) -> label text; out of range -> null."""
+    idx = _c(index).cast("int")
+    return F.when(idx == 0, F.lit("")).otherwise(F.try_element_at(F.array(*[F.lit(x) for x in labels]), idx))
+
+
+def set_labels(bits: str | Column, labels: list[str]) -> Column:
+    """SET bitmask -> ``array<string>`` of the labels whose bit is set."""
+    b = _c(bits).cast("bigint")
+    arr = F.array(*[F.lit(x) for x in labels])
+    # bit i as a signed 64-bit literal (a SET has at most 64 members)
+    masks = F.array(*[F.lit((1 << i) - (1 << 64 if i == 63 else 0)).cast("bigint") for i in range(len(labels))])
+    return F.filter(arr, lambda x, i: F.element_at(masks, i + 1).bitwiseAND(b) != 0)

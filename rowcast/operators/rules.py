@@ -145,12 +145,19 @@ def apply_rules(events: DataFrame, rules: Sequence[Rule], on_null_verdict: str =
 
 
 def verdicts(events: DataFrame, rules: Sequence[Rule], on_null_verdict: str = "pass") -> DataFrame:
-    """The fold without removing anything: every event with its final verdict
-    (1 for events a DROP stopped; they are not changed by later rules)."""
-    df = events.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
+    """The fold without removing anything, for audits and drop metrics.
+
+    Every event keeps its final ``_verdict`` (1 for events a DROP stopped;
+    later rules do not change them) and ``_dropped_by``, the name of the rule
+    that dropped it.  ``groupBy("_dropped_by").count()`` gives in / dropped /
+    delivered counts per rule.
+    """
+    df = events.withColumn(VERDICT_COL, F.lit(ACTION_CONT)).withColumn("_dropped_by", F.lit(None).cast("string"))
     for r in rules:
         df = apply_rule(df, r, on_null_verdict, short_circuit=False,
                         active=F.col(VERDICT_COL) != ACTION_DROP)
+        df = df.withColumn("_dropped_by", F.when(F.col("_dropped_by").isNull() & (F.col(VERDICT_COL) == ACTION_DROP),
+                                                 F.lit(r.name)).otherwise(F.col("_dropped_by")))
     return df
 
 

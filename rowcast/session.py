@@ -40,6 +40,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large batch run (to pass to the session builder).
+
+    The per-event path is scan-bound: ``maxPartitionBytes`` sizes the scan
+    tasks.  Shuffles (dedupe, per-key order, enrichment) start with enough
+    partitions for ``partition_bytes`` each and AQE coalesces the small ones
+    and splits skewed ones.
+    """
+    slots = executors * cores_per_executor
+    shuffle = max(slots * 2, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(min(shuffle, 100_000)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -52,6 +52,24 @@ def stream_kafka(spark: SparkSession, servers: str, topics: str, value_schema: T
     return raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("r")).select("r.*")
 
 
+def write_log(log: DataFrame, path: str, partition_by: Sequence[str] = ("schema", "table"),
+              fmt: str = "parquet", mode: str = "append") -> None:
+    """Store a change log partitioned by schema and table, so that rule guards
+    and source filters (regexes on those columns) prune whole folders."""
+    log.write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
+
+
+def evolve_rows(log: DataFrame, image_type: T.StructType) -> DataFrame:
+    """Bring a typed log's row images to ``image_type`` (a newer table version):
+    missing columns become null, columns are cast and put in that order, so
+    logs of several versions union by name."""
+    have = set(log.schema["rows"].dataType.elementType.names)
+    rows = F.transform("rows", lambda r: F.struct(*[
+        (r[f.name].cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in image_type.fields]))
+    return log.withColumn("rows", rows)
+
+
 def row_events_only(log: DataFrame, action: str = "action") -> DataFrame:
     """Keep row changes; rotate/DDL/XID/GTID-marker entries are skipped."""
     return log.filter(F.col(action).isin(*ROW_ACTIONS))
