@@ -733,6 +733,45 @@ def stateful_rule(spark, sf_dir):
     return out.select("gtid_seq", "topic", "key", "seen", F.col("running_cents").cast("bigint").alias("running_cents"))
 
 
+# ---------------------------------------------------------------- audit and table versions
+
+@query("drop_audit", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+e AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c)
+SELECT CASE WHEN g AND coalesce(t = 'ignore', false) THEN 'generic'
+            WHEN regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1') THEN 'another-rule'
+            ELSE 'delivered' END AS outcome,
+       count(*) AS n
+FROM e GROUP BY 1
+""")
+def drop_audit(spark, sf_dir):
+    """Events in, dropped per rule and delivered, for the flagship rules (P10)."""
+    from rowcast.operators.rules import verdicts
+    v = verdicts(_events(spark, sf_dir), samples.sample_rules())
+    return (v.groupBy(F.coalesce("_dropped_by", F.lit("delivered")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("image_versions", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, to_json(CASE WHEN action <> 'delete' THEN [{{'event_id': event_id,
+     'text_col': CASE WHEN ts < TIMESTAMP '{CRASH_AT}' THEN NULL ELSE text_col END,
+     'user_id': user_id, 'value': value}}] END)::VARCHAR AS after_json
+FROM c
+""")
+def image_versions(spark, sf_dir):
+    """A table that gained ``text_col`` at CRASH_AT: the old log (images
+    without it) and the new log union after the old images are evolved."""
+    from rowcast.sources.changelog import evolve_rows
+    log = fx.chg_events(spark, sf_dir)
+    cut = F.col("ts") < F.lit(CRASH_AT).cast("timestamp_ntz")
+    old = log.filter(cut).withColumn("rows", RF.drop_fields("rows", "text_col"))
+    new = log.filter(~cut)
+    both = evolve_rows(old, new.schema["rows"].dataType.elementType).unionByName(new)
+    ev = build_events(both, pipeline="p1", timestamp=F.lit(0))
+    return ev.select("gtid_seq", image_json("after").alias("after_json"))
+
+
 # ---------------------------------------------------------------- mixed layout (many tables, one frame)
 
 REGION_PAYLOAD_SQL = """
