@@ -1,9 +1,9 @@
 """Python rules (U1): arbitrary per-event Python with the same fold semantics.
 
 The guard is evaluated in the JVM.  Each partition's events travel to Python
-as Arrow batches (``mapInPandas``); only matched events are decoded into a
-dict (the same shape the JSON payload has), handed to the function, and
-encoded back.  The function may change any field in place and returns the
+as Arrow batches (``mapInArrow``) and pass through unchanged; only matched
+events are encoded to JSON, decoded into a dict (the shape of the payload),
+handed to the function and encoded back.  The function may change any field in place and returns the
 verdict (0 CONT, 1 DROP, other: kept going, dropped if last).
 
 Use expression rules where possible; this path costs a JSON round trip per
@@ -36,42 +36,52 @@ class PythonRule:
         return matches("schema", self.match_schema) & matches("table", self.match_table)
 
 
-def _runner(fn: Callable[[dict], int], side: list[str], on_null_verdict: str, rule_name: str):
+def _runner(fn: Callable[[dict], int], keep: list[str], on_null_verdict: str, rule_name: str):
     def run(batches):
-        import numpy as np
+        import pyarrow as pa
 
-        for pdf in batches:
-            g = pdf["_g"].to_numpy(dtype=bool)
-            evts = pdf["_evt"].to_numpy(dtype=object).copy()
-            verdict = np.zeros(len(pdf), dtype=np.int32)
-            for i in np.flatnonzero(g):
-                e = json.loads(evts[i])
+        for rb in batches:
+            evt = rb.column("_evt")
+            matched = rb.column("_g").to_pylist()
+            texts = evt.to_pylist()
+            out = [None] * rb.num_rows
+            verdict = [ACTION_CONT] * rb.num_rows
+            for i, hit in enumerate(matched):
+                if not hit:
+                    continue
+                e = json.loads(texts[i])
                 v = fn(e)
                 if v is None:
                     if on_null_verdict == "fail":
                         raise ValueError(f"python rule {rule_name!r} returned no verdict")
                     v = ACTION_DROP if on_null_verdict == "drop" else ACTION_CONT
                 verdict[i] = int(v)
-                evts[i] = json.dumps(e, separators=(",", ":"), ensure_ascii=False)
-            out = pdf[side].copy()
-            out["_evt"] = evts
-            out[VERDICT_COL] = verdict
-            yield out
+                out[i] = json.dumps(e, separators=(",", ":"), ensure_ascii=False)
+            arrays = [rb.column(c) for c in keep] + [pa.array(out, type=evt.type), pa.array(verdict, type=pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=keep + ["_evt_out", VERDICT_COL])
     return run
 
 
 def apply_python_rule(df: DataFrame, rule: PythonRule, on_null_verdict: str = "fail") -> DataFrame:
-    """One Python rule over events that carry ``_verdict`` (see rules.apply_rule)."""
+    """One Python rule over events that carry ``_verdict`` (see rules.apply_rule).
+
+    ``mapInArrow``: every column passes through as the same Arrow arrays;
+    only events the guard matches are encoded to JSON (in the JVM), handed to
+    the function and parsed back.  Unmatched events are untouched.
+    """
     if rule.fn is None:
         return df.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
-    side = [c for c in df.columns if c not in ENVELOPE_FIELDS and c != VERDICT_COL]
+    keep = [c for c in df.columns if c != VERDICT_COL]
     env_schema = T.StructType([df.schema[c] for c in ENVELOPE_FIELDS])
-    packed = df.select(*side, rule.guard().alias("_g"),
-                       F.to_json(F.struct(*ENVELOPE_FIELDS), JSON_OPTIONS).alias("_evt"))
-    out_schema = T.StructType([df.schema[c] for c in side]
-                              + [T.StructField("_evt", T.StringType()), T.StructField(VERDICT_COL, T.IntegerType())])
-    res = packed.mapInPandas(_runner(rule.fn, side, on_null_verdict, rule.name), out_schema)
-    back = res.select(*side, F.from_json("_evt", env_schema).alias("_e"), VERDICT_COL)
-    back = back.select(*[(F.col(f"_e.{c}").alias(c) if c in ENVELOPE_FIELDS else F.col(c))
-                         for c in df.columns if c != VERDICT_COL], VERDICT_COL)
+    g = rule.guard()
+    packed = df.select(*keep, g.alias("_g"),
+                       F.when(g, F.to_json(F.struct(*ENVELOPE_FIELDS), JSON_OPTIONS)).alias("_evt"))
+    out_schema = T.StructType([df.schema[c] for c in keep]
+                              + [T.StructField("_evt_out", T.StringType()),
+                                 T.StructField(VERDICT_COL, T.IntegerType())])
+    res = packed.mapInArrow(_runner(rule.fn, keep, on_null_verdict, rule.name), out_schema)
+    parsed = res.withColumn("_p", F.from_json("_evt_out", env_schema))
+    changed = F.col("_evt_out").isNotNull()
+    back = parsed.select(*[(F.when(changed, F.col("_p")[c]).otherwise(F.col(c)).alias(c)
+                            if c in ENVELOPE_FIELDS else F.col(c)) for c in keep], VERDICT_COL)
     return back.filter(F.col(VERDICT_COL) != ACTION_DROP)
