@@ -31,6 +31,21 @@ from rowcast.model import ACTION_CONT, ACTION_DROP, VERDICT_COL
 VERDICT_POLICIES = ("fail", "drop", "pass")
 
 
+def _plan_barrier(verdict: Column) -> Column:
+    """Keep each rule's filter right above its own projection.
+
+    Catalyst pushes a filter through a projection by inlining the aliases it
+    reads; a rule's verdict reads the previous rule's outputs, which read
+    theirs, each more than once, so pushing every rule's filter to the bottom
+    of a long chain inlines an expression that doubles with every rule.  A
+    projection holding a non-deterministic expression is not pushed through,
+    so the verdict carries one that is always 0 (and the same on a retried
+    task).  Filters placed before the rules (source filters) still reach the
+    scan.
+    """
+    return verdict + F.spark_partition_id() * F.lit(0)
+
+
 def java_regex(pattern: str) -> str:
     """Accept RE2/Go-style named groups ``(?P<n>...)`` (Java wants ``(?<n>...)``)."""
     return re.sub(r"\(\?P<", "(?<", pattern)
@@ -110,7 +125,7 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
     keep_v = F.col(VERDICT_COL)
     if rule.is_noop:
         v0 = F.lit(ACTION_CONT) if active is None else F.when(active, F.lit(ACTION_CONT)).otherwise(keep_v)
-        return df.withColumn(VERDICT_COL, v0)
+        return df.withColumn(VERDICT_COL, _plan_barrier(v0))
     g = rule.guard() if active is None else (rule.guard() & active)
     v = F.lit(ACTION_CONT) if rule.verdict is None else (
         rule.verdict if isinstance(rule.verdict, Column) else F.lit(int(rule.verdict)))
@@ -126,7 +141,7 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
     verdict = F.when(g, v).otherwise(F.lit(ACTION_CONT))
     if active is not None:
         verdict = F.when(~active, keep_v).otherwise(verdict)
-    out = df.select(*cols, verdict.alias(VERDICT_COL))
+    out = df.select(*cols, _plan_barrier(verdict).alias(VERDICT_COL))
     if short_circuit:
         out = out.filter(F.col(VERDICT_COL) != ACTION_DROP)
     return out

@@ -56,3 +56,27 @@ def test_no_python_in_expression_pipelines(spark, tmp_dir):
     fx.chg_events(spark, SF_SMALL).write.parquet(f"{tmp_dir}/log")
     p = plan(run_batch(spec(), read_log(spark, f"{tmp_dir}/log")))
     assert "MapInPandas" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_long_rule_chains_plan_linearly(spark):
+    """Each rule reads the previous rule's outputs more than once; the plan
+    must still grow linearly with the number of rules (no filter inlining)."""
+    from rowcast import functions as RF
+    from rowcast.operators.envelope import build_events
+    from rowcast.operators.rules import Rule, apply_rules
+
+    ev = build_events(fx.chg_events(spark, SF_SMALL), pipeline="p", timestamp=F.lit(0))
+
+    def chain(n):
+        rules = []
+        for i in range(n):
+            hit = RF.any_row("after", "text_col", (lambda t: (lambda v: v == t))(f"x{i}"))
+            rules.append(Rule(f"r{i}", "test_.*" if i % 2 else "", "", verdict=F.when(hit, 1).otherwise(0),
+                              set={"after": RF.mask_field("after", "text_col", 3 + i % 5)}))
+        return apply_rules(ev, rules)
+
+    size = {n: len(chain(n)._jdf.queryExecution().optimizedPlan().toString()) for n in (6, 12, 24)}
+    per_rule_small = (size[12] - size[6]) / 6
+    per_rule_large = (size[24] - size[12]) / 12
+    assert per_rule_large < 1.5 * per_rule_small
+    assert chain(24).count() == ev.count()
