@@ -72,7 +72,8 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
     at or before its sequence number, within its (pipeline, uuid), reaches
     it.  The running maximum is the bucketed window of ``ordered.py``.
 
-    Events of a uuid the state does not know (P5) all pass.
+    Events of a uuid the state does not know (P5) all pass.  On a stream this
+    is a stream-static anti join (a new query resuming from a state table).
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
     ranges, small = bounded_broadcast(saved_ranges(states, start), max_broadcast)
@@ -82,7 +83,8 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
         if not small:
             ranges = saved_ranges(states, start)
     ev = events.withColumn("_pipe", p)
-    if small:
+    if small or events.isStreaming:
+        # streams refuse windows: above the bound they keep the (shuffled) range anti join
         cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])
                 & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]))
         return ev.join(ranges, cond, "left_anti").drop("_pipe")

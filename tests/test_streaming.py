@@ -109,3 +109,19 @@ def test_stream_dedupe_and_observed_metrics(spark, tmp_dir):
     assert spark.table("dedup_out").count() == 5
     metrics = [p["observedMetrics"]["delivery"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["records"] for m in metrics) == 5
+
+
+def test_resume_filter_on_a_stream(spark, tmp_dir):
+    from rowcast.operators.position import resume_filter
+
+    log = fx.chg_events(spark, SF_SMALL).withColumn("pipeline", F.lit("p1"))
+    log.write.parquet(f"{tmp_dir}/log")
+    states = spark.createDataFrame([("p1", f"{fx.SOURCE_UUID}:1-500", 1)], "name string, gtid string, timestamp bigint")
+    for bound in (1_000_000, 0):   # broadcast path, and the path above the bound
+        s = resume_filter(stream_log(spark, f"{tmp_dir}/log", log.schema), states, max_broadcast=bound)
+        name = f"resumed_{bound}"
+        q = (s.select("gtid_seq").writeStream.format("memory").queryName(name)
+             .option("checkpointLocation", f"{tmp_dir}/ck{bound}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = spark.table(name)
+        assert got.count() == log.filter(F.col("gtid_seq") > 500).count()
