@@ -75,6 +75,11 @@ class Rule:
     verdict: Column | int | None = None
     set: Mapping[str, Column] = field(default_factory=dict)
 
+    @property
+    def can_drop(self) -> bool:
+        """False when the verdict is known not to be DROP (no verdict, or a literal other than 1)."""
+        return not (self.verdict is None or (isinstance(self.verdict, int) and self.verdict != ACTION_DROP))
+
     @property
     def matches_all(self) -> bool:
         return not self.match_schema and not self.match_table
@@ -142,7 +147,7 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
     if active is not None:
         verdict = F.when(~active, keep_v).otherwise(verdict)
     out = df.select(*cols, _plan_barrier(verdict).alias(VERDICT_COL))
-    if short_circuit:
+    if short_circuit and rule.can_drop:
         out = out.filter(F.col(VERDICT_COL) != ACTION_DROP)
     return out
 
