@@ -126,6 +126,16 @@ def register_sql_helpers(spark) -> None:
               "RETURN CAST(octet_length(encode(s, 'UTF-16BE')) / 2 AS INT)")
 
 
+def register_pandas_helper(spark, name: str, fn, return_type: str) -> None:
+    """Expose a vectorised Python helper (pandas Series -> Series) to SQL
+    and to rules by name; it runs on Arrow batches, never per row."""
+    from pyspark.sql.functions import pandas_udf
+
+    udf = pandas_udf(fn, return_type)
+    spark.udf.register(name, udf)
+    register_helper(name, udf)
+
+
 register_helper("obfuscate", obfuscate)
 register_helper("js_length", js_length)
 register_helper("mask_field", mask_field)

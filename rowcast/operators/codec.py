@@ -101,3 +101,9 @@ def prepare_images(image: Column, image_type: T.StructType) -> Column:
             r = r.withField(name, fn(r[name]))
         return r
     return F.transform(image, fix)
+
+
+def decode_variant(records: DataFrame, value: str = "value") -> DataFrame:
+    """E13 without a schema: the payload as a ``variant`` column ``event``;
+    read fields with ``variant_get(event, '$.after[0].text_col', 'string')``."""
+    return records.withColumn("event", F.parse_json(F.col(value)))

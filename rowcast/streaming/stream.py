@@ -34,27 +34,50 @@ def events_stream(spec: PipelineSpec, log: DataFrame) -> DataFrame:
 
 
 def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str, state_path: str | None,
-                  fmt: str = "parquet", ordered: bool = True) -> None:
-    """Deliver one micro-batch: rules, encode, per-key order, write, save position."""
+                  fmt: str = "parquet", ordered: bool = True, metrics_path: str | None = None) -> None:
+    """Deliver one micro-batch: rules, encode, per-key order, write, save position.
+
+    With ``metrics_path``, one row per batch is appended: events in, records
+    written, events dropped and the largest delay since ``meta.timestamp``
+    (P10), measured with ``Observation`` while the batch is written.
+    """
+    from pyspark.sql import Observation
+
     events = events.persist()
     try:
         recs = encode(apply_chain(events, spec.rules, spec.on_null_verdict))
         if ordered:
             recs = order_for_delivery(recs)
+        obs = None
+        if metrics_path:
+            # above the range exchange, so its sampling job does not count rows too
+            obs = Observation(f"rowcast_{spec.name}_{batch_id}")
+            delay = F.unix_micros(F.current_timestamp()) - F.get_json_object("value", "$.meta.timestamp").cast("bigint")
+            recs = recs.observe(obs, F.count(F.lit(1)).alias("written"), F.max(delay).alias("max_delay_us"))
         recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
         if state_path:
             write_state(state_from_batch(events, F.col("meta.pipeline")), state_path)
+        if obs is not None:
+            m = obs.get
+            n_in = events.count()
+            spark = events.sparkSession
+            row = [(spec.name, int(batch_id), n_in, int(m.get("written") or 0), n_in - int(m.get("written") or 0),
+                    m.get("max_delay_us"))]
+            (spark.createDataFrame(row, "pipeline string, batch_id bigint, events_in bigint, written bigint, "
+                                        "not_delivered bigint, max_delay_us bigint")
+             .coalesce(1).write.mode("append").parquet(metrics_path))
     finally:
         events.unpersist()
 
 
 def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str, checkpoint: str, state_path: str | None = None,
                    available_now: bool = True, processing_time: str | None = None, fmt: str = "parquet",
-                   ordered: bool = True, query_name: str | None = None) -> StreamingQuery:
+                   ordered: bool = True, query_name: str | None = None,
+                   metrics_path: str | None = None) -> StreamingQuery:
     """Start one pipeline as a streaming query (one checkpoint per pipeline)."""
     ev = events_stream(spec, log)
     w = (ev.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered)))
+         .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered, metrics_path)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:

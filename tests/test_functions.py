@@ -43,3 +43,19 @@ def test_helper_registry_and_sql_helpers(spark):
     RF.register_sql_helpers(spark)
     r = spark.sql("SELECT obfuscate('secret') AS o, js_length('😀') AS n").collect()[0]
     assert (r.o, r.n) == ("****", 2)
+
+
+def test_pandas_helper_and_variant_decode(spark):
+    import json
+
+    import pandas as pd
+
+    from rowcast.operators.codec import decode_variant
+
+    RF.register_pandas_helper(spark, "shout", lambda s: s.str.upper() + "!", "string")
+    assert spark.sql("SELECT shout('hi') AS s").collect()[0].s == "HI!"
+    df = spark.createDataFrame([("x",)], "t string")
+    assert df.select(RF.helper("shout")(F.col("t")).alias("s")).collect()[0].s == "X!"
+    recs = spark.createDataFrame([(json.dumps({"after": [{"text_col": "a", "n": 5}]}),)], "value string")
+    ev = decode_variant(recs).select(F.variant_get("event", "$.after[0].n", "int").alias("n"))
+    assert ev.collect()[0].n == 5 and pd is not None

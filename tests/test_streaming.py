@@ -125,3 +125,15 @@ def test_resume_filter_on_a_stream(spark, tmp_dir):
         q.awaitTermination()
         got = spark.table(name)
         assert got.count() == log.filter(F.col("gtid_seq") > 500).count()
+
+
+def test_stream_batch_metrics(spark, tmp_dir):
+    log = fx.chg_events(spark, SF_SMALL)
+    log.repartition(2).write.parquet(f"{tmp_dir}/log")
+    q = start_pipeline(spec(), stream_log(spark, f"{tmp_dir}/log", log.schema, max_files_per_trigger=1),
+                       f"{tmp_dir}/out", f"{tmp_dir}/ck", metrics_path=f"{tmp_dir}/metrics")
+    q.awaitTermination()
+    m = spark.read.parquet(f"{tmp_dir}/metrics")
+    tot = m.agg(F.sum("events_in").alias("i"), F.sum("written").alias("w"), F.sum("not_delivered").alias("d")).first()
+    assert tot.i == log.count() and tot.w == run_batch(spec(), log).count() and tot.i == tot.w + tot.d
+    assert m.count() == 2
