@@ -7,6 +7,14 @@ number, a GTID, an event id).  The window runs per ``(key, bucket)``, which is
 bounded by the bucket width when the order value is unique per key, and the
 first rows of every bucket are repaired from the previous buckets' summary.
 
+Bound: a bucket holds at most ``width`` distinct values of the leading order
+column of one key, so at most ``width x (rows sharing one leading value)``
+rows.  Lead with a per-event sequence (event id, GTID sequence, log
+position): rows sharing one GTID are the row events of one transaction,
+which the source bounds.  Buckets are a pure function of the row (no
+partition ids), so the main branch and the summary branch always agree,
+whatever AQE does to either exchange.
+
 One pass computes the local window values and flags each bucket's last row;
 those last rows are the per-bucket summary (one row per ``(key, bucket)``),
 so the data is scanned and shuffled once (the summary branch reuses the same
