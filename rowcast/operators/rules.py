@@ -75,11 +75,17 @@ class Rule:
     verdict: Column | int | None = None
     set: Mapping[str, Column] = field(default_factory=dict)
 
+    @property
+    def guard_only(self) -> bool:
+        """A literal verdict and no assignments: the outcome depends on the guard alone."""
+        return isinstance(self.verdict, int) and not self.set
+
     @property
     def can_drop(self) -> bool:
         """False when the verdict is known not to be DROP (no verdict, or a literal other than 1)."""
         return not (self.verdict is None or (isinstance(self.verdict, int) and self.verdict != ACTION_DROP))
 
+
     @property
     def matches_all(self) -> bool:
         return not self.match_schema and not self.match_table
@@ -94,8 +100,13 @@ class Rule:
 
 
 def drop_rule(name: str, match_schema: str = "", match_table: str = "") -> Rule:
-    """Drop every event of the matched tables."""
-    return Rule(name, match_schema, match_table, verdict=F.lit(ACTION_DROP))
+    """Drop every event of the matched tables.
+
+    Its filter depends on ``schema``/``table`` only, so Catalyst may push it
+    down; placed before other rules on a log partitioned by schema and table,
+    it prunes whole folders.
+    """
+    return Rule(name, match_schema, match_table, verdict=ACTION_DROP)
 
 
 def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column | None) -> dict[str, Column]:
@@ -146,7 +157,10 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
     verdict = F.when(g, v).otherwise(F.lit(ACTION_CONT))
     if active is not None:
         verdict = F.when(~active, keep_v).otherwise(verdict)
-    out = df.select(*cols, _plan_barrier(verdict).alias(VERDICT_COL))
+    # guard-only rules reference nothing costly: their filter may travel down to the scan
+    # (not under ``active``, whose verdict reads the previous verdict twice)
+    verdict = verdict if (rule.guard_only and active is None) else _plan_barrier(verdict)
+    out = df.select(*cols, verdict.alias(VERDICT_COL))
     if short_circuit and rule.can_drop:
         out = out.filter(F.col(VERDICT_COL) != ACTION_DROP)
     return out

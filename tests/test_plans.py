@@ -80,3 +80,16 @@ def test_long_rule_chains_plan_linearly(spark):
     per_rule_large = (size[24] - size[12]) / 12
     assert per_rule_large < 1.5 * per_rule_small
     assert chain(24).count() == ev.count()
+
+
+def test_leading_drop_rule_prunes_partitions(spark, tmp_dir):
+    from rowcast.operators.rules import drop_rule
+
+    fx.chg_events(spark, SF_SMALL).write.partitionBy("schema", "table").parquet(f"{tmp_dir}/log")
+    log = read_log(spark, f"{tmp_dir}/log")
+    rules = [drop_rule("drop-tenants", "tenant_.*", "entity_1")] + samples.sample_rules()
+    out = run_batch(PipelineSpec(name="p1", rules=rules, pk=["user_id"], timestamp=F.col("gtid_seq") * 1000), log)
+    p = plan(out)
+    part = p.split("PartitionFilters: [", 1)[1].split("\n", 1)[0]
+    assert "RLIKE(schema" in part and "entity_1" in part
+    assert out.count() == run_batch(spec(), fx.chg_events(spark, SF_SMALL)).count()
