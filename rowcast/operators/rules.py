@@ -195,6 +195,33 @@ def verdicts(events: DataFrame, rules: Sequence[Rule], on_null_verdict: str = "p
     return df
 
 
+def validate_rules(spark, rules: Sequence, source_filter: "SourceFilter | None" = None) -> None:
+    """Compile every guard pattern once, before any event is processed.
+
+    Column references are resolved when the plan is built; a bad regular
+    expression would otherwise only fail at execution.  This evaluates all
+    patterns against one empty string in a local relation (no cluster job)
+    and names the rule at fault.
+    """
+    checks = []
+    for r in rules:
+        for field_name in ("match_schema", "match_table"):
+            p = getattr(r, field_name, "")
+            if p:
+                checks.append((f"rule {getattr(r, 'name', '?')!r} {field_name}", java_regex(p)))
+    if source_filter is not None:
+        for field_name in ("include_schemas", "exclude_schemas", "include_tables", "exclude_tables"):
+            for p in getattr(source_filter, field_name):
+                if p and p.strip():
+                    checks.append((f"source filter {field_name}", java_regex(p)))
+    base = spark.createDataFrame([("",)], "s string")
+    for what, p in checks:
+        try:
+            base.select(F.col("s").rlike(p)).collect()
+        except Exception as e:  # noqa: BLE001 - report which rule carries the pattern
+            raise ValueError(f"{what}: invalid pattern {p!r}: {str(e).splitlines()[0][:200]}") from e
+
+
 # ---------------------------------------------------------------- source filters
 
 @dataclass

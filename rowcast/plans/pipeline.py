@@ -57,6 +57,9 @@ def apply_chain(events: DataFrame, rules: Sequence, on_null_verdict: str = "fail
 
 def run_events(spec: PipelineSpec, log: DataFrame) -> DataFrame:
     """Filtered, enveloped and transformed events (typed, not yet encoded)."""
+    from rowcast.operators.rules import validate_rules
+
+    validate_rules(log.sparkSession, spec.rules, spec.source_filter)
     if spec.source_filter is not None:
         log = spec.source_filter.apply(log)
     events = build_events(log, pipeline=spec.name, timestamp=spec.timestamp, pk=spec.pk,

@@ -74,7 +74,13 @@ def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str, checkpoint: str
                    available_now: bool = True, processing_time: str | None = None, fmt: str = "parquet",
                    ordered: bool = True, query_name: str | None = None,
                    metrics_path: str | None = None) -> StreamingQuery:
-    """Start one pipeline as a streaming query (one checkpoint per pipeline)."""
+    """Start one pipeline as a streaming query (one checkpoint per pipeline).
+
+    Rule patterns are checked before the query starts.
+    """
+    from rowcast.operators.rules import validate_rules
+
+    validate_rules(log.sparkSession, spec.rules, spec.source_filter)
     ev = events_stream(spec, log)
     w = (ev.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered, metrics_path)))

@@ -129,3 +129,15 @@ def test_rule_with_set_only_is_cont(ev):
     out = apply_rules(ev, [r])
     assert out.count() == 5 and {x.meta.pipeline for x in out.collect()} == {"x"}
     assert ACTION_CONT == 0
+
+
+def test_bad_patterns_are_reported_before_processing(spark, make_log):
+    from rowcast.operators.rules import validate_rules
+    from rowcast.plans.pipeline import PipelineSpec, run_events
+
+    with pytest.raises(ValueError, match="rule 'bad' match_table"):
+        validate_rules(spark, [Rule("ok", "test_.*"), Rule("bad", "", "entity_[", verdict=F.lit(1))])
+    with pytest.raises(ValueError, match="source filter exclude_tables"):
+        run_events(PipelineSpec(name="p", source_filter=SourceFilter(exclude_tables=["(unclosed"])),
+                   make_log([("s", "t", "insert", [row(1, "a")], [], U, 1, 0)]))
+    validate_rules(spark, [Rule("named", "(?P<db>test)_.*")])   # Go-style named group is accepted
