@@ -47,6 +47,12 @@ def any_row(image: str | Column, field: str, pred: Callable[[Column], Column]) -
     return F.coalesce(F.exists(row_field(image, field), pred), F.lit(False))
 
 
+def any_row_eq(image: str | Column, field: str, value) -> Column:
+    """T9 for equality: ``array_contains`` instead of a lambda, so the operator
+    keeps whole-stage codegen; false for null lists."""
+    return F.coalesce(F.array_contains(row_field(image, field), value), F.lit(False))
+
+
 def all_rows(image: str | Column, field: str, pred: Callable[[Column], Column]) -> Column:
     return F.coalesce(F.forall(row_field(image, field), pred), F.lit(True))
 

@@ -149,9 +149,23 @@ def build_events(log: DataFrame, pipeline: str | Column = "rowcast", timestamp:
 
     pk_col = (F.coalesce(F.col(RAW_PK), F.array().cast("array<string>"))
               if (pk is None and RAW_PK in log.columns) else None)
-    parts = key_parts(key_image(action, before, after), itype, pk, pk_col)
+    # Row 0 of after (insert) or before (update, delete) is always rows[0]:
+    # updates alternate before, after.  Reading it directly keeps the key
+    # (and the error filter) free of the pairing lambdas.
+    kimg = F.get(rows, 0)
+    parts = key_parts(kimg, itype, pk, pk_col)
     if parts is None:
         key, key_err = topic, F.lit(False)
+    elif pk is not None:
+        # a fixed key list: plain expressions (no lambda), so the stage stays in codegen
+        if not pk:
+            key, key_err = topic, F.lit(False)
+        else:
+            vals = [kimg[c].cast("string") for c in pk]
+            key = F.concat_ws(KEY_SEPARATOR, *vals)
+            key_err = vals[0].isNull()
+            for v in vals[1:]:
+                key_err = key_err | v.isNull()
     else:
         key = F.when(F.size(parts) == 0, topic).otherwise(F.array_join(parts, KEY_SEPARATOR))
         key_err = F.exists(parts, lambda p: p.isNull())

@@ -30,11 +30,10 @@ KEEP_TEXT = "should-continue"
 
 
 def generic_rule() -> Rule:
-    hit = RF.any_row("after", "text_col", lambda v: v == REROUTE_TEXT)
+    hit = RF.any_row_eq("after", "text_col", REROUTE_TEXT)
     return Rule(
         name="generic", match_schema=GENERIC_SCHEMA, match_table=GENERIC_TABLE,
-        verdict=F.when(RF.any_row("after", "text_col", lambda v: v == IGNORE_TEXT), ACTION_DROP)
-                 .otherwise(ACTION_CONT),
+        verdict=F.when(RF.any_row_eq("after", "text_col", IGNORE_TEXT), ACTION_DROP).otherwise(ACTION_CONT),
         set={
             "kafka.topic": F.when(hit, F.lit(REROUTE_TOPIC)).otherwise(F.col("kafka.topic")),
             "kafka.key": F.when(hit, F.lit(REROUTE_KEY)).otherwise(F.col("kafka.key")),
