@@ -134,3 +134,13 @@ def assert_not_ahead(events: DataFrame, states: DataFrame) -> None:
 def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append state rows to the state table (one small file per save)."""
     state_rows.select("name", "gtid", "timestamp").coalesce(1).write.mode("append").format(fmt).save(path)
+
+
+def compact_state(states: DataFrame, path: str) -> None:
+    """Write the latest row per pipeline to a new state folder.
+
+    A streaming state table gains one small file per micro-batch; readers
+    only need the newest row per pipeline.  Write to a new folder and switch
+    readers to it (never overwrite the folder being read).
+    """
+    latest_state(states).coalesce(1).write.mode("errorifexists").parquet(path)

@@ -92,3 +92,11 @@ def test_state_from_batch(spark):
                                "pipeline string, gtid_uuid string, gtid_seq bigint")
     got = {r.name: (r.gtid, r.n_events) for r in state_from_batch(ev, "pipeline", timestamp=F.lit(1)).collect()}
     assert got == {"p1": (f"{V}:1-3,{U}:1-12", 3), "p2": (f"{U}:1", 1)}
+
+
+def test_compact_state(spark, states, tmp_dir):
+    from rowcast.operators.position import compact_state
+
+    compact_state(states, f"{tmp_dir}/state2")
+    got = {r.name: r.gtid for r in spark.read.parquet(f"{tmp_dir}/state2").collect()}
+    assert got == {"p1": f"{U}:99", "p2": f"{V}:1-50"}
