@@ -42,9 +42,11 @@ def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
 
 
 def latest_state(states: DataFrame) -> DataFrame:
-    """The newest state row per pipeline (ties broken by the gtid text)."""
+    """The newest state row per pipeline; ties go to the later micro-batch
+    (``batch`` column when present), then to the gtid text."""
+    order = [F.col("timestamp")] + ([F.col("batch")] if "batch" in states.columns else []) + [F.col("gtid")]
     return (states.groupBy("name")
-            .agg(F.max_by(F.struct("gtid", "timestamp"), F.struct("timestamp", "gtid")).alias("s"))
+            .agg(F.max_by(F.struct("gtid", "timestamp"), F.struct(*order)).alias("s"))
             .select("name", "s.gtid", "s.timestamp"))
 
 
@@ -131,9 +133,14 @@ def assert_not_ahead(events: DataFrame, states: DataFrame) -> None:
         raise RuntimeError(f"saved position ahead of the source: {desc}")
 
 
-def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append state rows to the state table (one small file per save)."""
-    state_rows.select("name", "gtid", "timestamp").coalesce(1).write.mode("append").format(fmt).save(path)
+def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet", batch_id: int | None = None) -> None:
+    """Save state rows.  With ``batch_id`` the rows go to ``<path>/batch=<n>``,
+    overwritten if the batch is replayed, so a retry never adds a row."""
+    rows = state_rows.select("name", "gtid", "timestamp").coalesce(1)
+    if batch_id is None:
+        rows.write.mode("append").format(fmt).save(path)
+    else:
+        rows.write.mode("overwrite").format(fmt).save(f"{path}/batch={int(batch_id)}")
 
 
 def compact_state(states: DataFrame, path: str) -> None:

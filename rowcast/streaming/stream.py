@@ -7,7 +7,8 @@ micro-batch can also be ordered per key and produce its position row:
 * records go to ``<out>/batch_id=<n>/topic=<t>/``, overwritten when a batch is
   replayed after a failure, so output is exactly once per batch id;
 * the state row of the batch (highest position processed per pipeline and
-  source uuid) is appended to the state table after the records are written;
+  source uuid) goes to ``<state>/batch=<n>`` after the records are written,
+  overwritten on a replay like the records;
 * the streaming checkpoint is the resume point (S4); the state table is the
   readable copy of it.
 """
@@ -56,16 +57,16 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
             recs = recs.observe(obs, F.count(F.lit(1)).alias("written"), F.max(delay).alias("max_delay_us"))
         recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
         if state_path:
-            write_state(state_from_batch(events, F.col("meta.pipeline")), state_path)
+            write_state(state_from_batch(events, F.col("meta.pipeline")), state_path, batch_id=batch_id)
         if obs is not None:
             m = obs.get
             n_in = events.count()
             spark = events.sparkSession
             row = [(spec.name, int(batch_id), n_in, int(m.get("written") or 0), n_in - int(m.get("written") or 0),
                     m.get("max_delay_us"))]
-            (spark.createDataFrame(row, "pipeline string, batch_id bigint, events_in bigint, written bigint, "
+            (spark.createDataFrame(row, "pipeline string, batch_no bigint, events_in bigint, written bigint, "
                                         "not_delivered bigint, max_delay_us bigint")
-             .coalesce(1).write.mode("append").parquet(metrics_path))
+             .coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={int(batch_id)}"))
     finally:
         events.unpersist()
 
