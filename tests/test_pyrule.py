@@ -55,7 +55,6 @@ def test_python_rule_null_verdict(ev):
 
 def test_python_rule_on_mixed_layout(ev):
     from rowcast.operators.codec import encode
-    from rowcast.operators.mixed import to_mixed_log  # noqa: F401  (layout under test)
     from rowcast.plans.samples import generic_rule_mixed
 
     mixed = ev.withColumn("before", F.transform("before", lambda r: F.map_from_arrays(
