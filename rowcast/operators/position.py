@@ -105,6 +105,17 @@ def _resume_as_of(ev: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
     return covered.filter(keep).select(*cols)
 
 
+def start_from(log: DataFrame, states: DataFrame | None = None, pipeline: str | Column = "pipeline",
+               **kw) -> DataFrame:
+    """The events a run must process.
+
+    Without saved state the whole log (start from the beginning, no
+    snapshot); with state, everything after each pipeline's saved position
+    (:func:`resume_filter`).  Streams resume from their checkpoint instead.
+    """
+    return log if states is None else resume_filter(log, states, pipeline, **kw)
+
+
 def source_heads(events: DataFrame) -> DataFrame:
     """Highest sequence number per source uuid (partial aggregate)."""
     return events.groupBy(F.col(GTID_UUID).alias("uuid")).agg(F.max(GTID_SEQ).alias("head_seq"))

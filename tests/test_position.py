@@ -100,3 +100,11 @@ def test_compact_state(spark, states, tmp_dir):
     compact_state(states, f"{tmp_dir}/state2")
     got = {r.name: r.gtid for r in spark.read.parquet(f"{tmp_dir}/state2").collect()}
     assert got == {"p1": f"{U}:99", "p2": f"{V}:1-50"}
+
+
+def test_start_from(spark, states):
+    from rowcast.operators.position import start_from
+
+    ev = spark.createDataFrame([("p1", U, s, 0) for s in (50, 150)], "pipeline string, gtid_uuid string, gtid_seq bigint, pos bigint")
+    assert start_from(ev).count() == 2
+    assert [r.gtid_seq for r in start_from(ev, states).collect()] == [150]
