@@ -32,6 +32,10 @@ class PythonRule:
     match_table: str = ""
     fn: Callable[[dict], int] | None = None
 
+    def __post_init__(self):
+        if self.fn is not None and not callable(self.fn):
+            raise TypeError(f"python rule {self.name!r}: fn must be callable")
+
     def guard(self):
         return matches("schema", self.match_schema) & matches("table", self.match_table)
 

@@ -75,6 +75,13 @@ class Rule:
     verdict: Column | int | None = None
     set: Mapping[str, Column] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.verdict is not None and not isinstance(self.verdict, (int, Column)):
+            raise TypeError(f"rule {self.name!r}: verdict must be an int or a Column, not {type(self.verdict).__name__}")
+        for target, expr in dict(self.set).items():
+            if not isinstance(target, str) or not isinstance(expr, Column):
+                raise TypeError(f"rule {self.name!r}: assignments map a column name to a Column ({target!r})")
+
     @property
     def guard_only(self) -> bool:
         """A literal verdict and no assignments: the outcome depends on the guard alone."""

@@ -141,3 +141,14 @@ def test_bad_patterns_are_reported_before_processing(spark, make_log):
         run_events(PipelineSpec(name="p", source_filter=SourceFilter(exclude_tables=["(unclosed"])),
                    make_log([("s", "t", "insert", [row(1, "a")], [], U, 1, 0)]))
     validate_rules(spark, [Rule("named", "(?P<db>test)_.*")])   # Go-style named group is accepted
+
+
+def test_rules_are_checked_when_built():
+    from rowcast.operators.pyrule import PythonRule
+
+    with pytest.raises(TypeError, match="verdict"):
+        Rule("r", verdict="DROP")
+    with pytest.raises(TypeError, match="assignments"):
+        Rule("r", set={"kafka.topic": "plain text"})
+    with pytest.raises(TypeError, match="callable"):
+        PythonRule("p", fn="function transform(e) {}")
