@@ -603,7 +603,7 @@ def dedupe_q(spark, sf_dir):
 
 
 @query("per_key_order", f"""
-WITH r AS ({'{'}sample{'}'})
+WITH r AS ({ORACLES['sample_chain']})
 SELECT topic, key, gtid_seq, row_number() OVER (PARTITION BY topic, key ORDER BY gtid_seq) AS seq_in_key FROM r
 """)
 def per_key_order(spark, sf_dir):
@@ -613,9 +613,6 @@ def per_key_order(spark, sf_dir):
     return sequence_in_key(recs).select("topic", "key", "gtid_seq", "seq_in_key")
 
 
-ORACLES["per_key_order"] = ORACLES["per_key_order"].replace("{sample}", ORACLES["sample_chain"])
-
-
 @query("multi_spec_union", f"""
 WITH c AS ({CHG_EVENTS_SQL}),
 g AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c),
