@@ -34,8 +34,9 @@ def events_stream(spec: PipelineSpec, log: DataFrame) -> DataFrame:
                         on_error=spec.on_error, string_columns=spec.string_columns)
 
 
-def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str, state_path: str | None,
-                  fmt: str = "parquet", ordered: bool = True, metrics_path: str | None = None) -> None:
+def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str | None, state_path: str | None,
+                  fmt: str = "parquet", ordered: bool = True, metrics_path: str | None = None,
+                  writer=None) -> None:
     """Deliver one micro-batch: rules, encode, per-key order, write, save position.
 
     With ``metrics_path``, one row per batch is appended: events in, records
@@ -47,7 +48,7 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
     events = events.persist()
     try:
         recs = encode(apply_chain(events, spec.rules, spec.on_null_verdict))
-        if ordered:
+        if ordered and writer is None:
             recs = order_for_delivery(recs)
         obs = None
         if metrics_path:
@@ -55,7 +56,10 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
             obs = Observation(f"rowcast_{spec.name}_{batch_id}")
             delay = F.unix_micros(F.current_timestamp()) - F.get_json_object("value", "$.meta.timestamp").cast("bigint")
             recs = recs.observe(obs, F.count(F.lit(1)).alias("written"), F.max(delay).alias("max_delay_us"))
-        recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
+        if writer is not None:
+            writer(recs, batch_id)          # e.g. sinks.fanout.kafka_writer(...)
+        else:
+            recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
         if state_path:
             write_state(state_from_batch(events, F.col("meta.pipeline")), state_path, batch_id=batch_id)
         if obs is not None:
@@ -71,20 +75,22 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
         events.unpersist()
 
 
-def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str, checkpoint: str, state_path: str | None = None,
-                   available_now: bool = True, processing_time: str | None = None, fmt: str = "parquet",
-                   ordered: bool = True, query_name: str | None = None,
-                   metrics_path: str | None = None) -> StreamingQuery:
+def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str | None, checkpoint: str,
+                   state_path: str | None = None, available_now: bool = True, processing_time: str | None = None,
+                   fmt: str = "parquet", ordered: bool = True, query_name: str | None = None,
+                   metrics_path: str | None = None, writer=None) -> StreamingQuery:
     """Start one pipeline as a streaming query (one checkpoint per pipeline).
 
-    Rule patterns are checked before the query starts.
+    Records go to ``out`` as files, or to ``writer(records, batch_id)`` when
+    given (e.g. ``sinks.fanout.kafka_writer(servers)``).  Rule patterns are
+    checked before the query starts.
     """
     from rowcast.operators.rules import validate_rules
 
     validate_rules(log.sparkSession, spec.rules, spec.source_filter)
     ev = events_stream(spec, log)
     w = (ev.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered, metrics_path)))
+         .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered, metrics_path, writer)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:
