@@ -126,7 +126,12 @@ def helpers() -> dict[str, Callable[..., Column]]:
 
 
 def register_sql_helpers(spark) -> None:
-    """Expose the built-in helpers to ``spark.sql`` / ``selectExpr`` rules."""
+    """Expose the built-in helpers to ``spark.sql`` / ``selectExpr`` rules.
+
+    Spark cannot apply these SQL-defined functions to a lambda variable (a row
+    inside ``transform``); write the expression itself there, e.g.
+    ``octet_length(encode(r.text_col, 'UTF-16BE')) / 2`` for ``js_length``.
+    """
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION obfuscate(s STRING) RETURNS STRING RETURN '{MASK_TEXT}'")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION js_length(s STRING) RETURNS INT "
               "RETURN CAST(octet_length(encode(s, 'UTF-16BE')) / 2 AS INT)")

@@ -66,7 +66,9 @@ class Rule:
     ``verdict``: Column (or int) giving 0 = CONT, 1 = DROP, other = keep going
     but not delivered if last; ``None`` with assignments means CONT.
     ``set``: ``{"after": col, "kafka.topic": col, "meta.pipeline": col, ...}``;
-    dotted names update one struct field.  A rule with neither is a no-op.
+    dotted names update one struct field; ``"after[].text_col"`` updates a
+    field in every row of an image (value: SQL over the row ``r``, or a
+    function of the row Column).  A rule with neither is a no-op.
     """
 
     name: str
@@ -79,8 +81,11 @@ class Rule:
         if self.verdict is not None and not isinstance(self.verdict, (int, Column)):
             raise TypeError(f"rule {self.name!r}: verdict must be an int or a Column, not {type(self.verdict).__name__}")
         for target, expr in dict(self.set).items():
-            if not isinstance(target, str) or not isinstance(expr, Column):
-                raise TypeError(f"rule {self.name!r}: assignments map a column name to a Column ({target!r})")
+            row_level = isinstance(target, str) and "[]." in target
+            ok = isinstance(expr, Column) or (row_level and (isinstance(expr, str) or callable(expr)))
+            if not isinstance(target, str) or not ok:
+                raise TypeError(f"rule {self.name!r}: assignments map a column name to a Column "
+                                f"(or, for 'image[].field', SQL over the row `r` or a function of the row): {target!r}")
 
     @property
     def guard_only(self) -> bool:
@@ -125,11 +130,22 @@ def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column | None) ->
     schema per column; split the frame per table or use the mixed layout.
     """
     grouped: dict[str, list[tuple[str | None, Column]]] = {}
+    rows: dict[str, dict] = {}
     for target, expr in sets.items():
+        if "[]." in target:
+            image, fld = target.split("[].", 1)
+            if image not in df.columns:
+                raise ValueError(f"rule assigns unknown column {image!r}")
+            rows.setdefault(image, {})[fld] = expr
+            continue
         top, _, sub = target.partition(".")
         if top not in df.columns:
             raise ValueError(f"rule assigns unknown column {top!r}")
         grouped.setdefault(top, []).append((sub or None, expr))
+    for image, fields in rows.items():
+        if image in grouped:
+            raise ValueError(f"rule assigns {image!r} both whole and per row")
+        grouped[image] = [(None, _row_assignment(df, image, fields))]
     out = {}
     for top, items in grouped.items():
         new = F.col(top)
@@ -139,6 +155,43 @@ def _assignments(df: DataFrame, sets: Mapping[str, Column], g: Column | None) ->
     return out
 
 
+def _row_assignment(df: DataFrame, image: str, fields: dict) -> Column:
+    """``image[].f = expr`` for every row, all fields in one ``transform``.
+
+    Each ``expr`` is SQL over the row ``r`` or a function of the row Column,
+    all evaluated on the row as it entered the rule (one kind per image).
+    """
+    from pyspark.sql import types as T
+
+    et = df.schema[image].dataType.elementType
+    is_map = isinstance(et, T.MapType)
+    kinds = {isinstance(e, str) for e in fields.values()}
+    if len(kinds) > 1:
+        raise ValueError(f"per-row assignments to {image!r} mix SQL text and functions")
+    if not kinds.pop():
+        if is_map:
+            def upd(r):
+                out = F.map_filter(r, lambda k, v: ~k.isin(*fields))
+                return F.map_concat(out, F.map_from_arrays(F.array(*[F.lit(f) for f in fields]),
+                                                           F.array(*[fn(r).cast("variant") for fn in fields.values()])))
+            return F.transform(image, upd)
+
+        def upd(r):
+            new = {f: fn(r) for f, fn in fields.items()}
+            for f, v in new.items():
+                r = r.withField(f, v)
+            return r
+        return F.transform(image, upd)
+    if is_map:
+        keys = ", ".join(f"'{f}'" for f in fields)
+        vals = ", ".join(f"cast(({e}) AS variant)" for e in fields.values())
+        return F.expr(f"transform(`{image}`, r -> map_concat(map_filter(r, (k, v) -> NOT array_contains(array({keys}), k)), "
+                      f"map_from_arrays(array({keys}), array({vals}))))")
+    names = list(et.names) + [f for f in fields if f not in et.names]
+    parts = ", ".join(f"'{n}', " + (f"({fields[n]})" if n in fields else f"r.`{n}`") for n in names)
+    return F.expr(f"transform(`{image}`, r -> named_struct({parts}))")
+
+
 def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_circuit: bool = True,
                active: Column | None = None) -> DataFrame:
     """Apply one rule to events carrying the ``_verdict`` column.

@@ -152,3 +152,28 @@ def test_rules_are_checked_when_built():
         Rule("r", set={"kafka.topic": "plain text"})
     with pytest.raises(TypeError, match="callable"):
         PythonRule("p", fn="function transform(e) {}")
+
+
+def test_row_level_assignments(ev):
+    sql = Rule("sql", "test_.*", "", set={"after[].text_col": "upper(r.text_col)", "after[].extra": "r.event_id * 10"})
+    py = Rule("py", "test_.*", "", set={"after[].text_col": lambda r: F.upper(r["text_col"]),
+                                         "after[].extra": lambda r: r["event_id"] * 10})
+    a = {r.gtid_seq: r.after for r in apply_rules(ev.filter("schema = 'test_a'"), [Rule("m", set={
+        "after[].extra": "CAST(NULL AS BIGINT)"}), sql]).collect()}
+    b = {r.gtid_seq: r.after for r in apply_rules(ev.filter("schema = 'test_a'"), [Rule("m", set={
+        "after[].extra": "CAST(NULL AS BIGINT)"}), py]).collect()}
+    assert a == b
+    assert a[1][0].text_col == "KEEP" and a[1][0].extra == 10 and a[4] is None
+
+
+def test_row_level_assignments_mixed_layout(make_log):
+    from rowcast.operators.mixed import to_mixed_log
+
+    log = to_mixed_log(make_log([("test_a", "t", "insert", [row(1, "keep")], [], U, 1, 0)]))
+    ev = build_events(log, pipeline="p", timestamp=F.lit(0))
+    sql = Rule("sql", set={"after[].text_col": "upper(cast(r['text_col'] AS string))", "after[].n": "1 + 1"})
+    py = Rule("py", set={"after[].text_col": lambda r: F.upper(r["text_col"].cast("string")),
+                         "after[].n": lambda r: F.lit(2)})
+    for rule in (sql, py):
+        img = apply_rules(ev, [rule]).collect()[0].after[0]
+        assert img["text_col"].toPython() == "KEEP" and img["n"].toPython() == 2 and img["user_id"].toPython() == 1
