@@ -730,6 +730,47 @@ def stateful_rule(spark, sf_dir):
     return out.select("gtid_seq", "topic", "key", "seen", F.col("running_cents").cast("bigint").alias("running_cents"))
 
 
+def count_and_total(event: dict, state: dict) -> int:
+    """Stateful rule body: events seen and running total of value (in cents) per key."""
+    img = (event.get("after") or event.get("before") or [{}])[0]
+    state["seen"] = state.get("seen", 0) + 1
+    state["running_cents"] = state.get("running_cents", 0) + round((img.get("value") or 0) * 100)
+    return ACTION_CONT
+
+
+@query("stateful_stream", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key, count(*) AS seen,
+       sum(round(value * 100))::BIGINT AS total_cents
+FROM c GROUP BY 1, 2
+""")
+def stateful_stream(spark, sf_dir):
+    """U3 on a stream: ``applyInPandasWithState`` keeps per-key state in the
+    state store across micro-batches of at most two files each (so one call
+    holds at most one key's events of one small batch).  Returns the state
+    each key ends with; it is the same whatever order the files arrive in."""
+    from rowcast.session import shared_path
+    from rowcast.sources.changelog import stream_log
+    from rowcast.streaming.stateful import StatefulRule, apply_stateful_rule
+    base = shared_path(spark, "stateful_stream")
+    log = fx.chg_events(spark, sf_dir)
+    log.repartition(8).write.parquet(f"{base}/log")
+    ev = build_events(stream_log(spark, f"{base}/log", log.schema, max_files_per_trigger=2), pipeline="p1",
+                      timestamp=F.col("gtid_seq") * 1000, pk=["user_id"])
+    recs = ev.select(F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "gtid_seq", "pos",
+                     "before", "after")
+    rule = StatefulRule("totals", ["topic", "key"], count_and_total, [("seen", "bigint"), ("running_cents", "bigint")])
+    q = (apply_stateful_rule(recs, rule).select("topic", "key", "seen", "running_cents")
+         .writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("topic", "key").agg(F.max("seen").alias("seen"),
+                                           F.max_by("running_cents", "seen").alias("total_cents"))
+
+
 # ---------------------------------------------------------------- audit and table versions
 
 @query("drop_audit", f"""
