@@ -159,3 +159,15 @@ def test_pluggable_writer_and_kafka_order(spark, tmp_dir):
         for r in part:
             assert seen.get((r.topic, r.key), 0) < r.gtid_seq
             seen[(r.topic, r.key)] = r.gtid_seq
+
+
+def test_rules_directly_on_a_stream(spark, tmp_dir):
+    log = fx.chg_events(spark, SF_SMALL)
+    log.write.parquet(f"{tmp_dir}/log")
+    recs = run_batch(spec(), stream_log(spark, f"{tmp_dir}/log", log.schema))
+    q = (recs.writeStream.format("memory").queryName("direct_rules").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("direct_rules").select("gtid_seq", "topic", "key", "value")
+    want = run_batch(spec(), log).select("gtid_seq", "topic", "key", "value")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
