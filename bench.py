@@ -75,9 +75,25 @@ def main() -> None:
     states = catalog._states(spark, sf_dir, before=catalog.CRASH_AT)
     piped = log.withColumn("pipeline", fx.pipeline_of(F.get(F.col("rows"), 0)["user_id"]))
 
+    from rowcast import functions as RF
+    from rowcast.operators.mixed import to_mixed_log
+    from rowcast.operators.rules import Rule
+
+    def long_chain(n=20):
+        rules = []
+        for i in range(n):
+            rules.append(Rule(f"r{i}", "test_.*" if i % 2 else "", "",
+                              verdict=F.when(RF.any_row_eq("after", "text_col", f"x{i}"), 1).otherwise(0),
+                              set={"after": RF.mask_field("after", "text_col", 3 + i % 5)}))
+        return PipelineSpec(name="p1", rules=rules, pk=["user_id"], timestamp=ts)
+    mixed = PipelineSpec(name="p1", rules=samples.sample_rules_mixed(), pk=["user_id"], timestamp=ts)
+    mixed_log = to_mixed_log(log)
+
     timed("envelope_encode", lambda: run(encode(build_events(log, pipeline="p1", timestamp=ts))), q)
     timed("sample_chain", lambda: run(run_batch(sample, log)), q)
     timed("python_chain", lambda: run(run_batch(python, log)), q)
+    timed("mixed_layout_chain", lambda: run(run_batch(mixed, mixed_log)), q)
+    timed("chain_of_20_rules", lambda: run(run_batch(long_chain(), log)), q)
     timed("resume_filter", lambda: run(resume_filter(piped, states)), q)
     timed("multi_row_encode", lambda: run(encode(build_events(li, pipeline="p1", timestamp=F.lit(0)))), q)
     timed("per_key_order", lambda: run(sequence_in_key(run_batch(sample, log))), q)
@@ -97,7 +113,8 @@ def main() -> None:
     timed("stream_sample_chain", stream, q)
     timed("flagship_from_tables", lambda: run(catalog.sample_chain(spark, sf_dir)), q)
 
-    per_event = ("envelope_encode", "sample_chain", "python_chain", "resume_filter")
+    per_event = ("envelope_encode", "sample_chain", "python_chain", "mixed_layout_chain", "chain_of_20_rules",
+                 "resume_filter")
     eps = {k: round(n_events / q[k]) for k in per_event if q.get(k)}
     headline = [k for k in q if k != "derive_change_logs"]
     print(json.dumps({

@@ -274,7 +274,14 @@ def validate_rules(spark, rules: Sequence, source_filter: "SourceFilter | None"
             for p in getattr(source_filter, field_name):
                 if p and p.strip():
                     checks.append((f"source filter {field_name}", java_regex(p)))
+    if not checks:
+        return
     base = spark.createDataFrame([("",)], "s string")
+    try:    # all patterns in one local query; on failure find the culprit
+        base.select(*[F.col("s").rlike(p).alias(f"p{i}") for i, (_, p) in enumerate(checks)]).collect()
+        return
+    except Exception:  # noqa: BLE001
+        pass
     for what, p in checks:
         try:
             base.select(F.col("s").rlike(p)).collect()
