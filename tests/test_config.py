@@ -64,3 +64,18 @@ def test_javascript_rules_are_refused(tmp_dir):
         f.write('[mysql]\nname = "x"\n[[transform_rule]]\nname = "js"\ntransform_func = "function transform(e) { return 0 }"\n')
     with pytest.raises(ValueError, match="JavaScript"):
         load_configs(f"{tmp_dir}/js.toml")
+
+
+def test_command_line_runs_the_configured_pipelines(spark, tmp_dir):
+    from rowcast.cli import main
+
+    with open(f"{tmp_dir}/p1.toml", "w") as f:
+        f.write(SAMPLE)
+    log = fx.chg_events(spark, SF_SMALL)
+    log.repartition(3).write.parquet(f"{tmp_dir}/log")
+    main(["run", "-c", f"{tmp_dir}/p1.toml", "--log", f"{tmp_dir}/log", "--out", f"{tmp_dir}/out",
+          "--checkpoint", f"{tmp_dir}/ck", "--pk", "user_id", "--files-per-trigger", "1", "--once"])
+    got = spark.read.parquet(f"{tmp_dir}/out/p1/records")
+    assert got.count() == run_batch(PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"]), log).count()
+    assert spark.read.parquet(f"{tmp_dir}/out/p1/p1-state").count() == 3
+    assert spark.read.parquet(f"{tmp_dir}/out/p1/metrics").count() == 3
