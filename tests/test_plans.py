@@ -93,3 +93,27 @@ def test_leading_drop_rule_prunes_partitions(spark, tmp_dir):
     part = p.split("PartitionFilters: [", 1)[1].split("\n", 1)[0]
     assert "RLIKE(schema" in part and "entity_1" in part
     assert out.count() == run_batch(spec(), fx.chg_events(spark, SF_SMALL)).count()
+
+
+def test_per_key_windows_are_bucketed(spark):
+    p = plan(fx.chg_events(spark, SF_SMALL))
+    windows = [line for line in p.splitlines() if line.startswith("Arguments: [lag(")]
+    assert windows and all("_ord_bucket" in w for w in windows)
+
+
+def test_bounded_broadcast_hint_follows_the_bound(spark):
+    from rowcast.session import bounded_broadcast
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hinted, ok = bounded_broadcast(small, 100)
+        assert ok and "BroadcastHashJoin" in plan(big.join(hinted, "k"))
+        plain, ok = bounded_broadcast(small, 5)
+        assert not ok and "BroadcastHashJoin" not in plan(big.join(plain, "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
