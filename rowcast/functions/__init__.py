@@ -99,11 +99,6 @@ def reshape_rows(image: str | Column, names: list[str], add: dict[str, Callable[
         *[(add[n](r) if n in add else r[n]).alias(n) for n in order]))
 
 
-def sorted_struct(s: Column, names: list[str]) -> Column:
-    """Rebuild a struct with its fields in name order (encoded key order)."""
-    return F.struct(*[s[n].alias(n) for n in sorted(names)])
-
-
 # ---------------------------------------------------------------- helper registry
 
 _REGISTRY: dict[str, Callable[..., Column]] = {}

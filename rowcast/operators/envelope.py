@@ -93,11 +93,6 @@ def default_topic(schema: Column, table: Column) -> Column:
     return F.concat(F.coalesce(schema, F.lit("")), F.lit(TOPIC_SEPARATOR), F.coalesce(table, F.lit("")))
 
 
-def key_image(action: Column, before: Column, after: Column) -> Column:
-    """Row 0 of ``after`` for inserts, of ``before`` otherwise (null-safe)."""
-    return F.when(action == ACTION_INSERT, F.get(after, 0)).otherwise(F.get(before, 0))
-
-
 def key_parts(image: Column, image_type: T.DataType, pk: Sequence[str] | None, pk_col: Column | None) -> Column | None:
     """Primary-key values of one image as ``array<string>`` (null parts kept)."""
     if pk is not None:

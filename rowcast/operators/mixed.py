@@ -55,8 +55,3 @@ def union_logs(logs: Sequence[DataFrame]) -> DataFrame:
 def sorted_rows(image: Column) -> Column:
     """Map entries in name order (the encoded key order)."""
     return F.transform(image, lambda m: F.map_from_entries(F.array_sort(F.map_entries(m), _by_key)))
-
-
-def is_mixed(df: DataFrame, image: str = "after") -> bool:
-    dt = df.schema[image].dataType
-    return isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.MapType)

@@ -56,3 +56,23 @@ def test_cluster_conf_sizes():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(1 << 30, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_image_row_helpers(spark):
+    df = spark.createDataFrame([([(1, "a"), (2, "bb")],)], "img array<struct<id:int,t:string>>")
+    out = df.select(RF.add_field("img", "n", lambda r: F.length(r["t"])).alias("a"),
+                    RF.filter_rows("img", lambda r: r["id"] > 1).alias("f")).collect()[0]
+    assert [x.n for x in out.a] == [1, 2] and [x.id for x in out.f] == [2]
+
+
+def test_enrich_event_and_cut_lineage(spark, make_log):
+    from rowcast.operators.delivery import enrich_event
+    from rowcast.session import cut_lineage
+
+    ev = build_events(make_log([("s", "t", "insert", [row(1, "a", user_id=7)], [], "u", 1, 0)]),
+                      pipeline="p", timestamp=F.lit(0))
+    dim = spark.createDataFrame([(7, "seven")], "id bigint, name string")
+    out = enrich_event(ev, dim, on=(RF.first_row("after")["user_id"], "id"), fields=["name"])
+    assert out.collect()[0].name == "seven"
+    cut = cut_lineage(out)
+    assert cut.count() == 1 and "LogicalRDD" in cut._jdf.queryExecution().logical().toString()
