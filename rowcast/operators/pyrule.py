@@ -3,8 +3,9 @@
 The guard is evaluated in the JVM.  Each partition's events travel to Python
 as Arrow batches (``mapInArrow``) and pass through unchanged; only matched
 events are encoded to JSON, decoded into a dict (the shape of the payload),
-handed to the function and encoded back.  The function may change any field in place and returns the
-verdict (0 CONT, 1 DROP, other: kept going, dropped if last).
+handed to the function and encoded back.  The function may change any field
+in place and returns the verdict (0 CONT, 1 DROP, other: kept going, dropped
+if last).
 
 Use expression rules where possible; this path costs a JSON round trip per
 matched event.
