@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.functions.gtid import format_gtid_set, parse_gtid_set, widen_single
-from rowcast.model import GTID_SEQ, GTID_UUID
+from rowcast.model import GTID_SEQ, GTID_UUID, POS
 from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_running_max
 from rowcast.session import bounded_broadcast
 
@@ -27,27 +27,37 @@ def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
     """One state row per pipeline from the events a batch processed.
 
     The position is the highest sequence number processed per source uuid
-    (dropped events included), saved as ``uuid:start-hi``.  Partial
-    aggregation first, so the shuffle carries one row per (task, pipeline, uuid).
+    (dropped events included), saved as ``uuid:start-hi``.  ``tail`` keeps,
+    per uuid, the last ``(seq, pos)`` processed, so that a run resuming with
+    ``resume_filter(exact=True)`` can finish a transaction that a batch
+    boundary split.  Partial aggregation first, so the shuffle carries one
+    row per (task, pipeline, uuid).
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
+    has_pos = POS in processed.columns
+    last = F.max(F.struct(F.col(GTID_SEQ).alias("seq"),
+                          (F.col(POS) if has_pos else F.lit(None)).cast("bigint").alias("pos")))
     per_uuid = (processed.groupBy(p.alias("name"), F.col(GTID_UUID).alias("uuid"))
-                .agg(F.max(GTID_SEQ).alias("hi"), F.count(F.lit(1)).alias("n")))
+                .agg(F.max(GTID_SEQ).alias("hi"), last.alias("last"), F.count(F.lit(1)).alias("n")))
     ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
     return (per_uuid.groupBy("name")
             .agg(format_gtid_set(F.collect_list(F.struct(F.col("uuid"), F.lit(start).cast("bigint").alias("lo"),
                                                          F.col("hi")))).alias("gtid"),
+                 F.array_sort(F.collect_list(F.struct("uuid", F.col("last.seq").alias("seq"),
+                                                      F.col("last.pos").alias("pos")))).alias("tail"),
                  F.sum("n").alias("n_events"))
-            .select("name", "gtid", ts.cast("bigint").alias("timestamp"), "n_events"))
+            .select("name", "gtid", ts.cast("bigint").alias("timestamp"), "tail", "n_events"))
 
 
 def latest_state(states: DataFrame) -> DataFrame:
     """The newest state row per pipeline; ties go to the later micro-batch
-    (``batch`` column when present), then to the gtid text."""
+    (``batch`` column when present), then to the gtid text.  A ``tail``
+    column, when present, comes along."""
     order = [F.col("timestamp")] + ([F.col("batch")] if "batch" in states.columns else []) + [F.col("gtid")]
+    keep = ["gtid", "timestamp"] + (["tail"] if "tail" in states.columns else [])
     return (states.groupBy("name")
-            .agg(F.max_by(F.struct("gtid", "timestamp"), F.struct(*order)).alias("s"))
-            .select("name", "s.gtid", "s.timestamp"))
+            .agg(F.max_by(F.struct(*keep), F.struct(*order)).alias("s"))
+            .select("name", *[f"s.{c}" for c in keep]))
 
 
 def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
@@ -58,9 +68,17 @@ def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
             .select("name", "r.uuid", "r.lo", "r.hi"))
 
 
+def _tails(states: DataFrame) -> DataFrame:
+    """Latest state's last processed (seq, pos) per (pipeline, uuid)."""
+    return (latest_state(states).select("name", F.explode("tail").alias("t"))
+            .select(F.col("name").alias("_tn"), F.col("t.uuid").alias("_tu"), F.col("t.seq").alias("_ts"),
+                    F.col("t.pos").alias("_tp")))
+
+
 def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column = "pipeline",
                   start: int = 1, max_broadcast: int = MAX_BROADCAST_RANGES,
-                  max_per_key: int = MAX_RANGES_PER_KEY, width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                  max_per_key: int = MAX_RANGES_PER_KEY, width: int = DEFAULT_BUCKET_WIDTH,
+                  exact: bool = False) -> DataFrame:
     """Drop the events already inside the saved position of their pipeline.
 
     Small saved sets (at most ``max_broadcast`` intervals in all and at most
@@ -74,23 +92,45 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
     at or before its sequence number, within its (pipeline, uuid), reaches
     it.  The running maximum is the bucketed window of ``ordered.py``.
 
+    ``exact=True`` (states with a ``tail`` column, from ``state_from_batch``):
+    events of the last saved transaction that lie after the last saved
+    position (``seq == tail_seq AND pos > tail_pos``) are kept, so a
+    transaction split by a batch boundary is finished, not skipped.
+
     Events of a uuid the state does not know (P5) all pass.  On a stream this
     is a stream-static anti join (a new query resuming from a state table).
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
+    ev = events.withColumn("_pipe", p)
+    if exact:
+        if "tail" not in states.columns:
+            raise ValueError("exact resume needs state rows with a 'tail' column (see state_from_batch)")
+        tails, _ = bounded_broadcast(_tails(states), max_broadcast)
+        ev = (ev.join(tails, (ev["_pipe"] == tails["_tn"]) & (ev[GTID_UUID] == tails["_tu"]), "left")
+              .withColumn("_after_tail", F.coalesce((F.col(GTID_SEQ) == F.col("_ts"))
+                                                    & (F.col(POS) > F.col("_tp")), F.lit(False)))
+              .drop("_tn", "_tu", "_ts", "_tp"))
+    else:
+        ev = ev.withColumn("_after_tail", F.lit(False))
+    return _resume(ev, states, start, max_broadcast, max_per_key, width).drop("_pipe", "_after_tail")
+
+
+def _resume(ev: DataFrame, states: DataFrame, start: int, max_broadcast: int, max_per_key: int,
+            width: int) -> DataFrame:
+    """One pass: an event leaves when a saved interval covers it, unless it
+    lies after the saved tail (``_after_tail``)."""
     ranges, small = bounded_broadcast(saved_ranges(states, start), max_broadcast)
     if small:
         widest = ranges.groupBy("name", "uuid").count().agg(F.max("count")).first()[0]
         small = (widest or 0) <= max_per_key
         if not small:
             ranges = saved_ranges(states, start)
-    ev = events.withColumn("_pipe", p)
-    if small or events.isStreaming:
+    if small or ev.isStreaming:
         # streams refuse windows: above the bound they keep the (shuffled) range anti join
         cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])
-                & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]))
-        return ev.join(ranges, cond, "left_anti").drop("_pipe")
-    return _resume_as_of(ev, ranges, width).drop("_pipe")
+                & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]) & ~ev["_after_tail"])
+        return ev.join(ranges, cond, "left_anti")
+    return _resume_as_of(ev, ranges, width)
 
 
 def _resume_as_of(ev: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
@@ -101,7 +141,8 @@ def _resume_as_of(ev: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
                        F.lit(0).alias("_kind"), F.col("hi").alias("_hi"))
     both = e.unionByName(iv, allowMissingColumns=True)
     covered = keyed_running_max(both, ["_k1", "_k2"], ["_at", "_kind"], "_hi", "_cover", width)
-    keep = (F.col("_kind") == 1) & (F.col("_cover").isNull() | (F.col("_cover") < F.col("_at")))
+    keep = (F.col("_kind") == 1) & (F.col("_cover").isNull() | (F.col("_cover") < F.col("_at"))
+                                    | F.coalesce(F.col("_after_tail"), F.lit(False)))
     return covered.filter(keep).select(*cols)
 
 
@@ -147,7 +188,8 @@ def assert_not_ahead(events: DataFrame, states: DataFrame) -> None:
 def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet", batch_id: int | None = None) -> None:
     """Save state rows.  With ``batch_id`` the rows go to ``<path>/batch=<n>``,
     overwritten if the batch is replayed, so a retry never adds a row."""
-    rows = state_rows.select("name", "gtid", "timestamp").coalesce(1)
+    cols = ["name", "gtid", "timestamp"] + (["tail"] if "tail" in state_rows.columns else [])
+    rows = state_rows.select(*cols).coalesce(1)
     if batch_id is None:
         rows.write.mode("append").format(fmt).save(path)
     else:

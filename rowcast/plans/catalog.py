@@ -579,6 +579,33 @@ def state_from_batch_q(spark, sf_dir):
     return st.select("name", "gtid", "n_events")
 
 
+@query("resume_exact", f"""
+WITH b AS (SELECT 'binlog.' || lpad(((event_id // 1000) + 1)::VARCHAR, 6, '0') AS log_file, event_id AS pos, ts,
+                  CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' WHEN 'click' THEN 'update'
+                                  WHEN 'view' THEN 'gtid' ELSE 'xid' END AS action,
+                  CASE WHEN event_type = 'view' THEN event_id + 1 END AS marker
+           FROM events),
+s AS (SELECT *, last_value(marker IGNORE NULLS) OVER (PARTITION BY log_file ORDER BY pos
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gtid_seq FROM b),
+r AS (SELECT * FROM s WHERE action IN ('insert', 'update', 'delete')),
+st AS (SELECT max(gtid_seq) AS hi, arg_max(pos, gtid_seq * 1000000000 + pos) AS tail_pos
+       FROM r WHERE ts < TIMESTAMP '{CRASH_AT}' AND gtid_seq IS NOT NULL)
+SELECT log_file, pos, gtid_seq FROM r, st
+WHERE r.gtid_seq IS NULL OR r.gtid_seq > st.hi OR (r.gtid_seq = st.hi AND r.pos > st.tail_pos)
+""")
+def resume_exact(spark, sf_dir):
+    """P1 + P3 at event granularity: the run stopped at CRASH_AT inside a
+    transaction (row events share their GTID marker's number); resuming with
+    ``exact=True`` processes exactly what had not been processed."""
+    from rowcast.operators.position import resume_filter, state_from_batch
+    from rowcast.sources.changelog import row_events_only, stamp_gtid
+    rows = row_events_only(stamp_gtid(fx.chg_binlog(spark, sf_dir))).select(
+        "log_file", "pos", "gtid_seq", "ts", F.lit("p1").alias("pipeline"), F.lit(fx.SOURCE_UUID).alias("gtid_uuid"))
+    done = rows.filter(F.col("ts") < F.lit(CRASH_AT).cast("timestamp_ntz"))
+    states = state_from_batch(done, "pipeline", timestamp=F.lit(0))
+    return resume_filter(rows, states, exact=True).select("log_file", "pos", "gtid_seq")
+
+
 # ---------------------------------------------------------------- delivery
 
 @query("dedupe", f"""

@@ -135,7 +135,7 @@ def chg_binlog(spark: SparkSession, sf_dir: str, entries_per_file: int = 1000) -
     kind = _case(F.col("event_type"), [("signup", "insert"), ("error", "delete"), ("click", "update"),
                                        ("view", "gtid")], "xid")
     ev = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "value", kind.alias("action"),
+        "event_id", "user_id", "value", "ts", kind.alias("action"),
         _case(F.col("user_id") % 3, [(0, "test_shop"), (1, "tenant_shop")], "audit_db").alias("schema"),
         _case(F.col("user_id") % 2, [(0, "test_events")], "entity_1").alias("table"))
     file_no = (F.floor(F.col("event_id") / entries_per_file) + 1).cast("string")
@@ -144,5 +144,5 @@ def chg_binlog(spark: SparkSession, sf_dir: str, entries_per_file: int = 1000) -
         F.col("event_id").alias("pos"), "action", "schema", "table",
         F.when(F.col("action").isin("insert", "update", "delete"),
                F.array(F.struct("event_id", "user_id", "value"))).alias("rows"),
-        F.when(F.col("action") == "gtid", F.col("event_id") + 1).alias("gtid_seq"),
+        F.when(F.col("action") == "gtid", F.col("event_id") + 1).alias("gtid_seq"), "ts",
     )

@@ -108,3 +108,19 @@ def test_start_from(spark, states):
     ev = spark.createDataFrame([("p1", U, s, 0) for s in (50, 150)], "pipeline string, gtid_uuid string, gtid_seq bigint, pos bigint")
     assert start_from(ev).count() == 2
     assert [r.gtid_seq for r in start_from(ev, states).collect()] == [150]
+
+
+def test_exact_resume_finishes_a_split_transaction(spark):
+    # transaction 10 has three row events; the batch that saved the state stopped after pos 2
+    cols = "pipeline string, gtid_uuid string, gtid_seq bigint, pos bigint"
+    processed = spark.createDataFrame([("p1", U, 9, 1), ("p1", U, 10, 1), ("p1", U, 10, 2)], cols)
+    st = state_from_batch(processed, "pipeline", timestamp=F.lit(1))
+    assert st.collect()[0].tail[0].asDict() == {"uuid": U, "seq": 10, "pos": 2}
+    log = spark.createDataFrame([("p1", U, 9, 1), ("p1", U, 10, 1), ("p1", U, 10, 2), ("p1", U, 10, 3),
+                                 ("p1", U, 11, 1)], cols)
+    key = lambda df: sorted((r.gtid_seq, r.pos) for r in df.collect())
+    assert key(resume_filter(log, st)) == [(11, 1)]                        # upstream: skips all of 10
+    assert key(resume_filter(log, st, exact=True)) == [(10, 3), (11, 1)]
+    assert key(resume_filter(log, st, exact=True, max_broadcast=0, width=4)) == [(10, 3), (11, 1)]
+    with pytest.raises(ValueError, match="tail"):
+        resume_filter(log, st.drop("tail"), exact=True)
