@@ -72,7 +72,7 @@ def latency_by_topic(records: DataFrame, sink_time_us: Column, topic: str = "top
 
 
 def enrich_rows(events: DataFrame, image: str, dim: DataFrame, on: tuple[str, str], fields: Sequence[str],
-                event_id: Sequence[str] = (GTID_UUID, GTID_SEQ, POS), max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                event_id: Sequence[str] = (GTID_UUID, GTID_SEQ, POS), max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """M8: add dimension columns to every row of an image list.
 
     Rows are exploded with their position (the event's other columns ride
@@ -102,7 +102,7 @@ def enrich_rows(events: DataFrame, image: str, dim: DataFrame, on: tuple[str, st
 
 
 def enrich_event(events: DataFrame, dim: DataFrame, on: tuple[Column, str], fields: Sequence[str],
-                 max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """M8 at event level: left-join a dimension on an event expression
     (e.g. ``first_row('after')['user_id']``) and add its columns."""
     expr, dim_col = on

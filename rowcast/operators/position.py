@@ -18,7 +18,7 @@ from rowcast.model import GTID_SEQ, GTID_UUID, POS
 from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_running_max
 from rowcast.session import bounded_broadcast
 
-MAX_BROADCAST_RANGES = 1_000_000
+MAX_BROADCAST_RANGES = 100_000
 MAX_RANGES_PER_KEY = 64
 
 
