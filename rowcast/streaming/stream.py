@@ -39,9 +39,11 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
                   writer=None) -> None:
     """Deliver one micro-batch: rules, encode, per-key order, write, save position.
 
-    With ``metrics_path``, one row per batch is appended: events in, records
-    written, events dropped and the largest delay since ``meta.timestamp``
-    (P10), measured with ``Observation`` while the batch is written.
+    With ``metrics_path``, one row per batch goes to ``<metrics>/batch=<n>``
+    (overwritten on a replay): events in, records written, events not
+    delivered and the largest delay since ``meta.timestamp`` (P10), measured
+    with ``Observation`` while the batch is written.  With ``writer`` the
+    records are handed over unordered; the writer orders them for its sink.
     """
     from pyspark.sql import Observation
 
