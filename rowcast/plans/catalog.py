@@ -701,6 +701,20 @@ def enrich_join(spark, sf_dir):
     return out.select("gtid_seq", image_json("after").alias("after_json"))
 
 
+@query("enrich_event_join", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT c.gtid_seq, cu.c_name, cu.c_nationkey FROM c LEFT JOIN customer cu ON cu.c_custkey = c.user_id
+""")
+def enrich_event_join(spark, sf_dir):
+    """M8 at event level: the customer of the event's first image row."""
+    from rowcast.operators.delivery import enrich_event
+    ev = _events(spark, sf_dir)
+    img = F.coalesce(RF.first_row("after"), RF.first_row("before"))
+    out = enrich_event(ev, fx.table(spark, sf_dir, "customer"), on=(img["user_id"], "c_custkey"),
+                       fields=["c_name", "c_nationkey"])
+    return out.select("gtid_seq", "c_name", "c_nationkey")
+
+
 @query("source_query", """
 SELECT o_orderstatus, count(*) AS n_orders, max(o_orderkey) AS max_orderkey
 FROM orders GROUP BY o_orderstatus
@@ -863,6 +877,27 @@ def mixed_sample_chain(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming (S1, K1, P1 on a stream)
 
+@query("topic_fanout", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+e AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c)
+SELECT CASE WHEN g AND coalesce(t = 'change-kafka', false) THEN 'another-topic'
+            ELSE schema_name || '.' || table_name END AS topic, count(*) AS n
+FROM e
+WHERE NOT (g AND coalesce(t = 'ignore', false))
+  AND NOT (regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1'))
+GROUP BY 1
+""")
+def topic_fanout(spark, sf_dir):
+    """K1 in batch: records written to one folder per topic (in per-key
+    order), read back and counted per topic."""
+    from rowcast.session import shared_path
+    from rowcast.sinks.fanout import write_topics
+    base = shared_path(spark, "topic_fanout")
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    write_topics(run_batch(spec, fx.chg_events(spark, sf_dir)), base)
+    return spark.read.parquet(base).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("topic_counts", f"""
 WITH c AS ({CHG_EVENTS_SQL}),
 e AS (SELECT *, {GUARD_SQL} AS g, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c)
