@@ -16,10 +16,12 @@ partition ids), so the main branch and the summary branch always agree,
 whatever AQE does to either exchange.
 
 One pass computes the local window values and flags each bucket's last row;
-those last rows are the per-bucket summary (one row per ``(key, bucket)``),
-so the data is scanned and shuffled once (the summary branch reuses the same
-exchange).  The summary is windowed per key: for a key holding ``n`` rows it
-has at most ``n / width`` rows.
+those last rows are the per-bucket summary (one row per ``(key, bucket)``).
+Catalyst prunes the summary branch to the key, order and carried columns,
+so it is a second, narrow read and shuffle (it differs from the main branch,
+so the exchange is not shared).  The summary is windowed per key: for a key
+holding ``n`` rows it has at most ``n / width`` rows, and it is joined back
+on ``(key, bucket)``, the partitioning the main branch already has.
 """
 
 from __future__ import annotations

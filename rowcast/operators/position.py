@@ -5,7 +5,9 @@ text and the save time in microseconds.  A state table is append-only; the
 latest row per name wins.
 
 Every operator is an aggregate or a join on ``(pipeline, uuid)``; the only
-side that is broadcast is the parsed position set, behind a row-count check.
+sides that are broadcast are the parsed position set and the per-uuid tail
+positions (both one row per pipeline and uuid or interval), behind row-count
+checks.
 """
 
 from __future__ import annotations
