@@ -77,3 +77,23 @@ def test_gtid_text_round_trip(spark, raw):
     df = spark.createDataFrame([(text,)], "g string")
     got = df.select(format_gtid_set(parse_gtid_set("g")).alias("f")).collect()[0].f
     assert got == text
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=30)), min_size=1, max_size=5))
+def test_text_survives_encode_in_both_layouts(spark, texts):
+    import json
+
+    from rowcast.operators.codec import decode, encode
+    from rowcast.operators.mixed import to_mixed_log
+
+    log = spark.createDataFrame([("s", "t", "insert", [row(i, t)], [], "u", i, 0) for i, t in enumerate(texts)],
+                                LOG_DDL)
+    typed = encode(build_events(log, pipeline="p", timestamp=F.lit(0)))
+    mixed = encode(build_events(to_mixed_log(log), pipeline="p", timestamp=F.lit(0)))
+    by_seq = lambda df: {r.gtid_seq: json.loads(r.value) for r in df.collect()}
+    t, m = by_seq(typed), by_seq(mixed)
+    assert t == m
+    assert [t[i]["after"][0]["text_col"] for i in range(len(texts))] == texts
+    back = decode(typed.select("gtid_seq", "value"), "struct<event_id:bigint,text_col:string,user_id:bigint,value:double>")
+    assert {r.gtid_seq: r.after[0].text_col for r in back.collect()} == dict(enumerate(texts))
