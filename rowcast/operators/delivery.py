@@ -57,6 +57,13 @@ def order_for_delivery(records: DataFrame, keys: Sequence[str] = ("topic", "key"
     return r.sortWithinPartitions(*cols)
 
 
+def total_order(records: DataFrame, order: Sequence[str] = (GTID_UUID, GTID_SEQ, POS)) -> DataFrame:
+    """P8, batch only: one total order by source position (a global sort:
+    range-partitioned and sorted, so it stays balanced).  Streams refuse a
+    sort; they keep per-key order instead."""
+    return records.orderBy(*order)
+
+
 def latency_by_topic(records: DataFrame, sink_time_us: Column, topic: str = "topic",
                      event_time_us: Column | None = None) -> DataFrame:
     """P10: delivery delay per topic in microseconds (exact count, sum, min, max,

@@ -65,3 +65,12 @@ def test_write_topics_fans_out(make_log, tmp_dir):
     recs = encode(build_events(log, pipeline="p", timestamp=F.lit(0)))
     write_topics(recs, f"{tmp_dir}/out", fmt="json")
     assert sorted(p.split("/")[-1] for p in glob.glob(f"{tmp_dir}/out/topic=*")) == ["topic=s.a", "topic=s.b"]
+
+
+def test_total_order(spark):
+    from rowcast.operators.delivery import total_order
+
+    recs = spark.createDataFrame([(U, s, p) for s in (3, 1, 2) for p in (2, 1)],
+                                 "gtid_uuid string, gtid_seq bigint, pos bigint")
+    got = [(r.gtid_seq, r.pos) for r in total_order(recs).collect()]
+    assert got == sorted(got)
