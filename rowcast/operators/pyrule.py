@@ -7,6 +7,10 @@ handed to the function and encoded back.  The function may change any field
 in place and returns the verdict (0 CONT, 1 DROP, other: kept going, dropped
 if last).
 
+The edited event is parsed back with the frame's schema: fields keep their
+types (a value changed to another type becomes null), and fields added to a
+typed image are not kept (add columns with an expression rule first).
+
 Use expression rules where possible; this path costs a JSON round trip per
 matched event.
 """
