@@ -70,3 +70,16 @@ def test_python_rule_on_mixed_layout(ev):
     vals = lambda df: sorted((json.loads(r.value) for r in df.collect()), key=lambda e: e["kafka"]["key"])
     # equal as JSON; a number the Python function saw may come back as 1 instead of 1.0 in the mixed layout
     assert vals(py) == vals(ex) == vals(typed)
+
+
+def test_python_rule_type_changes_become_null(ev):
+    def bad(e):
+        for r in e["after"] or []:
+            r["user_id"] = "not a number"
+            r["extra"] = 1
+        return 0
+
+    out = {r.gtid_seq: r for r in apply_chain(ev, [PythonRule("bad", "test_.*", "test_.*", bad)]).collect()}
+    row1 = out[1].after[0]
+    assert row1.user_id is None and row1.text_col == "change-kafka" and "extra" not in row1.asDict()
+    assert out[4].after[0].user_id == 1      # not matched: untouched
