@@ -46,19 +46,35 @@ class StatefulRule:
 
 
 def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[str] = (GTID_SEQ, POS),
-                        timeout: str = "NoTimeout") -> DataFrame:
+                        state_ttl: str | None = None, event_time: str | None = None,
+                        watermark: str = "0 seconds") -> DataFrame:
     """Streaming (or batch) per-key state with ``applyInPandasWithState``.
 
     Input columns are passed to ``fn`` as a dict per event (images as lists of
     dicts).  Output: the input's scalar columns listed in ``keys`` and
     ``order``, the verdict, and the ``rule.output`` fields read from the state
     after each event.  Events with verdict 1 are removed.
+
+    ``state_ttl`` with ``event_time`` (a timestamp column): a key's state is
+    removed once the watermark (``event_time`` minus ``watermark``) passes the
+    key's last event time plus the TTL, so the state store holds the active
+    keys only instead of every key ever seen.  Event time, not processing
+    time, so that ``availableNow`` runs still finish and results do not
+    depend on when batches run.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
+    if state_ttl and not event_time:
+        raise ValueError("state_ttl needs an event_time column")
+    ttl_ms = _duration_ms(state_ttl) if state_ttl else None
+    if ttl_ms:
+        events = events.withWatermark(event_time, watermark)
     keys, order = list(rule.keys), list(order)
     payload_cols = [c for c in events.columns if c not in keys and c not in order]
-    packed = events.select(*keys, *order, F.to_json(F.struct(*payload_cols)).alias("_evt"))
+    # the watermarked column itself must reach the stateful operator
+    ev_ms = ([F.col(event_time), F.unix_millis(F.col(event_time).cast("timestamp")).alias("_event_ms")]
+             if ttl_ms else [])
+    packed = events.select(*keys, *order, F.to_json(F.struct(*payload_cols)).alias("_evt"), *ev_ms)
     out_fields = ([packed.schema[c] for c in keys + order] + [T.StructField("_verdict", T.IntegerType())]
                   + [T.StructField(n, T._parse_datatype_string(t)) for n, t in rule.output])
     out_schema = T.StructType(out_fields)
@@ -68,6 +84,9 @@ def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[s
     def run(key, pdfs, state):
         import pandas as pd
 
+        if state.hasTimedOut:           # idle longer than the TTL: forget the key
+            state.remove()
+            return
         st = json.loads(state.get[0]) if state.exists else {}
         # one key's events of one micro-batch (bounded by the trigger), in source order
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
@@ -82,8 +101,20 @@ def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[s
         for n in extra:
             out[n] = extras[n]
         state.update((json.dumps(st),))
+        if ttl_ms:
+            state.setTimeoutTimestamp(int(pdf["_event_ms"].max()) + ttl_ms)
         yield out
 
-    res = packed.groupBy(*keys).applyInPandasWithState(
-        run, out_schema, state_schema, "append", getattr(GroupStateTimeout, timeout))
+    timeout = GroupStateTimeout.EventTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    res = packed.groupBy(*keys).applyInPandasWithState(run, out_schema, state_schema, "append", timeout)
     return res.filter(F.col("_verdict") != 1)
+
+
+def _duration_ms(text: str) -> int:
+    """``"90 seconds"``, ``"15 minutes"``, ``"24 hours"``, ``"7 days"`` -> milliseconds."""
+    n, unit = text.strip().split(None, 1)
+    scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+    u = unit.strip().lower().rstrip("s")
+    if u not in scale:
+        raise ValueError(f"unknown duration unit in {text!r}")
+    return int(float(n) * scale[u])

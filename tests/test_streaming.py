@@ -171,3 +171,33 @@ def test_rules_directly_on_a_stream(spark, tmp_dir):
     got = spark.table("direct_rules").select("gtid_seq", "topic", "key", "value")
     want = run_batch(spec(), log).select("gtid_seq", "topic", "key", "value")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_stateful_rule_state_ttl(spark, tmp_dir):
+    from rowcast.streaming.stateful import StatefulRule, _duration_ms, apply_stateful_rule
+
+    assert _duration_ms("2 seconds") == 2000 and _duration_ms("24 hours") == 86_400_000
+    schema = "topic string, key string, gtid_seq bigint, pos bigint, ts timestamp"
+
+    def count(event, state):
+        state["seen"] = state.get("seen", 0) + 1
+        return 0
+
+    rule = StatefulRule("count", ["topic", "key"], count, [("seen", "bigint")])
+
+    def run(rows, folder):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_dir}/in/{folder}")
+        s = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in/*")
+        q = (apply_stateful_rule(s, rule, state_ttl="10 seconds", event_time="ts").writeStream.format("parquet")
+             .option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        assert not q.isActive and q.exception() is None
+
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    run([("t", "k", 1, 0, t0), ("t", "k", 2, 0, t0 + dt.timedelta(seconds=5))], "a")
+    run([("t", "other", 3, 0, t0 + dt.timedelta(seconds=60))], "b")   # watermark passes k's TTL
+    run([("t", "k", 4, 0, t0 + dt.timedelta(seconds=61))], "c")
+    seen = {r.gtid_seq: r.seen for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert seen == {1: 1, 2: 2, 3: 1, 4: 1}          # k's state was forgotten after it idled
