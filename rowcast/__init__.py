@@ -14,8 +14,11 @@ except (ImportError, AttributeError, ValueError):  # pragma: no cover
 from rowcast.model import ACTION_CONT, ACTION_DROP
 from rowcast.operators.codec import decode, encode, payload
 from rowcast.operators.envelope import build_events
-from rowcast.operators.rules import Rule, SourceFilter, apply_rules, drop_rule
+from rowcast.operators.position import resume_filter, start_from, state_from_batch
+from rowcast.operators.pyrule import PythonRule
+from rowcast.operators.rules import Rule, SourceFilter, apply_rules, drop_rule, verdicts
 from rowcast.plans.pipeline import PipelineSpec, run_batch, run_events, run_many
 
-__all__ = ["ACTION_CONT", "ACTION_DROP", "Rule", "SourceFilter", "PipelineSpec", "apply_rules", "build_events",
-           "decode", "drop_rule", "encode", "payload", "run_batch", "run_events", "run_many"]
+__all__ = ["ACTION_CONT", "ACTION_DROP", "PipelineSpec", "PythonRule", "Rule", "SourceFilter", "apply_rules",
+           "build_events", "decode", "drop_rule", "encode", "payload", "resume_filter", "run_batch", "run_events",
+           "run_many", "start_from", "state_from_batch", "verdicts"]
