@@ -94,6 +94,7 @@ SELECT gtid_seq, topic, key, to_json({{'schema': schema_name, 'table': table_nam
 FROM r
 """)
 def sample_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: the two upstream sample rules end to end, delivered as JSON records (T*, M1-M5, E12)."""
     spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"],
                         timestamp=F.col("gtid_seq") * 1000)
     return run_batch(spec, fx.chg_events(spark, sf_dir)).select("gtid_seq", "topic", "key", "value")
@@ -107,6 +108,7 @@ SELECT gtid_seq, action, to_json({BEFORE_SQL})::VARCHAR AS before_json, to_json(
 FROM c WHERE action = 'insert'
 """)
 def insert_images(spark, sf_dir):
+    """Inserts carry their rows as ``after``, ``before`` is null."""
     ev = _events(spark, sf_dir).filter(F.col("action") == "insert")
     return ev.select("gtid_seq", "action", image_json("before").alias("before_json"),
                      image_json("after").alias("after_json"))
@@ -118,6 +120,7 @@ SELECT gtid_seq, action, to_json({BEFORE_SQL})::VARCHAR AS before_json, to_json(
 FROM c WHERE action = 'delete'
 """)
 def delete_images(spark, sf_dir):
+    """Deletes carry their rows as ``before``, ``after`` is null."""
     ev = _events(spark, sf_dir).filter(F.col("action") == "delete")
     return ev.select("gtid_seq", "action", image_json("before").alias("before_json"),
                      image_json("after").alias("after_json"))
@@ -131,6 +134,7 @@ SELECT gtid_seq, prev_event_id AS before_event_id, event_id AS after_event_id,
 FROM c WHERE action = 'update'
 """)
 def update_pairs(spark, sf_dir):
+    """Update rows pair up by position, before at even and after at odd indexes."""
     ev = _events(spark, sf_dir).filter(F.col("action") == "update")
     b, a = RF.first_row("before"), RF.first_row("after")
     return ev.select("gtid_seq", b["event_id"].alias("before_event_id"), a["event_id"].alias("after_event_id"),
@@ -145,6 +149,7 @@ SELECT gtid_seq, len(rows)::BIGINT AS n_rows, rows[1].l_linenumber AS first_line
 FROM c
 """)
 def multi_row_insert(spark, sf_dir):
+    """One event with many rows, in source order."""
     ev = build_events(fx.chg_lineitem(spark, sf_dir), pipeline="p1", timestamp=F.lit(0))
     return ev.select("gtid_seq", F.size("after").cast("bigint").alias("n_rows"),
                      RF.first_row("after")["l_linenumber"].alias("first_linenumber"),
@@ -157,6 +162,7 @@ WITH c AS ({CHG_EVENTS_SQL})
 SELECT gtid_seq, schema_name || '.' || table_name AS topic FROM c
 """)
 def default_topic(spark, sf_dir):
+    """The topic is ``schema.table``."""
     return _events(spark, sf_dir).select("gtid_seq", F.col("kafka.topic").alias("topic"))
 
 
@@ -165,6 +171,7 @@ WITH c AS ({CHG_EVENTS_SQL})
 SELECT gtid_seq, user_id::VARCHAR AS key FROM c
 """)
 def key_single_pk(spark, sf_dir):
+    """A numeric primary key becomes the key text (Q1)."""
     return _events(spark, sf_dir, pk=("user_id",)).select("gtid_seq", F.col("kafka.key").alias("key"))
 
 
@@ -174,6 +181,7 @@ SELECT gtid_seq, 'test_sales.test_lineitem' AS topic,
        rows[1].l_orderkey::VARCHAR || '.' || rows[1].l_linenumber::VARCHAR AS key FROM c
 """)
 def key_composite_pk(spark, sf_dir):
+    """A composite key joins row 0's values with dots (Q2)."""
     ev = build_events(fx.chg_lineitem(spark, sf_dir), pipeline="p1", timestamp=F.lit(0))
     return ev.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"))
 
@@ -182,6 +190,7 @@ def key_composite_pk(spark, sf_dir):
 SELECT (r_regionkey + 1)::BIGINT AS gtid_seq, 'ref_db.region' AS topic, 'ref_db.region' AS key FROM region
 """)
 def key_no_pk(spark, sf_dir):
+    """Without a primary key the key is the topic."""
     ev = build_events(fx.chg_region(spark, sf_dir), pipeline="p1", timestamp=F.lit(0))
     return ev.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"))
 
@@ -192,6 +201,7 @@ SELECT gtid_seq, action,
        CASE action WHEN 'update' THEN prev_event_id ELSE event_id END::VARCHAR AS key FROM c
 """)
 def key_from_before_image(spark, sf_dir):
+    """An update's key comes from the before image."""
     return _events(spark, sf_dir, pk=("event_id",)).select("gtid_seq", "action", F.col("kafka.key").alias("key"))
 
 
@@ -205,6 +215,7 @@ SELECT gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS
 FROM c
 """)
 def payload_json(spark, sf_dir):
+    """The full JSON payload with processing time from the log."""
     log = fx.chg_events(spark, sf_dir)
     ev = build_events(log, pipeline="p1", timestamp=F.unix_micros(F.col("ts").cast("timestamp")))
     return encode(ev).select("gtid_seq", "topic", "key", "value")
@@ -219,6 +230,7 @@ SELECT gtid_seq, action, schema_name || '.' || table_name AS topic,
 FROM c
 """)
 def payload_decode(spark, sf_dir):
+    """Delivered JSON read back into typed fields."""
     from rowcast.operators.codec import decode
     log = fx.chg_events(spark, sf_dir)
     recs = encode(build_events(log, pipeline="p1", timestamp=F.col("gtid_seq") * 1000))
@@ -237,6 +249,7 @@ WITH c AS ({CHG_EVENTS_SQL})
 SELECT gtid_seq, text_col, length(text_col)::BIGINT AS text_len FROM c
 """)
 def string_values(spark, sf_dir):
+    """E5: bytes of columns declared as strings become text."""
     log = fx.chg_events(spark, sf_dir)
     # the source delivers text_col as raw bytes; the type map says it is a string
     raw = log.withColumn("rows", F.transform("rows", lambda r: r.withField("text_col", F.encode(r["text_col"], "UTF-8"))))
@@ -262,6 +275,7 @@ WITH b AS ({CHG_BINLOG_SQL})
 SELECT log_file, pos, action FROM b WHERE action IN ('insert', 'update', 'delete')
 """)
 def row_events_only_q(spark, sf_dir):
+    """Only row changes pass; GTID markers and commits are skipped."""
     from rowcast.sources.changelog import row_events_only
     return row_events_only(fx.chg_binlog(spark, sf_dir)).select("log_file", "pos", "action")
 
@@ -273,6 +287,7 @@ s AS (SELECT *, last_value(gtid_seq IGNORE NULLS) OVER (PARTITION BY log_file OR
 SELECT log_file, pos, action, stamped AS gtid_seq FROM s WHERE action IN ('insert', 'update', 'delete')
 """)
 def gtid_stamp(spark, sf_dir):
+    """Every row event gets the last GTID marker before it in its file."""
     from rowcast.sources.changelog import row_events_only, stamp_gtid
     stamped = stamp_gtid(fx.chg_binlog(spark, sf_dir))
     return row_events_only(stamped).select("log_file", "pos", "action", "gtid_seq")
@@ -292,6 +307,7 @@ WHERE (regexp_matches(schema_name, 'test_.*') OR regexp_matches(schema_name, 'au
   AND NOT regexp_matches(table_name, '_1$')
 """)
 def source_filter(spark, sf_dir):
+    """Include and exclude lists on schema and table."""
     sfilter = SourceFilter(include_schemas=["test_.*", "audit", ""], exclude_schemas=["^test_shop$"],
                            include_tables=["events", "entity"], exclude_tables=["_1$"])
     spec = PipelineSpec(name="p1", source_filter=sfilter, pk=["user_id"], timestamp=F.lit(0))
@@ -306,6 +322,7 @@ SELECT gtid_seq, {GUARD_SQL} AS generic_match,
 FROM c
 """)
 def rule_guard(spark, sf_dir):
+    """Unanchored regex guards on schema and table."""
     ev = _events(spark, sf_dir)
     return ev.select("gtid_seq", samples.generic_rule().guard().alias("generic_match"),
                      samples.tenant_drop_rule().guard().alias("tenant_match"))
@@ -319,6 +336,7 @@ FROM c
 WHERE NOT ({GUARD_SQL}) OR (action <> 'delete' AND coalesce(text_col = 'should-continue', false))
 """)
 def rule_keep_first_row(spark, sf_dir):
+    """Keep only events whose first after row says should-continue."""
     out = apply_rules(_events(spark, sf_dir), [samples.keep_should_continue_rule()])
     return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"),
                       RF.first_row("after")["text_col"].alias("after_text"))
@@ -330,6 +348,7 @@ SELECT gtid_seq, action FROM c
 WHERE NOT ({GUARD_SQL} AND action <> 'delete' AND coalesce(text_col = 'ignore', false))
 """)
 def rule_drop_any_row(spark, sf_dir):
+    """Drop events where any after row says ignore."""
     rule = Rule("drop-ignored", "test_.*", "test_.*",
                 verdict=F.when(RF.any_row("after", "text_col", lambda v: v == "ignore"), ACTION_DROP)
                          .otherwise(ACTION_CONT))
@@ -342,6 +361,7 @@ SELECT gtid_seq, schema_name || '.' || table_name AS topic FROM c
 WHERE NOT (regexp_matches(schema_name, 'tenant_.*') AND regexp_matches(table_name, 'entity_1'))
 """)
 def rule_drop_table(spark, sf_dir):
+    """Drop every event of the matched tables."""
     out = apply_rules(_events(spark, sf_dir), [samples.tenant_drop_rule()])
     return out.select("gtid_seq", F.col("kafka.topic").alias("topic"))
 
@@ -370,6 +390,7 @@ WHERE NOT (regexp_matches(schema2, 'test_.*') AND regexp_matches(table_name, 'te
   AND NOT (regexp_matches(schema2, 'test_audit') AND action = 'delete')
 """)
 def rule_chain(spark, sf_dir):
+    """The verdict fold across no-op, renaming, holding and dropping rules."""
     out = apply_rules(_events(spark, sf_dir), chain_rules())
     return out.select("gtid_seq", F.col("schema").alias("schema_name"), F.col("kafka.topic").alias("topic"),
                       F.col("kafka.key").alias("key"))
@@ -391,6 +412,7 @@ FROM m
 """)
 def mask_column(spark, sf_dir):
     # both images are masked, so an update does not leak the old value in ``before``
+    """M1-M3: mask long text in both images."""
     rule = Rule("mask", "test_.*", "test_.*", set={"after": RF.mask_field("after", "text_col", 3),
                                                      "before": RF.mask_field("before", "text_col", 3)})
     out = apply_rules(_events(spark, sf_dir), [rule])
@@ -406,6 +428,7 @@ SELECT gtid_seq,
 FROM r
 """)
 def reroute(spark, sf_dir):
+    """M4/M5: change topic and key for matched events."""
     hit = RF.any_row("after", "text_col", lambda v: v == "change-kafka")
     rule = Rule("reroute", "test_.*", "test_.*", set={
         "kafka.topic": F.when(hit, F.concat(F.lit("rerouted."), F.col("table"))).otherwise(F.col("kafka.topic")),
@@ -424,6 +447,7 @@ SELECT gtid_seq, 'p1-reshaped' AS pipeline, upper(action) AS action,
 FROM c
 """)
 def image_add_drop_column(spark, sf_dir):
+    """M6/M7: add and drop image columns and rewrite envelope fields."""
     ev = _events(spark, sf_dir)
     names = ev.schema["after"].dataType.elementType.names
     rule = Rule("reshape", set={
@@ -476,6 +500,7 @@ SELECT event_id, uuid, split_part(iv, '-', 1)::BIGINT AS lo,
 FROM i
 """)
 def gtid_parse(spark, sf_dir):
+    """GTID-set texts (several uuids, intervals, whitespace) as intervals."""
     from rowcast.functions.gtid import parse_gtid_set
     s = _gtid_text(spark, sf_dir)
     return (s.select("event_id", F.explode(parse_gtid_set("gtid")).alias("r"))
@@ -507,6 +532,7 @@ SELECT name, '{fx.SOURCE_UUID}:' || arg_max(gtid_seq, saved_at)::VARCHAR AS gtid
 FROM s GROUP BY name
 """)
 def state_latest(spark, sf_dir):
+    """The newest saved position per pipeline."""
     from rowcast.functions.gtid import parse_gtid_set
     from rowcast.operators.position import latest_state
     st = latest_state(_states(spark, sf_dir))
@@ -531,6 +557,7 @@ SELECT gtid_seq, pipeline FROM c
 WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.name = c.pipeline AND c.gtid_seq BETWEEN 1 AND st.saved)
 """)
 def resume_filter_q(spark, sf_dir):
+    """After a crash each pipeline resumes after its saved position."""
     from rowcast.operators.position import resume_filter
     out = resume_filter(_pipeline_log(spark, sf_dir), _states(spark, sf_dir, before=CRASH_AT))
     return out.select("gtid_seq", "pipeline")
@@ -545,6 +572,7 @@ WHERE pipeline = 'p2' OR NOT EXISTS (SELECT 1 FROM st WHERE st.name = c.pipeline
 GROUP BY pipeline
 """)
 def resume_foreign_uuid(spark, sf_dir):
+    """P5: a state from another server replays everything and is flagged foreign."""
     from rowcast.operators.position import check_ahead, resume_filter
     ev = _pipeline_log(spark, sf_dir)
     st = _states(spark, sf_dir, before=CRASH_AT, foreign="p2")
@@ -560,6 +588,7 @@ h AS (SELECT max(event_id + 1) AS head_seq FROM events WHERE ts < TIMESTAMP '{CR
 SELECT name, saved_seq, head_seq, saved_seq > head_seq AS ahead FROM st, h
 """)
 def state_ahead(spark, sf_dir):
+    """Saved positions ahead of a restored source are flagged."""
     from rowcast.operators.position import check_ahead
     # the source was restored from a copy taken at CRASH_AT; the saved positions are newer
     restored = fx.chg_events(spark, sf_dir).filter(F.col("ts") < F.lit(CRASH_AT).cast("timestamp_ntz"))
@@ -572,6 +601,7 @@ SELECT pipeline AS name, '{fx.SOURCE_UUID}:1-' || max(gtid_seq)::VARCHAR AS gtid
 FROM c GROUP BY pipeline
 """)
 def state_from_batch_q(spark, sf_dir):
+    """The position a batch saves per pipeline, dropped events included (Q21)."""
     from rowcast.operators.position import state_from_batch
     # position = highest processed event, dropped ones included
     ev = build_events(_pipeline_log(spark, sf_dir), pipeline=F.col("pipeline"), timestamp=F.lit(0))
@@ -617,6 +647,7 @@ SELECT gtid_seq, pipeline,
 FROM c
 """)
 def dedupe_q(spark, sf_dir):
+    """At-least-once replays after a crash collapse to one record per position."""
     from rowcast.operators.delivery import dedupe
     from rowcast.operators.position import resume_filter
     log = _pipeline_log(spark, sf_dir)
@@ -634,6 +665,7 @@ WITH r AS ({ORACLES['sample_chain']})
 SELECT topic, key, gtid_seq, row_number() OVER (PARTITION BY topic, key ORDER BY gtid_seq) AS seq_in_key FROM r
 """)
 def per_key_order(spark, sf_dir):
+    """Records numbered per (topic, key) in source order."""
     from rowcast.operators.delivery import sequence_in_key
     spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
     recs = run_batch(spec, fx.chg_events(spark, sf_dir))
@@ -657,6 +689,7 @@ k AS (SELECT 'keep' AS pipeline, gtid_seq, schema_name || '.' || table_name AS t
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM k
 """)
 def multi_spec_union(spark, sf_dir):
+    """Three independent pipelines over one log, as one job."""
     from rowcast.plans.pipeline import run_many
     log = fx.chg_events(spark, sf_dir)
     specs = [
@@ -679,6 +712,7 @@ SELECT topic, count(*) AS n, sum(lat)::BIGINT AS sum_latency_us, min(lat) AS min
 FROM l GROUP BY topic
 """)
 def delivery_latency(spark, sf_dir):
+    """P10: delivery delay per topic against a fixed sink time."""
     from rowcast.operators.delivery import latency_by_topic
     ev = build_events(fx.chg_events(spark, sf_dir), pipeline="p1",
                       timestamp=F.unix_micros(F.col("ts").cast("timestamp")))
@@ -694,6 +728,7 @@ SELECT c.gtid_seq,
 FROM c LEFT JOIN customer cu ON cu.c_custkey = c.user_id
 """)
 def enrich_join(spark, sf_dir):
+    """M8: every after row gains customer columns (explode, join, regroup)."""
     from rowcast.operators.delivery import enrich_rows
     ev = _events(spark, sf_dir)
     cust = fx.table(spark, sf_dir, "customer")
@@ -720,6 +755,7 @@ SELECT o_orderstatus, count(*) AS n_orders, max(o_orderkey) AS max_orderkey
 FROM orders GROUP BY o_orderstatus
 """)
 def source_query_q(spark, sf_dir):
+    """SQL run against the source tables."""
     from rowcast.sources.changelog import register_tables, source_query
     register_tables(spark, sf_dir, ["orders"])
     return source_query(spark, ORACLES["source_query"])
@@ -736,6 +772,7 @@ def keep_should_continue(event: dict) -> int:
 
 @query("python_rule", ORACLES["rule_keep_first_row"])
 def python_rule(spark, sf_dir):
+    """The keep-should-continue rule as a Python function."""
     from rowcast.operators.pyrule import PythonRule
     rule = PythonRule("generic-test-1", "test_.*", "test_.*", keep_should_continue)
     spec = PipelineSpec(name="p1", rules=[rule], pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
@@ -763,6 +800,7 @@ SELECT gtid_seq, topic, key,
 FROM k
 """)
 def stateful_rule(spark, sf_dir):
+    """U3 in batch: per-key count and running total in source order (bucketed windows)."""
     from rowcast.streaming.stateful import running_totals
     recs = encode(_events(spark, sf_dir))
     img = F.coalesce(F.get_json_object("value", "$.after[0].value"), F.get_json_object("value", "$.before[0].value"))
