@@ -23,6 +23,7 @@ from rowcast.operators.codec import encode
 from rowcast.operators.delivery import order_for_delivery
 from rowcast.operators.envelope import build_events
 from rowcast.operators.position import state_from_batch, write_state
+from rowcast.operators.rules import Rule, verdicts
 from rowcast.plans.pipeline import PipelineSpec, apply_chain
 
 
@@ -68,10 +69,17 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
             m = obs.get
             n_in = events.count()
             spark = events.sparkSession
+            by_rule = None
+            if all(isinstance(r, Rule) for r in spec.rules):
+                # which rule stopped how many events (one small aggregate over the persisted batch)
+                counts = (verdicts(events, spec.rules, spec.on_null_verdict).filter(F.col("_dropped_by").isNotNull())
+                          .groupBy("_dropped_by").count().collect())
+                by_rule = {r["_dropped_by"]: int(r["count"]) for r in counts}
             row = [(spec.name, int(batch_id), n_in, int(m.get("written") or 0), n_in - int(m.get("written") or 0),
-                    m.get("max_delay_us"))]
+                    m.get("max_delay_us"), by_rule)]
             (spark.createDataFrame(row, "pipeline string, batch_no bigint, events_in bigint, written bigint, "
-                                        "not_delivered bigint, max_delay_us bigint")
+                                        "not_delivered bigint, max_delay_us bigint, "
+                                        "dropped_by_rule map<string,bigint>")
              .coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={int(batch_id)}"))
     finally:
         events.unpersist()

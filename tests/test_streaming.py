@@ -137,6 +137,11 @@ def test_stream_batch_metrics(spark, tmp_dir):
     tot = m.agg(F.sum("events_in").alias("i"), F.sum("written").alias("w"), F.sum("not_delivered").alias("d")).first()
     assert tot.i == log.count() and tot.w == run_batch(spec(), log).count() and tot.i == tot.w + tot.d
     assert m.count() == 2
+    dropped = {}
+    for r in m.collect():
+        for k, v in (r.dropped_by_rule or {}).items():
+            dropped[k] = dropped.get(k, 0) + v
+    assert set(dropped) <= {"generic", "another-rule"} and sum(dropped.values()) == tot.d
 
 
 def test_pluggable_writer_and_kafka_order(spark, tmp_dir):
