@@ -79,6 +79,13 @@ def name_positional(rows: Column, columns: Column | Sequence[str], value_type: s
         cols, lambda c, i: F.struct(c.alias("key"), F.get(r, i).cast(value_type).alias("value")))))
 
 
+def name_positional_typed(rows: Column, image_type: T.StructType) -> Column:
+    """E6, typed layout: positional raw rows -> ``array<struct>`` of
+    ``image_type`` (values cast to the column types; short rows give nulls)."""
+    return F.transform(rows, lambda r: F.struct(*[
+        F.get(r, i).cast(f.dataType).alias(f.name) for i, f in enumerate(image_type.fields)]))
+
+
 def images(action: Column, rows: Column) -> tuple[Column, Column]:
     """(before, after) per action; update rows pair up by position."""
     before = (F.when(action == ACTION_DELETE, rows)

@@ -63,3 +63,15 @@ def test_positional_rows_and_short_rows(spark):
     df = spark.createDataFrame([([["1", "a"], ["2"]], ["id", "name"])], "rows array<array<string>>, cols array<string>")
     out = df.select(name_positional(F.col("rows"), F.col("cols"), "string").alias("m")).collect()[0].m
     assert out == [{"id": "1", "name": "a"}, {"id": "2", "name": None}]
+
+
+def test_positional_rows_typed(spark):
+    from pyspark.sql import types as T
+
+    from rowcast.operators.envelope import name_positional_typed
+
+    it = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
+                       T.StructField("score", T.DoubleType())])
+    df = spark.createDataFrame([([["1", "a", "2.5"], ["2"]],)], "rows array<array<string>>")
+    out = df.select(name_positional_typed(F.col("rows"), it).alias("r")).collect()[0].r
+    assert [tuple(x) for x in out] == [(1, "a", 2.5), (2, None, None)]
