@@ -97,3 +97,28 @@ def test_text_survives_encode_in_both_layouts(spark, texts):
     assert [t[i]["after"][0]["text_col"] for i in range(len(texts))] == texts
     back = decode(typed.select("gtid_seq", "value"), "struct<event_id:bigint,text_col:string,user_id:bigint,value:double>")
     assert {r.gtid_seq: r.after[0].text_col for r in back.collect()} == dict(enumerate(texts))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(rule_st, min_size=1, max_size=4))
+def test_python_rules_fold_like_expression_rules(spark, rules):
+    from rowcast.operators.pyrule import PythonRule
+    from rowcast.plans.pipeline import apply_chain
+
+    log = spark.createDataFrame([(s, t, "insert", [row(i, "x")], [], "u", i, 0)
+                                 for i, (s, t) in enumerate(EVENTS, start=1)], LOG_DDL)
+    ev = build_events(log, pipeline="p", timestamp=F.lit(0))
+    py, ex = [], []
+    for i, (ms, mt, verdict) in enumerate(rules):
+        if verdict is None:
+            py.append(PythonRule(f"r{i}", ms, mt, None))
+            ex.append(Rule(f"r{i}", ms, mt))
+        elif verdict == "odd":
+            py.append(PythonRule(f"r{i}", ms, mt, lambda e: 1 if e["after"][0]["event_id"] % 2 else 0))
+            ex.append(Rule(f"r{i}", ms, mt, verdict=F.when(F.col("gtid_seq") % 2 == 1, 1).otherwise(0)))
+        else:
+            py.append(PythonRule(f"r{i}", ms, mt, (lambda v: (lambda e: v))(verdict)))
+            ex.append(Rule(f"r{i}", ms, mt, verdict=F.lit(verdict)))
+    got_py = sorted(r.gtid_seq for r in apply_chain(ev, py).select("gtid_seq").collect())
+    got_ex = sorted(r.gtid_seq for r in apply_chain(ev, ex).select("gtid_seq").collect())
+    assert got_py == got_ex == py_fold(rules)
