@@ -13,7 +13,11 @@ from rowcast.operators.delivery import order_for_delivery
 
 def write_topics(records: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                  ordered: bool = True, partitions: int | None = None) -> None:
-    """Batch fan-out: one folder per topic; within it files follow per-key order."""
+    """Batch fan-out: one folder per topic; within it files follow per-key order.
+
+    Read it back with an explicit schema (``topic`` as string), or partition
+    type inference may read a numeric-looking topic name as a number.
+    """
     out = order_for_delivery(records, partitions=partitions) if ordered else records
     out.write.mode(mode).partitionBy("topic").format(fmt).save(path)
 
