@@ -111,6 +111,20 @@ def main() -> None:
         qq = start_pipeline(sample, s, f"{base}/stream_out{n}", f"{base}/stream_ckpt{n}", f"{base}/stream_state{n}")
         qq.awaitTermination()
     timed("stream_sample_chain", stream, q)
+
+    def stateful():
+        from rowcast.streaming.stateful import StatefulRule, apply_stateful_rule
+        n = next(runs)
+        ev = build_events(stream_log(spark, f"{base}/chg_events", log.schema, max_files_per_trigger=8),
+                          pipeline="p1", timestamp=ts, pk=["user_id"])
+        recs = ev.select(F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "gtid_seq", "pos",
+                         "before", "after")
+        rule = StatefulRule("totals", ["topic", "key"], catalog.count_and_total,
+                            [("seen", "bigint"), ("running_cents", "bigint")])
+        qq = (apply_stateful_rule(recs, rule).writeStream.format("noop")
+              .option("checkpointLocation", f"{base}/stateful_ckpt{n}").trigger(availableNow=True).start())
+        qq.awaitTermination()
+    timed("stream_stateful_rule", stateful, q)
     timed("flagship_from_tables", lambda: run(catalog.sample_chain(spark, sf_dir)), q)
 
     per_event = ("envelope_encode", "sample_chain", "python_chain", "mixed_layout_chain", "chain_of_20_rules",
