@@ -32,12 +32,16 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--files-per-trigger", type=int, default=None)
     run.add_argument("--trigger", default=None, help="processing-time trigger, e.g. '10 seconds'")
     run.add_argument("--once", action="store_true")
+    run.add_argument("--ui", action="store_true", help="keep the Spark web UI (off by default)")
     return p
 
 
 def main(argv: list[str] | None = None) -> list:
     args = parser().parse_args(argv)
-    spark = configure(SparkSession.builder.appName("rowcast").getOrCreate())
+    b = SparkSession.builder.appName("rowcast")
+    if not args.ui:
+        b = b.config("spark.ui.enabled", "false")
+    spark = configure(b.getOrCreate())
     schema = spark.read.format(args.format).load(args.log).schema
     pk = [c for c in args.pk.split(",") if c] if args.pk else None
     queries = []
