@@ -7,8 +7,10 @@ number, a GTID, an event id).  The window runs per ``(key, bucket)``, which is
 bounded by the bucket width when the order value is unique per key, and the
 first rows of every bucket are repaired from the previous buckets' summary.
 
-Bound: a bucket holds at most ``width`` distinct values of the leading order
-column of one key, so at most ``width x (rows sharing one leading value)``
+Only hot keys (more than ``width`` rows, found with a partial count per key)
+are split; every other key is one window partition of at most ``width`` rows.
+Bound for a hot key: a bucket holds at most ``width`` distinct values of the
+leading order column, so at most ``width x (rows sharing one leading value)``
 rows.  Lead with a per-event sequence (event id, GTID sequence, log
 position): rows sharing one GTID are the row events of one transaction,
 which the source bounds.  Buckets are a pure function of the row (no
@@ -42,23 +44,58 @@ def _bucket(order: Sequence[str], width: int) -> Column:
     return F.expr(f"CAST(`{order[0]}` AS BIGINT) div {int(width)}")
 
 
+_HOT = "_ord_hot"
+
+
+def _hot_keys(df: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Keys holding more than ``width`` rows (a partial aggregate; small)."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > width).select(*[F.col(k).alias(f"_hk_{k}") for k in keys])
+            .withColumn(_HOT, F.lit(True)))
+
+
 def _local(df: DataFrame, keys: list[str], order: list[str], width: int, **cols) -> DataFrame:
     """Add the bucket, the per-(key, bucket) window columns and the last-row flag.
 
+    Only hot keys (more than ``width`` rows) are split into buckets; every
+    other key is one window partition of at most ``width`` rows.  The hot-key
+    list is small (at most rows / width keys) and joined null-safely, so a
+    hot null key is split too.
+
     ``cols`` values are window functions, or ``(function, frame)`` pairs where
     ``frame`` maps the window spec to a framed one.
     """
+    hot = _hot_keys(df, keys, width)
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(hot[f"_hk_{k}"])
+        cond = c if cond is None else (cond & c)
+    d = (df.join(hot, cond, "left").drop(*[f"_hk_{k}" for k in keys])
+           .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))))
+    d = d.withColumn(_B, F.when(F.col(_HOT), _bucket(order, width)).otherwise(F.lit(0).cast("bigint")))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
-    d = df.withColumn(_B, _bucket(order, width))
     for name, c in cols.items():
         d = d.withColumn(name, c[0].over(c[1](w)) if isinstance(c, tuple) else c.over(w))
     return d.withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull())
 
 
 def _carry(d: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
-    """Per (key, bucket): ``agg`` over the earlier buckets' last rows."""
+    """Per (hot key, bucket): ``agg`` over the earlier buckets' last rows.
+
+    Keys that are not hot have one bucket and need no carry, so the summary
+    holds hot-key buckets only: small, and broadcast by AQE at run time."""
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    return d.filter(F.col(_LAST)).select(*keys, _B, agg.over(before).alias(name))
+    return d.filter(F.col(_LAST) & F.col(_HOT)).select(*keys, _B, agg.over(before).alias(name))
+
+
+def _join_carry(d: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """Left-join the carry on (key, bucket), null-safe on the keys."""
+    c = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col(_B).alias("_ck_b"),
+                     *[x for x in carry.columns if x not in keys and x != _B])
+    cond = d[_B] == c["_ck_b"]
+    for k in keys:
+        cond = cond & d[k].eqNullSafe(c[f"_ck_{k}"])
+    return d.join(c, cond, "left").drop(*[f"_ck_{k}" for k in keys], "_ck_b")
 
 
 def _upto(fn: Column):
@@ -76,7 +113,7 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Se
     img = F.struct(*[F.col(c).alias(c) for c in cols])
     d = _local(df.withColumn("_img", img), keys, order, width, _lag_local=F.lag("_img"))
     carry = _carry(d, keys, F.last("_img"), "_lag_carry")
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = _join_carry(d, carry, keys)
     lagged = F.coalesce(F.col("_lag_local"), F.col("_lag_carry"))
     return j.select(*[F.col(c) for c in df.columns], *[lagged[c].alias(prefix + c) for c in cols])
 
@@ -91,7 +128,7 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     keys, order = list(keys), list(order)
     d = _local(df, keys, order, width, _rn_local=F.row_number())
     carry = _carry(d, keys, F.sum("_rn_local"), "_off")
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = _join_carry(d, carry, keys)
     return j.select(*[F.col(c) for c in df.columns],
                     (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint").alias(name))
 
@@ -102,7 +139,7 @@ def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = list(keys), list(order)
     d = _local(df, keys, order, width, _rs_local=_upto(F.sum(value)))
     carry = _carry(d, keys, F.sum("_rs_local"), "_off")
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = _join_carry(d, carry, keys)
     loc, off = F.col("_rs_local"), F.col("_off")
     # SQL sum semantics: null only while every value so far is null
     total = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
@@ -120,7 +157,7 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     keys, order = list(keys), list(order)
     d = _local(df, keys, order, width, _lv_local=_upto(F.last(col, ignorenulls=True)))
     carry = _carry(d, keys, F.last("_lv_local", ignorenulls=True), "_carry")
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = _join_carry(d, carry, keys)
     return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))
 
 
@@ -130,5 +167,5 @@ def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order = list(keys), list(order)
     d = _local(df, keys, order, width, _rm_local=_upto(F.max(col)))
     carry = _carry(d, keys, F.max("_rm_local"), "_carry")
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = _join_carry(d, carry, keys)
     return j.select(*[F.col(c) for c in df.columns], F.greatest("_rm_local", "_carry").alias(name))

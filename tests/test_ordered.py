@@ -55,3 +55,8 @@ def test_lag_of_null_value_is_not_confused_with_first_row(spark):
     df = frame(spark, [("a", 1, None), ("a", 2, 5), ("a", 30, None), ("a", 31, 1)])
     got = {r.o: r.p_v for r in keyed_lag(df, ["k"], ["o"], ["v"], prefix="p_", width=10).collect()}
     assert got == {1: None, 2: None, 30: 5, 31: None}
+
+
+def test_hot_null_key_is_split_and_correct(spark):
+    rows = [(None, i, i % 3) for i in range(0, 200)] + [("a", i, 1) for i in range(5)]
+    check_all(spark, rows, width=8)
