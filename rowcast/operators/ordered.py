@@ -32,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
@@ -47,55 +48,87 @@ def _bucket(order: Sequence[str], width: int) -> Column:
 _HOT = "_ord_hot"
 
 
-def _hot_keys(df: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """Keys holding more than ``width`` rows (a partial aggregate; small)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > width).select(*[F.col(k).alias(f"_hk_{k}") for k in keys])
-            .withColumn(_HOT, F.lit(True)))
-
+def _default(dt: T.DataType) -> Column | None:
+    """A typed stand-in for null keys (paired with an is-null flag)."""
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, (T.NumericType,)):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray())
+    return None
+
+
+def _part_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Null-safe equi keys: each key k becomes (is-null flag, value or a typed
+    default).  Windows and joins then share plain equi keys, so a join on them
+    reuses the window's partitioning, and null keys are handled like others."""
+    cols = []
+    for i, k in enumerate(keys):
+        dflt = _default(df.schema[k].dataType)
+        if dflt is None:
+            df = df.withColumn(f"_pk{i}v", F.col(k))
+            cols.append(f"_pk{i}v")
+        else:
+            df = (df.withColumn(f"_pk{i}n", F.col(k).isNull())
+                    .withColumn(f"_pk{i}v", F.coalesce(F.col(k), dflt)))
+            cols += [f"_pk{i}n", f"_pk{i}v"]
+    return df, cols
+
+
+def _prep(df: DataFrame, keys: list[str], order: list[str], width: int) -> tuple[DataFrame, list[str]]:
+    """Null-safe partition keys, the hot flag and the bucket.
+
+    Only hot keys (more than ``width`` rows, found with a partial count) are
+    split into buckets; every other key is one window partition of at most
+    ``width`` rows.
+    """
+    d, pk = _part_keys(df, keys)
+    hot = (d.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > width)
+           .select(*pk, F.lit(True).alias(_HOT)))
+    d = d.join(hot, on=pk, how="left").withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
+    return d.withColumn(_B, F.when(F.col(_HOT), _bucket(order, width)).otherwise(F.lit(0).cast("bigint"))), pk
 
-def _local(df: DataFrame, keys: list[str], order: list[str], width: int, **cols) -> DataFrame:
-    """Add the bucket, the per-(key, bucket) window columns and the last-row flag.
 
-    Only hot keys (more than ``width`` rows) are split into buckets; every
-    other key is one window partition of at most ``width`` rows.  The hot-key
-    list is small (at most rows / width keys) and joined null-safely, so a
-    hot null key is split too.
+def _windowed(d: DataFrame, pk: list[str], order: list[str], **cols) -> DataFrame:
+    """The per-(key, bucket) window columns and the last-row flag.
 
     ``cols`` values are window functions, or ``(function, frame)`` pairs where
     ``frame`` maps the window spec to a framed one.
     """
-    hot = _hot_keys(df, keys, width)
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(hot[f"_hk_{k}"])
-        cond = c if cond is None else (cond & c)
-    d = (df.join(hot, cond, "left").drop(*[f"_hk_{k}" for k in keys])
-           .withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))))
-    d = d.withColumn(_B, F.when(F.col(_HOT), _bucket(order, width)).otherwise(F.lit(0).cast("bigint")))
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
+    w = Window.partitionBy(*pk, _B).orderBy(*order)
     for name, c in cols.items():
         d = d.withColumn(name, c[0].over(c[1](w)) if isinstance(c, tuple) else c.over(w))
     return d.withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull())
 
 
-def _carry(d: DataFrame, keys: list[str], agg: Column, name: str) -> DataFrame:
+def _local(df: DataFrame, keys: list[str], order: list[str], width: int, **cols):
+    """(windowed frame, its hot rows windowed alone, partition keys).
+
+    The second frame feeds the carry: hotness is per key, so windowing only
+    the hot rows gives the same bucket ends while the carry branch moves the
+    hot rows only."""
+    pre, pk = _prep(df, keys, order, width)
+    return _windowed(pre, pk, order, **cols), _windowed(pre.filter(F.col(_HOT)), pk, order, **cols), pk
+
+
+def _carry(dh: DataFrame, pk: list[str], agg: Column, name: str) -> DataFrame:
     """Per (hot key, bucket): ``agg`` over the earlier buckets' last rows.
 
     Keys that are not hot have one bucket and need no carry, so the summary
-    holds hot-key buckets only: small, and broadcast by AQE at run time."""
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    return d.filter(F.col(_LAST) & F.col(_HOT)).select(*keys, _B, agg.over(before).alias(name))
+    holds hot-key buckets only (small; AQE broadcasts it by its run-time size)."""
+    before = Window.partitionBy(*pk).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    return dh.filter(F.col(_LAST)).select(*pk, _B, agg.over(before).alias(name))
 
 
-def _join_carry(d: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left-join the carry on (key, bucket), null-safe on the keys."""
-    c = carry.select(*[F.col(k).alias(f"_ck_{k}") for k in keys], F.col(_B).alias("_ck_b"),
-                     *[x for x in carry.columns if x not in keys and x != _B])
-    cond = d[_B] == c["_ck_b"]
-    for k in keys:
-        cond = cond & d[k].eqNullSafe(c[f"_ck_{k}"])
-    return d.join(c, cond, "left").drop(*[f"_ck_{k}" for k in keys], "_ck_b")
+def _join_carry(d: DataFrame, carry: DataFrame, pk: list[str]) -> DataFrame:
+    """Left-join the carry on (partition keys, bucket): the window's own
+    partitioning, so the main frame is not shuffled again."""
+    return d.join(carry, on=[*pk, _B], how="left")
 
 
 def _upto(fn: Column):
@@ -111,9 +144,9 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Se
     """
     keys, order, cols = list(keys), list(order), list(cols)
     img = F.struct(*[F.col(c).alias(c) for c in cols])
-    d = _local(df.withColumn("_img", img), keys, order, width, _lag_local=F.lag("_img"))
-    carry = _carry(d, keys, F.last("_img"), "_lag_carry")
-    j = _join_carry(d, carry, keys)
+    d, dh, pk = _local(df.withColumn("_img", img), keys, order, width, _lag_local=F.lag("_img"))
+    carry = _carry(dh, pk, F.last("_img"), "_lag_carry")
+    j = _join_carry(d, carry, pk)
     lagged = F.coalesce(F.col("_lag_local"), F.col("_lag_carry"))
     return j.select(*[F.col(c) for c in df.columns], *[lagged[c].alias(prefix + c) for c in cols])
 
@@ -126,9 +159,9 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], n
     (ties broken by the full ``order`` list, which should be unique per key).
     """
     keys, order = list(keys), list(order)
-    d = _local(df, keys, order, width, _rn_local=F.row_number())
-    carry = _carry(d, keys, F.sum("_rn_local"), "_off")
-    j = _join_carry(d, carry, keys)
+    d, dh, pk = _local(df, keys, order, width, _rn_local=F.row_number())
+    carry = _carry(dh, pk, F.sum("_rn_local"), "_off")
+    j = _join_carry(d, carry, pk)
     return j.select(*[F.col(c) for c in df.columns],
                     (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint").alias(name))
 
@@ -137,9 +170,9 @@ def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Running sum of ``value`` per key (inclusive of the current row), bucketed."""
     keys, order = list(keys), list(order)
-    d = _local(df, keys, order, width, _rs_local=_upto(F.sum(value)))
-    carry = _carry(d, keys, F.sum("_rs_local"), "_off")
-    j = _join_carry(d, carry, keys)
+    d, dh, pk = _local(df, keys, order, width, _rs_local=_upto(F.sum(value)))
+    carry = _carry(dh, pk, F.sum("_rs_local"), "_off")
+    j = _join_carry(d, carry, pk)
     loc, off = F.col("_rs_local"), F.col("_off")
     # SQL sum semantics: null only while every value so far is null
     total = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
@@ -155,9 +188,9 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     ``partitionBy(keys).orderBy(order).rowsBetween(unboundedPreceding, 0)``.
     """
     keys, order = list(keys), list(order)
-    d = _local(df, keys, order, width, _lv_local=_upto(F.last(col, ignorenulls=True)))
-    carry = _carry(d, keys, F.last("_lv_local", ignorenulls=True), "_carry")
-    j = _join_carry(d, carry, keys)
+    d, dh, pk = _local(df, keys, order, width, _lv_local=_upto(F.last(col, ignorenulls=True)))
+    carry = _carry(dh, pk, F.last("_lv_local", ignorenulls=True), "_carry")
+    j = _join_carry(d, carry, pk)
     return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))
 
 
@@ -165,7 +198,7 @@ def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Running maximum of ``col`` per key (inclusive, nulls ignored), bucketed."""
     keys, order = list(keys), list(order)
-    d = _local(df, keys, order, width, _rm_local=_upto(F.max(col)))
-    carry = _carry(d, keys, F.max("_rm_local"), "_carry")
-    j = _join_carry(d, carry, keys)
+    d, dh, pk = _local(df, keys, order, width, _rm_local=_upto(F.max(col)))
+    carry = _carry(dh, pk, F.max("_rm_local"), "_carry")
+    j = _join_carry(d, carry, pk)
     return j.select(*[F.col(c) for c in df.columns], F.greatest("_rm_local", "_carry").alias(name))
