@@ -57,7 +57,7 @@ def _default(dt: T.DataType) -> Column | None:
     if isinstance(dt, T.BooleanType):
         return F.lit(False)
     if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit(0).cast("timestamp").cast(dt)
+        return F.lit("1970-01-01 00:00:00").cast(dt)
     if isinstance(dt, T.BinaryType):
         return F.lit(bytearray())
     return None

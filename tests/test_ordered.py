@@ -60,3 +60,16 @@ def test_lag_of_null_value_is_not_confused_with_first_row(spark):
 def test_hot_null_key_is_split_and_correct(spark):
     rows = [(None, i, i % 3) for i in range(0, 200)] + [("a", i, 1) for i in range(5)]
     check_all(spark, rows, width=8)
+
+
+def test_time_and_date_keys(spark):
+    import datetime as dt
+
+    from rowcast.operators.ordered import keyed_row_number
+
+    rows = [(dt.date(2024, 1, 1 + i % 2), dt.datetime(2024, 1, 1, i % 3), i) for i in range(30)] + [(None, None, 99)]
+    df = spark.createDataFrame(rows, "d date, t timestamp, o bigint")
+    got = {(r.d, r.t, r.o): r.rn for r in keyed_row_number(df, ["d", "t"], ["o"], "rn", width=2).collect()}
+    w = Window.partitionBy("d", "t").orderBy("o")
+    want = {(r.d, r.t, r.o): r.rn for r in df.select("d", "t", "o", F.row_number().over(w).alias("rn")).collect()}
+    assert got == want
