@@ -74,3 +74,14 @@ def test_total_order(spark):
                                  "gtid_uuid string, gtid_seq bigint, pos bigint")
     got = [(r.gtid_seq, r.pos) for r in total_order(recs).collect()]
     assert got == sorted(got)
+
+
+def test_kafka_writer_needs_the_connector(spark):
+    import pytest
+
+    from rowcast.sinks.fanout import kafka_writer
+
+    recs = spark.createDataFrame([("t", "k", "{}", U, 1, 0)],
+                                 "topic string, key string, value string, gtid_uuid string, gtid_seq bigint, pos bigint")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_writer("localhost:1")(recs, 0)
