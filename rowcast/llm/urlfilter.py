@@ -8,9 +8,9 @@ lacks it is an odd one (or all hold it and their number is odd).  As the levels
 are built over the corpus's complete key universe, the answer is exact for each
 of its urls, and no url is ever joined to a list.
 
-The keys of a url are the suffixes of its host with the beginnings of its path,
-at the lengths that the rules have, so one pass over a url's few keys finds the
-longest rule.  Where no rule fits, the method decides: hosts that carry a label
+The keys of a url are suffixes of its host with beginnings of its path, one for
+each shape (labels, length) that rules have, so one pass over a url's few keys
+finds the longest rule.  Where no rule fits, the method decides: hosts that carry a label
 of ``BLOCKED_LABELS`` are listed in a second cascade and blocked; others pass.
 
 A level is an array of longs, sized from the count of its keys and inlined as a
@@ -57,18 +57,15 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffixes(h: Column) -> Column:
-    """A host and its parent domains, longest first."""
-    parts = F.split(h, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.array_join(F.slice(parts, i, F.size(parts) - i + 1), "."))
+def key_shapes(rules) -> list[tuple[int, int]]:
+    """(labels of the host suffix, length of the path beginning) that rules have."""
+    return sorted({(h.count(".") + 1, len(p)) for h, p, _ in rules})
 
 
-def rule_keys(h: Column, p: Column, lengths: list[int]) -> Column:
-    """host suffix + path beginning, for each length that rules have."""
-    return F.flatten(F.transform(suffixes(h), lambda s: F.filter(
-        F.array(*[F.when(F.length(p) >= n, F.concat(s, F.substring(p, 1, n))) for n in lengths]),
-        lambda k: k.isNotNull())))
+def url_key(h: Column, p: Column, labels: int, length: int) -> Column:
+    """The url's key of one shape; null if its host or path is too short."""
+    enough = (F.size(F.split(h, r"\.", -1)) >= labels) & (F.length(p) >= length)
+    return F.when(enough, F.concat(F.substring_index(h, ".", -labels), F.substring(p, 1, length)))
 
 
 class Cascade:
@@ -107,7 +104,7 @@ class Cascade:
             out = F.lit(True)
             for s in slots:
                 word = F.get(words, F.floor(s / 64).cast("int"))
-                out = out & (F.shiftrightunsigned(word, F.pmod(s, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+                out = out & (F.call_function("shiftrightunsigned", word, F.pmod(s, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
             return F.coalesce(out, F.lit(False))
 
         out = F.lit(False)
@@ -140,27 +137,23 @@ class Cascade:
 def judge(pages: DataFrame, rules=RULES, blocked_labels=BLOCKED_LABELS) -> DataFrame:
     """page_id, host, path, rule, verdict of every row."""
     urls = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    lengths = sorted({len(p) for _, p, _ in rules})
-    keys = rule_keys(F.col("host"), F.col("path"), lengths)
+    shapes = key_shapes(rules)
+    keys = [url_key(F.col("host"), F.col("path"), *x) for x in shapes]
     by = {v: [h + p for h, p, w in rules if w == v] for v in ("allow", "block")}
     # the corpus's complete key universe: every key that any of its urls has
-    universe = written(urls.select("host", F.explode(keys).alias("key"))
+    universe = written(urls.select(F.explode(F.array(*keys)).alias("key")).where("key is not null")
                        .groupBy("key").agg(F.count(F.lit(1)).alias("urls")), "url-keys")
     hosts = urls.groupBy(F.col("host").alias("key")).agg(F.count(F.lit(1)).alias("urls"))
     carries = F.arrays_overlap(F.split("key", r"\."), F.array(*[F.lit(x) for x in blocked_labels]))
     cascades = {v: Cascade.build(universe.select("key", F.col("key").isin(by[v]).alias("listed"))) for v in by}
     listed_hosts = Cascade.build(written(hosts.select("key", carries.alias("listed")), "url-hosts"))
 
-    def longest(v: str) -> Column:
-        hits = F.filter(keys, lambda k: cascades[v].contains(k))
-        return F.array_max(F.transform(hits, lambda k: F.struct(F.length(k).alias("n"), k.alias("key"))))
-
-    out = urls.withColumn("allow_hit", longest("allow")).withColumn("block_hit", longest("block"))
-    best = F.greatest(F.struct(F.coalesce("allow_hit.n", F.lit(-1)).alias("n"), F.lit("allow").alias("verdict"),
-                               F.col("allow_hit.key").alias("key")),
-                      F.struct(F.coalesce("block_hit.n", F.lit(-1)).alias("n"), F.lit("block").alias("verdict"),
-                               F.col("block_hit.key").alias("key")))
+    out = urls.withColumns({f"key{i}": k for i, k in enumerate(keys)})
+    none = F.struct(F.lit(-1).alias("n"), F.lit(None).cast("string").alias("verdict"), F.lit(None).cast("string").alias("rule"))
+    hits = [F.when(F.col(f"key{i}").isNotNull() & cascades[v].contains(F.col(f"key{i}")), F.struct(
+        F.length(f"key{i}").alias("n"), F.lit(v).alias("verdict"), F.col(f"key{i}").alias("rule")))
+        for i in range(len(shapes)) for v in by]
     own = F.when(listed_hosts.contains(F.col("host")), "block").otherwise("allow")
-    return out.withColumn("best", best).select(
-        "page_id", "host", "path", F.when(F.col("best.n") >= 0, F.col("best.key")).alias("rule"),
-        F.when(F.col("best.n") >= 0, F.col("best.verdict")).otherwise(own).alias("verdict"))
+    best = out.select("page_id", "host", "path", F.greatest(none, *hits).alias("best"), own.alias("own"))
+    return best.select("page_id", "host", "path", F.col("best.rule").alias("rule"),
+                       F.coalesce("best.verdict", "own").alias("verdict"))
