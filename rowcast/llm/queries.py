@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, packing, urlfilter, warc
+from . import exactdedup, neardup, packing, urlfilter, warc
 from .common import table
 
 
@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near-duplicates."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url judged by the rules, else by the cascade's host list."""
     return urlfilter.judge(table(spark, sf_dir, "pages"))
@@ -41,7 +46,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, at).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op5_url_filter, op7_packing, op8_exact_dedup, op9_warc)}
+QUERIES = {f.__name__: f for f in (op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 
