@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, neardup, packing, urlfilter, warc
+from . import exactdedup, langid, neardup, packing, toxicity, urlfilter, warc
 from .common import table
 
 
@@ -15,6 +15,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the pattern grammar."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by Kneser-Ney character models."""
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -43,10 +53,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to a WARC archive and read back."""
     pages = table(spark, sf_dir, "pages")
     at = warc.write_archives(pages, warc.archive_path(spark))
-    return warc.read_archives(spark, at).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(spark, at, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 

@@ -204,8 +204,9 @@ def joined(chunks):
             yield "loose", first_at + k, chunk
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The page records of the archives below ``path`` (RECORD_DDL)."""
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The page records of the archives below ``path`` (RECORD_DDL); without
+    ``payloads`` their bytes are checked and counted but not kept."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     raw = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
@@ -217,7 +218,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             if kind == "loose":
                 yield (None,) * 7 + (file, block, i, data)
             elif (r := parse_record(data)) is not None:
-                yield r + (None,) * 4
+                yield (r if payloads else (*r[:3], None, *r[4:])) + (None,) * 4
 
     def run(batches):
         def chunks():
@@ -238,6 +239,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         t = sorted(zip(*(pdf.column(k).to_pylist() for k in ("loose_block", "loose_at", "loose_chunk")), strict=True),
                    key=lambda r: (r[0], r[1]))
         rows = [r for kind, _, data in joined(x[2] for x in t) if kind == "record" and (r := parse_record(data)) is not None]
+        rows = rows if payloads else [(*r[:3], None, *r[4:]) for r in rows]
         cols = list(zip(*rows, strict=True)) or [[]] * 7
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, _arrow(RECORD_DDL), strict=True)], schema=_arrow(RECORD_DDL))
 
