@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exactdedup, langid, neardup, packing, toxicity, urlfilter, warc
+from . import decontam, exactdedup, langid, neardup, packing, toxicity, urlfilter, warc
 from .common import table
 
 
@@ -56,7 +56,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, at, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that it leaks."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc, op10_decontamination)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 

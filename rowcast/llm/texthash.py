@@ -58,14 +58,15 @@ def ranges(offsets: np.ndarray, most: int = CHUNK_BYTES):
         i = j
 
 
-def words(body: np.ndarray, offsets: np.ndarray):
-    """(row of each word, hash of each word, first byte, end byte)."""
+def words(body: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray | None = None):
+    """(row of each word, hash of each word, first byte, end byte);
+    ``solid_bytes``: which bytes words are made of, all but white space if None."""
     n, rows = len(body), len(offsets) - 1
     if n == 0:
         e = np.empty(0, np.int64)
         return e, np.empty(0, np.uint64), e, e
     low = LOWER[body]
-    solid = ~SPACES[low]
+    solid = (~SPACES if solid_bytes is None else solid_bytes)[low]
     starts = np.empty(n, bool)
     starts[0] = True
     starts[1:] = ~solid[:-1]
