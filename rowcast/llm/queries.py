@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exactdedup, langid, neardup, packing, toxicity, urlfilter, warc
+from . import chat, decontam, exactdedup, htmldiff, langid, neardup, packing, toxicity, urlfilter, warc
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k (chosen) and 2k + 1 (rejected) as preference records."""
+    return chat.format_pairs(chat.numbered_pairs(table(spark, sf_dir, "conversations")))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near-duplicates."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -35,6 +40,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by differencing with its nearest URL."""
+    return htmldiff.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens, one row per piece."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -61,7 +71,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op4_minhash_near_dedup, op5_url_filter, op7_packing, op8_exact_dedup, op9_warc, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_chat_formatting, op4_minhash_near_dedup, op5_url_filter, op6_html_extraction, op7_packing, op8_exact_dedup, op9_warc, op10_decontamination)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 
@@ -103,3 +113,34 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND first_id <> page_id THEN first_id END AS refers_to
 FROM f""",
 }
+
+ORACLES["op3_chat_formatting"] = """
+WITH t AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT pair_id FROM t GROUP BY 1 HAVING count(DISTINCT chosen) = 2),
+c AS (
+  SELECT a.pair_id, a.pos FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.pos = b.pos AND a.chosen AND NOT b.chosen
+   AND a.role = b.role AND a.text = b.text),
+n AS (
+  SELECT pair_id, min(pos) AS ends FROM (
+    SELECT t.pair_id, t.pos FROM t LEFT JOIN c USING (pair_id, pos) WHERE c.pos IS NULL
+    UNION ALL SELECT pair_id, max(pos) + 1 FROM t GROUP BY 1) GROUP BY 1),
+r AS (
+  SELECT t.*, ends, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS body,
+         length('<|im_start|>' || role || chr(10)) AS head
+  FROM t JOIN p USING (pair_id) JOIN n USING (pair_id)),
+s AS (
+  SELECT *, coalesce(sum(length(body)) OVER (PARTITION BY pair_id, chosen, pos >= ends ORDER BY pos
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM r)
+SELECT pair_id, min(ends) - 1 AS prompt_turns,
+  coalesce(string_agg(body, '' ORDER BY pos) FILTER (pos < ends AND chosen), '') AS prompt,
+  coalesce(string_agg(body, '' ORDER BY pos) FILTER (pos >= ends AND chosen), '') AS chosen,
+  coalesce(string_agg(body, '' ORDER BY pos) FILTER (pos >= ends AND NOT chosen), '') AS rejected,
+  coalesce(string_agg((before + head) || '-' || (before + length(body) - 1), ',' ORDER BY pos)
+    FILTER (pos >= ends AND chosen AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg((before + head) || '-' || (before + length(body) - 1), ',' ORDER BY pos)
+    FILTER (pos >= ends AND NOT chosen AND role = 'assistant'), '') AS rejected_mask
+FROM s GROUP BY pair_id"""
