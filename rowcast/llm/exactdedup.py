@@ -243,3 +243,17 @@ def duplicates(docs: DataFrame) -> DataFrame:
     live = CuckooIndex.sized(spark, rows.count()).insert(groups).entries()
     return (rows.join(live, "digest")
             .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each text, as it is: that of the smallest doc_id
+    (of equal rows any one).  Rows meet on the digest once; a text's copies are
+    gone before they are sent, but for rows that share the smallest id."""
+    names = docs.columns
+    rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"))
+                   .withColumn("row", F.lit(0).cast("long")), "digests")
+    live = CuckooIndex.sized(docs.sparkSession, rows.count()).insert(summarised(rows)).entries()
+    keep = live.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
+    named = docs.withColumn("_own", digest(F.col("text")))
+    same = (F.col("_own") == F.col("_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep"))
+    return named.join(keep, same).dropDuplicates(["_own"]).select(*[F.col(f"`{c}`") for c in names])

@@ -79,6 +79,11 @@ def _roots(sketch: np.ndarray) -> np.ndarray:
     return texthash.mix((sketch[:, at].astype(np.uint64) << np.uint64(8)) + at.astype(np.uint64))
 
 
+def _text_key():
+    """Which row it is, up to rows of equal doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("text_key")
+
+
 def sets(docs: DataFrame) -> DataFrame:
     """One row per document: its set's id (a 128-bit digest; null if empty),
     size, sketch and first-level nodes (SET_DDL)."""
@@ -103,7 +108,7 @@ def sets(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "text_key", "set_id", "n", "sketch", "nodes"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.xxhash64("doc_id", "text").alias("text_key")).mapInArrow(run, SET_DDL)
+                       _text_key()).mapInArrow(run, SET_DDL)
 
 
 def _size_fits(a: str, b: str):
@@ -330,14 +335,14 @@ def links(base: DataFrame, texts: DataFrame) -> DataFrame:
     return star_links.unionByName(late)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+def _linked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n, set_id, component_id) of every row; the component
+    of an empty set is null."""
     rows = written(sets(docs), "shingle-sets")
     base = written(rows.where("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.first("n").alias("n"),
         F.first("sketch").alias("sketch"), F.first("nodes").alias("nodes")), "sets")
-    texts = (docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("text_key"),
-                         F.col("text").cast("string").alias("text"))
+    texts = (docs.select(_text_key(), F.col("text").cast("string").alias("text"))
              .join(base.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"]))
     roots = components(links(base, texts)).withColumnRenamed("v", "set_id")
     joined = base.select("set_id", "least").join(roots, "set_id")
@@ -345,7 +350,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = joined.join(least, "root").select("set_id", "component_id")
     named = written(base.select("set_id", "least").join(linked, "set_id", "left")
                     .select("set_id", F.coalesce("component_id", "least").alias("component_id")), "set-components")
-    out = rows.select("doc_id", "n", "set_id").join(named, "set_id", "left")
+    return rows.select("doc_id", "text_key", "n", "set_id").join(named, "set_id", "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     own = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return _linked(docs).select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"),
+                                F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id names their component, as they are, and
+    all rows without shingles.  What goes is joined away, so rows that tie on
+    doc_id and text stay or go together."""
+    gone = _linked(docs).where("set_id is not null and not (doc_id <=> component_id)").select(
+        F.col("text_key").alias("_gone")).distinct()
+    return docs.join(gone, _text_key() == F.col("_gone"), "left_anti")

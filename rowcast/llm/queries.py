@@ -45,14 +45,18 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmldiff.extract(table(spark, sf_dir, "pages"))
 
 
-def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into windows of 2048 tokens, one row per piece."""
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
-                          tokenizer_path("byte_bpe_50k.tiktoken"))
+def packed_digests(docs: DataFrame) -> DataFrame:
+    """Packed pieces with the checksum of their ids."""
+    pieces = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens, one row per piece."""
+    return packed_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts."""
     rows = exactdedup.duplicates(table(spark, sf_dir, "documents"))
