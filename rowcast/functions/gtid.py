@@ -50,13 +50,19 @@ def format_gtid_set(ranges: str | Column) -> Column:
 def widen_single(ranges: str | Column, start: int | Column = 1) -> Column:
     """A saved ``uuid:N`` means everything up to N is done: widen a uuid's only
     interval ``N-N`` to ``start-N``.  Sets with real intervals stay."""
-    r = _c(ranges)
     s = start if isinstance(start, Column) else F.lit(int(start)).cast("bigint")
-    return F.transform(r, lambda x: F.struct(
-        x["uuid"].alias("uuid"),
-        F.when((x["lo"] == x["hi"]) & (F.size(F.filter(r, lambda y: y["uuid"] == x["uuid"])) == 1),
-               F.least(s, x["lo"])).otherwise(x["lo"]).alias("lo"),
-        x["hi"].alias("hi")))
+
+    def widen(r):  # sorted: a uuid's only interval has neighbours of other uuids
+        def alone(x, i):
+            return (~F.coalesce(F.get(r, i - 1)["uuid"] == x["uuid"], F.lit(False))
+                    & ~F.coalesce(F.get(r, i + 1)["uuid"] == x["uuid"], F.lit(False)))
+        return F.transform(r, lambda x, i: F.struct(
+            x["uuid"].alias("uuid"),
+            F.when((x["lo"] == x["hi"]) & alone(x, i), F.least(s, x["lo"])).otherwise(x["lo"]).alias("lo"),
+            x["hi"].alias("hi")))
+
+    # bound as a lambda variable, so the sorted list is made once per row
+    return F.get(F.transform(F.array(F.array_sort(_c(ranges))), widen), 0)
 
 
 def in_gtid_set(uuid: str | Column, seq: str | Column, ranges: str | Column) -> Column:

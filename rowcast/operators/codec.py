@@ -18,9 +18,27 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_FORMAT = "yyyy-MM-dd"
 
 
-def payload(fields=ENVELOPE_FIELDS) -> Column:
-    """The JSON text of an event (one expression, runs in codegen)."""
-    return F.to_json(F.struct(*[F.col(f) for f in fields]), JSON_OPTIONS)
+def payload_parts(events: DataFrame) -> list[Column]:
+    """The envelope fields of ``events`` in the form that is encoded: images
+    with their columns in name order and times in one text format, whichever
+    layout they come in."""
+    from rowcast.operators.mixed import sorted_rows
+
+    parts = []
+    for f in ENVELOPE_FIELDS:
+        dt = events.schema[f].dataType
+        if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.MapType):
+            parts.append(sorted_rows(F.col(f)).alias(f))
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+            parts.append(prepare_images(F.col(f), dt.elementType).alias(f))
+        else:
+            parts.append(F.col(f))
+    return parts
+
+
+def payload(events: DataFrame) -> Column:
+    """The JSON text of each of ``events``."""
+    return F.to_json(F.struct(*payload_parts(events)), JSON_OPTIONS)
 
 
 def image_json(image: str | Column) -> Column:
@@ -31,22 +49,10 @@ def image_json(image: str | Column) -> Column:
 def encode(events: DataFrame, keep: tuple[str, ...] = (GTID_UUID, GTID_SEQ, POS)) -> DataFrame:
     """Events -> delivery records ``(pipeline, topic, key, value, <position>)``.
 
-    Mixed-layout images (maps) get their entries put in name order first, so
-    both layouts encode to the same text.
+    Both image layouts encode to the same text (:func:`payload`).
     """
-    from rowcast.operators.mixed import sorted_rows
-
     side = [c for c in keep if c in events.columns]
-    parts = []
-    for f in ENVELOPE_FIELDS:
-        dt = events.schema[f].dataType
-        if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.MapType):
-            parts.append(sorted_rows(F.col(f)).alias(f))
-        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
-            parts.append(prepare_images(F.col(f), dt.elementType).alias(f))
-        else:
-            parts.append(F.col(f))
-    value = F.to_json(F.struct(*parts), JSON_OPTIONS)
+    value = payload(events)
     return events.select(F.col("meta.pipeline").alias("pipeline"), F.col("kafka.topic").alias("topic"),
                          F.col("kafka.key").alias("key"), value.alias("value"), *side)
 

@@ -10,31 +10,43 @@ from pyspark.sql import functions as F
 
 from rowcast.model import GTID_SEQ, GTID_UUID, POS
 from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_row_number
-from rowcast.session import bounded_broadcast
 
-POSITION_KEYS = (GTID_UUID, GTID_SEQ, POS)
+#: A source position: unique per pipeline, as several may read one log.
+POSITION_KEYS = ("pipeline", GTID_UUID, GTID_SEQ, POS)
 
 
-def dedupe(records: DataFrame, keys: Sequence[str] = POSITION_KEYS, copies: str | None = None) -> DataFrame:
-    """One record per source position (at-least-once replays removed).
+def _position(records: DataFrame, keys: Sequence[str] | None) -> list[str]:
+    return list(keys) if keys is not None else [c for c in POSITION_KEYS if c in records.columns]
+
+
+def dedupe(records: DataFrame, keys: Sequence[str] | None = None, copies: str | None = None) -> DataFrame:
+    """One record per pipeline and source position (at-least-once replays
+    removed).
 
     An aggregate with a map-side partial step, so many copies of one position
     collapse inside each task before the shuffle.  Of differing copies (a
     replay carries a new processing time) the smallest is kept, so a retried
-    task picks the same one.  ``copies`` adds how many copies were seen.
+    task picks the same one.  Records without a full position can't be told
+    apart and all pass.  ``copies`` adds how many copies were seen.
     """
-    keys = list(keys)
+    keys = _position(records, keys)
     rest = [c for c in records.columns if c not in keys]
+    placed = F.lit(True)
+    for k in keys:
+        placed = placed & F.col(k).isNotNull()
     aggs = [F.min(F.struct(*[F.col(c) for c in rest])).alias("_keep")]
     if copies:
         aggs.append(F.count(F.lit(1)).alias(copies))
-    out = records.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, *[F.col("_keep")[c].alias(c) for c in rest], *([copies] if copies else []))
+    out = records.filter(placed).groupBy(*keys).agg(*aggs)
+    more = [copies] if copies else []
+    out = out.select(*keys, *[F.col("_keep")[c].alias(c) for c in rest], *more)
+    loose = records.filter(~placed).select(*keys, *rest, *([F.lit(1).cast("bigint").alias(copies)] if copies else []))
+    return out.unionByName(loose)
 
 
-def dedupe_stream(records: DataFrame, event_time: str, delay: str, keys: Sequence[str] = POSITION_KEYS) -> DataFrame:
+def dedupe_stream(records: DataFrame, event_time: str, delay: str, keys: Sequence[str] | None = None) -> DataFrame:
     """P7 on a stream: state kept only within the watermark delay."""
-    return records.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return records.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(_position(records, keys))
 
 
 def sequence_in_key(records: DataFrame, keys: Sequence[str] = ("topic", "key"),
@@ -66,8 +78,9 @@ def total_order(records: DataFrame, order: Sequence[str] = (GTID_UUID, GTID_SEQ,
 
 def latency_by_topic(records: DataFrame, sink_time_us: Column, topic: str = "topic",
                      event_time_us: Column | None = None) -> DataFrame:
-    """P10: delivery delay per topic in microseconds (exact count, sum, min, max,
-    integer mean and an approximate p99)."""
+    """P10: delivery delay per topic in microseconds: count, sum, minimum,
+    maximum, integer mean and the 99th percentile as a value that occurs
+    (nearest rank; Spark's percentile sketch is exact up to its accuracy)."""
     et = event_time_us if event_time_us is not None else F.get_json_object("value", "$.meta.timestamp").cast("bigint")
     lat = (sink_time_us - et).cast("bigint")
     return (records.select(F.col(topic).alias("topic"), lat.alias("_lat"))
@@ -75,45 +88,44 @@ def latency_by_topic(records: DataFrame, sink_time_us: Column, topic: str = "top
             .agg(F.count(F.lit(1)).alias("n"), F.sum("_lat").alias("sum_latency_us"),
                  F.min("_lat").alias("min_latency_us"), F.max("_lat").alias("max_latency_us"),
                  F.expr("sum(_lat) div count(1)").alias("avg_latency_us"),
-                 F.percentile_approx("_lat", 0.99).alias("p99_latency_us")))
+                 F.percentile_approx("_lat", 0.99, 1_000_000).alias("p99_latency_us")))
 
 
-def enrich_rows(events: DataFrame, image: str, dim: DataFrame, on: tuple[str, str], fields: Sequence[str],
-                event_id: Sequence[str] = (GTID_UUID, GTID_SEQ, POS), max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """M8: add dimension columns to every row of an image list.
+def enrich_rows(events: DataFrame, image: str, dim: DataFrame, on: tuple[str, str], fields: Sequence[str]) -> DataFrame:
+    """M8: add dimension columns to every row of an image list (a left join:
+    a row whose key the dimension holds twice comes out twice).
 
     Rows are exploded with their position (the event's other columns ride
-    along), left-joined to ``dim`` (``on = (image_field, dim_column)``;
-    broadcast only when ``dim`` has at most ``max_broadcast_rows`` rows, else
-    a shuffle join) and put back in order per event: one shuffle on
-    ``event_id``, bounded per group by the rows of one event.  Null images stay
-    null; new fields are placed in name order.
+    along), joined to ``dim`` (``on = (image_field, dim_column)``) and put back
+    in order per event.  Spark broadcasts ``dim`` where its size allows and
+    splits skewed keys otherwise.  An event is identified by its pipeline, its
+    position and a row id, so equal positions never merge; a group holds the
+    rows of one event.  Null images stay null; new fields are placed in name
+    order.
     """
     img_field, dim_col = on
-    ev_key = list(event_id)
+    events = events.withColumn("_eid", F.monotonically_increasing_id())
+    key = ["_eid", *[c for c in (GTID_UUID, GTID_SEQ, POS) if c in events.columns]]
     itype = events.schema[image].dataType.elementType
     names = sorted(set(itype.names) | set(fields))
-    other = [c for c in events.columns if c not in ev_key and c != image]
-    d = dim.select(F.col(dim_col).alias("_dk"), *[F.col(f) for f in fields]).dropDuplicates(["_dk"])
-    d, _ = bounded_broadcast(d, max_broadcast_rows)
-    rows = events.select(*ev_key, *other, F.col(image).isNull().alias("_img_null"),
-                         F.posexplode_outer(image).alias("_pos", "_r"))
+    other = [c for c in events.columns if c not in key and c != image]
+    d = dim.select(F.col(dim_col).alias("_dk"), *[F.col(f) for f in fields])
+    rows = events.select(*key, *other, F.col(image).isNull().alias("_img_null"), F.posexplode_outer(image).alias("_pos", "_r"))
     joined = rows.join(d, rows["_r"][img_field] == d["_dk"], "left")
     rebuilt = F.struct(*[(F.col(f) if f in fields else F.col("_r")[f]).alias(f) for f in names])
-    agg = joined.groupBy(*ev_key).agg(
+    agg = joined.groupBy(*key).agg(
         *[F.first(c).alias(c) for c in other], F.first("_img_null").alias("_img_null"),
         F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(),
                                            F.struct(F.col("_pos"), rebuilt.alias("_row"))))).alias("_rows"))
     new_img = F.when(F.col("_img_null"), F.lit(None)).otherwise(F.transform("_rows", lambda x: x["_row"]))
-    return agg.select(*[(new_img.alias(c) if c == image else F.col(c)) for c in events.columns])
+    return agg.select(*[(new_img.alias(c) if c == image else F.col(c)) for c in events.columns if c != "_eid"])
 
 
-def enrich_event(events: DataFrame, dim: DataFrame, on: tuple[Column, str], fields: Sequence[str],
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def enrich_event(events: DataFrame, dim: DataFrame, on: tuple[Column, str], fields: Sequence[str]) -> DataFrame:
     """M8 at event level: left-join a dimension on an event expression
-    (e.g. ``first_row('after')['user_id']``) and add its columns."""
+    (e.g. ``first_row('after')['user_id']``) and add its columns; an event whose
+    key the dimension holds twice comes out twice."""
     expr, dim_col = on
-    d = dim.select(F.col(dim_col).alias("_dk"), *[F.col(f) for f in fields]).dropDuplicates(["_dk"])
-    d, _ = bounded_broadcast(d, max_broadcast_rows)
+    d = dim.select(F.col(dim_col).alias("_dk"), *[F.col(f) for f in fields])
     ev = events.withColumn("_ek", expr)
     return ev.join(d, ev["_ek"] == d["_dk"], "left").drop("_ek", "_dk")

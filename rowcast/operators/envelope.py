@@ -63,6 +63,11 @@ def normalise_strings(rows: Column, image_type: T.DataType, string_columns: Sequ
                 r = r.withField(c, r[c].cast("string"))
             return r
         return F.transform(rows, fix)
+    if isinstance(image_type, T.MapType) and isinstance(image_type.valueType, T.VariantType):
+        def text(k, v):
+            raw = k.isin(*string_columns) & (F.schema_of_variant(v) == "BINARY")
+            return F.when(raw, F.try_variant_get(v, "$", "binary").cast("string").cast("variant")).otherwise(v)
+        return F.transform(rows, lambda r: F.transform_values(r, text))
     return rows
 
 

@@ -25,14 +25,24 @@ def _by_key(left: Column, right: Column) -> Column:
     return F.when(left["key"] < right["key"], -1).when(left["key"] > right["key"], 1).otherwise(0)
 
 
-def struct_to_map(row: Column, names: Sequence[str]) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[row[n].cast("variant") for n in names]))
+def _value(row: Column, field: T.StructField) -> Column:
+    """A column's value as a variant; times in the text form that is encoded."""
+    from rowcast.operators.codec import TIME_FORMAT
+
+    v = row[field.name]
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        v = F.date_format(v, TIME_FORMAT)
+    return v if isinstance(field.dataType, T.VariantType) else v.cast("variant")
+
+
+def struct_to_map(row: Column, image_type: T.StructType) -> Column:
+    return F.map_from_arrays(F.array(*[F.lit(f.name) for f in image_type.fields]),
+                             F.array(*[_value(row, f) for f in image_type.fields]))
 
 
 def to_mixed_rows(rows: Column, image_type: T.StructType) -> Column:
     """``array<struct>`` -> ``array<map<string, variant>>``."""
-    names = image_type.names
-    return F.transform(rows, lambda r: struct_to_map(r, names))
+    return F.transform(rows, lambda r: struct_to_map(r, image_type))
 
 
 def to_mixed_log(log: DataFrame) -> DataFrame:

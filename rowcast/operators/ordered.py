@@ -1,51 +1,47 @@
 """Per-key ordered operators that stay balanced when one key is huge.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, so a key
-holding a third of all rows becomes one giant sort.  The operators here split
-each key into fixed-width buckets of its integer order column (a sequence
-number, a GTID, an event id).  The window runs per ``(key, bucket)``, which is
-bounded by the bucket width when the order value is unique per key, and the
-first rows of every bucket are repaired from the previous buckets' summary.
-
-Only hot keys (more than ``width`` rows, found with a partial count per key)
-are split; every other key is one window partition of at most ``width`` rows.
-Bound for a hot key: a bucket holds at most ``width`` distinct values of the
-leading order column, so at most ``width x (rows sharing one leading value)``
-rows.  Lead with a per-event sequence (event id, GTID sequence, log
-position): rows sharing one GTID are the row events of one transaction,
-which the source bounds.  Buckets are a pure function of the row (no
-partition ids), so the main branch and the summary branch always agree,
-whatever AQE does to either exchange.
-
-One pass computes the local window values and flags each bucket's last row;
-those last rows are the per-bucket summary (one row per ``(key, bucket)``).
-Catalyst prunes the summary branch to the key, order and carried columns,
-so it is a second, narrow read and shuffle (it differs from the main branch,
-so the exchange is not shared).  The summary is windowed per key: for a key
-holding ``n`` rows it has at most ``n / width`` rows, and it is joined back
-on ``(key, bucket)``, the partitioning the main branch already has.
+holding a third of all rows becomes one giant sort.  The operators here cut
+every key into buckets of its integer order column (a sequence number, a GTID,
+an event id): ``order[0] div width``.  Rows are exchanged on ``(key, bucket)``
+explicitly, so a partitioning that the input already has never keeps a key
+together, and the window runs per ``(key, bucket)``.  What a bucket takes over
+from earlier ones (rows so far, sum so far, last value) comes from a summary
+with one row per ``(key, bucket)``.
+
+The summary is an aggregate (summed map-side, so a hot key costs one row per
+task and bucket), is windowed per key (a key of ``n`` dense rows has
+``n / width`` buckets), keeps only buckets that have earlier ones, and is
+written to the shared folder.  The plan that is returned therefore scans its
+input once, whatever number of calls is chained; each call adds one narrow pass
+over its input for the summary.  Number, sums, lags, last values and maxima of
+one key and order are computed together by :func:`keyed_windows`.
+
+Bound: a bucket holds at most ``width`` distinct values of the leading order
+column, so lead with a per-event sequence (event id, GTID sequence, log
+position): rows that share one GTID are the row events of one transaction,
+which the source bounds.  ``order`` must be unique per key.  Batch only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowcast.session import save_shared
+
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 _B = "_ord_bucket"
-_LAST = "_ord_last"
+_FIRST_BUCKET = -(1 << 62)
 
 
 def _bucket(order: Sequence[str], width: int) -> Column:
-    """Exact integer bucket of the first order column."""
-    return F.expr(f"CAST(`{order[0]}` AS BIGINT) div {int(width)}")
-
-
-_HOT = "_ord_hot"
+    """Exact integer bucket of the first order column; null sorts first."""
+    return F.coalesce(F.expr(f"CAST(`{order[0]}` AS BIGINT) div {int(width)}"), F.lit(_FIRST_BUCKET))
 
 
 def _default(dt: T.DataType) -> Column | None:
@@ -80,125 +76,82 @@ def _part_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     return df, cols
 
 
-def _prep(df: DataFrame, keys: list[str], order: list[str], width: int) -> tuple[DataFrame, list[str]]:
-    """Null-safe partition keys, the hot flag and the bucket.
-
-    Only hot keys (more than ``width`` rows, found with a partial count) are
-    split into buckets; every other key is one window partition of at most
-    ``width`` rows.
-    """
-    d, pk = _part_keys(df, keys)
-    hot = (d.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > width)
-           .select(*pk, F.lit(True).alias(_HOT)))
-    d = d.join(hot, on=pk, how="left").withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)))
-    return d.withColumn(_B, F.when(F.col(_HOT), _bucket(order, width)).otherwise(F.lit(0).cast("bigint"))), pk
-
-
-def _windowed(d: DataFrame, pk: list[str], order: list[str], **cols) -> DataFrame:
-    """The per-(key, bucket) window columns and the last-row flag.
+def keyed_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], number: str | None = None,
+                  sums: Mapping[str, str] | None = None, lags: Mapping[str, str] | None = None,
+                  lasts: Mapping[str, str] | None = None, maxes: Mapping[str, str] | None = None,
+                  width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Add per-key ordered columns, each equal to the plain window over
+    ``partitionBy(keys).orderBy(order)``.
 
-    ``cols`` values are window functions, or ``(function, frame)`` pairs where
-    ``frame`` maps the window spec to a framed one.
+    ``number``: 1-based position; ``sums``, ``maxes`` and ``lasts``: running
+    sum, maximum and last non-null value up to and including the row; ``lags``:
+    the value on the previous row.  Mappings are output name -> input column.
     """
+    keys, order = list(keys), list(order)
+    sums, lags, lasts, maxes = (dict(x or {}) for x in (sums, lags, lasts, maxes))
+    inputs = list(dict.fromkeys([*keys, *order, *sums.values(), *lags.values(), *lasts.values(), *maxes.values()]))
+    d, pk = _part_keys(df.select(*inputs).withColumn(_B, _bucket(order, width)), keys)
+    at = F.struct(*[F.col(c) for c in order])
+    lagged = F.struct(*[F.col(c).alias(n) for n, c in lags.items()]) if lags else F.lit(None)
+    summary = d.groupBy(*pk, _B).agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(lagged, at).alias("_lag"),
+        *[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_m_{n}") for n, c in maxes.items()],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_l_{n}") for n, c in lasts.items()])
+    every = Window.partitionBy(*pk).orderBy(_B)
+    before = every.rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *pk, _B, F.row_number().over(every).alias("_i"), F.sum("_n").over(before).alias("_cn"),
+        F.last("_lag").over(before).alias("_clag"), *[F.sum(f"_s_{n}").over(before).alias(f"_cs_{n}") for n in sums],
+        *[F.max(f"_m_{n}").over(before).alias(f"_cm_{n}") for n in maxes],
+        *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_cl_{n}") for n in lasts])
+    carry = save_shared(carry.filter(F.col("_i") > 1).drop("_i"), "ordered-carry")
+
+    rows, pk = _part_keys(df.withColumn(_B, _bucket(order, width)), keys)
     w = Window.partitionBy(*pk, _B).orderBy(*order)
-    for name, c in cols.items():
-        d = d.withColumn(name, c[0].over(c[1](w)) if isinstance(c, tuple) else c.over(w))
-    return d.withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull())
-
-
-def _local(df: DataFrame, keys: list[str], order: list[str], width: int, **cols):
-    """(windowed frame, its hot rows windowed alone, partition keys).
-
-    The second frame feeds the carry: hotness is per key, so windowing only
-    the hot rows gives the same bucket ends while the carry branch moves the
-    hot rows only."""
-    pre, pk = _prep(df, keys, order, width)
-    return _windowed(pre, pk, order, **cols), _windowed(pre.filter(F.col(_HOT)), pk, order, **cols), pk
-
-
-def _carry(dh: DataFrame, pk: list[str], agg: Column, name: str) -> DataFrame:
-    """Per (hot key, bucket): ``agg`` over the earlier buckets' last rows.
-
-    Keys that are not hot have one bucket and need no carry, so the summary
-    holds hot-key buckets only (small; AQE broadcasts it by its run-time size)."""
-    before = Window.partitionBy(*pk).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    return dh.filter(F.col(_LAST)).select(*pk, _B, agg.over(before).alias(name))
-
-
-def _join_carry(d: DataFrame, carry: DataFrame, pk: list[str]) -> DataFrame:
-    """Left-join the carry on (partition keys, bucket): the window's own
-    partitioning, so the main frame is not shuffled again."""
-    return d.join(carry, on=[*pk, _B], how="left")
-
-
-def _upto(fn: Column):
-    return fn, lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.repartition(*pk, _B).select(
+        "*", F.row_number().over(w).alias("_ln"), F.lag(F.struct(*[F.col(c).alias(n) for n, c in lags.items()])
+                                                        if lags else F.lit(None)).over(w).alias("_llag"),
+        *[F.sum(c).over(upto).alias(f"_ls_{n}") for n, c in sums.items()],
+        *[F.max(c).over(upto).alias(f"_lm_{n}") for n, c in maxes.items()],
+        *[F.last(c, ignorenulls=True).over(upto).alias(f"_ll_{n}") for n, c in lasts.items()])
+    j = local.join(carry, on=[*pk, _B], how="left")
+    out = [(F.col("_ln") + F.coalesce("_cn", F.lit(0))).cast("bigint").alias(number)] if number else []
+    for n in sums:  # SQL sum: null only while every value so far is null
+        a, b = F.col(f"_ls_{n}"), F.col(f"_cs_{n}")
+        out.append(F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b).cast(j.schema[f"_ls_{n}"].dataType).alias(n))
+    prev = F.coalesce("_llag", "_clag") if lags else None
+    out += [prev[n].alias(n) for n in lags]
+    out += [F.coalesce(f"_ll_{n}", f"_cl_{n}").alias(n) for n in lasts]
+    out += [F.greatest(f"_lm_{n}", f"_cm_{n}").alias(n) for n in maxes]
+    return j.select(*[F.col(c) for c in df.columns], *out)
 
 
 def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
               prefix: str = "prev_", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
-
-    Same result as ``lag(c).over(Window.partitionBy(keys).orderBy(order))``.
-    ``order[0]`` must be an integer column; it drives the bucketing.
-    """
-    keys, order, cols = list(keys), list(order), list(cols)
-    img = F.struct(*[F.col(c).alias(c) for c in cols])
-    d, dh, pk = _local(df.withColumn("_img", img), keys, order, width, _lag_local=F.lag("_img"))
-    carry = _carry(dh, pk, F.last("_img"), "_lag_carry")
-    j = _join_carry(d, carry, pk)
-    lagged = F.coalesce(F.col("_lag_local"), F.col("_lag_carry"))
-    return j.select(*[F.col(c) for c in df.columns], *[lagged[c].alias(prefix + c) for c in cols])
+    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key."""
+    return keyed_windows(df, keys, order, lags={prefix + c: c for c in cols}, width=width)
 
 
 def keyed_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
                      width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Add ``name`` = 1-based position of the row within its key, by ``order``.
-
-    Same result as ``row_number().over(Window.partitionBy(keys).orderBy(order))``
-    (ties broken by the full ``order`` list, which should be unique per key).
-    """
-    keys, order = list(keys), list(order)
-    d, dh, pk = _local(df, keys, order, width, _rn_local=F.row_number())
-    carry = _carry(dh, pk, F.sum("_rn_local"), "_off")
-    j = _join_carry(d, carry, pk)
-    return j.select(*[F.col(c) for c in df.columns],
-                    (F.col("_rn_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint").alias(name))
+    """Add ``name`` = 1-based position of the row within its key, by ``order``."""
+    return keyed_windows(df, keys, order, number=name, width=width)
 
 
 def keyed_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
                       width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Running sum of ``value`` per key (inclusive of the current row), bucketed."""
-    keys, order = list(keys), list(order)
-    d, dh, pk = _local(df, keys, order, width, _rs_local=_upto(F.sum(value)))
-    carry = _carry(dh, pk, F.sum("_rs_local"), "_off")
-    j = _join_carry(d, carry, pk)
-    loc, off = F.col("_rs_local"), F.col("_off")
-    # SQL sum semantics: null only while every value so far is null
-    total = F.when(loc.isNull() & off.isNull(), F.lit(None)).otherwise(
-        F.coalesce(loc, F.lit(0)) + F.coalesce(off, F.lit(0)))
-    return j.select(*[F.col(c) for c in df.columns], total.alias(name))
+    """Running sum of ``value`` per key (inclusive of the current row)."""
+    return keyed_windows(df, keys, order, sums={name: value}, width=width)
 
 
 def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str,
                      width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Add ``name`` = last non-null ``col`` at or before the row within its key.
-
-    Same result as ``last(col, ignorenulls=True)`` over
-    ``partitionBy(keys).orderBy(order).rowsBetween(unboundedPreceding, 0)``.
-    """
-    keys, order = list(keys), list(order)
-    d, dh, pk = _local(df, keys, order, width, _lv_local=_upto(F.last(col, ignorenulls=True)))
-    carry = _carry(dh, pk, F.last("_lv_local", ignorenulls=True), "_carry")
-    j = _join_carry(d, carry, pk)
-    return j.select(*[F.col(c) for c in df.columns], F.coalesce("_lv_local", "_carry").alias(name))
+    """Add ``name`` = last non-null ``col`` at or before the row within its key."""
+    return keyed_windows(df, keys, order, lasts={name: col}, width=width)
 
 
 def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, name: str,
                       width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Running maximum of ``col`` per key (inclusive, nulls ignored), bucketed."""
-    keys, order = list(keys), list(order)
-    d, dh, pk = _local(df, keys, order, width, _rm_local=_upto(F.max(col)))
-    carry = _carry(dh, pk, F.max("_rm_local"), "_carry")
-    j = _join_carry(d, carry, pk)
-    return j.select(*[F.col(c) for c in df.columns], F.greatest("_rm_local", "_carry").alias(name))
+    """Running maximum of ``col`` per key (inclusive, nulls ignored)."""
+    return keyed_windows(df, keys, order, maxes={name: col}, width=width)

@@ -1,53 +1,110 @@
 """Position tracking: save, load, resume, sanity checks.
 
-State rows are ``(name, gtid, timestamp)``: the pipeline name, a GTID-set
-text and the save time in microseconds.  A state table is append-only; the
-latest row per name wins.
-
-Every operator is an aggregate or a join on ``(pipeline, uuid)``; the only
-sides that are broadcast are the parsed position set and the per-uuid tail
-positions (both one row per pipeline and uuid or interval), behind row-count
-checks.
+State rows are ``(name, gtid, timestamp, tail)``: the pipeline name, a GTID-set
+text, the save time in microseconds and, per uuid, the last row event
+processed.  A state table is append-only; the latest row per name wins, and
+each row holds everything processed so far: a save merges the intervals of its
+batch with the row before, so batches may come in any order, an empty batch
+keeps the position and a change of server keeps the old server's.
+
+A state without ``tail`` is upstream's: one ``uuid:N`` there means that all up
+to N is done.  With ``tail`` the intervals are exact.
+
+Resuming joins events to the saved intervals on ``(pipeline, uuid, bucket of
+the sequence number)``, so one source server never means one join key.  Whole
+coarse buckets are equi-joined; what is left of an interval at its ends is
+compared within fine buckets.  Both sides are tables in the shared folder, so
+Spark knows their size and broadcasts them only when they are small.
 """
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.functions.gtid import format_gtid_set, parse_gtid_set, widen_single
+from rowcast.functions.gtid import parse_gtid_set, widen_single
 from rowcast.model import GTID_SEQ, GTID_UUID, POS
-from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_running_max
-from rowcast.session import bounded_broadcast
-
-MAX_BROADCAST_RANGES = 100_000
-MAX_RANGES_PER_KEY = 64
-
-
-def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
-                     timestamp: Column | None = None, start: int = 1) -> DataFrame:
-    """One state row per pipeline from the events a batch processed.
-
-    The position is the highest sequence number processed per source uuid
-    (dropped events included), saved as ``uuid:start-hi``.  ``tail`` keeps,
-    per uuid, the last ``(seq, pos)`` processed, so that a run resuming with
-    ``resume_filter(exact=True)`` can finish a transaction that a batch
-    boundary split.  Partial aggregation first, so the shuffle carries one
-    row per (task, pipeline, uuid).
+from rowcast.session import save_shared
+
+COARSE, FINE = 1 << 20, 1 << 10
+
+_PART_DDL = "name string, uuid string, lo bigint, hi bigint, n bigint, seq bigint, pos bigint"
+_STATE_DDL = "name string, gtid string, tail array<struct<uuid:string,seq:bigint,pos:bigint>>, n_events bigint"
+
+
+def _islands(batches):
+    """Events of a task to intervals: (name, uuid, lo, hi, n, last seq and pos)."""
+    import pandas as pd
+    import pyarrow as pa
+
+    schema = pa.schema([("name", pa.string()), ("uuid", pa.string()), *((c, pa.int64()) for c in ("lo", "hi", "n", "seq", "pos"))])
+    for b in batches:
+        rows = []
+        pdf = b.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        for (name, uuid), g in pdf.groupby(["name", "uuid"], dropna=False):
+            g = g[g["seq"].notna()]
+            if not len(g):
+                continue
+            seq = np.unique(g["seq"].to_numpy(np.int64))
+            cut = np.flatnonzero(np.diff(seq) > 1)
+            lo, hi = seq[np.r_[0, cut + 1]], seq[np.r_[cut, len(seq) - 1]]
+            last = g.loc[g["seq"] == seq[-1], "pos"].max()
+            for i, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
+                end = i == len(lo) - 1
+                rows.append((name if isinstance(name, str) else None, uuid if isinstance(uuid, str) else None, x, y,
+                             len(g) if end else 0, int(seq[-1]) if end else None,
+                             int(last) if end and not pd.isna(last) else None))
+        cols = list(zip(*rows, strict=True)) or [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _merged(table):
+    """One pipeline's intervals, old and new, to its state row."""
+    import pyarrow as pa
+
+    pdf = table.to_pandas()
+    members, tails = [], []
+    for uuid, g in pdf.sort_values(["uuid", "lo"]).groupby("uuid"):
+        lo, hi = g["lo"].to_numpy(np.int64), np.maximum.accumulate(g["hi"].to_numpy(np.int64))
+        new = np.r_[True, lo[1:] > hi[:-1] + 1]
+        first, last = lo[new], hi[np.r_[np.flatnonzero(new)[1:] - 1, len(hi) - 1]]
+        members.append(uuid + ":" + ":".join(str(x) if x == y else f"{x}-{y}" for x, y in zip(first, last, strict=True)))
+        ends = [(int(s), None if p != p else int(p)) for s, p in zip(g["seq"], g["pos"], strict=True) if s == s]
+        if ends:
+            s, p = max(ends, key=lambda e: (e[0], e[1] is not None, e[1] or 0))
+            tails.append({"uuid": uuid, "seq": s, "pos": p})
+    return pa.table({"name": table.column("name").slice(0, 1), "gtid": pa.array([",".join(members)], pa.string()),
+                     "tail": pa.array([tails], pa.list_(pa.struct([("uuid", pa.string()), ("seq", pa.int64()), ("pos", pa.int64())]))),
+                     "n_events": pa.array([int(pdf["n"].sum())], pa.int64())})
+
+
+def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
+                     previous: DataFrame | None = None) -> DataFrame:
+    """One state row per pipeline: ``previous`` (a state table) and what
+    this batch processed, dropped events included.
+
+    Tasks send intervals, not events; the rows of one pipeline meet to make its
+    one text.  ``tail`` keeps, per uuid, the last ``(seq, pos)`` processed, so
+    that ``resume_filter(exact=True)`` can finish a transaction that a batch
+    boundary split.  ``n_events`` counts this batch's events.  Events without a
+    position are left out.
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
-    has_pos = POS in processed.columns
-    last = F.max(F.struct(F.col(GTID_SEQ).alias("seq"),
-                          (F.col(POS) if has_pos else F.lit(None)).cast("bigint").alias("pos")))
-    per_uuid = (processed.groupBy(p.alias("name"), F.col(GTID_UUID).alias("uuid"))
-                .agg(F.max(GTID_SEQ).alias("hi"), last.alias("last"), F.count(F.lit(1)).alias("n")))
+    pos = F.col(POS).cast("bigint") if POS in processed.columns else F.lit(None).cast("bigint")
+    parts = processed.select(p.cast("string").alias("name"), F.lower(GTID_UUID).alias("uuid"), F.col(GTID_SEQ).cast("bigint").alias("seq"),
+                             pos.alias("pos")).where("uuid is not null").mapInArrow(_islands, _PART_DDL)
+    if previous is not None:
+        none = F.lit(None).cast("bigint")
+        parts = parts.unionByName(saved_ranges(previous).select(
+            "name", "uuid", "lo", "hi", F.lit(0).cast("bigint").alias("n"), none.alias("seq"), none.alias("pos")))
+        if "tail" in previous.columns:
+            parts = parts.unionByName(_tails(previous).select(
+                F.col("_tn").alias("name"), F.col("_tu").alias("uuid"), F.col("_ts").alias("lo"), F.col("_ts").alias("hi"),
+                F.lit(0).cast("bigint").alias("n"), F.col("_ts").alias("seq"), F.col("_tp").alias("pos")))
     ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
-    return (per_uuid.groupBy("name")
-            .agg(format_gtid_set(F.collect_list(F.struct(F.col("uuid"), F.lit(start).cast("bigint").alias("lo"),
-                                                         F.col("hi")))).alias("gtid"),
-                 F.array_sort(F.collect_list(F.struct("uuid", F.col("last.seq").alias("seq"),
-                                                      F.col("last.pos").alias("pos")))).alias("tail"),
-                 F.sum("n").alias("n_events"))
+    return (parts.groupBy("name").applyInArrow(_merged, _STATE_DDL)
             .select("name", "gtid", ts.cast("bigint").alias("timestamp"), "tail", "n_events"))
 
 
@@ -63,89 +120,67 @@ def latest_state(states: DataFrame) -> DataFrame:
 
 
 def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
-    """Latest state per pipeline as rows ``(name, uuid, lo, hi)``; a single
-    saved ``uuid:N`` is widened to ``uuid:start-N``."""
+    """Latest state per pipeline as rows ``(name, uuid, lo, hi)``; upstream's
+    single saved ``uuid:N`` (no ``tail``) is widened to ``uuid:start-N``."""
     latest = latest_state(states)
-    return (latest.select("name", F.explode(widen_single(parse_gtid_set("gtid"), start)).alias("r"))
-            .select("name", "r.uuid", "r.lo", "r.hi"))
+    parsed = parse_gtid_set("gtid")
+    own = F.when(F.col("tail").isNotNull(), parsed).otherwise(widen_single(parsed, start)) if "tail" in latest.columns \
+        else widen_single(parsed, start)
+    return latest.select("name", F.explode(own).alias("r")).select("name", "r.uuid", "r.lo", "r.hi")
 
 
 def _tails(states: DataFrame) -> DataFrame:
     """Latest state's last processed (seq, pos) per (pipeline, uuid)."""
     return (latest_state(states).select("name", F.explode("tail").alias("t"))
-            .select(F.col("name").alias("_tn"), F.col("t.uuid").alias("_tu"), F.col("t.seq").alias("_ts"),
+            .select(F.col("name").alias("_tn"), F.lower("t.uuid").alias("_tu"), F.col("t.seq").alias("_ts"),
                     F.col("t.pos").alias("_tp")))
 
 
-def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column = "pipeline",
-                  start: int = 1, max_broadcast: int = MAX_BROADCAST_RANGES,
-                  max_per_key: int = MAX_RANGES_PER_KEY, width: int = DEFAULT_BUCKET_WIDTH,
-                  exact: bool = False) -> DataFrame:
-    """Drop the events already inside the saved position of their pipeline.
+def _bucketed(ranges: DataFrame, coarse: int, fine: int) -> tuple[DataFrame, DataFrame]:
+    """(whole coarse buckets, pieces in fine buckets) of the intervals."""
+    r = ranges.withColumns({"c0": F.expr(f"(lo + {coarse - 1}) div {coarse}"), "c1": F.expr(f"(hi + 1) div {coarse} - 1")})
+    whole = r.where("c0 <= c1").select(F.col("name").alias("_n"), F.col("uuid").alias("_u"),
+                                       F.explode(F.sequence("c0", "c1")).alias("_c")).distinct()
+    piece = F.when(F.col("c0") > F.col("c1"), F.array(F.struct(F.col("lo").alias("x"), F.col("hi").alias("y")))).otherwise(F.array(
+        F.struct(F.col("lo").alias("x"), (F.col("c0") * coarse - 1).alias("y")),
+        F.struct(((F.col("c1") + 1) * coarse).alias("x"), F.col("hi").alias("y"))))
+    parts = r.select("name", "uuid", F.explode(piece).alias("p")).where("p.x <= p.y").select("name", "uuid", "p.x", "p.y")
+    fines = parts.select(F.col("name").alias("_n"), F.col("uuid").alias("_u"),
+                         F.explode(F.sequence(F.expr(f"x div {fine}"), F.expr(f"y div {fine}"))).alias("_f"), "x", "y")
+    return save_shared(whole, "resume-whole"), save_shared(fines.toDF("_n", "_u", "_f", "_x", "_y"), "resume-pieces")
 
-    Small saved sets (at most ``max_broadcast`` intervals in all and at most
-    ``max_per_key`` per (pipeline, uuid), both checked): a broadcast left-anti
-    join with equi keys ``(pipeline, uuid)`` and ``seq BETWEEN lo AND hi``; no
-    shuffle of the events, and each event is tested against a few intervals.
 
-    Larger sets: an exact as-of form that no hot uuid can unbalance.  Events
-    and intervals (placed at ``lo``, carrying ``hi``) are put in one frame;
-    an event is covered when the running maximum of ``hi`` over everything
-    at or before its sequence number, within its (pipeline, uuid), reaches
-    it.  The running maximum is the bucketed window of ``ordered.py``.
+def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column = "pipeline", start: int = 1,
+                  exact: bool = False, coarse: int = COARSE, fine: int = FINE) -> DataFrame:
+    """Drop the events already inside the saved position of their pipeline.
 
-    ``exact=True`` (states with a ``tail`` column, from ``state_from_batch``):
-    events of the last saved transaction that lie after the last saved
-    position (``seq == tail_seq AND pos > tail_pos``) are kept, so a
-    transaction split by a batch boundary is finished, not skipped.
+    Two left-anti joins on ``(pipeline, uuid, bucket)``; an event meets at most
+    the pieces of one fine bucket.  ``exact=True`` (states with a ``tail``
+    column, from ``state_from_batch``): events of the last saved transaction
+    that lie after the last saved position (``seq == tail_seq AND pos >
+    tail_pos``) are kept, so a transaction split by a batch boundary is
+    finished, not skipped.
 
-    Events of a uuid the state does not know (P5) all pass.  On a stream this
-    is a stream-static anti join (a new query resuming from a state table).
+    Events of a uuid that the state does not know (P5) all pass, as do events
+    without a position.  On a stream these are stream-static anti joins (a new
+    query resuming from a state table).
     """
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
-    ev = events.withColumn("_pipe", p)
+    ev = events.withColumns({"_pipe": p, "_uu": F.lower(GTID_UUID)})
+    after = F.lit(False)
     if exact:
         if "tail" not in states.columns:
             raise ValueError("exact resume needs state rows with a 'tail' column (see state_from_batch)")
-        tails, _ = bounded_broadcast(_tails(states), max_broadcast)
-        ev = (ev.join(tails, (ev["_pipe"] == tails["_tn"]) & (ev[GTID_UUID] == tails["_tu"]), "left")
-              .withColumn("_after_tail", F.coalesce((F.col(GTID_SEQ) == F.col("_ts"))
-                                                    & (F.col(POS) > F.col("_tp")), F.lit(False)))
-              .drop("_tn", "_tu", "_ts", "_tp"))
-    else:
-        ev = ev.withColumn("_after_tail", F.lit(False))
-    return _resume(ev, states, start, max_broadcast, max_per_key, width).drop("_pipe", "_after_tail")
-
-
-def _resume(ev: DataFrame, states: DataFrame, start: int, max_broadcast: int, max_per_key: int,
-            width: int) -> DataFrame:
-    """One pass: an event leaves when a saved interval covers it, unless it
-    lies after the saved tail (``_after_tail``)."""
-    ranges, small = bounded_broadcast(saved_ranges(states, start), max_broadcast)
-    if small:
-        widest = ranges.groupBy("name", "uuid").count().agg(F.max("count")).first()[0]
-        small = (widest or 0) <= max_per_key
-        if not small:
-            ranges = saved_ranges(states, start)
-    if small or ev.isStreaming:
-        # streams refuse windows: above the bound they keep the (shuffled) range anti join
-        cond = ((ev["_pipe"] == ranges["name"]) & (ev[GTID_UUID] == ranges["uuid"])
-                & ev[GTID_SEQ].between(ranges["lo"], ranges["hi"]) & ~ev["_after_tail"])
-        return ev.join(ranges, cond, "left_anti")
-    return _resume_as_of(ev, ranges, width)
-
-
-def _resume_as_of(ev: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
-    cols = ev.columns
-    e = ev.select(*cols, F.col("_pipe").alias("_k1"), F.col(GTID_UUID).alias("_k2"),
-                  F.col(GTID_SEQ).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_hi"))
-    iv = ranges.select(F.col("name").alias("_k1"), F.col("uuid").alias("_k2"), F.col("lo").alias("_at"),
-                       F.lit(0).alias("_kind"), F.col("hi").alias("_hi"))
-    both = e.unionByName(iv, allowMissingColumns=True)
-    covered = keyed_running_max(both, ["_k1", "_k2"], ["_at", "_kind"], "_hi", "_cover", width)
-    keep = (F.col("_kind") == 1) & (F.col("_cover").isNull() | (F.col("_cover") < F.col("_at"))
-                                    | F.coalesce(F.col("_after_tail"), F.lit(False)))
-    return covered.filter(keep).select(*cols)
+        tails = save_shared(_tails(states).where("_tp is not null"), "resume-tails")
+        ev = ev.join(tails, (ev["_pipe"] == tails["_tn"]) & (ev["_uu"] == tails["_tu"]) & (ev[GTID_SEQ] == tails["_ts"]), "left")
+        after = F.coalesce(F.col(POS) > F.col("_tp"), F.lit(False))
+    whole, pieces = _bucketed(saved_ranges(states, start), coarse, fine)
+    ev = ev.withColumns({"_after": after, "_cb": F.expr(f"`{GTID_SEQ}` div {coarse}"), "_fb": F.expr(f"`{GTID_SEQ}` div {fine}")})
+    ev = ev.join(whole, (ev["_pipe"] == whole["_n"]) & (ev["_uu"] == whole["_u"]) & (ev["_cb"] == whole["_c"]) & ~ev["_after"],
+                 "left_anti")
+    ev = ev.join(pieces, (ev["_pipe"] == pieces["_n"]) & (ev["_uu"] == pieces["_u"]) & (ev["_fb"] == pieces["_f"])
+                 & ev[GTID_SEQ].between(pieces["_x"], pieces["_y"]) & ~ev["_after"], "left_anti")
+    return ev.select(*events.columns)
 
 
 def start_from(log: DataFrame, states: DataFrame | None = None, pipeline: str | Column = "pipeline",
@@ -161,7 +196,7 @@ def start_from(log: DataFrame, states: DataFrame | None = None, pipeline: str |
 
 def source_heads(events: DataFrame) -> DataFrame:
     """Highest sequence number per source uuid (partial aggregate)."""
-    return events.groupBy(F.col(GTID_UUID).alias("uuid")).agg(F.max(GTID_SEQ).alias("head_seq"))
+    return events.groupBy(F.lower(GTID_UUID).alias("uuid")).agg(F.max(GTID_SEQ).alias("head_seq"))
 
 
 def check_ahead(events: DataFrame, states: DataFrame, start: int = 1) -> DataFrame:
@@ -180,24 +215,42 @@ def check_ahead(events: DataFrame, states: DataFrame, start: int = 1) -> DataFra
 
 
 def assert_not_ahead(events: DataFrame, states: DataFrame) -> None:
-    """Raise when any saved position is ahead of its source (reads the small check table only)."""
-    bad = check_ahead(events, states).filter("ahead").limit(20).collect()
-    if bad:
-        desc = ", ".join(f"{r['name']}:{r['uuid']} saved={r['saved_seq']} head={r['head_seq']}" for r in bad)
-        raise RuntimeError(f"saved position ahead of the source: {desc}")
+    """Raise when any saved position is ahead of its source; names the first 20
+    and counts the rest (:func:`check_ahead` has them all)."""
+    bad = check_ahead(events, states).filter("ahead")
+    n = bad.count()
+    if n:
+        shown = ", ".join(f"{r['name']}:{r['uuid']} saved={r['saved_seq']} head={r['head_seq']}" for r in bad.limit(20).collect())
+        raise RuntimeError(f"saved position ahead of the source: {shown}" + (f" and {n - 20} more" if n > 20 else ""))
 
 
 def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet", batch_id: int | None = None) -> None:
     """Save state rows.  With ``batch_id`` the rows go to ``<path>/batch=<n>``,
     overwritten if the batch is replayed, so a retry never adds a row."""
-    cols = ["name", "gtid", "timestamp"] + (["tail"] if "tail" in state_rows.columns else [])
-    rows = state_rows.select(*cols).coalesce(1)
+    rows = state_rows.select("name", "gtid", "timestamp", *(["tail"] if "tail" in state_rows.columns else []))
     if batch_id is None:
         rows.write.mode("append").format(fmt).save(path)
     else:
         rows.write.mode("overwrite").format(fmt).save(f"{path}/batch={int(batch_id)}")
 
 
+def state_before(spark, path: str, batch_id: int) -> DataFrame | None:
+    """The state that the batch before ``batch_id`` saved, else the newest
+    earlier one; None if there is none."""
+    schema = "name string, gtid string, timestamp bigint, tail array<struct<uuid:string,seq:bigint,pos:bigint>>"
+    try:
+        last = spark.read.schema(schema).parquet(f"{path}/batch={batch_id - 1}")
+        if not last.isEmpty():
+            return last
+    except AnalysisException:
+        pass
+    try:
+        older = spark.read.schema(f"{schema}, batch bigint").parquet(path).where(F.col("batch") < batch_id)
+    except AnalysisException:
+        return None
+    return None if older.isEmpty() else latest_state(older)
+
+
 def compact_state(states: DataFrame, path: str) -> None:
     """Write the latest row per pipeline to a new state folder.
 
@@ -205,4 +258,4 @@ def compact_state(states: DataFrame, path: str) -> None:
     only need the newest row per pipeline.  Write to a new folder and switch
     readers to it (never overwrite the folder being read).
     """
-    latest_state(states).coalesce(1).write.mode("errorifexists").parquet(path)
+    latest_state(states).write.mode("errorifexists").parquet(path)

@@ -2,14 +2,19 @@
 
 The guard is evaluated in the JVM.  Each partition's events travel to Python
 as Arrow batches (``mapInArrow``) and pass through unchanged; only matched
-events are encoded to JSON, decoded into a dict (the shape of the payload),
-handed to the function and encoded back.  The function may change any field
-in place and returns the verdict (0 CONT, 1 DROP, other: kept going, dropped
-if last).
+events are encoded to JSON (the payload's own encoder), decoded into a dict
+and handed to the function.  The function may change any field in place and
+returns the verdict, an integer (0 CONT, 1 DROP, other: kept going, dropped if
+last).  Decimals and numbers with a fraction arrive as ``Decimal``.
 
-The edited event is parsed back with the frame's schema: fields keep their
-types (a value changed to another type becomes null), and fields added to a
-typed image are not kept (add columns with an expression rule first).
+Only the envelope fields that the function changed are written back; all others
+keep their column, so no value loses precision on the way.  A changed field is
+parsed with the frame's schema, and a value of another type is an error.
+Fields added to a typed image are not kept (add columns with an expression rule
+first).
+
+``on_error`` says what an exception in the function, a wrong verdict or a wrong
+type does: ``fail`` the job, ``drop`` the event or ``pass`` it on unchanged.
 
 Use expression rules where possible; this path costs a JSON round trip per
 matched event.
@@ -18,79 +23,135 @@ matched event.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowcast.model import ACTION_CONT, ACTION_DROP, ENVELOPE_FIELDS, VERDICT_COL
-from rowcast.operators.codec import JSON_OPTIONS
+from rowcast.operators.codec import JSON_OPTIONS, TIME_FORMAT, payload_parts
 from rowcast.operators.rules import matches
 
 
+ON_ERROR = ("fail", "drop", "pass")
+_DECIMAL = "\x00decimal:"
+
+
 @dataclass
 class PythonRule:
     name: str
     match_schema: str = ""
     match_table: str = ""
     fn: Callable[[dict], int] | None = None
+    on_error: str = "fail"
 
     def __post_init__(self):
         if self.fn is not None and not callable(self.fn):
             raise TypeError(f"python rule {self.name!r}: fn must be callable")
+        if self.on_error not in ON_ERROR:
+            raise ValueError(f"python rule {self.name!r}: on_error must be one of {ON_ERROR}")
 
     def guard(self):
         return matches("schema", self.match_schema) & matches("table", self.match_table)
 
 
-def _runner(fn: Callable[[dict], int], keep: list[str], on_null_verdict: str, rule_name: str):
+def _dump(value) -> str:
+    """JSON text; a Decimal is written with all its digits."""
+    def other(x):
+        if isinstance(x, Decimal):
+            return f"{_DECIMAL}{x}"
+        raise TypeError(f"not a JSON value: {x!r}")
+
+    text = json.dumps(value, separators=(",", ":"), ensure_ascii=False, default=other)
+    return re.sub(r'"\\u0000decimal:([^"]*)"', r"\1", text) if "\\u0000decimal:" in text else text
+
+
+def checked_verdict(v, on_null_verdict: str, rule_name: str) -> int:
+    """The verdict as an integer; anything else but null is an error."""
+    if v is None:
+        if on_null_verdict == "fail":
+            raise ValueError(f"rule {rule_name!r} returned no verdict")
+        return ACTION_DROP if on_null_verdict == "drop" else ACTION_CONT
+    if isinstance(v, bool) or not isinstance(v, int):
+        raise TypeError(f"rule {rule_name!r}: the verdict must be an integer, not {v!r}")
+    return v
+
+
+def call_rule(fn, text: str, on_null_verdict: str, rule_name: str):
+    """(verdict, {field: JSON text} of the changed envelope fields)."""
+    e, was = json.loads(text, parse_float=Decimal), json.loads(text, parse_float=Decimal)
+    v = checked_verdict(fn(e), on_null_verdict, rule_name)
+    return v, {f: _dump({f: e.get(f)}) for f in ENVELOPE_FIELDS if e.get(f) != was.get(f)}
+
+
+def _runner(rule: PythonRule, keep: list[str], on_null_verdict: str):
     def run(batches):
         import pyarrow as pa
 
         for rb in batches:
-            evt = rb.column("_evt")
-            matched = rb.column("_g").to_pylist()
-            texts = evt.to_pylist()
-            out = [None] * rb.num_rows
+            texts = rb.column("_evt").to_pylist()
+            out = {f: [None] * rb.num_rows for f in ENVELOPE_FIELDS}
             verdict = [ACTION_CONT] * rb.num_rows
-            for i, hit in enumerate(matched):
-                if not hit:
+            for i, text in enumerate(texts):
+                if text is None:
                     continue
-                e = json.loads(texts[i])
-                v = fn(e)
-                if v is None:
-                    if on_null_verdict == "fail":
-                        raise ValueError(f"python rule {rule_name!r} returned no verdict")
-                    v = ACTION_DROP if on_null_verdict == "drop" else ACTION_CONT
-                verdict[i] = int(v)
-                out[i] = json.dumps(e, separators=(",", ":"), ensure_ascii=False)
-            arrays = [rb.column(c) for c in keep] + [pa.array(out, type=evt.type), pa.array(verdict, type=pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=keep + ["_evt_out", VERDICT_COL])
+                try:
+                    verdict[i], changed = call_rule(rule.fn, text, on_null_verdict, rule.name)
+                except Exception:
+                    if rule.on_error == "fail":
+                        raise
+                    verdict[i], changed = ACTION_DROP if rule.on_error == "drop" else ACTION_CONT, {}
+                for f, t in changed.items():
+                    out[f][i] = t
+            yield pa.RecordBatch.from_arrays(
+                [*(rb.column(c) for c in keep), *(pa.array(out[f], pa.string()) for f in ENVELOPE_FIELDS),
+                 pa.array(verdict, pa.int32())], names=[*keep, *(f"_out_{f}" for f in ENVELOPE_FIELDS), VERDICT_COL])
     return run
 
 
+def written_back(df: DataFrame, fields: dict[str, T.DataType], on_error: str = "fail") -> dict:
+    """Columns of the envelope after a rule: the parsed text of ``_out_<field>``
+    where there is one, else the column as it was."""
+    cols = {}
+    for f, dt in fields.items():
+        text = F.col(f"_out_{f}")
+        schema = T.StructType([T.StructField(f, dt)])
+        options = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT,
+                   "mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"}
+        value = F.from_json(text, schema, options)[f]
+        bad = text.isNotNull() & value.isNull() & ~text.endswith(":null}")
+        if on_error == "fail":
+            value = F.when(bad, F.raise_error(F.concat(F.lit("a rule changed a value to another type: "), text))).otherwise(value)
+            cols[f] = F.when(text.isNotNull(), value).otherwise(F.col(f))
+        else:
+            cols[f] = F.when(text.isNotNull() & ~bad, value).otherwise(F.col(f))
+    return cols
+
+
+def encoded(df: DataFrame):
+    """The payload text of an event, as it is delivered."""
+    return F.to_json(F.struct(*payload_parts(df)), JSON_OPTIONS)
+
+
 def apply_python_rule(df: DataFrame, rule: PythonRule, on_null_verdict: str = "fail") -> DataFrame:
     """One Python rule over events that carry ``_verdict`` (see rules.apply_rule).
 
-    ``mapInArrow``: every column passes through as the same Arrow arrays;
-    only events the guard matches are encoded to JSON (in the JVM), handed to
-    the function and parsed back.  Unmatched events are untouched.
+    ``mapInArrow``: every column passes through as the same Arrow arrays; only
+    events the guard matches are encoded, handed to the function and written
+    back where it changed them.  Unmatched events are untouched.
     """
     if rule.fn is None:
         return df.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
     keep = [c for c in df.columns if c != VERDICT_COL]
-    env_schema = T.StructType([df.schema[c] for c in ENVELOPE_FIELDS])
-    g = rule.guard()
-    packed = df.select(*keep, g.alias("_g"),
-                       F.when(g, F.to_json(F.struct(*ENVELOPE_FIELDS), JSON_OPTIONS)).alias("_evt"))
+    packed = df.select(*keep, F.when(rule.guard(), encoded(df)).alias("_evt"))
     out_schema = T.StructType([df.schema[c] for c in keep]
-                              + [T.StructField("_evt_out", T.StringType()),
-                                 T.StructField(VERDICT_COL, T.IntegerType())])
-    res = packed.mapInArrow(_runner(rule.fn, keep, on_null_verdict, rule.name), out_schema)
-    parsed = res.withColumn("_p", F.from_json("_evt_out", env_schema))
-    changed = F.col("_evt_out").isNotNull()
-    back = parsed.select(*[(F.when(changed, F.col("_p")[c]).otherwise(F.col(c)).alias(c)
-                            if c in ENVELOPE_FIELDS else F.col(c)) for c in keep], VERDICT_COL)
-    return back.filter(F.col(VERDICT_COL) != ACTION_DROP)
+                              + [T.StructField(f"_out_{f}", T.StringType()) for f in ENVELOPE_FIELDS]
+                              + [T.StructField(VERDICT_COL, T.IntegerType())])
+    res = packed.mapInArrow(_runner(rule, keep, on_null_verdict), out_schema)
+    back = written_back(res, {f: df.schema[f].dataType for f in ENVELOPE_FIELDS}, rule.on_error)
+    out = res.select(*[back[c].alias(c) if c in back else F.col(c) for c in keep], VERDICT_COL)
+    return out.filter(F.col(VERDICT_COL) != ACTION_DROP)

@@ -1,4 +1,4 @@
-"""Session helpers: configuration, shared folders and size-checked broadcast."""
+"""Session helpers: configuration, shared folders and lineage cuts."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings the library relies on.  Everything else is left to the cluster.
 SESSION_CONF = {
@@ -53,7 +52,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     shuffle = max(slots * 2, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(min(shuffle, 100_000)),
+        "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -85,25 +84,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/rowcast/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def save_shared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder (one job); the result reads it.
+
+    Cuts lineage without a copy on any executor: a lost executor costs nothing,
+    and plans built on the result don't contain the plan of ``df``."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so its cost is bounded too.
-    Returns the (possibly hinted) frame and whether the hint was applied; above
-    the bound the caller's join falls back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

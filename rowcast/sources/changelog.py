@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowcast.model import ROW_ACTIONS
-from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_last_value
+from rowcast.model import GTID_SEQ, GTID_UUID, ROW_ACTIONS
+from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_windows
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None,
@@ -75,16 +75,26 @@ def row_events_only(log: DataFrame, action: str = "action") -> DataFrame:
     return log.filter(F.col(action).isin(*ROW_ACTIONS))
 
 
-def stamp_gtid(log: DataFrame, file_col: str = "log_file", pos_col: str = "pos", gtid_col: str = "gtid_seq",
-               name: str = "gtid_seq", width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Give every entry the last GTID seen at or before it in its log file.
+def stamp_gtid(log: DataFrame, file_no: Column | str = "log_file", pos_col: str = "pos", seq_col: str = GTID_SEQ,
+               uuid_col: str | None = GTID_UUID, source: Sequence[str] = (), width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Give every entry the last GTID, number and server uuid together, seen
+    at or before it in the log.
 
-    Batch only: a stream cannot run non-time windows, so streams must carry the
-    position as a column.  Balanced even for one huge log file (bucketed).
+    The log's order is (file, position): a new file goes on with the last GTID
+    of the one before, as only entries before the very first marker have none.
+    ``file_no`` is a file's number, by default the digits its name ends with.
+    ``source`` names the columns that tell several logs apart.  Batch only: a
+    stream cannot run non-time windows, so streams must carry the position as a
+    column.  Cut by position, so one huge log is spread over many tasks.
     """
-    out = keyed_last_value(log, keys=[file_col], order=[pos_col], col=gtid_col, name="_stamped", width=width)
-    return out.drop(gtid_col).withColumnRenamed("_stamped", name) if name == gtid_col else \
-        out.withColumnRenamed("_stamped", name)
+    name = F.col(file_no) if isinstance(file_no, str) else file_no
+    number = F.regexp_extract(name.cast("string"), r"(\d+)$", 1).cast("bigint")
+    marks = [c for c in (uuid_col, seq_col) if c and c in log.columns]
+    at = log.withColumns({
+        "_file_at": F.coalesce(number, F.lit(0)) * F.lit(1 << 40) + F.col(pos_col),
+        "_mark": F.when(F.col(seq_col).isNotNull(), F.struct(*marks))})
+    out = keyed_windows(at, keys=list(source), order=["_file_at"], lasts={"_last": "_mark"}, width=width)
+    return out.select(*[F.col("_last")[c].alias(c) if c in marks else F.col(c) for c in log.columns])
 
 
 def source_query(spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -97,8 +107,3 @@ def source_query(spark: SparkSession, sql: str, views: dict[str, DataFrame] | No
 def register_tables(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> None:
     for n in names:
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)
-
-
-def jdbc_query(spark: SparkSession, url: str, sql: str, **options) -> DataFrame:
-    """S5 against a live database (needs its JDBC driver on the class path)."""
-    return spark.read.format("jdbc").option("url", url).option("query", sql).options(**options).load()

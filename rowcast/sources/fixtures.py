@@ -129,8 +129,9 @@ def chg_binlog(spark: SparkSession, sf_dir: str, entries_per_file: int = 1000) -
     """A raw log with non-row entries: GTID markers (``gtid``), commits (``xid``)
     and row events, in files of ``entries_per_file`` positions.
 
-    Only GTID markers carry ``gtid_seq``; row events get it from the last
-    marker before them in the same file (S2).
+    Only GTID markers carry ``gtid_uuid`` and ``gtid_seq``; row events get them
+    from the last marker before them in the log, whatever file it is in (S2).
+    The server changes every ``entries_per_file * 3 // 2`` entries, within files.
     """
     kind = _case(F.col("event_type"), [("signup", "insert"), ("error", "delete"), ("click", "update"),
                                        ("view", "gtid")], "xid")
@@ -144,5 +145,8 @@ def chg_binlog(spark: SparkSession, sf_dir: str, entries_per_file: int = 1000) -
         F.col("event_id").alias("pos"), "action", "schema", "table",
         F.when(F.col("action").isin("insert", "update", "delete"),
                F.array(F.struct("event_id", "user_id", "value"))).alias("rows"),
+        F.when(F.col("action") == "gtid", F.when(
+            F.expr(f"(event_id div {entries_per_file * 3 // 2}) % 2 = 0"), F.lit(SOURCE_UUID)).otherwise(
+            F.lit(OTHER_UUID))).alias("gtid_uuid"),
         F.when(F.col("action") == "gtid", F.col("event_id") + 1).alias("gtid_seq"), "ts",
     )

@@ -23,15 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowcast.model import GTID_SEQ, POS
-from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_row_number, keyed_running_sum
+from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_windows
 
 
 def running_totals(events: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] = (GTID_SEQ, POS),
                    count_name: str = "seen", sum_name: str = "running_total",
                    width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Batch: per key, events seen so far and the running sum of ``value``."""
-    d = keyed_row_number(events, keys, order, count_name, width)
-    return keyed_running_sum(d, keys, order, value, sum_name, width)
+    return keyed_windows(events, keys, order, number=count_name, sums={sum_name: value}, width=width)
 
 
 @dataclass

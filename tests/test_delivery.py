@@ -55,9 +55,23 @@ def test_enrich_rows_multi_row_and_null_images(make_log, spark):
     assert [x.name for x in out[1].after] == ["one", "two", None]
     assert [x.event_id for x in out[1].after] == [1, 2, 3]
     assert out[2].after is None and out[2].before[0].text_col == "d"
-    # broadcast refused above the bound: same result through a shuffle join
-    out2 = enrich_rows(ev, "after", dim, on=("user_id", "id"), fields=["name"], max_broadcast_rows=1)
-    assert [x.name for x in out2.filter("gtid_seq = 1").collect()[0].after] == ["one", "two", None]
+
+
+def test_enrich_keeps_every_match_and_every_event(make_log, spark):
+    log = make_log([("s", "t", "insert", [row(1, "a", user_id=1), row(2, "b", user_id=2)], [], U, 1, 0)])
+    ev = build_events(log, pipeline="p", timestamp=F.lit(0)).unionByName(build_events(log, pipeline="q", timestamp=F.lit(0)))
+    dim = spark.createDataFrame([(1, "one"), (1, "uno"), (2, "two")], "id bigint, name string")
+    got = {r.meta.pipeline: sorted(x.name for x in r.after)
+           for r in enrich_rows(ev.unionByName(ev), "after", dim, on=("user_id", "id"), fields=["name"]).collect()}
+    assert got == {"p": ["one", "two", "uno"], "q": ["one", "two", "uno"]}
+    assert enrich_rows(ev.unionByName(ev), "after", dim, on=("user_id", "id"), fields=["name"]).count() == 4
+
+
+def test_dedupe_keeps_pipelines_and_records_without_position(spark):
+    rows = [(p, U, 1, 0, "v") for p in ("a", "b", "a")] + [("a", None, None, 0, "x"), ("a", None, None, 0, "y")]
+    recs = spark.createDataFrame(rows, "pipeline string, gtid_uuid string, gtid_seq bigint, pos bigint, value string")
+    got = sorted((r.pipeline, r.value, r.copies) for r in dedupe(recs, copies="copies").collect())
+    assert got == [("a", "v", 2), ("a", "x", 1), ("a", "y", 1), ("b", "v", 1)]
 
 
 def test_write_topics_fans_out(make_log, tmp_dir):

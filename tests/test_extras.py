@@ -52,7 +52,7 @@ def test_partitioned_log_round_trip(make_log, tmp_dir):
 
 def test_cluster_conf_sizes():
     conf = cluster_conf(100 << 40, executors=1000, cores_per_executor=8)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(1 << 30, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16

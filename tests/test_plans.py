@@ -101,19 +101,32 @@ def test_per_key_windows_are_bucketed(spark):
     assert windows and all("_ord_bucket" in w for w in windows)
 
 
-def test_bounded_broadcast_hint_follows_the_bound(spark):
-    from rowcast.session import bounded_broadcast
-
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_chained_ordered_calls_scan_their_input_once(spark):
+    from rowcast.operators.ordered import keyed_lag, keyed_running_sum, keyed_windows
+
+    df = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "value")
+    d = keyed_lag(df, ["user_id"], ["event_id"], ["value"], width=64)
+    d = keyed_running_sum(d, ["user_id"], ["event_id"], "value", "s", width=64)
+    d = keyed_windows(d, ["user_id"], ["event_id"], number="n", lasts={"l": "value"}, width=64)
+    scans = [line for line in plan(d).splitlines() if "Location" in line and "events.parquet" in line]
+    assert len(scans) == 1
+
+
+def test_hot_key_is_spread_over_window_tasks(spark):
+    from rowcast.operators.ordered import keyed_row_number
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        hinted, ok = bounded_broadcast(small, 100)
-        assert ok and "BroadcastHashJoin" in plan(big.join(hinted, "k"))
-        plain, ok = bounded_broadcast(small, 5)
-        assert not ok and "BroadcastHashJoin" not in plan(big.join(plain, "k"))
+        df = spark.range(100_000).select(F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                                         F.col("id").alias("o"))
+        # an input that is partitioned by the key already must be split all the same
+        out = keyed_row_number(df.repartition("k"), ["k"], ["o"], "rn", width=500)
+        tasks = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("rn").alias("s")).collect()]
+        assert len(tasks) == 8 and max(tasks) < 2.5 * 100_000 / 8
+        assert out.agg(F.sum(F.when(F.col("k") == "hot", F.col("rn")))).first()[0] == 90_000 * 90_001 // 2
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in old.items():
+            spark.conf.set(k, v)

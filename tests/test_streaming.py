@@ -117,8 +117,8 @@ def test_resume_filter_on_a_stream(spark, tmp_dir):
     log = fx.chg_events(spark, SF_SMALL).withColumn("pipeline", F.lit("p1"))
     log.write.parquet(f"{tmp_dir}/log")
     states = spark.createDataFrame([("p1", f"{fx.SOURCE_UUID}:1-500", 1)], "name string, gtid string, timestamp bigint")
-    for bound in (1_000_000, 0):   # broadcast path, and the path above the bound
-        s = resume_filter(stream_log(spark, f"{tmp_dir}/log", log.schema), states, max_broadcast=bound)
+    for bound in (1 << 20, 64):   # pieces alone, and whole buckets too
+        s = resume_filter(stream_log(spark, f"{tmp_dir}/log", log.schema), states, coarse=bound, fine=16)
         name = f"resumed_{bound}"
         q = (s.select("gtid_seq").writeStream.format("memory").queryName(name)
              .option("checkpointLocation", f"{tmp_dir}/ck{bound}").trigger(availableNow=True).start())
