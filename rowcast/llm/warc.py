@@ -10,9 +10,9 @@ text source's split reader with the magic as its separator), so an archive of
 any size is read in parallel and a record belongs to the range in which it
 starts.  A magic number can also occur inside compressed data; a candidate
 counts only when it inflates to its trailer and its WARC headers decode, and
-the pieces of a member that was cut at a false magic are joined again: within a
-task as they come, across two ranges by a second small pass over the pieces
-that found no partner.
+the pieces of a member that was cut at a false magic are joined again.  A range
+that ends within such a member says so; a second pass reads the ranges after
+those again, from the open member on, and replaces what they gave alone.
 
 Equal payloads of at least ``MIN_REVISIT`` bytes are stored once: the row with
 the smallest id is the response, the others revisit it.
@@ -26,8 +26,10 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import deque
+from itertools import groupby, islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowcast.session import shared_path
@@ -146,106 +148,133 @@ def parse_record(data: bytes):
             payload if kind == "response" else None, size, digest, refers)
 
 
-def _first_bytes_ok(chunk: bytes) -> bool:
-    """Whether a candidate's decoded beginning is a WARC header."""
-    try:
-        got = zlib.decompressobj(31).decompress(MAGIC + chunk[:512], 5)
-    except zlib.error:
-        return False
-    return got == b"WARC/" or not got
+#: Bytes of a gzip header after its magic number.
+HEADER_REST = 7
 
 
-class Joiner:
-    """Puts the pieces between magic numbers together into members."""
+class Member:
+    """A member as far as its pieces have come."""
 
     def __init__(self):
-        self.begun: list[bytes] = []
-        self.state = None
+        self.begun, self.state, self.out = [], zlib.decompressobj(31), []
 
-    def _feed(self, data: bytes):
-        """'open', 'bad', or the records that a completed member holds."""
+    def feed(self, chunk: bytes):
+        """'open', 'bad' (no gzip, or no WARC record), or the whole content."""
+        if not self.begun and len(chunk) < HEADER_REST:
+            return "bad"
+        self.begun.append(chunk)
         try:
-            self.out.append(self.state.decompress(data))
+            self.out.append(self.state.decompress(MAGIC + chunk))
         except zlib.error:
             return "bad"
+        if len(self.out) > 1 and len(self.out[0]) < 5:
+            self.out = [b"".join(self.out)]
+        if not b"WARC/".startswith(self.out[0][:5]):
+            return "bad"
         return b"".join(self.out) if self.state.eof else "open"
 
-    def start(self, chunk: bytes):
-        self.state, self.out, self.begun = zlib.decompressobj(31), [], [chunk]
-        return self._feed(MAGIC + chunk)
 
-    def more(self, chunk: bytes):
-        self.begun.append(chunk)
-        return self._feed(MAGIC + chunk)
-
-
-def joined(chunks):
-    """Members of a run of consecutive pieces: ('record', bytes), ('loose', i,
-    piece) for the pieces before the first member and of one that doesn't end."""
-    j, opened, seen = Joiner(), False, False
-    for i, chunk in enumerate(chunks):
-        got = None
-        if opened:
-            got = j.more(chunk)
-            if got == "bad":  # the member was damaged; the piece may begin the next
-                opened, got = False, None
-        if not opened:
-            if not _first_bytes_ok(chunk):
-                if not seen:
-                    yield "loose", i, chunk
-                continue
-            first_at, got = i, j.start(chunk)
-            seen = True
-        opened = got == "open"
+def joined(chunks, first: list[bytes] | None = None):
+    """Members of a run of consecutive pieces: ('record', bytes), and at the end
+    ('open', pieces) of a member that goes on after them, if one does.
+    ``first`` are the pieces of a member that is open before."""
+    again, chunks, member = deque(first or ()), iter(chunks), None
+    while True:
+        if again:
+            chunk = again.popleft()
+        elif (chunk := next(chunks, None)) is None:
+            break
+        member = member or Member()
+        got = member.feed(chunk)
+        if got == "open":
+            continue
         if isinstance(got, bytes):
-            yield "record", i, got
-    if opened:
-        for k, chunk in enumerate(j.begun):
-            yield "loose", first_at + k, chunk
+            yield "record", got
+        elif len(member.begun) > 1:  # not a member after all: any later piece may begin one
+            again.extendleft(reversed(member.begun[1:]))
+        member = None
+    if member is not None:
+        yield "open", member.begun
+
+
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, chunk): the pieces between magic numbers, read by ranges."""
+    return (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.col("value").cast("binary").alias("chunk")))
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """The page records of the archives below ``path`` (RECORD_DDL); without
     ``payloads`` their bytes are checked and counted but not kept."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    raw = (spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
-           .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                   F.col("value").cast("binary").alias("chunk")))
-    ddl = RECORD_DDL + ", loose_file string, loose_block long, loose_at long, loose_chunk binary"
-
-    def rows_of(found, file, block):
-        for kind, i, data in found:
-            if kind == "loose":
-                yield (None,) * 7 + (file, block, i, data)
-            elif (r := parse_record(data)) is not None:
-                yield (r if payloads else (*r[:3], None, *r[4:])) + (None,) * 4
+    ddl = RECORD_DDL + ", file string, block long, begun binary"
+    names = [x.split()[0] for x in RECORD_DDL.split(", ")]
+
+    def kept(data: bytes):
+        r = parse_record(data)
+        return r if r is None or payloads else (*r[:3], None, *r[4:])
 
     def run(batches):
         def chunks():
             for b in batches:
                 yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
 
-        from itertools import groupby
-        for (file, block), own in groupby(chunks(), key=lambda x: (x[0], x[1])):
-            yield from _batches(rows_of(joined(x[2] for x in own), file, block), ddl)
-
-    # what a second pass needs is the loose pieces alone; records go to the table once
-    first = written(raw.mapInArrow(run, ddl), "warc-records")
-    loose = first.where("loose_file is not null").select("loose_file", "loose_block", "loose_at", "loose_chunk")
-
-    def mend(key, pdf):
+        def rows():
+            for (file, block), own in groupby(chunks(), key=lambda x: (x[0], x[1])):
+                for kind, data in joined(x[2] for x in own):
+                    if kind == "open":
+                        yield (None,) * 7 + (file, block, MAGIC.join(data))
+                    elif (r := kept(data)) is not None:
+                        yield r + (file, block, None)
+                yield (None,) * 7 + (file, block, None)  # the range was read
+
+        yield from _batches(rows(), ddl)
+
+    found = written(_raw(spark, path).mapInArrow(run, ddl), "warc-records")
+    records = found.where("record_type is not null")
+    if found.where("begun is not null").isEmpty():
+        return records.select(*names)
+
+    # ranges in file order; one that follows an open member is read again with it
+    order = Window.partitionBy("file").orderBy("block")
+    ranges = written(found.where("record_type is null").groupBy("file", "block").agg(F.max("begun").alias("begun"))
+                     .withColumns({"before": F.lag("begun").over(order), "after": F.lead("block").over(order)}), "warc-ranges")
+    again = ranges.withColumn("again", F.col("before").isNotNull())
+
+    def mend(key, t):
         import pyarrow as pa
 
-        t = sorted(zip(*(pdf.column(k).to_pylist() for k in ("loose_block", "loose_at", "loose_chunk")), strict=True),
-                   key=lambda r: (r[0], r[1]))
-        rows = [r for kind, _, data in joined(x[2] for x in t) if kind == "record" and (r := parse_record(data)) is not None]
-        rows = rows if payloads else [(*r[:3], None, *r[4:]) for r in rows]
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
-        return pa.table([pa.array(c, f.type) for c, f in zip(cols, _arrow(RECORD_DDL), strict=True)], schema=_arrow(RECORD_DDL))
-
-    names = [x.split()[0] for x in RECORD_DDL.split(", ")]
-    return first.where("loose_file is null").select(*names).unionByName(
-        loose.groupBy("loose_file").applyInArrow(mend, RECORD_DDL))
+        rows = sorted(zip(*(t.column(k).to_pylist() for k in ("block", "at", "chunk", "after")), strict=True), key=lambda r: r[:2])
+        out = []
+        for kind, data in joined((r[2] for r in rows[1:]), rows[0][2].split(MAGIC)):
+            if kind == "open":
+                out.append((None,) * 7 + (rows[-1][3], key[0].as_py()))
+            elif (r := kept(data)) is not None:
+                out.append(r + (None, None))
+        cols = list(zip(*out, strict=True)) or [[]] * 9
+        return pa.table([pa.array(c, f.type) for c, f in zip(cols, _arrow(mend_ddl), strict=True)], schema=_arrow(mend_ddl))
+
+    mend_ddl = RECORD_DDL + ", after long, file string"
+    while True:
+        runs = again.withColumn("run", F.sum(F.when(F.col("again"), 0).otherwise(1)).over(order))
+        told = written(runs.where("again").select("file", "block", "run", "after", "before"), "warc-again")
+        pieces = (_raw(spark, path).withColumn("at", F.monotonically_increasing_id())
+                  .join(told.drop("before"), ["file", "block"]).select("file", "run", "block", "at", "chunk", "after"))
+        first = told.groupBy("file", "run").agg(F.min_by("before", "block").alias("chunk"))
+        none = F.lit(-1).cast("long")
+        heads = first.select("file", "run", none.alias("block"), none.alias("at"), "chunk", none.alias("after"))
+        # a group is the ranges after one open member: a split's bytes, seldom more
+        mended = written(pieces.unionByName(heads).groupBy("file", "run").applyInArrow(mend, mend_ddl), "warc-mended")
+        more = mended.where("record_type is null and after is not null").select("file", F.col("after").alias("block"),
+                                                                                F.lit(True).alias("more"))
+        if more.isEmpty():
+            break
+        # the member goes on behind the ranges read again: one range more
+        again = written(again.join(more.distinct(), ["file", "block"], "left")
+                        .withColumn("again", F.col("again") | F.coalesce("more", F.lit(False))).drop("more"), "warc-ranges")
+    alone = records.join(told.select("file", "block"), ["file", "block"], "left_anti")
+    return alone.select(*names).unionByName(mended.where("record_type is not null").select(*names))
 
 
 def _arrow(ddl: str):
@@ -258,7 +287,6 @@ def _arrow(ddl: str):
 def _batches(rows, ddl: str, most: int = 256):
     """Record batches of at most ``most`` rows."""
     import pyarrow as pa
-    from itertools import islice
 
     schema, rows = _arrow(ddl), iter(rows)
     while part := list(islice(rows, most)):
