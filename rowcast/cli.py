@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rowcast.plans.config import load_configs
 from rowcast.session import configure
-from rowcast.sources.changelog import stream_log
+from rowcast.sources.changelog import FILES_PER_TRIGGER, stream_log
 from rowcast.streaming.stream import start_pipeline
 
 
@@ -29,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--out", required=True)
     run.add_argument("--checkpoint", required=True)
     run.add_argument("--pk", default=None, help="comma-separated primary-key columns (else the log's pk_columns)")
-    run.add_argument("--files-per-trigger", type=int, default=None)
+    run.add_argument("--files-per-trigger", type=int, default=FILES_PER_TRIGGER)
     run.add_argument("--trigger", default=None, help="processing-time trigger, e.g. '10 seconds'")
     run.add_argument("--once", action="store_true")
     run.add_argument("--ui", action="store_true", help="keep the Spark web UI (off by default)")

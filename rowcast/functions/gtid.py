@@ -20,15 +20,14 @@ def parse_gtid_set(text: str | Column) -> Column:
     t = F.regexp_replace(_c(text), r"\s+", "")
     members = F.filter(F.split(t, ","), lambda m: m != "")
 
-    def member(m):
-        parts = F.split(m, ":")
+    def member(parts):  # a lambda variable, so a member is split once and not per interval
         uuid = F.lower(F.get(parts, 0))
-        intervals = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-        return F.transform(intervals, lambda iv: F.struct(
+        return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda iv: F.struct(
             uuid.alias("uuid"),
-            F.get(F.split(iv, "-"), 0).cast("bigint").alias("lo"),
-            F.coalesce(F.get(F.split(iv, "-"), 1), F.get(F.split(iv, "-"), 0)).cast("bigint").alias("hi")))
+            F.substring_index(iv, "-", 1).cast("bigint").alias("lo"),
+            F.substring_index(iv, "-", -1).cast("bigint").alias("hi")))
 
+    members = F.transform(members, lambda m: F.split(m, ":"))
     return F.flatten(F.transform(members, member))
 
 

@@ -12,8 +12,6 @@ are carried along but never encoded hold the source position.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Fixed values of the event contract (must equal the upstream tool's).
 ACTION_INSERT = "insert"
 ACTION_UPDATE = "update"
@@ -34,7 +32,6 @@ ENVELOPE_FIELDS = ("schema", "table", "action", "before", "after", "meta", "kafk
 GTID_UUID = "gtid_uuid"
 GTID_SEQ = "gtid_seq"
 POS = "pos"
-SIDE_FIELDS = (GTID_UUID, GTID_SEQ, POS)
 
 # Raw change-log columns (the input contract of the envelope builder).
 RAW_ROWS = "rows"
@@ -43,28 +40,3 @@ RAW_PK = "pk_columns"
 # Internal bookkeeping columns of the rule fold.
 VERDICT_COL = "_verdict"
 ERROR_COL = "_error"
-
-META_TYPE = T.StructType([
-    T.StructField("timestamp", T.LongType()),
-    T.StructField("pipeline", T.StringType()),
-])
-KAFKA_TYPE = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("key", T.StringType()),
-])
-
-# Encoded delivery record, uniform across layouts and tables.
-RECORD_FIELDS = ("pipeline", "topic", "key", "value", GTID_UUID, GTID_SEQ, POS)
-
-# Saved position rows (one per pipeline and save).
-STATE_SCHEMA = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("gtid", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
-GTID_RANGE_TYPE = T.ArrayType(T.StructType([
-    T.StructField("uuid", T.StringType()),
-    T.StructField("lo", T.LongType()),
-    T.StructField("hi", T.LongType()),
-]))

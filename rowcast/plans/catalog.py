@@ -1040,37 +1040,69 @@ def count_and_total(event: dict, state: dict) -> int:
     return ACTION_CONT
 
 
-@query("stateful_stream", f"""
-WITH c AS ({CHG_EVENTS_SQL})
-SELECT schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key, count(*) AS seen,
-       sum(round(value * 100))::BIGINT AS total_cents
-FROM c GROUP BY 1, 2
-""")
+def hold_back_repeats(event: dict, state: dict) -> int:
+    """Stateful rule body whose result depends on the order: numbers a key's
+    events, notes the previous value and drops every third one."""
+    img = (event.get("after") or event.get("before") or [{}])[0]
+    cents = round((img.get("value") or 0) * 100)
+    state["seen"] = state.get("seen", 0) + 1
+    state["change"] = cents - state.get("last", cents)
+    state["last"] = cents
+    event["kafka"]["key"] = f"{event['kafka']['key']}#{state['seen']}"
+    return ACTION_DROP if state["seen"] % 3 == 0 else ACTION_CONT
+
+
+STATEFUL_SQL = f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+k AS (SELECT gtid_seq, schema_name || '.' || table_name AS topic, user_id::VARCHAR AS key,
+             round(value * 100)::BIGINT AS cents, {GUARD_SQL} AS g FROM c),
+n AS (SELECT *, row_number() OVER w AS seen, cents - coalesce(lag(cents) OVER w, cents) AS change
+      FROM k WHERE g WINDOW w AS (PARTITION BY topic, key ORDER BY gtid_seq))
+SELECT gtid_seq, topic, key || '#' || seen AS key, seen, change FROM n WHERE seen % 3 <> 0
+UNION ALL SELECT gtid_seq, topic, key, NULL, NULL FROM k WHERE NOT g
+"""
+
+
+def _state_rule():
+    from rowcast.streaming.stateful import StatefulRule
+    return StatefulRule("repeats", ["kafka.topic", "kafka.key"], hold_back_repeats, [("seen", "bigint"), ("change", "bigint")],
+                        match_schema="test_.*", match_table="test_.*")
+
+
+@query("stateful_chain", STATEFUL_SQL)
+def stateful_chain(spark, sf_dir):
+    """U3 in a rule chain: guard, verdict, edits and order of a stateful rule
+    between expression rules."""
+    from rowcast.plans.pipeline import apply_chain
+    rules = [samples.empty_rule(), _state_rule(), samples.empty_rule()]
+    out = apply_chain(_events(spark, sf_dir), rules)
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "seen", "change")
+
+
+@query("stateful_stream", STATEFUL_SQL)
 def stateful_stream(spark, sf_dir):
-    """U3 on a stream: ``applyInPandasWithState`` keeps per-key state in the
-    state store across micro-batches of at most two files each (so one call
-    holds at most one key's events of one small batch).  Returns the state
-    each key ends with; it is the same whatever order the files arrive in."""
+    """U3 on a stream: the same rule keeps its state in the state store across
+    micro-batches.  The log is written in source order, a third after the other,
+    so its files reach the state in source order; one row per event comes out."""
     from rowcast.session import shared_path
     from rowcast.sources.changelog import stream_log
-    from rowcast.streaming.stateful import StatefulRule, apply_stateful_rule
+    from rowcast.plans.pipeline import finished
+    from rowcast.streaming.stream import events_stream
     base = shared_path(spark, "stateful_stream")
     log = fx.chg_events(spark, sf_dir)
-    log.repartition(8).write.parquet(f"{base}/log")
-    ev = build_events(stream_log(spark, f"{base}/log", log.schema, max_files_per_trigger=2), pipeline="p1",
-                      timestamp=F.col("gtid_seq") * 1000, pk=["user_id"])
-    recs = ev.select(F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "gtid_seq", "pos",
-                     "before", "after")
-    rule = StatefulRule("totals", ["topic", "key"], count_and_total, [("seen", "bigint"), ("running_cents", "bigint")])
-    q = (apply_stateful_rule(recs, rule).select("topic", "key", "seen", "running_cents")
-         .writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    out = spark.read.parquet(f"{base}/out")
-    return out.groupBy("topic", "key").agg(F.max("seen").alias("seen"),
-                                           F.max_by("running_cents", "seen").alias("total_cents"))
+    spec = PipelineSpec(name="p1", rules=[_state_rule()], pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    last = fx.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    for part in range(3):  # each part is one arrival: whatever files it has, the next one's are newer
+        low, high = part * (last // 3 + 1), (part + 1) * (last // 3 + 1)
+        log.filter(F.col("pos").between(low, high - 1)).write.mode("append").parquet(f"{base}/log")
+        ev = finished(events_stream(spec, stream_log(spark, f"{base}/log", log.schema)))
+        q = (ev.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "seen", "change")
+             .writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
 
 
 # ---------------------------------------------------------------- audit and table versions

@@ -22,7 +22,8 @@ from rowcast.operators.rules import Rule, SourceFilter, apply_rules
 @dataclass
 class PipelineSpec:
     """What one pipeline does.  ``rules`` may mix expression rules
-    (:class:`Rule`) and Python rules (:class:`rowcast.operators.pyrule.PythonRule`)."""
+    (:class:`Rule`), Python rules (:class:`rowcast.operators.pyrule.PythonRule`)
+    and stateful rules (:class:`rowcast.streaming.stateful.StatefulRule`)."""
 
     name: str
     rules: Sequence = field(default_factory=list)
@@ -35,26 +36,58 @@ class PipelineSpec:
 
 
 def apply_chain(events: DataFrame, rules: Sequence, on_null_verdict: str = "fail") -> DataFrame:
-    """Run a mixed list of expression and Python rules in order.
+    """Run a mixed list of rules in order and keep the events to deliver.
 
-    Consecutive expression rules stay one narrow JVM plan; a Python rule
-    is a ``mapInPandas`` stage in between (same fold semantics).
+    Consecutive expression rules stay one narrow JVM plan; a Python rule is a
+    ``mapInArrow`` stage in between, a stateful rule a grouped one (all with the
+    same fold semantics).
     """
     from rowcast.model import ACTION_CONT, VERDICT_COL
+
+    df = events.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
+    return finished(fold(df, rules, on_null_verdict))
+
+
+def fold(df: DataFrame, rules: Sequence, on_null_verdict: str = "fail", keep_dropped: bool = False) -> DataFrame:
+    """Rules over events that carry ``_verdict``.  With ``keep_dropped`` events
+    with verdict DROP go on to the end (no later rule touches them)."""
+    from rowcast.model import ACTION_DROP, VERDICT_COL
     from rowcast.operators.pyrule import PythonRule, apply_python_rule
     from rowcast.operators.rules import apply_rule
+    from rowcast.streaming.stateful import StatefulRule, apply_state_rule
 
-    df = events.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
     for r in rules:
         if isinstance(r, PythonRule):
+            if keep_dropped:
+                raise TypeError("a Python rule can't stand before a stateful rule on a stream; use an expression rule there")
             df = apply_python_rule(df, r, on_null_verdict)
+        elif isinstance(r, StatefulRule):
+            df = apply_state_rule(df, r, on_null_verdict)
+            if not keep_dropped:
+                df = df.filter(F.col(VERDICT_COL) != ACTION_DROP)
         elif isinstance(r, Rule):
-            df = apply_rule(df, r, on_null_verdict)
+            df = (apply_rule(df, r, on_null_verdict, short_circuit=False, active=F.col(VERDICT_COL) != ACTION_DROP)
+                  if keep_dropped else apply_rule(df, r, on_null_verdict))
         else:
             raise TypeError(f"not a rule: {r!r}")
+    return df
+
+
+def finished(df: DataFrame) -> DataFrame:
+    """What the last verdict lets through."""
+    from rowcast.model import ACTION_CONT, VERDICT_COL
+
     return df.filter(F.col(VERDICT_COL) == ACTION_CONT).drop(VERDICT_COL)
 
 
+def split_at_state(rules: Sequence) -> tuple[list, list]:
+    """(rules up to the last stateful one, the others)."""
+    from rowcast.streaming.stateful import StatefulRule
+
+    cut = max((i + 1 for i, r in enumerate(rules) if isinstance(r, StatefulRule)), default=0)
+    return list(rules[:cut]), list(rules[cut:])
+
+
 def run_events(spec: PipelineSpec, log: DataFrame) -> DataFrame:
     """Filtered, enveloped and transformed events (typed, not yet encoded)."""
     from rowcast.operators.rules import validate_rules

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from rowcast.operators.delivery import order_for_delivery
 
 
-def write_topics(records: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
+def write_topics(records: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
                  ordered: bool = True, partitions: int | None = None) -> None:
     """Batch fan-out: one folder per topic; within it files follow per-key order.
+    A run writes to a folder of its own; running again with ``mode="overwrite"``
+    replaces it, so records are never written twice.
 
     Read it back with an explicit schema (``topic`` as string), or partition
     type inference may read a numeric-looking topic name as a number.
@@ -22,11 +24,6 @@ def write_topics(records: DataFrame, path: str, fmt: str = "parquet", mode: str
     out.write.mode(mode).partitionBy("topic").format(fmt).save(path)
 
 
-def write_topics_table(records: DataFrame, table: str, mode: str = "append") -> None:
-    """Fan-out into a catalog table partitioned by topic."""
-    records.write.mode(mode).partitionBy("topic").saveAsTable(table)
-
-
 def write_kafka(records: DataFrame, servers: str, **options) -> None:
     """Batch write to Kafka; each record goes to its own ``topic`` under ``key``.
 

@@ -19,6 +19,10 @@ from rowcast.model import GTID_SEQ, GTID_UUID, ROW_ACTIONS
 from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_windows
 
 
+#: Files of a micro-batch unless the caller says otherwise.
+FILES_PER_TRIGGER = 1000
+
+
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None,
              **options) -> DataFrame:
     """S1 (batch): a change log from files."""
@@ -29,15 +33,14 @@ def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.Str
 
 
 def stream_log(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
-               max_files_per_trigger: int | None = None, **options) -> DataFrame:
+               max_files_per_trigger: int = FILES_PER_TRIGGER, **options) -> DataFrame:
     """S1 (stream): new files of a change-log folder as a stream.
 
-    ``max_files_per_trigger`` bounds each micro-batch (back-pressure).
+    ``max_files_per_trigger`` bounds each micro-batch (back-pressure), the first
+    one over a backlog too.
     """
     r = spark.readStream.format(fmt).schema(schema).options(**options)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return r.option("maxFilesPerTrigger", str(max_files_per_trigger)).load(path)
 
 
 def stream_kafka(spark: SparkSession, servers: str, topics: str, value_schema: T.StructType | str,

@@ -4,12 +4,22 @@ Upstream keeps one script runtime per rule, so script globals live as long
 as the pipeline.  Here state is kept **per key** (a stated deviation: a
 single global state would force every event through one task).
 
-* Streaming: :func:`apply_stateful_rule` runs a Python function per key with
-  ``applyInPandasWithState``; each call sees only that key's events of one
-  micro-batch (bounded by the trigger size), in source order, plus the state
-  saved in the state store.
+* In a rule chain: a :class:`StatefulRule` may stand among the rules of a
+  ``PipelineSpec``.  Its guard, verdict and edits work like those of any other
+  rule (:func:`apply_state_rule`); events that it doesn't match pass by.  On a
+  stream the chain up to the last stateful rule runs on the stream itself, so
+  the state lives in Spark's state store.
+* On any frame: :func:`apply_stateful_rule` adds what the state says after each
+  event.
 * Batch: running counts and sums per key use the bucketed window operators
   (:func:`running_totals`), which stay balanced when one key is huge.
+
+Order: a call sees a key's events of one micro-batch sorted by ``order``, and
+micro-batches follow the order in which files arrive, so a log that is written
+in source order reaches the state in source order.  One key's events of one
+micro-batch are held at once; the trigger's file limit bounds them.  In batch a
+key's events pass one task in order (the function needs them so) and only the
+state is held.
 """
 
 from __future__ import annotations
@@ -22,8 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowcast.model import GTID_SEQ, POS
+from rowcast.model import ACTION_CONT, ACTION_DROP, ENVELOPE_FIELDS, GTID_SEQ, POS, VERDICT_COL
+from rowcast.operators.codec import JSON_OPTIONS, TIME_FORMAT
 from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_windows
+from rowcast.operators.pyrule import call_rule, checked_verdict, encoded, written_back
+from rowcast.operators.rules import matches
 
 
 def running_totals(events: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] = (GTID_SEQ, POS),
@@ -36,23 +49,30 @@ def running_totals(events: DataFrame, keys: Sequence[str], value: str, order: Se
 @dataclass
 class StatefulRule:
     """``fn(event: dict, state: dict) -> verdict``; ``state`` is mutable and
-    persists per key across micro-batches (JSON-serialisable values)."""
+    persists per key across micro-batches (JSON-serialisable values).  ``keys``
+    are columns or fields such as ``kafka.key``."""
 
     name: str
     keys: Sequence[str]
     fn: Callable[[dict, dict], int]
     output: Sequence[tuple[str, str]] = field(default_factory=list)  # extra (name, ddl type) from the state
+    match_schema: str = ""
+    match_table: str = ""
+
+    def guard(self):
+        return matches("schema", self.match_schema) & matches("table", self.match_table)
 
 
 def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[str] = (GTID_SEQ, POS),
                         state_ttl: str | None = None, event_time: str | None = None,
-                        watermark: str = "0 seconds") -> DataFrame:
+                        watermark: str = "0 seconds", on_null_verdict: str = "fail") -> DataFrame:
     """Streaming (or batch) per-key state with ``applyInPandasWithState``.
 
     Input columns are passed to ``fn`` as a dict per event (images as lists of
     dicts).  Output: the input's scalar columns listed in ``keys`` and
     ``order``, the verdict, and the ``rule.output`` fields read from the state
-    after each event.  Events with verdict 1 are removed.
+    after each event.  As at the end of a chain, only events with verdict 0 are
+    kept; a null verdict follows ``on_null_verdict``.
 
     ``state_ttl`` with ``event_time`` (a timestamp column): a key's state is
     removed once the watermark (``event_time`` minus ``watermark``) passes the
@@ -73,7 +93,7 @@ def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[s
     # the watermarked column itself must reach the stateful operator
     ev_ms = ([F.col(event_time), F.unix_millis(F.col(event_time).cast("timestamp")).alias("_event_ms")]
              if ttl_ms else [])
-    packed = events.select(*keys, *order, F.to_json(F.struct(*payload_cols)).alias("_evt"), *ev_ms)
+    packed = events.select(*keys, *order, F.to_json(F.struct(*payload_cols), JSON_OPTIONS).alias("_evt"), *ev_ms)
     out_fields = ([packed.schema[c] for c in keys + order] + [T.StructField("_verdict", T.IntegerType())]
                   + [T.StructField(n, T._parse_datatype_string(t)) for n, t in rule.output])
     out_schema = T.StructType(out_fields)
@@ -92,7 +112,7 @@ def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[s
         verdicts, extras = [], {n: [] for n in extra}
         for evt in pdf["_evt"]:
             e = json.loads(evt)
-            verdicts.append(int(fn(e, st) or 0))
+            verdicts.append(checked_verdict(fn(e, st), on_null_verdict, rule.name))
             for n in extra:
                 extras[n].append(st.get(n))
         out = pdf[keys + order].copy()
@@ -106,7 +126,76 @@ def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[s
 
     timeout = GroupStateTimeout.EventTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
     res = packed.groupBy(*keys).applyInPandasWithState(run, out_schema, state_schema, "append", timeout)
-    return res.filter(F.col("_verdict") != 1)
+    return res.filter(F.col("_verdict") == ACTION_CONT)
+
+
+def apply_state_rule(df: DataFrame, rule: StatefulRule, on_null_verdict: str = "fail",
+                     order: Sequence[str] = (GTID_SEQ, POS)) -> DataFrame:
+    """One stateful rule over events that carry ``_verdict``; nothing is removed.
+
+    Dropped events and those the guard doesn't match pass by; matched ones reach
+    the function as the payload's dict, in ``order`` per key, and come back with
+    its edits, its verdict and the ``rule.output`` fields as columns.  The whole
+    row travels as JSON text beside the payload and unchanged fields are read
+    back from it with the frame's schema.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    columns = [c for c in df.columns if c != VERDICT_COL]
+    active = rule.guard() & (F.col(VERDICT_COL) != ACTION_DROP)
+    by = df.filter(~active).select(
+        *columns, F.when(F.col(VERDICT_COL) == ACTION_DROP, ACTION_DROP).otherwise(ACTION_CONT).alias(VERDICT_COL),
+        *[F.lit(None).cast(t).alias(n) for n, t in rule.output])
+    hit = df.filter(active)
+    times = {**JSON_OPTIONS, "timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
+    keys, at = [f"_k{i}" for i in range(len(rule.keys))], [f"_o{i}" for i in range(len(order))]
+    packed = hit.select(*[F.col(k).alias(n) for k, n in zip(rule.keys, keys, strict=True)],
+                        *[F.col(o).alias(n) for o, n in zip(order, at, strict=True)],
+                        F.to_json(F.struct(*columns), times).alias("_row"), encoded(hit).alias("_evt"))
+    out_schema = T.StructType([T.StructField("_row", T.StringType())]
+                              + [T.StructField(f"_out_{f}", T.StringType()) for f in ENVELOPE_FIELDS]
+                              + [T.StructField(VERDICT_COL, T.IntegerType())]
+                              + [T.StructField(n, T._parse_datatype_string(t)) for n, t in rule.output])
+
+    def rows_of(pdf, st):
+        import pandas as pd
+
+        rows = []
+        for row, text in zip(pdf["_row"], pdf["_evt"], strict=True):
+            verdict, changed = call_rule(lambda e: rule.fn(e, st), text, on_null_verdict, rule.name)
+            rows.append((row, *[changed.get(f) for f in ENVELOPE_FIELDS], verdict, *[st.get(n) for n, _ in rule.output]))
+        return pd.DataFrame(rows, columns=out_schema.names)
+
+    def run(key, pdfs, state):
+        import pandas as pd
+
+        st = json.loads(state.get[0]) if state.exists else {}
+        out = rows_of(pd.concat(list(pdfs), ignore_index=True).sort_values(at, kind="mergesort"), st)
+        state.update((json.dumps(st),))
+        yield out
+
+    def run_sorted(pdfs):
+        """Batch: a key's rows come one after the other; only its state is held."""
+        last, st = None, {}
+        for pdf in pdfs:
+            codes = list(pdf[keys].itertuples(index=False, name=None))
+            cuts = [i for i in range(len(codes)) if not i or codes[i] != codes[i - 1]] + [len(codes)]
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                if codes[i] != last:
+                    last, st = codes[i], {}
+                yield rows_of(pdf.iloc[i:j], st)
+
+    if df.isStreaming:
+        res = packed.groupBy(*keys).applyInPandasWithState(
+            run, out_schema, T.StructType([T.StructField("state_json", T.StringType())]), "append", GroupStateTimeout.NoTimeout)
+    else:
+        res = packed.repartition(*keys).sortWithinPartitions(*keys, *at).mapInPandas(run_sorted, out_schema)
+    whole = res.withColumn("_r", F.from_json("_row", T.StructType([df.schema[c] for c in columns]), times))
+    flat = whole.select(*[F.col("_r")[c].alias(c) for c in columns],
+                        *[c for c in out_schema.names if c != "_row"])
+    back = written_back(flat, {f: df.schema[f].dataType for f in ENVELOPE_FIELDS})
+    done = flat.select(*[back[c].alias(c) if c in back else F.col(c) for c in columns], VERDICT_COL, *[n for n, _ in rule.output])
+    return done.unionByName(by)
 
 
 def _duration_ms(text: str) -> int:

@@ -6,7 +6,7 @@ micro-batch can also be ordered per key and produce its position row:
 
 * records go to ``<out>/batch_id=<n>/topic=<t>/``, overwritten when a batch is
   replayed after a failure, so output is exactly once per batch id;
-* the state row of the batch (highest position processed per pipeline and
+* the state row of the batch (all positions processed so far per pipeline and
   source uuid) goes to ``<state>/batch=<n>`` after the records are written,
   overwritten on a replay like the records;
 * the streaming checkpoint is the resume point (S4); the state table is the
@@ -19,20 +19,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rowcast.model import ACTION_CONT, GTID_SEQ, GTID_UUID, POS, VERDICT_COL
 from rowcast.operators.codec import encode
-from rowcast.operators.delivery import order_for_delivery
 from rowcast.operators.envelope import build_events
-from rowcast.operators.position import state_from_batch, write_state
+from rowcast.operators.position import state_before, state_from_batch, write_state
 from rowcast.operators.rules import Rule, verdicts
-from rowcast.plans.pipeline import PipelineSpec, apply_chain
+from rowcast.plans.pipeline import PipelineSpec, finished, fold, split_at_state
 
 
 def events_stream(spec: PipelineSpec, log: DataFrame) -> DataFrame:
-    """Filtered and enveloped events of a streaming change log (before rules)."""
+    """Filtered and enveloped events of a streaming change log, with ``_verdict``,
+    after the rules up to the last stateful one (if any); dropped events are kept
+    so that their position is saved."""
     if spec.source_filter is not None:
         log = spec.source_filter.apply(log)
-    return build_events(log, pipeline=spec.name, timestamp=spec.timestamp, pk=spec.pk,
-                        on_error=spec.on_error, string_columns=spec.string_columns)
+    ev = build_events(log, pipeline=spec.name, timestamp=spec.timestamp, pk=spec.pk,
+                      on_error=spec.on_error, string_columns=spec.string_columns)
+    head, _ = split_at_state(spec.rules)
+    return fold(ev.withColumn(VERDICT_COL, F.lit(ACTION_CONT)), head, spec.on_null_verdict, keep_dropped=True)
+
+
+#: Sequence numbers that one sorted run of a key covers in the file sink.
+RUN_WIDTH = 1 << 16
 
 
 def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str | None, state_path: str | None,
@@ -40,49 +48,55 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
                   writer=None) -> None:
     """Deliver one micro-batch: rules, encode, per-key order, write, save position.
 
+    The rule chain runs once: records are exchanged by a hash of topic, key and
+    run of sequence numbers (no sampling job), sorted and written, and counts
+    are observed on the way.  The position is a second pass over the batch's
+    source that reads its position columns alone.  Nothing is kept on executors.
+
     With ``metrics_path``, one row per batch goes to ``<metrics>/batch=<n>``
-    (overwritten on a replay): events in, records written, events not
-    delivered and the largest delay since ``meta.timestamp`` (P10), measured
-    with ``Observation`` while the batch is written.  With ``writer`` the
-    records are handed over unordered; the writer orders them for its sink.
+    (overwritten on a replay): events in, records written, events not delivered,
+    by rule where all rules are expressions, and the largest delay since
+    ``meta.timestamp`` (P10).  With ``writer`` the records are handed over
+    unordered; the writer orders them for its sink.
     """
     from pyspark.sql import Observation
 
-    events = events.persist()
-    try:
-        recs = encode(apply_chain(events, spec.rules, spec.on_null_verdict))
-        if ordered and writer is None:
-            recs = order_for_delivery(recs)
-        obs = None
-        if metrics_path:
-            # above the range exchange, so its sampling job does not count rows too
-            obs = Observation(f"rowcast_{spec.name}_{batch_id}")
-            delay = F.unix_micros(F.current_timestamp()) - F.get_json_object("value", "$.meta.timestamp").cast("bigint")
-            recs = recs.observe(obs, F.count(F.lit(1)).alias("written"), F.max(delay).alias("max_delay_us"))
-        if writer is not None:
-            writer(recs, batch_id)          # e.g. sinks.fanout.kafka_writer(...)
-        else:
-            recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
-        if state_path:
-            write_state(state_from_batch(events, F.col("meta.pipeline")), state_path, batch_id=batch_id)
-        if obs is not None:
-            m = obs.get
-            n_in = events.count()
-            spark = events.sparkSession
-            by_rule = None
-            if all(isinstance(r, Rule) for r in spec.rules):
-                # which rule stopped how many events (one small aggregate over the persisted batch)
-                counts = (verdicts(events, spec.rules, spec.on_null_verdict).filter(F.col("_dropped_by").isNotNull())
-                          .groupBy("_dropped_by").count().collect())
-                by_rule = {r["_dropped_by"]: int(r["count"]) for r in counts}
-            row = [(spec.name, int(batch_id), n_in, int(m.get("written") or 0), n_in - int(m.get("written") or 0),
-                    m.get("max_delay_us"), by_rule)]
-            (spark.createDataFrame(row, "pipeline string, batch_no bigint, events_in bigint, written bigint, "
-                                        "not_delivered bigint, max_delay_us bigint, "
-                                        "dropped_by_rule map<string,bigint>")
-             .coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={int(batch_id)}"))
-    finally:
-        events.unpersist()
+    _, tail = split_at_state(spec.rules)
+    by_rule = metrics_path is not None and len(tail) == len(spec.rules) and all(isinstance(r, Rule) for r in tail)
+    df, obs_in, obs_out = events, None, None
+    if metrics_path:
+        obs_in, obs_out = Observation(f"in_{spec.name}_{batch_id}"), Observation(f"out_{spec.name}_{batch_id}")
+    if by_rule:
+        df = verdicts(df.drop(VERDICT_COL), tail, spec.on_null_verdict)
+        counts = [F.count(F.when(F.col("_dropped_by") == r.name, 1)).alias(f"rule{i}") for i, r in enumerate(tail)]
+        df = df.observe(obs_in, F.count(F.lit(1)).alias("events_in"), *counts).drop("_dropped_by")
+    elif metrics_path:
+        df = df.observe(obs_in, F.count(F.lit(1)).alias("events_in"))
+    done = finished(df if by_rule else fold(df, tail, spec.on_null_verdict))
+    recs = encode(done.withColumn("_event_us", F.col("meta.timestamp")), keep=(GTID_UUID, GTID_SEQ, POS, "_event_us"))
+    if metrics_path:
+        delay = F.unix_micros(F.current_timestamp()) - F.col("_event_us")
+        recs = recs.observe(obs_out, F.count(F.lit(1)).alias("written"), F.max(delay).alias("max_delay_us"))
+    recs = recs.drop("_event_us")
+    if writer is not None:
+        writer(recs, batch_id)          # e.g. sinks.fanout.kafka_writer(...)
+    else:
+        if ordered:
+            recs = (recs.repartition("topic", "key", F.expr(f"{GTID_SEQ} div {RUN_WIDTH}"))
+                    .sortWithinPartitions("topic", "key", GTID_SEQ, POS))
+        recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
+    if state_path:
+        before = state_before(events.sparkSession, state_path, batch_id)
+        write_state(state_from_batch(events, F.col("meta.pipeline"), previous=before), state_path, batch_id=batch_id)
+    if metrics_path:
+        i, o = obs_in.get, obs_out.get
+        n, written = int(i.get("events_in") or 0), int(o.get("written") or 0)
+        rules = {r.name: int(i[f"rule{k}"]) for k, r in enumerate(tail) if i.get(f"rule{k}")} if by_rule else None
+        row = [(spec.name, int(batch_id), n, written, n - written, o.get("max_delay_us"), rules)]
+        (events.sparkSession.createDataFrame(row, "pipeline string, batch_no bigint, events_in bigint, written bigint, "
+                                                  "not_delivered bigint, max_delay_us bigint, "
+                                                  "dropped_by_rule map<string,bigint>")
+         .write.mode("overwrite").parquet(f"{metrics_path}/batch={int(batch_id)}"))
 
 
 def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str | None, checkpoint: str,
