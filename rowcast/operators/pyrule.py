@@ -28,7 +28,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,23 +113,24 @@ def _runner(rule: PythonRule, keep: list[str], on_null_verdict: str):
     return run
 
 
-def written_back(df: DataFrame, fields: dict[str, T.DataType], on_error: str = "fail") -> dict:
-    """Columns of the envelope after a rule: the parsed text of ``_out_<field>``
-    where there is one, else the column as it was."""
-    cols = {}
+def written_back(fields: dict[str, T.DataType], on_error: str = "fail") -> tuple[dict, Column]:
+    """(columns of the envelope after a rule: the parsed text of ``_out_<field>``
+    where there is one, else the column as it was; whether any text held a value
+    that its column's type can't take, which is an error, or leaves the column)."""
+    cols, any_bad = {}, F.lit(False)
     for f, dt in fields.items():
         text = F.col(f"_out_{f}")
-        schema = T.StructType([T.StructField(f, dt)])
-        options = {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT,
-                   "mode": "FAILFAST" if on_error == "fail" else "PERMISSIVE"}
-        value = F.from_json(text, schema, options)[f]
-        bad = text.isNotNull() & value.isNull() & ~text.endswith(":null}")
+        schema = T.StructType([T.StructField(f, dt), T.StructField("_bad", T.StringType())])
+        parsed = F.from_json(text, schema, {"timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT,
+                                            "columnNameOfCorruptRecord": "_bad"})
+        value, bad = parsed[f], F.coalesce(parsed["_bad"].isNotNull(), F.lit(False))
         if on_error == "fail":
             value = F.when(bad, F.raise_error(F.concat(F.lit("a rule changed a value to another type: "), text))).otherwise(value)
             cols[f] = F.when(text.isNotNull(), value).otherwise(F.col(f))
         else:
             cols[f] = F.when(text.isNotNull() & ~bad, value).otherwise(F.col(f))
-    return cols
+        any_bad = any_bad | bad
+    return cols, any_bad
 
 
 def encoded(df: DataFrame):
@@ -152,6 +153,8 @@ def apply_python_rule(df: DataFrame, rule: PythonRule, on_null_verdict: str = "f
                               + [T.StructField(f"_out_{f}", T.StringType()) for f in ENVELOPE_FIELDS]
                               + [T.StructField(VERDICT_COL, T.IntegerType())])
     res = packed.mapInArrow(_runner(rule, keep, on_null_verdict), out_schema)
-    back = written_back(res, {f: df.schema[f].dataType for f in ENVELOPE_FIELDS}, rule.on_error)
+    back, bad = written_back({f: df.schema[f].dataType for f in ENVELOPE_FIELDS}, rule.on_error)
+    if rule.on_error == "drop":
+        res = res.filter(~bad)
     out = res.select(*[back[c].alias(c) if c in back else F.col(c) for c in keep], VERDICT_COL)
     return out.filter(F.col(VERDICT_COL) != ACTION_DROP)

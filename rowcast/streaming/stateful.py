@@ -193,7 +193,7 @@ def apply_state_rule(df: DataFrame, rule: StatefulRule, on_null_verdict: str = "
     whole = res.withColumn("_r", F.from_json("_row", T.StructType([df.schema[c] for c in columns]), times))
     flat = whole.select(*[F.col("_r")[c].alias(c) for c in columns],
                         *[c for c in out_schema.names if c != "_row"])
-    back = written_back(flat, {f: df.schema[f].dataType for f in ENVELOPE_FIELDS})
+    back, _ = written_back({f: df.schema[f].dataType for f in ENVELOPE_FIELDS})
     done = flat.select(*[back[c].alias(c) if c in back else F.col(c) for c in columns], VERDICT_COL, *[n for n, _ in rule.output])
     return done.unionByName(by)
 

@@ -72,14 +72,33 @@ def test_python_rule_on_mixed_layout(ev):
     assert vals(py) == vals(ex) == vals(typed)
 
 
-def test_python_rule_type_changes_become_null(ev):
+def test_python_rule_errors_follow_the_policy(ev):
     def bad(e):
         for r in e["after"] or []:
             r["user_id"] = "not a number"
-            r["extra"] = 1
         return 0
 
-    out = {r.gtid_seq: r for r in apply_chain(ev, [PythonRule("bad", "test_.*", "test_.*", bad)]).collect()}
-    row1 = out[1].after[0]
-    assert row1.user_id is None and row1.text_col == "change-kafka" and "extra" not in row1.asDict()
-    assert out[4].after[0].user_id == 1      # not matched: untouched
+    def crash(e):
+        if e["action"] == "insert":
+            raise KeyError("x")
+        return 0
+
+    for fn in (bad, crash, lambda e: True, lambda e: 1.7):
+        with pytest.raises(Exception):
+            apply_chain(ev, [PythonRule("r", "test_.*", "test_.*", fn)]).collect()
+    for fn, left in ((bad, [3, 4]), (crash, [3, 4, 5])):
+        kept = apply_chain(ev, [PythonRule("r", "test_.*", "test_.*", fn, on_error="drop")])
+        assert sorted(r.gtid_seq for r in kept.collect()) == left
+        passed = {r.gtid_seq: r for r in apply_chain(ev, [PythonRule("r", "test_.*", "test_.*", fn, on_error="pass")]).collect()}
+        assert sorted(passed) == [1, 2, 3, 4, 5] and passed[1].after[0].user_id == 1
+    with pytest.raises(ValueError, match="on_error"):
+        PythonRule("r", fn=bad, on_error="maybe")
+
+
+def test_python_rule_adds_no_image_fields(ev):
+    def extra(e):
+        for r in e["after"] or []:
+            r["extra"] = 1
+        return 0
+    out = {r.gtid_seq: r for r in apply_chain(ev, [PythonRule("e", "test_.*", "test_.*", extra)]).collect()}
+    assert "extra" not in out[1].after[0].asDict() and out[1].after[0].text_col == "change-kafka"
