@@ -8,15 +8,17 @@ others few.  Small nodes are compared exhaustively.
 
 Groups of copies don't make a node large for ever.  Equal sets are one vertex
 from the start.  Each node of a tree's first level links its rows to one of
-them (the pivot) by an exact test, and only rows that are still in different
-components matter below: a node of one component is done.  What remains of a
-large node branches again, up to ``DEPTH`` levels; what is then still large is
-compared in blocks, every block with every other, so nothing is dropped.
+them by an exact test: the pivot, the row whose own nodes are the fullest, which
+is a group's centre.  Only rows that are still in different components matter
+below: a node of one component is done, and one in which few rows are outside
+its largest component compares those with all others, in blocks.  What remains
+of a large node branches again, up to ``DEPTH`` levels; what is then still large
+is compared in blocks, every block with every other, so nothing is dropped.
 
 Sketches only choose what is compared; every link is confirmed on the full sets
 (100 * intersection >= 75 * union).  With ``TREES`` * ``BRANCHES`` first-level
 coordinates a pair at similarity 0.75 shares none with probability
-0.25 ** 12, about 6e-8; the sketch test passes it with probability 1 - 2e-6.
+0.25 ** 12, about 6e-8; the sketch test passes it with probability 1 - 1e-5.
 
 Defined cases: a text without words, or null, is an empty set linked with
 nothing; a text of fewer words is one shingle; repeated rows are equal sets; a
@@ -37,19 +39,19 @@ from .components import components
 WORDS = 5
 #: Similarity as a fraction: NUM / DEN.
 NUM, DEN = 75, 100
-TOKENS = 64
+TOKENS = 128
 TREES, BRANCHES = 6, 2
 #: Rows that a node may hold to be compared exhaustively in one task.
-LEAF = 512
+LEAF = 4096
 DEPTH = 5
 #: Share of equal minwise tokens below which a pair isn't confirmed on its sets.
-SKETCH = 0.5
+SKETCH = 0.58
 
 SET_DDL = "doc_id long, text_key long, set_id binary, n int, sketch binary, nodes array<long>"
 
 
 def _sketch(g: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """(rows, TOKENS) uint32 minwise tokens."""
+    """(rows, TOKENS) minwise tokens of 32 bits; rows keep the low 16 of each."""
     rows = len(bounds) - 1
     out = np.empty((rows, TOKENS), np.uint32)
     flip, times = texthash.seeds(TOKENS, 31), texthash.seeds(TOKENS, 37) | np.uint64(1)
@@ -103,7 +105,7 @@ def sets(docs: DataFrame) -> DataFrame:
                     [b.column("doc_id").slice(i, j - i), b.column("text_key").slice(i, j - i),
                      pa.array([ids[16 * r:16 * r + 16] if full[r] else None for r in range(j - i)], pa.binary()),
                      pa.array(n, pa.int32()),
-                     pa.array([sk[r].tobytes() if full[r] else None for r in range(j - i)], pa.binary()),
+                     pa.array([sk[r].astype("<u2").tobytes() if full[r] else None for r in range(j - i)], pa.binary()),
                      pa.array([x if full[r] else None for r, x in enumerate(_roots(sk).view(np.int64))], pa.list_(pa.int64()))],
                     names=["doc_id", "text_key", "set_id", "n", "sketch", "nodes"])
 
@@ -120,7 +122,7 @@ def _likely(pairs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(binary_rows(b.column(c))[0].tobytes(), np.uint32).reshape(-1, TOKENS)
+                x, y = (np.frombuffer(binary_rows(b.column(c))[0].tobytes(), "<u2").reshape(-1, TOKENS)
                         for c in ("sketch_u", "sketch_v"))
                 keep = (x == y).sum(1) >= SKETCH * TOKENS
                 import pyarrow as pa
@@ -214,7 +216,7 @@ def _clusters(rows: DataFrame) -> DataFrame:
         for t in _groups(batches, "node"):
             m = t.num_rows
             t = t.combine_chunks()
-            sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint32).reshape(m, TOKENS)
+            sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(m, TOKENS)
             n = t.column("n").to_numpy().astype(np.int64)
             labels, ids = t.column("label").to_pylist(), t.column("set_id").to_pylist()
             code = np.unique(np.array(labels, object), return_inverse=True)[1]
@@ -241,8 +243,9 @@ def _clusters(rows: DataFrame) -> DataFrame:
 
 
 def _exhaustive(rows: DataFrame) -> DataFrame:
-    """Links (u, v) within each cluster (cluster, set_id, label, text), on full
-    sets; a pair that is connected already isn't compared again."""
+    """Links (u, v) within each cluster (cluster, set_id, label, sketch, text),
+    on full sets.  A row meets the likeliest others first, and a pair that is
+    connected already isn't compared."""
     def run(batches):
         import pyarrow as pa
 
@@ -250,11 +253,13 @@ def _exhaustive(rows: DataFrame) -> DataFrame:
             t = t.combine_chunks()
             own = [s for c in t.column("text").chunks for s in _column_sets(c)]
             ids, forest, links = t.column("set_id").to_pylist(), _Forest(t.column("label").to_pylist()), []
-            order = sorted(range(len(own)), key=lambda i: len(own[i]))
-            for x, i in enumerate(order):
-                for j in order[x + 1:]:
-                    if len(own[i]) * DEN < len(own[j]) * NUM:
-                        break
+            sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(len(own), TOKENS)
+            n = np.array([len(x) for x in own])
+            for i in range(len(own) - 1):
+                agree = (sk[i + 1:] == sk[i]).sum(1)
+                fits = np.minimum(n[i + 1:], n[i]) * DEN >= np.maximum(n[i + 1:], n[i]) * NUM
+                near = np.flatnonzero(fits & (agree >= SKETCH * TOKENS))
+                for j in (near[np.argsort(-agree[near], kind="stable")] + i + 1).tolist():
                     if forest.find(i) != forest.find(j) and _similar(own[i], own[j]):
                         forest.join(i, j)
                         links.append((ids[i], ids[j]))
@@ -272,7 +277,7 @@ def _branch(rows: DataFrame) -> DataFrame:
 
         for b in batches:
             if b.num_rows:
-                sk = np.frombuffer(binary_rows(b.column("sketch"))[0].tobytes(), np.uint32).reshape(-1, TOKENS)
+                sk = np.frombuffer(binary_rows(b.column("sketch"))[0].tobytes(), "<u2").reshape(-1, TOKENS)
                 kids = _children(b.column("node").to_numpy().view(np.uint64), sk).view(np.int64)
                 for k in range(BRANCHES):
                     yield pa.RecordBatch.from_arrays([pa.array(kids[:, k].copy(), pa.int64()),
@@ -290,6 +295,21 @@ def _open_nodes(rows: DataFrame) -> DataFrame:
     return rows.join(size, "node")
 
 
+def _dominated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Large nodes in two: (those with at most LEAF rows outside their largest
+    component, as blocks of that component with all the others; the rest)."""
+    size = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = size.groupBy("node").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"))
+    most = most.select("node", F.col("most.label").alias("main"), F.ceil(F.col("most.n") / LEAF).alias("blocks"),
+                       (F.col("all") - F.col("most.n") <= LEAF).alias("few"))
+    told = written(rows.join(most, "node"), "large-nodes")
+    block = F.when(F.col("label") == F.col("main"), F.array(F.pmod(F.xxhash64("set_id"), F.col("blocks")))).otherwise(
+        F.sequence(F.lit(0), F.col("blocks") - 1))
+    cut = told.where("few").withColumn("block", F.explode(block))
+    return (cut.select(F.xxhash64("node", "block").alias("node"), "set_id", "label", "n", "sketch"),
+            told.where("not few").drop("main", "blocks", "few"))
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
     """What is still large: every block of LEAF / 2 rows with every other."""
     n = F.ceil(F.col("rows") / F.lit(LEAF // 2))
@@ -301,9 +321,12 @@ def _blocks(rows: DataFrame) -> DataFrame:
 def links(base: DataFrame, texts: DataFrame) -> DataFrame:
     """All links needed for the components: (u, v) of set ids."""
     nodes = base.select("set_id", F.explode("nodes").alias("node"))
-    pivots = (nodes.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("set_id").alias("pivot"))
-              .where("rows > 1").select("node", "pivot"))
-    shared = written(nodes.join(pivots, "node"), "shared-nodes")
+    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    full = written(nodes.join(sizes, "node"), "full-nodes")
+    weight = full.groupBy("set_id").agg(F.sum("rows").alias("weight"))
+    weighed = full.join(weight, "set_id")
+    pivots = weighed.groupBy("node").agg(F.max(F.struct("weight", "set_id")).alias("p")).select("node", F.col("p.set_id").alias("pivot"))
+    shared = written(full.join(pivots, "node").drop("rows"), "shared-nodes")
     side = base.select("set_id", "n", "sketch", "text_key")
     stars = (shared.where("set_id <> pivot").select(F.col("set_id").alias("u"), F.col("pivot").alias("v")).distinct()
              .join(side.toDF("u", "n_u", "sketch_u", "key_u"), "u").join(side.toDF("v", "n_v", "sketch_v", "key_v"), "v"))
@@ -315,23 +338,24 @@ def links(base: DataFrame, texts: DataFrame) -> DataFrame:
     few = shared.select("node", "set_id").join(labels.select("set_id", "label"), "set_id")
     level = written(_open_nodes(few).drop("label").join(labels, "set_id"), "open-nodes")
     found = []
-    for depth in range(DEPTH):
+    for depth in range(DEPTH + 1):
         found.append(written(_clusters(level.where(F.col("rows") <= LEAF)), "clusters"))
         big = level.where(F.col("rows") > LEAF)
         if big.isEmpty():
             break
+        cut, big = _dominated(big)
+        if depth == DEPTH:
+            cut = cut.unionByName(_blocks(big))
+        found.append(written(_clusters(cut), "clusters"))
+        if depth == DEPTH or big.isEmpty():
+            break
         level = written(_open_nodes(_branch(big).dropDuplicates(["node", "set_id"])), "open-nodes")
-    else:
-        left = level.where(F.col("rows") > LEAF)
-        found.append(written(_clusters(level.where(F.col("rows") <= LEAF)), "clusters"))
-        if not left.isEmpty():
-            found.append(written(_clusters(_blocks(left)), "clusters"))
     clusters = found[0]
     for x in found[1:]:
         clusters = clusters.unionByName(x)
     clusters = clusters.dropDuplicates(["cluster", "set_id"])
-    with_text = clusters.join(base.select("set_id", "text_key"), "set_id").join(texts, "text_key")
-    late = written(_exhaustive(with_text.select("cluster", "set_id", "label", "text")), "leaf-links")
+    with_text = clusters.join(base.select("set_id", "text_key", "sketch"), "set_id").join(texts, "text_key")
+    late = written(_exhaustive(with_text.select("cluster", "set_id", "label", "sketch", "text")), "leaf-links")
     return star_links.unionByName(late)
 
 
