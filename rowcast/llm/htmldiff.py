@@ -9,8 +9,12 @@ that has nine tenths of the page's lines is a copy, which tells nothing.
 What markup says outright is believed first: elements that are menus, headers,
 footers, sidebars, forms, notices, adverts or comments by their tag, role, class
 or id hold no main text, and an ``article`` or ``main`` holds all of it.  Plain
-prose inside that element (no class or id between) is protected from deletion,
-because articles of a site also quote the same sentences.
+prose inside that element (no class or id between) needs more evidence, because
+articles of a site also quote the same sentences: it is compared with the prose
+of up to six neighbours, of which those that have half of it or more are versions
+of the page and say nothing.  The others are witnesses, and a line that most of
+them have is the site's; with fewer than three it must also begin or end the
+prose of both.  Where every neighbour has half of a page's prose, it stays.
 
 Only URLs meet for the order (a range sort, so a host of any size is spread
 over many tasks), only 8-byte line hashes meet for the alignment, and each
@@ -27,6 +31,7 @@ from __future__ import annotations
 import os
 import re
 from bisect import bisect_left
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -37,6 +42,12 @@ from . import urlfilter
 from .common import written
 
 COPY_SHARE = 0.9
+#: A neighbour with so much of an article's prose is a version of it, no witness.
+PROSE_SHARE = 0.5
+#: From so many witnesses on, the place of a line in an article doesn't matter.
+MANY = 3
+#: Neighbours that are asked: so many places before and after a page.
+STEPS = (1, 2, 4)
 
 # HTML's elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -218,9 +229,13 @@ def _hashed(lines: list[tuple[str, bool]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x, _ in lines]
 
 
-def nearest(pages: DataFrame) -> DataFrame:
-    """(key, other): each page and its nearest URL on the host, if any."""
-    keys = pages.select(urlfilter.host(F.col("url")).alias("host"), urlfilter.path(F.col("url")).alias("path"), "key").distinct()
+def _placed(pages: DataFrame) -> DataFrame:
+    return pages.select(urlfilter.host(F.col("url")).alias("host"), urlfilter.path(F.col("url")).alias("path"), "key").distinct()
+
+
+def neighbours(keys: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """(key, other, n, d): pages (host, path, key) and those so many places
+    before and after them on the host, with the length of the common path."""
     ordered = keys.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key")
     rows = written(ordered.withColumn("id", F.monotonically_increasing_id()), "url-order")
     # partition and position from the written ids; one row per partition meets
@@ -230,54 +245,89 @@ def nearest(pages: DataFrame) -> DataFrame:
     for r in sizes:
         base.append((r["part"], at))
         at += r["n"]
-    bases = F.broadcast(pages.sparkSession.createDataFrame(base, "part long, base long"))
+    bases = F.broadcast(keys.sparkSession.createDataFrame(base, "part long, base long"))
     at = F.col("base") + F.col("id").bitwiseAND((1 << 33) - 1)
     placed = written(rows.withColumn("part", part).join(bases, "part").select(at.alias("at"), "host", "path", "key"), "url-places")
-    follows = placed.select((F.col("at") - 1).alias("at"), F.col("host").alias("h"), F.col("path").alias("p"), F.col("key").alias("k"))
-    pairs = placed.join(follows, "at").where("host = h").select("key", "path", F.col("k").alias("other"), F.col("p").alias("near"))
+    follows = placed.select("at", F.col("host").alias("h"), F.col("path").alias("p"), F.col("key").alias("k"),
+                            F.explode(F.array(*[F.lit(x) for x in steps])).alias("d")).withColumn("at", F.col("at") - F.col("d"))
+    pairs = placed.join(follows, "at").where("host = h").select("key", "path", F.col("k").alias("other"), F.col("p").alias("near"), "d")
     both = pairs.unionByName(pairs.select(F.col("other").alias("key"), F.col("near").alias("path"), F.col("key").alias("other"),
-                                          F.col("path").alias("near")))
+                                          F.col("path").alias("near"), "d"))
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             n = [len(os.path.commonprefix(x)) for x in zip(b.column("path").to_pylist(), b.column("near").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("other"), pa.array(n, pa.int64())],
-                                             names=["key", "other", "n"])
-    rated = both.mapInArrow(run, "key long, other long, n long")
-    return rated.groupBy("key").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("other"), pa.array(n, pa.int64()), b.column("d")],
+                                             names=["key", "other", "n", "d"])
+    return both.mapInArrow(run, "key long, other long, n long, d int")
+
+
+def nearest(pages: DataFrame) -> DataFrame:
+    """(key, other): each page and its nearest URL on the host, if any."""
+    return neighbours(_placed(pages), (1,)).groupBy("key").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
+
+
+def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int], list[bool]]]) -> list[int]:
+    """Positions of the site's lines in a page; ``others`` are its neighbours,
+    nearest first."""
+    out: list[int] = []
+    if others:
+        got = common_lines(lines, others[0][0])
+        if len(got) < COPY_SHARE * len(lines):
+            out = [i for i in got if not safe[i]]
+    at = [i for i, x in enumerate(safe) if x]
+    prose = [lines[i] for i in at]
+    anywhere: Counter[int] = Counter()
+    edges: Counter[int] = Counter()
+    witnesses = 0
+    for other, marks in others:
+        theirs = [x for x, m in zip(other, marks, strict=True) if m]
+        got = common_lines(prose, theirs)
+        if len(got) >= PROSE_SHARE * len(prose) or not theirs:
+            continue  # a version of the page, or no article: says nothing of its prose
+        witnesses += 1
+        anywhere.update(got)
+        same = [x == y for x, y in zip(prose, theirs)]
+        tail = [x == y for x, y in zip(prose[::-1], theirs[::-1])]
+        first, last = (x.index(False) if False in x else len(x) for x in (same, tail))
+        edges.update({*range(first), *range(len(prose) - last, len(prose))})
+    often = anywhere if witnesses >= MANY else edges
+    return sorted([*out, *(at[i] for i, k in often.items() if 2 * k > witnesses)])
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(key, shared): positions of a page's lines that its nearest page has."""
+    """(key, shared): positions of a page's lines that are its site's."""
     def hashes(batches):
         import pyarrow as pa
 
         for b in batches:
+            got = [page_lines(x or "") for x in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array([_hashed(page_lines(x or "")) for x in b.column("html").to_pylist()],
-                                           pa.list_(pa.int64()))], names=["key", "lines"])
+                [b.column("key"), pa.array([_hashed(x) for x in got], pa.list_(pa.int64())),
+                 pa.array([[m for _, m in x] for x in got], pa.list_(pa.bool_()))], names=["key", "lines", "safe"])
 
     def align(batches):
         import pyarrow as pa
 
         for b in batches:
             keys, out = [], []
-            for k, x, y in zip(b.column("key").to_pylist(), b.column("lines").to_pylist(), b.column("others").to_pylist(),
-                               strict=True):
-                got = common_lines(x, y)
-                if got and len(got) < COPY_SHARE * len(x):
+            for k, x, m, near in zip(*(b.column(c).to_pylist() for c in ("key", "lines", "safe", "near")), strict=True):
+                near.sort(key=lambda o: (-o["n"], o["d"], -o["other"]))
+                got = site_lines(x, m, [(o["lines"], o["safe"]) for o in near])
+                if got:
                     keys.append(k)
                     out.append(got)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.list_(pa.int32()))],
                                              names=["key", "shared"])
 
-    pairs = nearest(pages)
-    lines = written(pages.select("key", "html").mapInArrow(hashes, "key long, lines array<long>").dropDuplicates(["key"]),
-                    "page-lines")
-    full = pairs.join(lines, "key").join(lines.select(F.col("key").alias("other"), F.col("lines").alias("others")), "other")
-    return full.select("key", "lines", "others").mapInArrow(align, "key long, shared array<int>")
+    pairs = neighbours(_placed(pages))
+    lines = written(pages.select("key", "html").mapInArrow(hashes, "key long, lines array<long>, safe array<boolean>")
+                    .dropDuplicates(["key"]), "page-lines")
+    theirs = pairs.join(lines.withColumnRenamed("key", "other"), "other")
+    near = theirs.groupBy("key").agg(F.collect_list(F.struct("n", "d", "other", "lines", "safe")).alias("near"))
+    return near.join(lines, "key").select("key", "lines", "safe", "near").mapInArrow(align, "key long, shared array<int>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -293,12 +343,11 @@ def extract(pages: DataFrame) -> DataFrame:
             got = [page_lines(x or "") for x in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), b.column("key"),
-                 pa.array([[x for x, _ in g] for g in got], pa.list_(pa.string())),
-                 pa.array([[p for _, p in g] for g in got], pa.list_(pa.bool_()))],
-                names=["page_id", "url", "key", "lines", "safe"])
+                 pa.array([[x for x, _ in g] for g in got], pa.list_(pa.string()))],
+                names=["page_id", "url", "key", "lines"])
 
-    parsed = rows.mapInArrow(run, "page_id long, url string, key long, lines array<string>, safe array<boolean>")
-    keep = F.filter("lines", lambda _, i: F.get("safe", i) | ~F.coalesce(F.array_contains("shared", i), F.lit(False)))
+    parsed = rows.mapInArrow(run, "page_id long, url string, key long, lines array<string>")
+    keep = F.filter("lines", lambda _, i: ~F.coalesce(F.array_contains("shared", i), F.lit(False)))
     text = F.array_join(keep, "\n")
     return (parsed.join(shared, "key", "left").select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

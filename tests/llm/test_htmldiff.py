@@ -76,3 +76,19 @@ def test_edges(spark):
     assert (None, "no url", 6) in have and (6, "z <b>", 5) in have
     assert next(n for i, _, n in have if i == 4) == sum(len(f"line {i}") + 1 for i in range(20_000)) - 1
     assert H.extract(df.limit(0)).count() == 0
+
+
+def test_site_lines_inside_an_article_go(spark):
+    def article(k):
+        own = "".join(f"<p>own {k} {i}</p>" for i in range(5))
+        return f"<article><h1>Title {k}</h1>{own}<div>Subscribe to us</div><p>more {k}</p><p>Yours, the editors</p></article>"
+    rows = [page(article(k), "a.org", f"/n/{k}", k) for k in range(6)]
+    rows += [page(article(k), "b.org", f"/n/{k}", k) for k in (10, 11)]
+    # a sentence that two of many articles quote, and versions of one article
+    rows += [page(f"<article>{'<p>Quoted</p>' * (k < 2)}<p>a {k}</p><p>b {k}</p><p>c {k}</p></article>", "c.org", f"/{k}", 20 + k) for k in range(6)]
+    rows += [page(f"<article><p>one</p><p>two</p><p>version {k}</p><p>three</p></article>", "d.org", f"/{k}", 30 + k) for k in range(6)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, DDL)).collect()}
+    own = "\n".join(f"own 3 {i}" for i in range(5))
+    assert got[3] == f"Title 3\n{own}\nmore 3"
+    assert got[10].endswith("Subscribe to us\nmore 10") and got[10].startswith("Title 10")
+    assert got[20] == "Quoted\na 0\nb 0\nc 0" and got[31] == "one\ntwo\nversion 1\nthree"
