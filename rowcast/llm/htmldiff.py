@@ -3,8 +3,11 @@
 Pages of a host are ordered by their URL path and each is paired with the
 neighbour whose path it shares the longest beginning with.  The text lines
 (blocks) of the two are aligned by their longest common subsequence, and lines
-that both have are the site's, not the page's: they are deleted.  A neighbour
-that has nine tenths of the page's lines is a copy, which tells nothing.
+that both have are the site's, not the page's: they are deleted.  Pages of a host
+with equal lines are one page, so the neighbour always differs.  One that has nine
+tenths of the page's lines may be a version of it, so the next one is asked, up to
+the sixth; if all have, the one that has the fewest decides.  A neighbour that has
+all the lines tells nothing; if each one has, the page keeps them.
 
 What markup says outright is believed first: elements that are menus, headers,
 footers, sidebars, forms, notices, adverts or comments by their tag, role, class
@@ -21,8 +24,8 @@ over many tasks), only 8-byte line hashes meet for the alignment, and each
 page's text moves once.
 
 Defined cases: null html is empty text; a null url, or one without ``://``, is
-ordered under an empty host; equal rows are one page for the pairing and keep
-one result each; a page alone on its host keeps all unmarked lines; broken or
+ordered under an empty host; copies (the same host and lines) are one page for the
+pairing, at the first of their paths, and keep one result each; a page alone on its host keeps all unmarked lines; broken or
 cut markup is read as far as it goes; an empty table gives an empty result.
 """
 
@@ -219,16 +222,20 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _identity():
-    return F.xxhash64("page_id", "url", "html")
-
-
 def _hashed(lines: list[tuple[str, bool]]) -> list[int]:
     import xxhash
 
     return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x, _ in lines]
 
 
+def _key(host: str, hashes: list[int], lines: list[tuple[str, bool]]) -> int:
+    """Equal for the pages of a host whose lines are equal, with their marks."""
+    import xxhash
+
+    text = b"".join(x.to_bytes(8, "little", signed=True) + bytes((m,)) for x, (_, m) in zip(hashes, lines, strict=True))
+    return xxhash.xxh3_64_intdigest(text, xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"))) - (1 << 63)
+
+
 def _placed(pages: DataFrame) -> DataFrame:
     return pages.select(urlfilter.host(F.col("url")).alias("host"), urlfilter.path(F.col("url")).alias("path"), "key").distinct()
 
@@ -273,10 +280,16 @@ def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int],
     """Positions of the site's lines in a page; ``others`` are its neighbours,
     nearest first."""
     out: list[int] = []
-    if others:
-        got = common_lines(lines, others[0][0])
+    best: list[int] | None = None
+    for other, _ in others if not all(safe) else ():
+        got = common_lines(lines, other)
+        if len(got) == len(lines):
+            continue  # would leave nothing
+        if best is None or len(got) < len(best):
+            best = got
         if len(got) < COPY_SHARE * len(lines):
-            out = [i for i in got if not safe[i]]
+            break
+    out += [i for i in best or () if not safe[i]]
     at = [i for i, x in enumerate(safe) if x]
     prose = [lines[i] for i in at]
     anywhere: Counter[int] = Counter()
@@ -298,15 +311,18 @@ def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int],
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(key, shared): positions of a page's lines that are its site's."""
+    """(key, shared): positions of a page's lines that are its site's; ``pages``
+    has host, path and html, and pages of one key are one page."""
     def hashes(batches):
         import pyarrow as pa
 
         for b in batches:
             got = [page_lines(x or "") for x in b.column("html").to_pylist()]
+            ids = [_hashed(x) for x in got]
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array([_hashed(x) for x in got], pa.list_(pa.int64())),
-                 pa.array([[m for _, m in x] for x in got], pa.list_(pa.bool_()))], names=["key", "lines", "safe"])
+                [pa.array([_key(h, x, g) for h, x, g in zip(b.column("host").to_pylist(), ids, got, strict=True)], pa.int64()),
+                 b.column("host"), b.column("path"), pa.array(ids, pa.list_(pa.int64())),
+                 pa.array([[m for _, m in x] for x in got], pa.list_(pa.bool_()))], names=["key", "host", "path", "lines", "safe"])
 
     def align(batches):
         import pyarrow as pa
@@ -322,9 +338,12 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.list_(pa.int32()))],
                                              names=["key", "shared"])
 
-    pairs = neighbours(_placed(pages))
-    lines = written(pages.select("key", "html").mapInArrow(hashes, "key long, lines array<long>, safe array<boolean>")
-                    .dropDuplicates(["key"]), "page-lines")
+    read = pages.select("host", "path", "html").mapInArrow(
+        hashes, "key long, host string, path string, lines array<long>, safe array<boolean>")
+    # copies are one page, at the first of their paths (partial steps: a large group meets as a row a task)
+    lines = written(read.groupBy("key").agg(F.min(F.struct("host", "path", "lines", "safe")).alias("x")).select("key", "x.*"), "page-lines")
+    pairs = neighbours(lines.select("host", "path", "key"))
+    lines = lines.select("key", "lines", "safe")
     theirs = pairs.join(lines.withColumnRenamed("key", "other"), "other")
     near = theirs.groupBy("key").agg(F.collect_list(F.struct("n", "d", "other", "lines", "safe")).alias("near"))
     return near.join(lines, "key").select("key", "lines", "safe", "near").mapInArrow(align, "key long, shared array<int>")
@@ -333,7 +352,8 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_chars."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html")).withColumn("key", _identity())
+                        F.col("html").cast("string").alias("html"))
+    rows = rows.withColumns({"host": urlfilter.host(F.col("url")), "path": urlfilter.path(F.col("url"))})
     shared = written(shared_lines(rows), "shared-lines")
 
     def run(batches):
@@ -342,11 +362,12 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             got = [page_lines(x or "") for x in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), b.column("key"),
+                [b.column("page_id"), b.column("url"),
+                 pa.array([_key(h, _hashed(x), x) for h, x in zip(b.column("host").to_pylist(), got, strict=True)], pa.int64()),
                  pa.array([[x for x, _ in g] for g in got], pa.list_(pa.string()))],
                 names=["page_id", "url", "key", "lines"])
 
-    parsed = rows.mapInArrow(run, "page_id long, url string, key long, lines array<string>")
+    parsed = rows.select("page_id", "url", "host", "html").mapInArrow(run, "page_id long, url string, key long, lines array<string>")
     keep = F.filter("lines", lambda _, i: ~F.coalesce(F.array_contains("shared", i), F.lit(False)))
     text = F.array_join(keep, "\n")
     return (parsed.join(shared, "key", "left").select("page_id", "url", text.alias("text"))

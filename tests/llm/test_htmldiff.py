@@ -92,3 +92,22 @@ def test_site_lines_inside_an_article_go(spark):
     assert got[3] == f"Title 3\n{own}\nmore 3"
     assert got[10].endswith("Subscribe to us\nmore 10") and got[10].startswith("Title 10")
     assert got[20] == "Quoted\na 0\nb 0\nc 0" and got[31] == "one\ntwo\nversion 1\nthree"
+
+
+def test_much_chrome_and_copies(spark):
+    menu = "".join(f"<p>menu {i}</p>" for i in range(20))
+    rows = [page(f"{menu}<p>text {k}</p>", "a.org", f"/{k}", k) for k in range(5)]
+    # copies by query, between pages that differ
+    rows += [page(f"<p>top</p><p>text {k // 4}</p><p>more {k // 4}</p><p>end</p>", "b.org", f"/{k // 4}?v={k}", 10 + k) for k in range(12)]
+    # the nearest page has all of the lines, the next one tells
+    rows += [page(x, "c.org", p, 30 + i) for i, (x, p) in enumerate(
+        [("<p>top</p><p>a</p>", "/a"), ("<p>top</p><p>a</p><p>b</p>", "/aa"), ("<p>top</p><p>z</p>", "/b")])]
+    # two versions of a page, and others
+    rows += [page("<p>top</p>" + "".join(f"<p>line {i}</p>" for i in range(20)) + f"<p>seen {k} times</p>", "d.org", f"/n/1?v={k}", 40 + k)
+             for k in range(2)]
+    rows += [page(f"<p>top</p><p>other {k}</p>", "d.org", f"/n/{k}", 50 + k) for k in range(2, 4)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, DDL)).collect()}
+    assert [got[k] for k in range(5)] == [f"text {k}" for k in range(5)]
+    assert [got[10 + k] for k in range(12)] == [f"text {k // 4}\nmore {k // 4}" for k in range(12)]
+    assert got[30] == "a" and got[31] == "b" and got[32] == "z"
+    assert got[40].startswith("line 0\nline 1\n") and got[40].endswith("seen 0 times")
