@@ -11,7 +11,10 @@ all the lines tells nothing; if each one has, the page keeps them.
 
 What markup says outright is believed first: elements that are menus, headers,
 footers, sidebars, forms, notices, adverts or comments by their tag, role, class
-or id hold no main text, and an ``article`` or ``main`` holds all of it.  Plain
+or id hold no main text, and an ``article`` or ``main`` holds all of it.  A class
+or id says so as a whole word or by the last part of one (``site-header``); other
+words leave the element to the alignment.  An article inside such an element is
+the main text where no article is outside of them.  Plain
 prose inside that element (no class or id between) needs more evidence, because
 articles of a site also quote the same sentences: it is compared with the prose
 of up to six neighbours, of which those that have half of it or more are versions
@@ -66,15 +69,17 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 #: Elements whose end tag may be missing: their content is read to see where they end.
 LOOSE = frozenset("p li dt dd tr td th option".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-CHROME_NAMES = frozenset("""ad ads adv advert adverts alert alerts banner banners breadcrumb breadcrumbs byline-share consent
-cookie cookies dialog footer gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices overlay
-pagination pager popup promo promos related replies reply search share sharing sidebar sidebars signup social sponsor
-sponsored subscribe subscription tags toolbar topbar widget widgets""".split())
-CHROME_STEMS = ("advert", "breadcrumb", "comment", "cookie", "disqus", "footer", "navbar", "navig", "newsletter", "popup",
-                "promo", "recommend", "sidebar", "sponsor")
+CHROME_NAMES = frozenset("""ad ads adv advert adverts advertisement advertisements advertising alert alerts banner banners
+breadcrumb breadcrumbs byline-share comment comments consent cookie cookies dialog disqus footer footers gdpr login masthead
+menu menus modal nav navbar navbars navigation newsletter newsletters notice notices overlay pagination pager popup popups
+promo promos promotion promotions recommendation recommendations recommended related replies reply search share sharing
+sidebar sidebars signup social sponsor sponsored sponsors subscribe subscription tags toolbar topbar widget widgets""".split())
+#: A word that begins so says what the element has beside it, not what it is.
+BESIDE = frozenset("has have is no not with without".split())
 
 _TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)"
                     r"|!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z))", re.S)
+_MAIN = re.compile(r"<(?:article|main)(?=[\s/>])|role=[\"']?main\b", re.I)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAMES = re.compile(r"[a-z0-9]+")
 
@@ -98,8 +103,8 @@ def _chrome(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
                 continue
             for word in value.split():
                 parts = _NAMES.findall(word)
-                if any(p in CHROME_NAMES or p.startswith(CHROME_STEMS) for p in parts) or (
-                        not in_main and parts[-1:] == ["header"]):
+                if word in CHROME_NAMES or (parts and parts[0] not in BESIDE and (
+                        parts[-1] in CHROME_NAMES or (not in_main and parts[-1] == "header"))):
                     return True, named
     return False, named
 
@@ -126,10 +131,11 @@ def _raw_end(tag: str):
 
 def page_lines(html: str) -> list[tuple[str, bool]]:
     """(line, protected) of the blocks that may be main text, in page order."""
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, chrome, main, named within main
-    out: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, int, bool]] = []  # tag, chrome, part, named within main
+    out: list[tuple[str, int, bool]] = []
     held: list[str] = []
-    chrome = main = named = False
+    chrome = named = False
+    main = 0  # in no article or main; in one inside an element that would be dropped; in a main; in an article
     at, n = 0, len(html)
 
     def flush():
@@ -137,7 +143,7 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
             line = " ".join(unescape("".join(held)).split())
             held.clear()
             if line:
-                out.append((line, main, main and not named))
+                out.append((line, main, main > 0 and not named))
 
     def text(i, j):
         if i < j and not chrome:
@@ -159,7 +165,7 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
-                    chrome, main, named = stack[-1][1:] if stack else (False, False, False)
+                    chrome, main, named = stack[-1][1:] if stack else (False, 0, False)
                     break
             continue
         if tag in RAW:
@@ -173,7 +179,7 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
             for k in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
                 if stack[k][0] == "p" or stack[k][0] in CLOSES.get(tag, ()):
                     del stack[k:]
-                    chrome, main, named = stack[-1][1:] if stack else (False, False, False)
+                    chrome, main, named = stack[-1][1:] if stack else (False, 0, False)
                     break
                 if stack[k][0] in BLOCKS:
                     break
@@ -182,19 +188,23 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
                 held.append(" ")
         if tag in VOID or m[3].endswith("/"):
             continue
-        drops, has_name = _chrome(tag, m[3], main)
-        if drops and tag not in LOOSE and (end := _skipped(html, tag, at)):
+        drops, has_name = _chrome(tag, m[3], main > 0)
+        if drops and tag not in LOOSE and (end := _skipped(html, tag, at)) and not _MAIN.search(html, at, end):
             at = end
             continue
-        opens = tag in MAIN or 'role="main"' in m[3]
-        if tag in BLOCKS or drops:
-            stack.append((tag, chrome or drops, main or opens, named or (main and has_name)))
+        opens = 0 if drops else 3 if tag == "article" else 2 if tag == "main" or 'role="main"' in m[3] else 0
+        if opens and chrome and main < 3:  # the article that a dropped element holds
+            stack.append((tag, False, 1, False))
+            chrome, main, named = stack[-1][1:]
+        elif tag in BLOCKS or drops:
+            stack.append((tag, chrome or drops, main if main == 1 else max(main, opens), named or (main > 0 and has_name)))
             chrome, main, named = stack[-1][1:]
         else:
             stack.append((tag, chrome, main, named))
     flush()
     if any(x[1] for x in out):
-        out = [x for x in out if x[1]]
+        least = 2 if any(x[1] == 3 for x in out) else 1
+        out = [x for x in out if x[1] >= least]
     return [(x[0], x[2]) for x in out]
 
 

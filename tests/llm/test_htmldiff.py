@@ -111,3 +111,22 @@ def test_much_chrome_and_copies(spark):
     assert [got[10 + k] for k in range(12)] == [f"text {k // 4}\nmore {k // 4}" for k in range(12)]
     assert got[30] == "a" and got[31] == "b" and got[32] == "z"
     assert got[40].startswith("line 0\nline 1\n") and got[40].endswith("seen 0 times")
+
+
+def test_names_drop_no_article():
+    art = "<article><h1>T</h1><p>x</p></article>"
+    for wrap in ("div class='has-sidebar'", "div id='search-results'", "div class=widget", "form", "div class='layout sidebar'", "aside",
+                 "div hidden", "td class=promo", "section role=search"):
+        tag = wrap.split()[0]
+        assert lines(f"<div class=menu>m</div><{wrap}><p>around</p>{art}</{tag}><footer>f</footer>") == ["T", "x"], wrap
+    assert lines(f"<div class=sidebar>{art}<p>never closed") == ["T", "x"]
+    assert lines("<main><h1>T</h1><div class=promo><article><p>x</p></article></div></main>") == ["T", "x"]
+    assert lines("<div class=related><main><p>x</p></main></div>") == ["x"]
+    # beside an article they are what they say
+    assert lines(f"{art}<div class=related><article><p>teaser</p></article></div><aside><article>z</article></aside>") == ["T", "x"]
+    assert lines("<article><p>x</p><section class=comments><article>c</article></section><p>y</p></article>") == ["x", "y"]
+    for name in ("post-tags-body", "share-text", "commentary", "has-sidebar", "ad-free", "no-comments"):
+        assert lines(f"<article><div class='{name}'><p>prose</p></div></article>") == ["prose"], name
+        assert lines(f"<div id='{name}'><p>prose</p></div>") == ["prose"], name
+    for name in ("post-tags", "site-footer", "x comments", "left_sidebar", "cookie-banner", "advertisement"):
+        assert lines(f"<div class='{name}'><p>gone</p></div><p>prose</p>") == ["prose"], name
