@@ -7,6 +7,10 @@ each row holds everything processed so far: a save merges the intervals of its
 batch with the row before, so batches may come in any order, an empty batch
 keeps the position and a change of server keeps the old server's.
 
+Where the order of the log has holes for a pipeline, each costs an interval.
+:func:`state_ranges` keeps a state of any size as interval rows, which every
+reader here takes as well; the text is for up to ``MAX_TEXT`` intervals.
+
 A state without ``tail`` is upstream's: one ``uuid:N`` there means that all up
 to N is done.  With ``tail`` the intervals are exact.
 
@@ -19,65 +23,106 @@ Spark knows their size and broadcasts them only when they are small.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowcast.functions.gtid import parse_gtid_set, widen_single
+from rowcast.functions.gtid import format_interval, parse_gtid_set, widen_single
 from rowcast.model import GTID_SEQ, GTID_UUID, POS
 from rowcast.session import save_shared
 
 COARSE, FINE = 1 << 20, 1 << 10
 
-_PART_DDL = "name string, uuid string, lo bigint, hi bigint, n bigint, seq bigint, pos bigint"
-_STATE_DDL = "name string, gtid string, tail array<struct<uuid:string,seq:bigint,pos:bigint>>, n_events bigint"
-
-
-def _islands(batches):
-    """Events of a task to intervals: (name, uuid, lo, hi, n, last seq and pos)."""
-    import pandas as pd
-    import pyarrow as pa
-
-    schema = pa.schema([("name", pa.string()), ("uuid", pa.string()), *((c, pa.int64()) for c in ("lo", "hi", "n", "seq", "pos"))])
-    for b in batches:
-        rows = []
-        pdf = b.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
-        for (name, uuid), g in pdf.groupby(["name", "uuid"], dropna=False):
-            g = g[g["seq"].notna()]
-            if not len(g):
-                continue
-            seq = np.unique(g["seq"].to_numpy(np.int64))
-            cut = np.flatnonzero(np.diff(seq) > 1)
-            lo, hi = seq[np.r_[0, cut + 1]], seq[np.r_[cut, len(seq) - 1]]
-            last = g.loc[g["seq"] == seq[-1], "pos"].max()
-            for i, (x, y) in enumerate(zip(lo.tolist(), hi.tolist(), strict=True)):
-                end = i == len(lo) - 1
-                rows.append((name if isinstance(name, str) else None, uuid if isinstance(uuid, str) else None, x, y,
-                             len(g) if end else 0, int(seq[-1]) if end else None,
-                             int(last) if end and not pd.isna(last) else None))
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-
-def _merged(table):
-    """One pipeline's intervals, old and new, to its state row."""
-    import pyarrow as pa
-
-    pdf = table.to_pandas()
-    members, tails = [], []
-    for uuid, g in pdf.sort_values(["uuid", "lo"]).groupby("uuid"):
-        lo, hi = g["lo"].to_numpy(np.int64), np.maximum.accumulate(g["hi"].to_numpy(np.int64))
-        new = np.r_[True, lo[1:] > hi[:-1] + 1]
-        first, last = lo[new], hi[np.r_[np.flatnonzero(new)[1:] - 1, len(hi) - 1]]
-        members.append(uuid + ":" + ":".join(str(x) if x == y else f"{x}-{y}" for x, y in zip(first, last, strict=True)))
-        ends = [(int(s), None if p != p else int(p)) for s, p in zip(g["seq"], g["pos"], strict=True) if s == s]
-        if ends:
-            s, p = max(ends, key=lambda e: (e[0], e[1] is not None, e[1] or 0))
-            tails.append({"uuid": uuid, "seq": s, "pos": p})
-    return pa.table({"name": table.column("name").slice(0, 1), "gtid": pa.array([",".join(members)], pa.string()),
-                     "tail": pa.array([tails], pa.list_(pa.struct([("uuid", pa.string()), ("seq", pa.int64()), ("pos", pa.int64())]))),
-                     "n_events": pa.array([int(pdf["n"].sum())], pa.int64())})
+#: Sequence numbers of one (pipeline, uuid) that meet in a task when intervals are made.
+WIDTH = 1 << 14
+#: Intervals of one pipeline up to which its state is written as a text (about 80 MB).
+MAX_TEXT = 1 << 22
+
+
+def _parts(processed: DataFrame, p: Column, previous: DataFrame | None) -> DataFrame:
+    """Events and saved intervals as (name, uuid, lo, hi, n, tail)."""
+    pos = F.col(POS).cast("bigint") if POS in processed.columns else F.lit(None).cast("bigint")
+    events = processed.select(p.cast("string").alias("name"), F.lower(GTID_UUID).alias("uuid"), F.col(GTID_SEQ).cast("bigint").alias("lo"),
+                              pos.alias("pos")).where("uuid is not null and lo is not null")
+    parts = events.select("name", "uuid", "lo", F.col("lo").alias("hi"), F.lit(1).cast("bigint").alias("n"),
+                          F.struct(F.col("lo").alias("seq"), "pos").alias("tail"))
+    if previous is None:
+        return parts
+    none, zero = F.lit(None).cast("struct<seq:bigint,pos:bigint>"), F.lit(0).cast("bigint")
+    parts = parts.unionByName(saved_ranges(previous).select("name", "uuid", "lo", "hi", zero.alias("n"), none.alias("tail")))
+    if "lo" in previous.columns or "tail" in previous.columns:
+        tail = F.struct(F.col("_ts").alias("seq"), F.col("_tp").alias("pos"))
+        parts = parts.unionByName(_tails(previous).select(F.col("_tn").alias("name"), F.col("_tu").alias("uuid"), F.col("_ts").alias("lo"),
+                                                          F.col("_ts").alias("hi"), zero.alias("n"), tail.alias("tail")))
+    return parts
+
+
+def state_ranges(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
+                 previous: DataFrame | None = None, width: int = WIDTH) -> DataFrame:
+    """P1 as rows: ``(name, uuid, lo, hi, seq, pos, n, timestamp)``, for a state
+    of any size.  ``previous`` is a state of rows or of texts.
+
+    Rows with a null ``seq`` are the intervals.  One more row per uuid has the
+    last ``(seq, pos)`` processed (``lo = hi = seq``) and in ``n`` the events of
+    this batch.  Intervals are made per ``width`` sequence numbers; over the
+    buckets' edges they are joined by what one row per bucket says.
+    """
+    p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
+    once = _parts(processed, p, previous).groupBy("name", "uuid", "lo", "hi").agg(F.sum("n").alias("n"), F.max("tail").alias("tail"))
+    w = Window.partitionBy("name", "uuid", "_b").orderBy("lo", "hi")
+    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    cut = once.withColumn("_b", F.expr(f"lo div {int(width)}")).repartition("name", "uuid", "_b").withColumn("_p", before)
+    cut = cut.withColumn("_i", F.count(F.when(F.col("_p").isNull() | (F.col("lo") - 1 > F.col("_p")), 1)).over(w))
+    pieces = save_shared(cut.groupBy("name", "uuid", "_b", "_i").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.max("tail").alias("tail")), "state-pieces")
+
+    def beside(rows: DataFrame, key: DataFrame, col: str) -> DataFrame:
+        k = key.toDF("_kn", "_ku", "_kb", col)
+        return rows.join(k, rows["name"].eqNullSafe(k["_kn"]) & (rows["uuid"] == k["_ku"]) & (rows["_b"] == k["_kb"]), "left").drop(
+            "_kn", "_ku", "_kb")
+
+    every = Window.partitionBy("name", "uuid").orderBy("_b")
+    tops = pieces.groupBy("name", "uuid", "_b").agg(F.max("hi").alias("hi"))
+    carry = tops.select("name", "uuid", "_b", F.max("hi").over(every.rowsBetween(Window.unboundedPreceding, -1)))
+    # an interval begins after all that is before it; what is before the next beginning is its end
+    local = Window.partitionBy("name", "uuid", "_b").orderBy("lo")
+    at = beside(pieces, carry, "_c").withColumn(
+        "_p", F.greatest("_c", F.max("hi").over(local.rowsBetween(Window.unboundedPreceding, -1))))
+    starts = at.where("_p is null or lo - 1 > _p")
+    heads = beside(tops, starts.groupBy("name", "uuid", "_b").agg(F.min_by("_p", "lo")), "_f")
+    after = every.rowsBetween(1, Window.unboundedFollowing)
+    ends = heads.select("name", "uuid", "_b", F.coalesce(F.first("_f", ignorenulls=True).over(after),
+                                                         F.max("hi").over(Window.partitionBy("name", "uuid"))))
+    ranges = beside(starts.select("name", "uuid", "_b", "lo", F.lead("_p").over(local).alias("_n")), ends, "_e")
+    none = F.lit(None).cast("bigint")
+    ranges = ranges.select("name", "uuid", "lo", F.coalesce("_n", "_e").alias("hi"), none.alias("seq"), none.alias("pos"),
+                           F.lit(0).cast("bigint").alias("n"))
+    tails = pieces.groupBy("name", "uuid").agg(F.max("tail").alias("t"), F.sum("n").alias("n")).where("t is not null")
+    ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
+    return ranges.unionByName(tails.select("name", "uuid", F.col("t.seq").alias("lo"), F.col("t.seq").alias("hi"), "t.seq", "t.pos", "n")
+                              ).withColumn("timestamp", ts.cast("bigint"))
+
+
+def state_text(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of :func:`state_ranges` as one row ``(name, gtid, timestamp,
+    tail, n_events)`` per pipeline, its intervals in one text.  A pipeline with
+    more than ``MAX_TEXT`` intervals is an error: its state stays rows."""
+    big = rows.where("seq is null").groupBy("name").count().where(F.col("count") > MAX_TEXT).limit(1).collect()
+    if big:
+        raise ValueError(f"state of {big[0]['name']} has {big[0]['count']} intervals, more than a text takes ({MAX_TEXT}); "
+                         "keep it as rows (state_ranges)")
+    own = F.col("seq").isNull()
+    part = rows.groupBy("name", "uuid", F.when(own, F.expr(f"lo div {int(width)}")).alias("b")).agg(
+        F.sort_array(F.collect_list(F.when(own, F.struct("lo", "hi")))).alias("iv"), F.sum("n").alias("n"),
+        F.max(F.when(~own, F.struct("uuid", "seq", "pos"))).alias("tail"), F.max("timestamp").alias("timestamp"))
+    part = part.withColumn("iv", F.array_join(F.transform("iv", lambda x: format_interval(x["lo"], x["hi"])), ":"))
+    server = part.groupBy("name", "uuid").agg(
+        F.sort_array(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "iv")))).alias("iv"), F.sum("n").alias("n"),
+        F.max("tail").alias("tail"), F.max("timestamp").alias("timestamp"))
+    server = server.withColumn("iv", F.concat("uuid", F.lit(":"), F.array_join(F.transform("iv", lambda x: x["iv"]), ":")))
+    out = server.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("uuid", "iv"))).alias("iv"), F.max("timestamp").alias("timestamp"),
+                                     F.sort_array(F.collect_list("tail")).alias("tail"), F.sum("n").alias("n_events"))
+    return out.select("name", F.array_join(F.transform("iv", lambda x: x["iv"]), ",").alias("gtid"), "timestamp", "tail", "n_events")
 
 
 def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
@@ -85,27 +130,14 @@ def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
     """One state row per pipeline: ``previous`` (a state table) and what
     this batch processed, dropped events included.
 
-    Tasks send intervals, not events; the rows of one pipeline meet to make its
-    one text.  ``tail`` keeps, per uuid, the last ``(seq, pos)`` processed, so
-    that ``resume_filter(exact=True)`` can finish a transaction that a batch
+    The intervals are made by :func:`state_ranges`; only they, not events, meet
+    to make a pipeline's one text, up to ``MAX_TEXT`` of them.  ``tail`` keeps,
+    per uuid, the last ``(seq, pos)`` processed, so that
+    ``resume_filter(exact=True)`` can finish a transaction that a batch
     boundary split.  ``n_events`` counts this batch's events.  Events without a
     position are left out.
     """
-    p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
-    pos = F.col(POS).cast("bigint") if POS in processed.columns else F.lit(None).cast("bigint")
-    parts = processed.select(p.cast("string").alias("name"), F.lower(GTID_UUID).alias("uuid"), F.col(GTID_SEQ).cast("bigint").alias("seq"),
-                             pos.alias("pos")).where("uuid is not null").mapInArrow(_islands, _PART_DDL)
-    if previous is not None:
-        none = F.lit(None).cast("bigint")
-        parts = parts.unionByName(saved_ranges(previous).select(
-            "name", "uuid", "lo", "hi", F.lit(0).cast("bigint").alias("n"), none.alias("seq"), none.alias("pos")))
-        if "tail" in previous.columns:
-            parts = parts.unionByName(_tails(previous).select(
-                F.col("_tn").alias("name"), F.col("_tu").alias("uuid"), F.col("_ts").alias("lo"), F.col("_ts").alias("hi"),
-                F.lit(0).cast("bigint").alias("n"), F.col("_ts").alias("seq"), F.col("_tp").alias("pos")))
-    ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
-    return (parts.groupBy("name").applyInArrow(_merged, _STATE_DDL)
-            .select("name", "gtid", ts.cast("bigint").alias("timestamp"), "tail", "n_events"))
+    return state_text(state_ranges(processed, pipeline, timestamp, previous))
 
 
 def latest_state(states: DataFrame) -> DataFrame:
@@ -121,7 +153,10 @@ def latest_state(states: DataFrame) -> DataFrame:
 
 def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
     """Latest state per pipeline as rows ``(name, uuid, lo, hi)``; upstream's
-    single saved ``uuid:N`` (no ``tail``) is widened to ``uuid:start-N``."""
+    single saved ``uuid:N`` (no ``tail``) is widened to ``uuid:start-N``.  A
+    state of rows (:func:`state_ranges`) is read as it is."""
+    if "lo" in states.columns:
+        return _latest_rows(states).where("seq is null").select("name", "uuid", "lo", "hi")
     latest = latest_state(states)
     parsed = parse_gtid_set("gtid")
     own = F.when(F.col("tail").isNotNull(), parsed).otherwise(widen_single(parsed, start)) if "tail" in latest.columns \
@@ -129,8 +164,17 @@ def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
     return latest.select("name", F.explode(own).alias("r")).select("name", "r.uuid", "r.lo", "r.hi")
 
 
+def _latest_rows(states: DataFrame) -> DataFrame:
+    """The rows of the newest save per pipeline; of saves with one timestamp, all."""
+    last = states.groupBy("name").agg(F.max("timestamp").alias("_lt")).withColumnRenamed("name", "_ln")
+    return states.join(last, states["name"].eqNullSafe(last["_ln"]) & (states["timestamp"] == last["_lt"]), "left_semi")
+
+
 def _tails(states: DataFrame) -> DataFrame:
     """Latest state's last processed (seq, pos) per (pipeline, uuid)."""
+    if "lo" in states.columns:
+        last = _latest_rows(states).where("seq is not null").groupBy("name", "uuid").agg(F.max(F.struct("seq", "pos")).alias("t"))
+        return last.select(F.col("name").alias("_tn"), F.col("uuid").alias("_tu"), F.col("t.seq").alias("_ts"), F.col("t.pos").alias("_tp"))
     return (latest_state(states).select("name", F.explode("tail").alias("t"))
             .select(F.col("name").alias("_tn"), F.lower("t.uuid").alias("_tu"), F.col("t.seq").alias("_ts"),
                     F.col("t.pos").alias("_tp")))
@@ -169,7 +213,7 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
     ev = events.withColumns({"_pipe": p, "_uu": F.lower(GTID_UUID)})
     after = F.lit(False)
     if exact:
-        if "tail" not in states.columns:
+        if "tail" not in states.columns and "lo" not in states.columns:
             raise ValueError("exact resume needs state rows with a 'tail' column (see state_from_batch)")
         tails = save_shared(_tails(states).where("_tp is not null"), "resume-tails")
         ev = ev.join(tails, (ev["_pipe"] == tails["_tn"]) & (ev["_uu"] == tails["_tu"]) & (ev[GTID_SEQ] == tails["_ts"]), "left")

@@ -724,12 +724,12 @@ FROM events"""
 
 
 def _merged_state(spark, sf_dir):
-    """The state after batches 1 and 2: each save merges with the one before."""
-    from rowcast.operators.position import state_from_batch
+    """The state after batches 1 and 2, as rows: each save merges with the one before."""
+    from rowcast.operators.position import state_ranges
     from rowcast.session import save_shared
     ev, state = _two_server_events(spark, sf_dir), None
     for n in (1, 2):
-        state = save_shared(state_from_batch(ev.filter(F.col("batch") == n), "pipeline", timestamp=F.lit(n), previous=state), "state")
+        state = save_shared(state_ranges(ev.filter(F.col("batch") == n), "pipeline", timestamp=F.lit(n), previous=state), "state")
     return ev, state
 
 
@@ -737,7 +737,8 @@ def _merged_state(spark, sf_dir):
 def state_merge(spark, sf_dir):
     """Two batches of two servers, the later part of the log first; nothing
     processed is forgotten and nothing else is claimed."""
-    return _merged_state(spark, sf_dir)[1].select("name", "gtid")
+    from rowcast.operators.position import state_text
+    return state_text(_merged_state(spark, sf_dir)[1]).select("name", "gtid")
 
 
 @query("resume_after_gap", f"SELECT name AS pipeline, uuid, seq AS gtid_seq FROM ({TWO_SERVER_SQL}) WHERE batch = 3")

@@ -162,3 +162,51 @@ def test_many_intervals(spark):
     began = time.time()
     assert resume_filter(ev, states).count() == 100_000
     assert time.time() - began < 60
+
+
+def test_state_ranges_over_bucket_edges(spark):
+    import random
+
+    from rowcast.operators.position import state_ranges, state_text
+
+    def islands(seqs):
+        out = []
+        for x in sorted(seqs):
+            if out and x <= out[-1][1] + 1:
+                out[-1][1] = x
+            else:
+                out.append([x, x])
+        return [tuple(x) for x in out]
+
+    rnd = random.Random(3)
+    done = {("p", U): {*range(5, 60), *rnd.sample(range(100), 20)}, ("p", V): set(rnd.sample(range(200), 120)), (None, U): {1, 2, 8, 9}}
+    rows = [(n, u, x, i) for (n, u), v in done.items() for x in v for i in range(rnd.randrange(1, 3))]
+    rnd.shuffle(rows)
+    half = len(rows) // 2
+    st = None
+    for n, part in enumerate((rows[:half], rows[half:])):
+        st = state_ranges(spark.createDataFrame(part, COLS), timestamp=F.lit(n), previous=st, width=8)
+    got = st.collect()
+    for (n, u), v in done.items():
+        assert sorted((r.lo, r.hi) for r in got if (r.name, r.uuid) == (n, u) and r.seq is None) == islands(v)
+        last = [(r.seq, r.pos) for r in got if (r.name, r.uuid) == (n, u) and r.seq is not None]
+        assert last == [max((x[2], x[3]) for x in rows if x[:2] == (n, u))]
+    assert sum(r.n for r in got) == len(rows) - half
+    # the same state as a text, and the resume from the rows
+    text = {r.name: r.gtid for r in state_text(st, width=8).collect()}
+    assert text[None] == f"{U}:1-2:8-9"
+    assert text["p"] == ",".join(f"{u}:" + ":".join(f"{a}-{b}" if a < b else str(a) for a, b in islands(done["p", u])) for u in sorted((U, V)))
+    log = spark.createDataFrame([("p", u, x, 0) for u in (U, V) for x in range(210)], COLS)
+    left = sorted((r.gtid_uuid, r.gtid_seq) for r in resume_filter(log, st, coarse=16, fine=4).collect())
+    assert left == sorted((u, x) for u in (U, V) for x in range(210) if x not in done["p", u])
+
+
+def test_state_with_too_many_intervals_stays_rows(spark, monkeypatch):
+    from rowcast.operators import position
+
+    monkeypatch.setattr(position, "MAX_TEXT", 3)
+    ev = spark.createDataFrame([("p", U, s, 0) for s in (1, 3, 5, 7)], COLS)
+    assert position.state_ranges(ev).where("seq is null").count() == 4
+    with pytest.raises(ValueError, match="rows"):
+        state_from_batch(ev)
+    assert state_from_batch(ev.where("gtid_seq < 6")).collect()[0].gtid == f"{U}:1:3:5"
