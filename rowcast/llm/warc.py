@@ -17,9 +17,10 @@ those again, from the open member on, and replaces what they gave alone.
 Equal payloads of at least ``MIN_REVISIT`` bytes are stored once: the row with
 the smallest id is the response, the others revisit it.
 
-Defined cases: a null payload is empty; a null url has no target header; of
-rows that tie on the id one is the response; a null id counts as the largest;
-an empty table writes an archive without records.
+Defined cases: a null payload is empty; a null url has no target header; all rows
+that tie on the smallest id are responses, so are all of a group whose ids are
+null; else a null id counts as the largest; an empty table writes an archive
+without records.
 """
 
 from __future__ import annotations
