@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exactdedup, htmldiff, langid, neardup, packing, toxicity, urlfilter, warc
+from . import chat, decontam, exactdedup, htmldiff, langid, merkle, neardup, packing, toxicity, urlfilter, warc
 from .common import table
+from .manifest_sql import MERKLE
 
 
 def tokenizer_path(name: str) -> str:
@@ -75,7 +76,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_chat_formatting, op4_minhash_near_dedup, op5_url_filter, op6_html_extraction, op7_packing, op8_exact_dedup, op9_warc, op10_decontamination)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, climbed by a recursive query, with some tampered."""
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_language_id, op3_chat_formatting, op4_minhash_near_dedup, op5_url_filter, op6_html_extraction, op7_packing,
+    op8_exact_dedup, op9_warc, op10_decontamination, op11_merkle_manifest)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 
@@ -148,3 +156,5 @@ SELECT pair_id, min(ends) - 1 AS prompt_turns,
   coalesce(string_agg((before + head) || '-' || (before + length(body) - 1), ',' ORDER BY pos)
     FILTER (pos >= ends AND NOT chosen AND role = 'assistant'), '') AS rejected_mask
 FROM s GROUP BY pair_id"""
+
+ORACLES["op11_merkle_manifest"] = MERKLE
