@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exactdedup, htmldiff, langid, merkle, neardup, packing, toxicity, urlfilter, warc
+from . import balltree, chat, decontam, exactdedup, htmldiff, langid, lexical, merkle, neardup, packing, toxicity, urlfilter, warc
 from .common import table
 from .manifest_sql import MERKLE
 
@@ -81,9 +81,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth vector by inner product."""
+    return balltree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, by an automaton's scan."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_language_id, op3_chat_formatting, op4_minhash_near_dedup, op5_url_filter, op6_html_extraction, op7_packing,
-    op8_exact_dedup, op9_warc, op10_decontamination, op11_merkle_manifest)}
+    op8_exact_dedup, op9_warc, op10_decontamination, op11_merkle_manifest, op12_exact_topk, op13_ranked_search)}
 
 _LOWER_HOST = r"lower(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1))"
 
@@ -158,3 +168,31 @@ SELECT pair_id, min(ends) - 1 AS prompt_turns,
 FROM s GROUP BY pair_id"""
 
 ORACLES["op11_merkle_manifest"] = MERKLE
+
+ORACLES["op12_exact_topk"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS (
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+ORACLES["op13_ranked_search"] = f"""
+WITH t AS (SELECT row, doc_id, {_TERMS} AS term FROM (SELECT *, row_number() OVER () AS row FROM documents)),
+f AS (SELECT row, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT row, sum(tf)::BIGINT AS n FROM f GROUP BY row),
+c AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, c GROUP BY term),
+i AS (
+  SELECT item, item_id, term, count(*) AS reps
+  FROM (SELECT item, item_id, {_TERMS} AS term FROM (SELECT *, row_number() OVER () AS item FROM benchmark)) GROUP BY ALL),
+s AS (
+  SELECT item, item_id, row, doc_id,
+         sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * nd) // nt)))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN d USING (row), c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""

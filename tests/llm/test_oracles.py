@@ -10,7 +10,7 @@ from rowcast.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF_SMALL)
     res = con.execute(queries.ORACLES[name])
