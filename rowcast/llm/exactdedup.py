@@ -8,9 +8,12 @@ positive is never taken for a copy.  Deleting a live digest removes its
 fingerprint and its key.  When a kick chain overflows, the filter doubles and is
 rebuilt from the stored keys.
 
-Copies are summed per digest before they reach the index (map-side combine), so
-a text held by a third of all rows is one row there; digests are uniform, so
-buckets are even, and their number follows the number of digests.
+The index decides what is a copy: rows are only summed within a piece of a task
+(``HELD`` rows), so the copies of a text reach its bucket from many pieces, the
+first is inserted, and each later one is a hit that is verified and merged.  The
+index counts its hits, false positives and resizes.  A text held by a third of all
+rows is one row per piece; digests are uniform, so buckets are even, and their
+number follows the number of rows.
 
 Defined cases: a null text is the empty text; a null doc_id counts as the
 largest; of rows that tie on doc_id exactly one stays; an empty table gives an
@@ -29,9 +32,12 @@ from .common import SPACE, written
 KEYS_PER_BUCKET = 20_000
 SLOTS = 4
 MAX_KICKS = 200
+#: Rows that a task sums before it sends them to the index.
+HELD = 100_000
 
-INDEX_DDL = ("bucket int, capacity int, filter binary, digests binary, "
-             "keep_ids array<long>, keep_rows array<long>, sizes array<long>")
+COUNTERS = ("hits", "false_hits", "resizes")
+INDEX_DDL = ("bucket int, capacity int, filter binary, digests binary, keep_ids array<long>, keep_rows array<long>, "
+             "sizes array<long>, hits long, false_hits long, resizes long")
 ENTRY_DDL = "digest binary, keep_id long, keep_row long, group_size long"
 
 
@@ -89,10 +95,12 @@ class CuckooFilter:
 
 
 class Bucket:
-    """A filter, and the stored keys it answers for."""
+    """A filter, and the stored keys it answers for; it counts insertions that
+    were hits, hits that weren't true, and overflows."""
 
     def __init__(self, row=None, expected: int = 0):
         self.keys: dict[bytes, list] = {}
+        self.hits, self.false_hits, self.resizes = (int(row[c]) for c in COUNTERS) if row is not None else (0, 0, 0)
         if row is not None:
             d = bytes(row["digests"])
             for k, keep, at, n in zip(range(0, len(d), 32), row["keep_ids"], row["keep_rows"], row["sizes"], strict=True):
@@ -105,16 +113,21 @@ class Bucket:
         size = self.filter.capacity
         while True:
             size *= 2
+            self.resizes += 1
             self.filter = CuckooFilter(size)
             if all(self.filter.insert(k) for k in self.keys):
                 return
 
     def insert(self, digest: bytes, keep, at, n: int) -> None:
-        if self.filter.contains(digest) and (held := self.keys.get(digest)) is not None:
-            held[2] += n
-            if _rank(keep, at) < _rank(held[0], held[1]):
-                held[0], held[1] = keep, at
-            return
+        if self.filter.contains(digest):
+            held = self.keys.get(digest)  # the hit is verified
+            if held is not None:
+                self.hits += 1
+                held[2] += n
+                if _rank(keep, at) < _rank(held[0], held[1]):
+                    held[0], held[1] = keep, at
+                return
+            self.false_hits += 1
         self.keys[digest] = [keep, at, n]
         if not self.filter.insert(digest):
             self.resize()
@@ -129,7 +142,8 @@ class Bucket:
     def row(self, bucket: int) -> dict:
         return {"bucket": [bucket], "capacity": [self.filter.capacity], "filter": [self.filter.dump()],
                 "digests": [b"".join(self.keys)], "keep_ids": [[v[0] for v in self.keys.values()]],
-                "keep_rows": [[v[1] for v in self.keys.values()]], "sizes": [[v[2] for v in self.keys.values()]]}
+                "keep_rows": [[v[1] for v in self.keys.values()]], "sizes": [[v[2] for v in self.keys.values()]],
+                **{c: [getattr(self, c)] for c in COUNTERS}}
 
 
 def _int(x):
@@ -145,7 +159,7 @@ def _schema(kind: str):
 
     return pa.schema([("bucket", pa.int32()), ("capacity", pa.int32()), ("filter", pa.binary()), ("digests", pa.binary()),
                       ("keep_ids", pa.list_(pa.int64())), ("keep_rows", pa.list_(pa.int64())),
-                      ("sizes", pa.list_(pa.int64()))]) if kind == "index" else pa.schema(
+                      ("sizes", pa.list_(pa.int64())), *((c, pa.int64()) for c in COUNTERS)]) if kind == "index" else pa.schema(
         [("digest", pa.binary()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64())])
 
 
@@ -186,7 +200,8 @@ class CuckooIndex:
         return CuckooIndex(written(state, name), self.buckets)
 
     def insert(self, batch: DataFrame) -> CuckooIndex:
-        """``batch``: one row per digest with keep_id, keep_row, group_size."""
+        """``batch``: rows of digest, keep_id, keep_row, group_size, any number per
+        digest."""
         def change(b, new):
             for r in zip(*(new.column(k).to_pylist() for k in ("digest", "keep_id", "keep_row", "group_size")), strict=True):
                 b.insert(*r)
@@ -227,33 +242,53 @@ class CuckooIndex:
         return self.state.mapInArrow(run, ENTRY_DDL)
 
 
-def summarised(digests: DataFrame) -> DataFrame:
-    """(digest, doc_id, row) to one row per digest: who stays, how many."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    return (digests.groupBy("digest").agg(first.alias("k"), F.count(F.lit(1)).alias("group_size"))
-            .select("digest", F.col("k.doc_id").alias("keep_id"), F.col("k.row").alias("keep_row"), "group_size"))
+def partials(rows: DataFrame) -> DataFrame:
+    """(digest, doc_id, row) to (digest, keep_id, keep_row, group_size), summed in
+    pieces of HELD rows, without a shuffle."""
+    def summed(held):
+        import pyarrow as pa
+
+        t = pa.Table.from_batches(held)
+        at = t.append_column("at", t.column("doc_id").fill_null(np.iinfo(np.int64).max)).sort_by([("at", "ascending"), ("row", "ascending")])
+        g = at.group_by("digest", use_threads=False).aggregate([("doc_id", "first"), ("row", "first"), ("row", "count")])
+        return pa.table([g.column(c) for c in ("digest", "doc_id_first", "row_first", "row_count")], schema=_schema("entry")).to_batches()
+
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= HELD:
+                yield from summed(held)
+                held, n = [], 0
+        if n:
+            yield from summed(held)
+    return rows.select("digest", "doc_id", "row").mapInArrow(run, ENTRY_DDL)
+
+
+def indexed(rows: DataFrame) -> CuckooIndex:
+    """The index of all (digest, doc_id, row)."""
+    return CuckooIndex.sized(rows.sparkSession, rows.count()).insert(partials(rows))
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, digest."""
-    spark = docs.sparkSession
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"))
                    .withColumn("row", F.monotonically_increasing_id()), "digests")
-    groups = summarised(rows)
-    live = CuckooIndex.sized(spark, rows.count()).insert(groups).entries()
-    return (rows.join(live, "digest")
+    return (rows.join(indexed(rows).entries(), "digest")
             .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each text, as it is: that of the smallest doc_id
-    (of equal rows any one).  Rows meet on the digest once; a text's copies are
-    gone before they are sent, but for rows that share the smallest id."""
+    (of equal rows any one).  Rows meet the index's entries once, by digest and id,
+    so a hot text's copies are spread; rows that tie on both meet there too."""
     names = docs.columns
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"))
                    .withColumn("row", F.lit(0).cast("long")), "digests")
-    live = CuckooIndex.sized(docs.sparkSession, rows.count()).insert(summarised(rows)).entries()
-    keep = live.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
-    named = docs.withColumn("_own", digest(F.col("text")))
-    same = (F.col("_own") == F.col("_digest")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep"))
-    return named.join(keep, same).dropDuplicates(["_own"]).select(*[F.col(f"`{c}`") for c in names])
+    key = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    keep = indexed(rows).entries().select(F.col("digest").alias("k_own"), F.col("keep_id").alias("id")).withColumn("k_id", key).drop("id")
+    named = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], digest(F.col("text")).alias("own"),
+                        F.col("doc_id").cast("long").alias("id")).withColumn("id", key)
+    first = named.join(keep, (F.col("own") == F.col("k_own")) & (F.col("id") == F.col("k_id")), "left_semi")
+    return first.dropDuplicates(["own", "id"]).select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

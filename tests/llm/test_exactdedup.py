@@ -43,7 +43,7 @@ def test_index_in_batches(spark):
         return spark.createDataFrame([(hashlib.sha256(str(i % 50).encode()).digest(), i, i) for i in ids],
                                      "digest binary, doc_id long, row long")
     index = X.CuckooIndex(X.CuckooIndex.sized(spark, 10).state, 3)
-    index = index.insert(X.summarised(batch(range(100, 200)))).insert(X.summarised(batch(range(60, 130))))
+    index = index.insert(X.partials(batch(range(100, 200)))).insert(X.partials(batch(range(60, 130))))
     got = {bytes(r.digest): (r.keep_id, r.group_size) for r in index.entries().collect()}
     assert len(got) == 50 and got[hashlib.sha256(b"10").digest()] == (60, 4)
     index = index.delete(batch([10, 11, 999]))
@@ -52,6 +52,27 @@ def test_index_in_batches(spark):
     assert index.lookup(batch([10])).count() == 0
 
 
+def test_the_index_finds_the_copies(make_docs, monkeypatch):
+    """Copies from different pieces reach the bucket: all but the first are hits."""
+    monkeypatch.setattr(X, "HELD", 1)
+    docs = make_docs([(i, f"text {i % 40}") for i in range(2000)]).repartition(8)
+    rows = docs.select("doc_id", X.digest(F.col("text")).alias("digest")).withColumn("row", F.monotonically_increasing_id())
+    index = X.indexed(X.written(rows, "test-digests"))
+    state = index.state.agg(*[F.sum(c).alias(c) for c in X.COUNTERS]).first()
+    pieces = X.partials(rows).count()
+    assert pieces > 40 and state.hits == pieces - 40
+    assert {(r.keep_id, r.group_size) for r in index.entries().collect()} == {(i, 50) for i in range(40)}
+
+
+def test_the_result_comes_through_the_index(make_docs, monkeypatch):
+    """An index that calls every key new finds no copies, and the result says so."""
+    docs = make_docs([(i, f"text {i % 3}") for i in range(30)])
+    assert {r.group_size for r in X.duplicates(docs).collect()} == {10}
+    monkeypatch.setattr(X.CuckooIndex, "insert", lambda self, batch: X.CuckooIndex(
+        X.CuckooIndex.sized(docs.sparkSession, 1).state, 1))
+    assert X.duplicates(docs).count() == 0
+
+
 def test_against_brute_force(make_docs):
     rnd = random.Random(2)
     rows = [(i, rnd.choice(["a b", "a  b", "a\tb", " a b", "", None, " ", "\n", "x" * 100_000, f"u{rnd.randrange(30)}"]))
