@@ -21,14 +21,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import ranked, written
+
 # The template's marks.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
 
 
+def answered_pairs(conversations: DataFrame) -> DataFrame:
+    """(pair_id, chosen, turn, role, text): a pair of each conversation, whose
+    rejected side has the last answer of the next conversation (by id, those with
+    an answer; the last takes the first's) in place of its own last answer.  A
+    conversation without an answer is its own rejected side."""
+    own = conversations.select(F.col("conv_id").cast("long").alias("pair_id"), F.lit(True).alias("chosen"), "turn", "role", "text")
+    turns = written(_placed(own).drop("chosen"), "chat-turns")
+    answers = turns.where(F.col("role") == TRAINED_ROLE).groupBy("pair_id").agg(F.max(F.struct("at", "text")).alias("x"))
+    order = ranked(answers.select(F.lit(0).alias("all"), "pair_id", "x.at", "x.text"), "all", ["pair_id"], "chat-order")
+    follows = order.select(F.pmod(F.col("idx") - 1, "n").alias("idx"), F.col("text").alias("other"))
+    swaps = order.join(follows, "idx").select(F.col("pair_id").alias("p"), F.col("at").alias("last"), "other")
+    said = F.when(F.col("other").isNotNull(), F.col("other")).otherwise(F.col("text"))
+    other = turns.join(swaps, (F.col("pair_id") == F.col("p")) & (F.col("at") == F.col("last")), "left")
+    return turns.select("pair_id", F.lit(True).alias("chosen"), F.col("at").alias("turn"), "role", "text").unionByName(
+        other.select("pair_id", F.lit(False).alias("chosen"), F.col("at").alias("turn"), "role", said.alias("text")))
+
+
 def numbered_pairs(conversations: DataFrame) -> DataFrame:
-    """(pair_id, chosen, turn, role, text): conversation 2k is the chosen and
-    2k + 1 the rejected side of pair k."""
+    """(pair_id, chosen, turn, role, text) of a table that is made of pairs:
+    conversation 2k is the chosen and 2k + 1 the rejected side of pair k."""
     conv = F.col("conv_id").cast("long")
     return conversations.select(F.floor(conv / 2).cast("long").alias("pair_id"), (F.pmod(conv, F.lit(2)) == 0).alias("chosen"),
                                 "turn", "role", "text")

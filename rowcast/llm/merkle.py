@@ -30,7 +30,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ranked, written
 
 #: Levels that a stored link spans; a block has 2 ** SPAN nodes.
 SPAN = 8
@@ -65,21 +65,6 @@ def leaves(docs: DataFrame) -> DataFrame:
                        F.when(tampered & n.isNotNull(), leaf_hash(n + 1)).alias("start"))
 
 
-def ranked(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
-    """``rows`` with ``idx`` (from 0, by ``order`` in the group) and ``n`` (rows
-    of the group).  A group of any size is spread over the range partitions; what
-    a partition needs to know is one summary row per partition and group."""
-    by = [group, *order, "_tie"]
-    tied = rows.withColumn("_tie", F.monotonically_increasing_id())  # equal rows are spread too
-    at = written(tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie").withColumn("_id", F.monotonically_increasing_id()), name)
-    part = F.shiftrightunsigned("_id", 33).alias("_part")
-    parts = at.groupBy(F.col(group).alias("_g"), part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    parts = written(parts.selectExpr("_g", "_part", "_first", "sum(_n) over (partition by _g order by _part) - _n as _base",
-                                     "sum(_n) over (partition by _g) as n"), f"{name}-parts")
-    return (at.join(parts, (at[group] == parts["_g"]) & (F.shiftrightunsigned(at["_id"], 33) == parts["_part"]))
-            .select(*rows.columns, (F.col("_base") + F.col("_id") - F.col("_first")).alias("idx"), "n"))
-
-
 def _block(hashes: list[str], levels: int) -> tuple[list[list[tuple[bytes, bytes]]], str]:
     """Per node the siblings (left, right) on its way up, and the block's top."""
     paths: list[list[tuple[bytes, bytes]]] = [[] for _ in hashes]

@@ -27,8 +27,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations 2k (chosen) and 2k + 1 (rejected) as preference records."""
-    return chat.format_pairs(chat.numbered_pairs(table(spark, sf_dir, "conversations")))
+    """Every conversation, against itself with the next one's last answer, as a
+    preference record."""
+    return chat.format_pairs(chat.answered_pairs(table(spark, sf_dir, "conversations")))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,10 +138,15 @@ FROM f""",
 }
 
 ORACLES["op3_chat_formatting"] = """
-WITH t AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, coalesce(role, '') AS role, coalesce(text, '') AS text,
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT conv_id, max(pos) AS pos, arg_max(text, pos) AS text FROM o WHERE role = 'assistant' GROUP BY conv_id),
+x AS (SELECT conv_id, pos, coalesce(lead(text) OVER w, first(text) OVER w) AS other FROM a WINDOW w AS (ORDER BY conv_id)),
+t AS (
+  SELECT conv_id AS pair_id, true AS chosen, role, text, pos FROM o
+  UNION ALL SELECT conv_id, false, role, coalesce(other, text), pos FROM o LEFT JOIN x USING (conv_id, pos)),
 p AS (SELECT pair_id FROM t GROUP BY 1 HAVING count(DISTINCT chosen) = 2),
 c AS (
   SELECT a.pair_id, a.pos FROM t a JOIN t b ON a.pair_id = b.pair_id AND a.pos = b.pos AND a.chosen AND NOT b.chosen
