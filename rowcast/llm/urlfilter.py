@@ -87,12 +87,16 @@ class Cascade:
         segments = -(-bits // MAX_BITS)
         bits = -(-bits // segments // 64) * 64
         segment, slots = cls._slots(F.col("key"), level, bits, segments)
-        words = (keys.select(segment.alias("segment"), F.explode(F.array(*slots)).alias("slot"))
-                 .groupBy("segment", F.expr("cast(slot div 64 as int)").alias("word"))
-                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")))
-        filled = (words.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m"))
-                  .select("segment", F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)),
-                                                 lambda i: F.coalesce(F.element_at("m", i), F.lit(0))).alias("words")))
+        n_words = bits // 64
+        words = keys.select(segment.alias("segment"), F.explode(F.array(*slots)).alias("slot")).select(
+            "segment", F.expr("cast(slot div 64 as int)").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bits"))
+        # every word is there once, so a segment's words are one sorted list
+        none = keys.sparkSession.range(segments * n_words).select(
+            F.expr(f"cast(id div {n_words} as int)").alias("segment"), F.expr(f"cast(id % {n_words} as int)").alias("word"),
+            F.lit(0).cast("long").alias("bits"))
+        whole = words.unionByName(none).groupBy("segment", "word").agg(F.bit_or("bits").alias("bits"))
+        filled = whole.groupBy("segment").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w")).select(
+            "segment", F.transform("w", lambda x: x["bits"]).alias("words"))
         return written(filled, f"cascade-level{level}"), bits, segments
 
     def has(self, key: Column, level: int) -> Column:

@@ -46,3 +46,17 @@ def test_cascade_is_exact_on_its_universe(spark, monkeypatch):
     wrong = universe.select("listed", cascade.contains(F.col("key")).alias("c")).where("listed <> c").count()
     assert wrong == 0
     assert U.Cascade.build(universe.where("not listed")).levels == []
+
+
+def test_a_level_of_many_keys(spark):
+    """A million keys: the build is linear in them."""
+    import time
+
+    universe = spark.range(1_200_000).select(F.concat(F.lit("key"), F.col("id").cast("string")).alias("key"), (F.col("id") % 6 > 0).alias("listed"))
+    began = time.time()
+    frame, bits, segments = U.Cascade._level(universe.where("listed").select("key"), 0)
+    assert time.time() - began < 120
+    level = U.Cascade([(frame, bits, segments)])
+    held = universe.select("listed", level.has(F.col("key"), 0).alias("held")).groupBy("listed").agg(F.avg(F.col("held").cast("int")).alias("x"))
+    got = {r.listed: r.x for r in held.collect()}
+    assert got[True] == 1.0 and got[False] < 0.02
