@@ -56,17 +56,64 @@ def matches(a: np.ndarray, b: np.ndarray, hits, free_a, free_b, least: int):
     return out
 
 
+#: Pairs of equal seeds that are listed for one document and item; texts that
+#: repeat themselves more are tiled along the diagonals, in bounded memory.
+MAX_HITS = 50_000
+
+
+def _longest(a: np.ndarray, b: np.ndarray, free_a: np.ndarray, free_b: np.ndarray):
+    """(length, starts in a, starts in b) of the longest matches of unmarked words.
+
+    The match that begins at (i, j) is one longer than that at (i + 1, j + 1), so
+    one row of lengths per word of ``b`` is enough, from the last word back.  Of a
+    word of ``b`` the first ``2 * len(b) + 1`` starts in ``a`` are enough: tiles of
+    this length block fewer, so one of them is free when it is asked for."""
+    top, starts = 0, []
+    after = np.zeros(len(a) + 1, np.int32)
+    for j in range(len(b) - 1, -1, -1):
+        row = np.zeros(len(a) + 1, np.int32)
+        if free_b[j]:
+            same = (a == b[j]) & free_a
+            row[:-1][same] = after[1:][same] + 1
+            most = int(row.max())
+            if most and most >= top:
+                if most > top:
+                    top, starts = most, []
+                at = np.flatnonzero(row == most)[:2 * len(b) + 1]
+                starts.append((at, np.full(len(at), j)))
+        after = row
+    if not top:
+        return 0, np.empty(0, np.int64), np.empty(0, np.int64)
+    i, j = (np.concatenate(x) for x in zip(*starts, strict=True))
+    order = np.lexsort((j, i))
+    return top, i[order], j[order]
+
+
+def _tile_diagonals(a: np.ndarray, b: np.ndarray, least: int) -> int:
+    free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
+    while True:
+        n, starts_a, starts_b = _longest(a, b, free_a, free_b)
+        if n < least:
+            return int((~free_b).sum())
+        for i, j in zip(starts_a.tolist(), starts_b.tolist(), strict=True):
+            if free_b[j] and free_a[i] and free_a[i:i + n].all() and free_b[j:j + n].all():
+                free_a[i:i + n] = free_b[j:j + n] = False
+        if not free_b.any():
+            return len(b)
+
+
 def tile(a: np.ndarray, b: np.ndarray, least: int) -> int:
     """Words of ``b`` covered by greedy tiles of at least ``least`` words."""
     least = min(least, len(b))
     if not least or len(a) < least:
         return 0
-    at_b: dict[int, list[int]] = {}
-    for j, h in enumerate(texthash.ngrams(b, least).tolist()):
-        at_b.setdefault(h, []).append(j)
-    grams = texthash.ngrams(a, least)
-    near = np.flatnonzero(np.isin(grams, np.fromiter(at_b, np.uint64, len(at_b))))
-    hits = [(int(i), j) for i in near for j in at_b[int(grams[i])]]
+    own, grams = texthash.ngrams(b, least), texthash.ngrams(a, least)
+    order = np.argsort(own, kind="stable")
+    sorted_own = own[order]
+    lo, hi = np.searchsorted(sorted_own, grams, "left"), np.searchsorted(sorted_own, grams, "right")
+    if int((hi - lo).sum()) > MAX_HITS:
+        return _tile_diagonals(a, b, least)
+    hits = [(int(i), int(j)) for i in np.flatnonzero(hi > lo) for j in order[lo[i]:hi[i]]]
     free_a, free_b = np.ones(len(a), bool), np.ones(len(b), bool)
     while hits and (found := matches(a, b, hits, free_a, free_b, least)):
         longest = max(found)[0]
