@@ -19,12 +19,17 @@ prose inside that element (no class or id between) needs more evidence, because
 articles of a site also quote the same sentences: it is compared with the prose
 of up to six neighbours, of which those that have half of it or more are versions
 of the page and say nothing.  The others are witnesses, and a line that most of
-them have is the site's; with fewer than three it must also begin or end the
-prose of both.  Where every neighbour has half of a page's prose, it stays.
+them have may be the site's; with fewer than three it must also begin or end the
+prose of both.  It is the site's if the host has it on a share of its pages that is
+``FAR`` times the other hosts' share (``NEAR`` times, if half of its pages have it):
+a sentence that many hosts have is quoted.
+Where every neighbour has half of a page's prose, it stays.
 
 Only URLs meet for the order (a range sort, so a host of any size is spread
-over many tasks), only 8-byte line hashes meet for the alignment, and each
-page's text moves once.
+over many tasks), only 8-byte line hashes meet for the alignment and the counts,
+and each page's text moves once.  Reading a page is one pass whatever its markup:
+the ends of elements and the articles are found once, and stray or missing tags
+cost nothing more.
 
 Defined cases: null html is empty text; a null url, or one without ``://``, is
 ordered under an empty host; copies (the same host and lines) are one page for the
@@ -34,6 +39,7 @@ cut markup is read as far as it goes; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from bisect import bisect_left
@@ -50,6 +56,9 @@ from .common import written
 COPY_SHARE = 0.9
 #: A neighbour with so much of an article's prose is a version of it, no witness.
 PROSE_SHARE = 0.5
+#: A host's line in an article: its share of the host's pages over that of the
+#: other hosts' pages, and the same for lines that half of the host's pages have.
+FAR, NEAR = 4, 2
 #: From so many witnesses on, the place of a line in an article doesn't matter.
 MANY = 3
 #: Neighbours that are asked: so many places before and after a page.
@@ -79,6 +88,7 @@ BESIDE = frozenset("has have is no not with without".split())
 
 _TOKEN = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z)"
                     r"|!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z))", re.S)
+_ANY = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(?=[\s/>])([^>]*)>")
 _MAIN = re.compile(r"<(?:article|main)(?=[\s/>])|role=[\"']?main\b", re.I)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAMES = re.compile(r"[a-z0-9]+")
@@ -109,19 +119,32 @@ def _chrome(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
     return False, named
 
 
-def _skipped(html: str, tag: str, at: int) -> int:
-    """Where the element opened before ``at`` ends; 0 if it isn't closed."""
-    depth = 1
-    for m in _same(tag).finditer(html, at):
-        depth += -1 if m[1] else 0 if m[2].endswith("/") else 1
-        if not depth:
-            return m.end()
-    return 0
-
-
-@lru_cache(maxsize=1024)
-def _same(tag: str):
-    return re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])([^>]*)>", re.I)
+class _Ends:
+    """Where each element of a page ends, and where its articles begin; made once,
+    when first asked."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.ends: dict[int, int] | None = None
+        self.mains: list[int] = []
+
+    def after(self, at: int) -> int:
+        """The end of the element whose start tag ends at ``at``; 0 if it isn't
+        closed, or has an article or main inside."""
+        if self.ends is None:
+            self.ends = {}
+            open_: dict[str, list[int]] = {}
+            for m in _ANY.finditer(self.html):
+                own = open_.setdefault(m[2].lower(), [])
+                if not m[1]:
+                    if not m[3].endswith("/"):
+                        own.append(m.end())
+                elif own:
+                    self.ends[own.pop()] = m.end()
+            self.mains = [m.start() for m in _MAIN.finditer(self.html)]
+        end = self.ends.get(at, 0)
+        k = bisect_left(self.mains, at)
+        return 0 if k < len(self.mains) and self.mains[k] < end else end
 
 
 @lru_cache(maxsize=64)
@@ -132,6 +155,9 @@ def _raw_end(tag: str):
 def page_lines(html: str) -> list[tuple[str, bool]]:
     """(line, protected) of the blocks that may be main text, in page order."""
     stack: list[tuple[str, bool, int, bool]] = []  # tag, chrome, part, named within main
+    open_: Counter[str] = Counter()  # tags of the stack
+    blocks: list[int] = []  # places of block elements in it
+    ends = _Ends(html)
     out: list[tuple[str, int, bool]] = []
     held: list[str] = []
     chrome = named = False
@@ -149,6 +175,22 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
         if i < j and not chrome:
             held.append(html[i:j])
 
+    def push(*element):
+        if element[0] in BLOCKS:
+            blocks.append(len(stack))
+        open_[element[0]] += 1
+        stack.append(element)
+        return element[1:]
+
+    def cut(k):
+        """Close the stack's elements from ``k`` on."""
+        for x in stack[k:]:
+            open_[x[0]] -= 1
+        del stack[k:]
+        while blocks and blocks[-1] >= k:
+            blocks.pop()
+        return stack[-1][1:] if stack else (False, 0, False)
+
     while at < n:
         m = _TOKEN.search(html, at)
         if m is None:
@@ -162,11 +204,8 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
         if m[1]:  # end tag
             if tag in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    chrome, main, named = stack[-1][1:] if stack else (False, 0, False)
-                    break
+            if open_[tag]:
+                chrome, main, named = cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
@@ -176,31 +215,25 @@ def page_lines(html: str) -> list[tuple[str, bool]]:
             continue
         if tag in BLOCKS:
             flush()
-            for k in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
-                if stack[k][0] == "p" or stack[k][0] in CLOSES.get(tag, ()):
-                    del stack[k:]
-                    chrome, main, named = stack[-1][1:] if stack else (False, 0, False)
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+            # an open paragraph ends where a block begins
+            if blocks and (stack[blocks[-1]][0] == "p" or stack[blocks[-1]][0] in CLOSES.get(tag, ())):
+                chrome, main, named = cut(blocks[-1])
         elif tag == "br":
             if not chrome:
                 held.append(" ")
         if tag in VOID or m[3].endswith("/"):
             continue
         drops, has_name = _chrome(tag, m[3], main > 0)
-        if drops and tag not in LOOSE and (end := _skipped(html, tag, at)) and not _MAIN.search(html, at, end):
+        if drops and tag not in LOOSE and (end := ends.after(at)):
             at = end
             continue
         opens = 0 if drops else 3 if tag == "article" else 2 if tag == "main" or 'role="main"' in m[3] else 0
         if opens and chrome and main < 3:  # the article that a dropped element holds
-            stack.append((tag, False, 1, False))
-            chrome, main, named = stack[-1][1:]
+            chrome, main, named = push(tag, False, 1, False)
         elif tag in BLOCKS or drops:
-            stack.append((tag, chrome or drops, main if main == 1 else max(main, opens), named or (main > 0 and has_name)))
-            chrome, main, named = stack[-1][1:]
+            chrome, main, named = push(tag, chrome or drops, main if main == 1 else max(main, opens), named or (main > 0 and has_name))
         else:
-            stack.append((tag, chrome, main, named))
+            push(tag, chrome, main, named)
     flush()
     if any(x[1] for x in out):
         least = 2 if any(x[1] == 3 for x in out) else 1
@@ -238,12 +271,13 @@ def _hashed(lines: list[tuple[str, bool]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x, _ in lines]
 
 
-def _key(host: str, hashes: list[int], lines: list[tuple[str, bool]]) -> int:
-    """Equal for the pages of a host whose lines are equal, with their marks."""
-    import xxhash
-
-    text = b"".join(x.to_bytes(8, "little", signed=True) + bytes((m,)) for x, (_, m) in zip(hashes, lines, strict=True))
-    return xxhash.xxh3_64_intdigest(text, xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass"))) - (1 << 63)
+def _key(host: str, lines: list[tuple[str, bool]]) -> bytes:
+    """Equal for the pages of a host whose lines are equal, with their marks (16
+    bytes of a cryptographic hash)."""
+    text = hashlib.sha256(host.encode("utf-8", "surrogatepass"))
+    for line, safe in lines:
+        text.update((b"\n+" if safe else b"\n-") + line.encode("utf-8", "surrogatepass"))
+    return text.digest()[:16]
 
 
 def _placed(pages: DataFrame) -> DataFrame:
@@ -278,7 +312,8 @@ def neighbours(keys: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
             n = [len(os.path.commonprefix(x)) for x in zip(b.column("path").to_pylist(), b.column("near").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("other"), pa.array(n, pa.int64()), b.column("d")],
                                              names=["key", "other", "n", "d"])
-    return both.mapInArrow(run, "key long, other long, n long, d int")
+    kind = keys.schema["key"].dataType.simpleString()
+    return both.mapInArrow(run, f"key {kind}, other {kind}, n long, d int")
 
 
 def nearest(pages: DataFrame) -> DataFrame:
@@ -286,10 +321,9 @@ def nearest(pages: DataFrame) -> DataFrame:
     return neighbours(_placed(pages), (1,)).groupBy("key").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
 
 
-def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int], list[bool]]]) -> list[int]:
-    """Positions of the site's lines in a page; ``others`` are its neighbours,
-    nearest first."""
-    out: list[int] = []
+def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int], list[bool]]]) -> tuple[list[int], list[int]]:
+    """(positions of the site's lines in a page, those of an article's lines that
+    may be the site's); ``others`` are the page's neighbours, nearest first."""
     best: list[int] | None = None
     for other, _ in others if not all(safe) else ():
         got = common_lines(lines, other)
@@ -299,7 +333,7 @@ def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int],
             best = got
         if len(got) < COPY_SHARE * len(lines):
             break
-    out += [i for i in best or () if not safe[i]]
+    out = [i for i in best or () if not safe[i]]
     at = [i for i, x in enumerate(safe) if x]
     prose = [lines[i] for i in at]
     anywhere: Counter[int] = Counter()
@@ -317,7 +351,23 @@ def site_lines(lines: list[int], safe: list[bool], others: list[tuple[list[int],
         first, last = (x.index(False) if False in x else len(x) for x in (same, tail))
         edges.update({*range(first), *range(len(prose) - last, len(prose))})
     often = anywhere if witnesses >= MANY else edges
-    return sorted([*out, *(at[i] for i, k in often.items() if 2 * k > witnesses)])
+    return out, sorted(at[i] for i, k in often.items() if 2 * k > witnesses)
+
+
+def hosts_own(lines: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """Those (host, line) of ``doubtful`` that are the host's by their share of its
+    pages and of all other hosts' pages.
+    ``lines`` has a row (host, lines) per page; counts are summed in tasks first."""
+    per_host = lines.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("line", "host").agg(
+        F.count(F.lit(1)).alias("here"))
+    overall = per_host.groupBy("line").agg(F.sum("here").alias("everywhere"))
+    pages = lines.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    total = lines.count()
+    asked = doubtful.select("host", "line").distinct()
+    got = asked.join(per_host, ["line", "host"]).join(overall, "line").join(pages, "host")
+    elsewhere = (F.col("everywhere") - F.col("here")) / F.greatest(F.lit(1), F.lit(total) - F.col("pages"))
+    share = F.col("here") / F.col("pages")
+    return got.where((share >= FAR * elsewhere) | ((share >= 0.5) & (share >= NEAR * elsewhere))).select("host", "line")
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
@@ -328,35 +378,42 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
         for b in batches:
             got = [page_lines(x or "") for x in b.column("html").to_pylist()]
-            ids = [_hashed(x) for x in got]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(h, x, g) for h, x, g in zip(b.column("host").to_pylist(), ids, got, strict=True)], pa.int64()),
-                 b.column("host"), b.column("path"), pa.array(ids, pa.list_(pa.int64())),
+                [pa.array([_key(h, g) for h, g in zip(b.column("host").to_pylist(), got, strict=True)], pa.binary()),
+                 b.column("host"), b.column("path"), pa.array([_hashed(x) for x in got], pa.list_(pa.int64())),
                  pa.array([[m for _, m in x] for x in got], pa.list_(pa.bool_()))], names=["key", "host", "path", "lines", "safe"])
 
     def align(batches):
         import pyarrow as pa
 
         for b in batches:
-            keys, out = [], []
-            for k, x, m, near in zip(*(b.column(c).to_pylist() for c in ("key", "lines", "safe", "near")), strict=True):
-                near.sort(key=lambda o: (-o["n"], o["d"], -o["other"]))
-                got = site_lines(x, m, [(o["lines"], o["safe"]) for o in near])
-                if got:
-                    keys.append(k)
-                    out.append(got)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.list_(pa.int32()))],
-                                             names=["key", "shared"])
+            rows = []
+            for k, h, x, m, near in zip(*(b.column(c).to_pylist() for c in ("key", "host", "lines", "safe", "near")), strict=True):
+                near.sort(key=lambda o: (-o["n"], o["d"], o["other"]))
+                sure, maybe = site_lines(x, m, [(o["lines"], o["safe"]) for o in near])
+                rows += [(k, h, i, x[i], True) for i in sure] + [(k, h, i, x[i], False) for i in maybe]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.string(), pa.int32(), pa.int64(), pa.bool_()), strict=True)],
+                names=["key", "host", "i", "line", "sure"])
 
     read = pages.select("host", "path", "html").mapInArrow(
-        hashes, "key long, host string, path string, lines array<long>, safe array<boolean>")
+        hashes, "key binary, host string, path string, lines array<long>, safe array<boolean>")
     # copies are one page, at the first of their paths (partial steps: a large group meets as a row a task)
     lines = written(read.groupBy("key").agg(F.min(F.struct("host", "path", "lines", "safe")).alias("x")).select("key", "x.*"), "page-lines")
     pairs = neighbours(lines.select("host", "path", "key"))
-    lines = lines.select("key", "lines", "safe")
-    theirs = pairs.join(lines.withColumnRenamed("key", "other"), "other")
+    own = lines.select("key", "host", "lines", "safe")
+    theirs = pairs.join(own.drop("host").withColumnRenamed("key", "other"), "other")
     near = theirs.groupBy("key").agg(F.collect_list(F.struct("n", "d", "other", "lines", "safe")).alias("near"))
-    return near.join(lines, "key").select("key", "lines", "safe", "near").mapInArrow(align, "key long, shared array<int>")
+    found = written(near.join(own, "key").select("key", "host", "lines", "safe", "near").mapInArrow(
+        align, "key binary, host string, i int, line long, sure boolean"), "shared-lines")
+    maybe = found.where("not sure")
+    if not maybe.isEmpty():
+        kept = maybe.join(written(hosts_own(lines.select("host", "lines"), maybe), "site-lines"), ["host", "line"], "left_semi")
+        found = found.where("sure").unionByName(kept.select(*found.columns))
+    else:
+        found = found.where("sure")
+    return found.groupBy("key").agg(F.collect_set("i").alias("shared"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -364,7 +421,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
     rows = rows.withColumns({"host": urlfilter.host(F.col("url")), "path": urlfilter.path(F.col("url"))})
-    shared = written(shared_lines(rows), "shared-lines")
+    shared = written(shared_lines(rows), "deleted-lines")
 
     def run(batches):
         import pyarrow as pa
@@ -373,11 +430,11 @@ def extract(pages: DataFrame) -> DataFrame:
             got = [page_lines(x or "") for x in b.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"),
-                 pa.array([_key(h, _hashed(x), x) for h, x in zip(b.column("host").to_pylist(), got, strict=True)], pa.int64()),
+                 pa.array([_key(h, x) for h, x in zip(b.column("host").to_pylist(), got, strict=True)], pa.binary()),
                  pa.array([[x for x, _ in g] for g in got], pa.list_(pa.string()))],
                 names=["page_id", "url", "key", "lines"])
 
-    parsed = rows.select("page_id", "url", "host", "html").mapInArrow(run, "page_id long, url string, key long, lines array<string>")
+    parsed = rows.select("page_id", "url", "host", "html").mapInArrow(run, "page_id long, url string, key binary, lines array<string>")
     keep = F.filter("lines", lambda _, i: ~F.coalesce(F.array_contains("shared", i), F.lit(False)))
     text = F.array_join(keep, "\n")
     return (parsed.join(shared, "key", "left").select("page_id", "url", text.alias("text"))

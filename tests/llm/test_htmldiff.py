@@ -1,6 +1,8 @@
 """HTML extraction: blocks, alignment, nearest pages and edge cases."""
 
+import os
 import random
+import re
 
 from rowcast.llm import htmldiff as H
 
@@ -130,3 +132,77 @@ def test_names_drop_no_article():
         assert lines(f"<div id='{name}'><p>prose</p></div>") == ["prose"], name
     for name in ("post-tags", "site-footer", "x comments", "left_sidebar", "cookie-banner", "advertisement"):
         assert lines(f"<div class='{name}'><p>gone</p></div><p>prose</p>") == ["prose"], name
+
+
+def test_reading_is_linear():
+    """A megabyte of unclosed, stray or deeply nested tags is one pass."""
+    import time
+
+    many = 70_000
+    for html, want in (("<div class=ad>x" * many, []), ("<b>" * many + "</i>" * many, []), ("<li><div>" + "<b>" * many + "<li></li>" * many, []),
+                       ("<div class=ad>" * many + "<article>a</article>" + "</div>" * many, ["a"]),
+                       ("<b>" * many + "<div></div>" * many, []), ("<a b=\"" * many, [])):
+        began = time.time()
+        assert lines(html) == want
+        assert time.time() - began < 60  # quadratic reading took hours
+
+
+def test_no_article_paragraph_is_lost(spark):
+    """Whole articles of the given pages: sentences that many hosts quote stay."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r.page_id: r.text for r in H.extract(pages).collect()}
+    want = {r.page_id: "\n".join(lines(r.html or "")) for r in pages.collect()}
+    assert len(got) == 2500 and got == want
+
+
+def brute(rows):
+    """The whole query by plain loops over all pages."""
+    parsed = [(i, H.page_lines(html or ""), *place(url)) for i, url, html in rows]
+    pages = {}  # copies are one page, at the first of their paths
+    for _, ls, host, path in parsed:
+        pages.setdefault(H._key(host, ls), [host, path, ls])
+        pages[H._key(host, ls)][1] = min(pages[H._key(host, ls)][1], path)
+    order = sorted(pages, key=lambda k: (pages[k][0].encode(), pages[k][1].encode(), k))
+    gone = {}
+    for n, k in enumerate(order):
+        near = []
+        for d in H.STEPS:
+            for m in (n - d, n + d):
+                if 0 <= m < len(order) and pages[order[m]][0] == pages[k][0]:
+                    near.append((-len(os.path.commonprefix([pages[k][1], pages[order[m]][1]])), d, order[m]))
+        own = pages[k][2]
+        hashed = lambda ls: (H._hashed(ls), [m for _, m in ls])
+        sure, maybe = H.site_lines(*hashed(own), [hashed(pages[o][2]) for *_, o in sorted(near)])
+        gone[k] = set(sure)
+        for i in maybe:
+            def share(host_is):
+                some = [p for p in pages.values() if (p[0] == pages[k][0]) == host_is]
+                return sum(own[i][0] in [x for x, _ in p[2]] for p in some) / max(1, len(some))
+            if share(True) >= H.FAR * share(False) or share(True) >= max(0.5, H.NEAR * share(False)):
+                gone[k].add(i)
+    return sorted((i, "\n".join(x for j, (x, _) in enumerate(ls) if j not in gone[H._key(host, ls)])) for i, ls, host, path in parsed)
+
+
+def place(url):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    return (m[1].lower(), m[2]) if m else ("", "")
+
+
+def test_query_against_brute_force(spark):
+    rnd = random.Random(4)
+    quotes = [f"quote {i}" for i in range(6)]
+    rows = []
+    for i in range(120):
+        host = f"h{rnd.randrange(5)}.org"
+        own = [f"<p>{rnd.choice([*quotes, f'own {i} {j}', f'own {i} {j}'])}</p>" for j in range(rnd.randrange(1, 7))]
+        if host < "h3":
+            body = f"<div>Top of {host}</div><article>{''.join(own)}<p>Yours, {host}</p></article>"
+        else:
+            body = f"<div>Top of {host}</div>{''.join(own)}<div>Bottom</div>"
+        rows.append((i, f"http://{host}/{rnd.choice('abc')}/{rnd.randrange(30)}?q={i % 3}", body))
+    rows += [(200 + i, u, b) for i, (_, u, b) in enumerate(rows[:15])]
+    df = spark.createDataFrame([(*r, 1, "l", 2, "t") for r in rows], DDL)
+    got = sorted((r.page_id, r.text) for r in H.extract(df).collect())
+    assert got == brute(rows)
+    signed = sum("Yours" in b for *_, b in rows)
+    assert signed > 50 and sum("Yours" in t for _, t in got) < signed / 2
