@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -233,10 +234,12 @@ def _entry_counts(train: DataFrame) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
                                                pa.array(cols[2], pa.int64())], names=["entry", "n", "toxic"])
-        all_, toxic = Counter(), Counter()
+        all_, toxic, entries = Counter(), Counter(), lru_cache(1 << 17)(_entries)
         for b in batches:
             for text, t in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
-                own = {e for w in set(_LETTERS.findall(text.lower())) for e in _entries(w)}
+                own = set()
+                for w in set(_LETTERS.findall(text.lower())):
+                    own.update(entries(w))
                 all_.update(own)
                 if t:
                     toxic.update(own)
@@ -253,14 +256,15 @@ def _contexts(train: DataFrame, entries: set[str]) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        wanted = lru_cache(1 << 17)(lambda w: tuple(e for e in _entries(w) if e in entries))
         for b in batches:
             rows = set()
             for text, t in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
                 ws = ["", *_LETTERS.findall(text.lower()), ""]
                 for i, w in enumerate(ws[1:-1], 1):
-                    for e in _entries(w):
-                        if e in entries:
-                            rows.add((e, t, zlib.crc32(f"{ws[i - 1]} {ws[i + 1]}".encode())))
+                    if own := wanted(w):
+                        around = zlib.crc32(f"{ws[i - 1]} {ws[i + 1]}".encode())
+                        rows.update((e, t, around) for e in own)
             cols = list(zip(*rows, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()),
                                               pa.array(cols[2], pa.int64())], names=["entry", "toxic", "context"])
