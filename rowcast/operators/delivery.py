@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.model import GTID_SEQ, GTID_UUID, POS
-from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_row_number
+from rowcast.operators.ordered import DEFAULT_BUCKET_WIDTH, keyed_row_number, keyed_windows
 
 #: A source position: unique per pipeline, as several may read one log.
 POSITION_KEYS = ("pipeline", GTID_UUID, GTID_SEQ, POS)
@@ -129,3 +129,55 @@ def enrich_event(events: DataFrame, dim: DataFrame, on: tuple[Column, str], fiel
     d = dim.select(F.col(dim_col).alias("_dk"), *[F.col(f) for f in fields])
     ev = events.withColumn("_ek", expr)
     return ev.join(d, ev["_ek"] == d["_dk"], "left").drop("_ek", "_dk")
+
+
+#: Size parameter of the latency sketches: ranks are off by at most about
+#: ``RANK_ERROR`` of all records (with 99 % confidence), whatever their number.
+SKETCH_K = 400
+RANK_ERROR = 0.01
+
+
+def latency_sketches(records: DataFrame, delay_us: Column, by: Sequence[str] = ("topic",), k: int = SKETCH_K) -> DataFrame:
+    """P10, mergeable: one quantile sketch (KLL, a few kilobytes) of the delay per
+    group; a partial aggregate, so a topic of any size is a sketch per task.  Saved
+    per micro-batch or run, the rows of any range merge (:func:`merged_sketches`)."""
+    return records.groupBy(*by).agg(F.count(delay_us).alias("n"), F.min(delay_us.cast("bigint")).alias("min_latency_us"),
+                                    F.max(delay_us.cast("bigint")).alias("max_latency_us"),
+                                    F.kll_sketch_agg_bigint(delay_us.cast("bigint"), k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str] = ("topic",), quantiles: Sequence[float] = (0.5, 0.99)) -> DataFrame:
+    """The sketches of any number of saves as one per group, with ``p<q>_latency_us``."""
+    one = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.min("min_latency_us").alias("min_latency_us"),
+                                    F.max("max_latency_us").alias("max_latency_us"), F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    return one.select("*", *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(q))).alias(f"p{q * 100:g}_latency_us") for q in quantiles])
+
+
+def enrich_as_of(events: DataFrame, versions: DataFrame, on: tuple[Column, str], at: tuple[str, str], fields: Sequence[str],
+                 width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """M8 at a point in time: the dimension is itself a change log, and an event
+    takes the version that is valid at its position.
+
+    ``versions`` has a row per change: the key column, a position and the
+    ``fields`` (all null where the key was deleted).  ``on`` is the event's key
+    expression and that key column, ``at`` the position columns of both sides (one
+    integer order).  An event takes the last version at or before its position; an
+    event without key, position or earlier version gets nulls.
+
+    Both sides are one frame whose running last version per key is computed per
+    bucket of positions (:mod:`rowcast.operators.ordered`), so a hot key is spread
+    over its buckets and nothing is joined by range."""
+    key, version_key = on
+    event_at, version_at = at
+    fields = list(fields)
+    kind = versions.schema[version_key].dataType
+    left = events.select(F.struct(*events.columns).alias("_e"), key.cast(kind).alias("_k"), F.col(event_at).cast("bigint").alias("_p"),
+                         F.lit(1).alias("_side"), F.monotonically_increasing_id().alias("_i"))
+    value = F.struct(*fields)
+    right = versions.select(F.col(version_key).alias("_k"), F.col(version_at).cast("bigint").alias("_p"), F.lit(0).alias("_side"),
+                            F.monotonically_increasing_id().alias("_i"), value.alias("_v"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    seen = keyed_windows(both.where("_k is not null and _p is not null"), ["_k"], ["_p", "_side", "_i"], lasts={"_now": "_v"}, width=width)
+    loose = left.where("_k is null or _p is null").select("_e", F.lit(None).cast(seen.schema["_now"].dataType).alias("_now"))
+    out = seen.where("_side = 1").select("_e", "_now").unionByName(loose)
+    return out.select("_e.*", *[F.col("_now")[f].alias(f) for f in fields])

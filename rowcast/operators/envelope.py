@@ -131,29 +131,13 @@ def key_parts(image: Column, image_type: T.DataType, pk: Sequence[str] | None, p
     return F.transform(pk_col, lambda c: F.element_at(image, c).cast("string"))
 
 
-def build_events(log: DataFrame, pipeline: str | Column = "rowcast", timestamp: Column | None = None,
-                 pk: Sequence[str] | None = None, on_error: str = "fail",
-                 string_columns: Sequence[str] = ()) -> DataFrame:
-    """Raw change log -> change events.
-
-    ``pk``: primary-key columns for every row of ``log``; when ``None`` the
-    per-row ``pk_columns`` column is used if present, else there is no key and
-    the key is the topic (E9).  ``timestamp`` defaults to processing time in
-    microseconds (one value per query or micro-batch).  ``on_error`` decides
-    what happens to malformed events (unknown action, odd update row count,
-    missing key value): ``fail`` raises, ``drop`` removes them, ``pass`` keeps
-    them, ``mark`` keeps them with an ``_error`` column.
-    """
-    if on_error not in ON_ERROR:
-        raise ValueError(f"on_error must be one of {ON_ERROR}")
+def event_key(log: DataFrame, pk: Sequence[str] | None, string_columns: Sequence[str] = ()) -> tuple[Column, Column]:
+    """(key, whether it is an error) of raw events, over ``log``'s columns."""
     itype = _image_type(log)
     rows = sort_image_fields(normalise_strings(F.col(RAW_ROWS), itype, string_columns), itype)
     if isinstance(itype, T.StructType):
         itype = T.StructType(sorted(itype.fields, key=lambda f: f.name))
-    action = F.col("action")
-    before, after = images(action, rows)
     topic = default_topic(F.col("schema"), F.col("table"))
-
     pk_col = (F.coalesce(F.col(RAW_PK), F.array().cast("array<string>"))
               if (pk is None and RAW_PK in log.columns) else None)
     # Row 0 of after (insert) or before (update, delete) is always rows[0]:
@@ -176,6 +160,33 @@ def build_events(log: DataFrame, pipeline: str | Column = "rowcast", timestamp:
     else:
         key = F.when(F.size(parts) == 0, topic).otherwise(F.array_join(parts, KEY_SEPARATOR))
         key_err = F.exists(parts, lambda p: p.isNull())
+    return key, key_err
+
+
+def build_events(log: DataFrame, pipeline: str | Column = "rowcast", timestamp: Column | None = None,
+                 pk: Sequence[str] | None = None, on_error: str = "fail",
+                 string_columns: Sequence[str] = ()) -> DataFrame:
+    """Raw change log -> change events.
+
+    ``pk``: primary-key columns for every row of ``log``; when ``None`` the
+    per-row ``pk_columns`` column is used if present, else there is no key and
+    the key is the topic (E9).  ``timestamp`` defaults to processing time in
+    microseconds (one value per query or micro-batch).  ``on_error`` decides
+    what happens to malformed events (unknown action, odd update row count,
+    missing key value): ``fail`` raises, ``drop`` removes them, ``pass`` keeps
+    them, ``mark`` keeps them with an ``_error`` column.
+    """
+    if on_error not in ON_ERROR:
+        raise ValueError(f"on_error must be one of {ON_ERROR}")
+    itype = _image_type(log)
+    rows = sort_image_fields(normalise_strings(F.col(RAW_ROWS), itype, string_columns), itype)
+    if isinstance(itype, T.StructType):
+        itype = T.StructType(sorted(itype.fields, key=lambda f: f.name))
+    action = F.col("action")
+    before, after = images(action, rows)
+    topic = default_topic(F.col("schema"), F.col("table"))
+
+    key, key_err = event_key(log, pk, string_columns)
 
     pipe = pipeline if isinstance(pipeline, Column) else F.lit(pipeline)
     ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())

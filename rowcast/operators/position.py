@@ -1,128 +1,79 @@
 """Position tracking: save, load, resume, sanity checks.
 
-State rows are ``(name, gtid, timestamp, tail)``: the pipeline name, a GTID-set
-text, the save time in microseconds and, per uuid, the last row event
-processed.  A state table is append-only; the latest row per name wins, and
-each row holds everything processed so far: a save merges the intervals of its
-batch with the row before, so batches may come in any order, an empty batch
-keeps the position and a change of server keeps the old server's.
-
-Where the order of the log has holes for a pipeline, each costs an interval.
-:func:`state_ranges` keeps a state of any size as interval rows, which every
-reader here takes as well; the text is for up to ``MAX_TEXT`` intervals.
-
-A state without ``tail`` is upstream's: one ``uuid:N`` there means that all up
-to N is done.  With ``tail`` the intervals are exact.
-
-Resuming joins events to the saved intervals on ``(pipeline, uuid, bucket of
-the sequence number)``, so one source server never means one join key.  Whole
-coarse buckets are equi-joined; what is left of an interval at its ends is
+A state holds everything processed so far; a save merges its batch with the state
+before, so batches may come in any order, an empty batch keeps the position and a
+change of server keeps the old server's.  There are two forms, and every reader
+here takes both:
+
+* **bitmap rows** (:func:`state_bitmaps`, :mod:`rowcast.operators.bitmaps`): of any
+  size, merged by a bitwise or, tested by an equi-join and one bit.  Streams save
+  these, as deltas (:mod:`rowcast.streaming.statelog`).
+* **texts**: rows ``(name, gtid, timestamp, tail)`` with the pipeline's name, a
+  GTID-set text, the save time in microseconds and, per uuid, the last row event
+  processed (:func:`state_from_batch`, for up to ``MAX_TEXT`` intervals).  A state
+  table of texts is append-only; the latest row per name wins.
+
+A text without ``tail`` is upstream's: one ``uuid:N`` there means that all up to N
+is done.  With ``tail`` the intervals are exact.
+
+Resuming from texts joins events to the saved intervals on ``(pipeline, uuid,
+bucket of the sequence number)``, so one source server never means one join key.
+Whole coarse buckets are equi-joined; what is left of an interval at its ends is
 compared within fine buckets.  Both sides are tables in the shared folder, so
 Spark knows their size and broadcasts them only when they are small.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowcast.functions.gtid import format_interval, parse_gtid_set, widen_single
+from rowcast.functions.gtid import parse_gtid_set, widen_single
 from rowcast.model import GTID_SEQ, GTID_UUID, POS
+from rowcast.operators import bitmaps
 from rowcast.session import save_shared
 
 COARSE, FINE = 1 << 20, 1 << 10
 
-#: Sequence numbers of one (pipeline, uuid) that meet in a task when intervals are made.
-WIDTH = 1 << 14
 #: Intervals of one pipeline up to which its state is written as a text (about 80 MB).
 MAX_TEXT = 1 << 22
 
 
-def _parts(processed: DataFrame, p: Column, previous: DataFrame | None) -> DataFrame:
-    """Events and saved intervals as (name, uuid, lo, hi, n, tail)."""
-    pos = F.col(POS).cast("bigint") if POS in processed.columns else F.lit(None).cast("bigint")
-    events = processed.select(p.cast("string").alias("name"), F.lower(GTID_UUID).alias("uuid"), F.col(GTID_SEQ).cast("bigint").alias("lo"),
-                              pos.alias("pos")).where("uuid is not null and lo is not null")
-    parts = events.select("name", "uuid", "lo", F.col("lo").alias("hi"), F.lit(1).cast("bigint").alias("n"),
-                          F.struct(F.col("lo").alias("seq"), "pos").alias("tail"))
-    if previous is None:
-        return parts
-    none, zero = F.lit(None).cast("struct<seq:bigint,pos:bigint>"), F.lit(0).cast("bigint")
-    parts = parts.unionByName(saved_ranges(previous).select("name", "uuid", "lo", "hi", zero.alias("n"), none.alias("tail")))
-    if "lo" in previous.columns or "tail" in previous.columns:
-        tail = F.struct(F.col("_ts").alias("seq"), F.col("_tp").alias("pos"))
-        parts = parts.unionByName(_tails(previous).select(F.col("_tn").alias("name"), F.col("_tu").alias("uuid"), F.col("_ts").alias("lo"),
-                                                          F.col("_ts").alias("hi"), zero.alias("n"), tail.alias("tail")))
-    return parts
-
+def _now(timestamp: Column | None) -> Column:
+    return timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
 
-def state_ranges(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
-                 previous: DataFrame | None = None, width: int = WIDTH) -> DataFrame:
-    """P1 as rows: ``(name, uuid, lo, hi, seq, pos, n, timestamp)``, for a state
-    of any size.  ``previous`` is a state of rows or of texts.
 
-    Rows with a null ``seq`` are the intervals.  One more row per uuid has the
-    last ``(seq, pos)`` processed (``lo = hi = seq``) and in ``n`` the events of
-    this batch.  Intervals are made per ``width`` sequence numbers; over the
-    buckets' edges they are joined by what one row per bucket says.
-    """
+def as_bitmaps(states: DataFrame) -> DataFrame:
+    """The latest state per pipeline as bitmap rows, whichever form it has."""
+    if "bits" in states.columns:
+        return _latest_rows(states)
+    low, high = bitmaps.bitmaps_of(saved_ranges(states))
+    none = F.lit(None).cast(bitmaps.TAIL)
+    rows = [low.select("name", "uuid", F.lit(0).alias("level"), "bucket", "bits", none.alias("tail")),
+            high.select("name", "uuid", F.lit(1).alias("level"), "bucket", "bits", none.alias("tail"))]
+    if "tail" in states.columns:
+        tail = F.struct(F.col("_ts").alias("seq"), F.col("_tp").alias("pos"))
+        rows.append(_tails(states).select(F.col("_tn").alias("name"), F.col("_tu").alias("uuid"), F.lit(2).alias("level"),
+                                          F.lit(0).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits"), tail.alias("tail")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("name", "uuid", "level", "bucket", "bits", "tail.seq", "tail.pos", F.lit(0).cast("bigint").alias("n"))
+
+
+def state_bitmaps(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
+                  previous: DataFrame | None = None) -> DataFrame:
+    """P1 as bitmap rows: everything of ``previous`` (a state of either form) and
+    what this batch processed, dropped events included."""
     p = F.col(pipeline) if isinstance(pipeline, str) else pipeline
-    once = _parts(processed, p, previous).groupBy("name", "uuid", "lo", "hi").agg(F.sum("n").alias("n"), F.max("tail").alias("tail"))
-    w = Window.partitionBy("name", "uuid", "_b").orderBy("lo", "hi")
-    before = F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    cut = once.withColumn("_b", F.expr(f"lo div {int(width)}")).repartition("name", "uuid", "_b").withColumn("_p", before)
-    cut = cut.withColumn("_i", F.count(F.when(F.col("_p").isNull() | (F.col("lo") - 1 > F.col("_p")), 1)).over(w))
-    pieces = save_shared(cut.groupBy("name", "uuid", "_b", "_i").agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"), F.max("tail").alias("tail")), "state-pieces")
-
-    def beside(rows: DataFrame, key: DataFrame, col: str) -> DataFrame:
-        k = key.toDF("_kn", "_ku", "_kb", col)
-        return rows.join(k, rows["name"].eqNullSafe(k["_kn"]) & (rows["uuid"] == k["_ku"]) & (rows["_b"] == k["_kb"]), "left").drop(
-            "_kn", "_ku", "_kb")
-
-    every = Window.partitionBy("name", "uuid").orderBy("_b")
-    tops = pieces.groupBy("name", "uuid", "_b").agg(F.max("hi").alias("hi"))
-    carry = tops.select("name", "uuid", "_b", F.max("hi").over(every.rowsBetween(Window.unboundedPreceding, -1)))
-    # an interval begins after all that is before it; what is before the next beginning is its end
-    local = Window.partitionBy("name", "uuid", "_b").orderBy("lo")
-    at = beside(pieces, carry, "_c").withColumn(
-        "_p", F.greatest("_c", F.max("hi").over(local.rowsBetween(Window.unboundedPreceding, -1))))
-    starts = at.where("_p is null or lo - 1 > _p")
-    heads = beside(tops, starts.groupBy("name", "uuid", "_b").agg(F.min_by("_p", "lo")), "_f")
-    after = every.rowsBetween(1, Window.unboundedFollowing)
-    ends = heads.select("name", "uuid", "_b", F.coalesce(F.first("_f", ignorenulls=True).over(after),
-                                                         F.max("hi").over(Window.partitionBy("name", "uuid"))))
-    ranges = beside(starts.select("name", "uuid", "_b", "lo", F.lead("_p").over(local).alias("_n")), ends, "_e")
-    none = F.lit(None).cast("bigint")
-    ranges = ranges.select("name", "uuid", "lo", F.coalesce("_n", "_e").alias("hi"), none.alias("seq"), none.alias("pos"),
-                           F.lit(0).cast("bigint").alias("n"))
-    tails = pieces.groupBy("name", "uuid").agg(F.max("tail").alias("t"), F.sum("n").alias("n")).where("t is not null")
-    ts = timestamp if timestamp is not None else F.unix_micros(F.current_timestamp())
-    return ranges.unionByName(tails.select("name", "uuid", F.col("t.seq").alias("lo"), F.col("t.seq").alias("hi"), "t.seq", "t.pos", "n")
-                              ).withColumn("timestamp", ts.cast("bigint"))
-
-
-def state_text(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of :func:`state_ranges` as one row ``(name, gtid, timestamp,
-    tail, n_events)`` per pipeline, its intervals in one text.  A pipeline with
-    more than ``MAX_TEXT`` intervals is an error: its state stays rows."""
-    big = rows.where("seq is null").groupBy("name").count().where(F.col("count") > MAX_TEXT).limit(1).collect()
-    if big:
-        raise ValueError(f"state of {big[0]['name']} has {big[0]['count']} intervals, more than a text takes ({MAX_TEXT}); "
-                         "keep it as rows (state_ranges)")
-    own = F.col("seq").isNull()
-    part = rows.groupBy("name", "uuid", F.when(own, F.expr(f"lo div {int(width)}")).alias("b")).agg(
-        F.sort_array(F.collect_list(F.when(own, F.struct("lo", "hi")))).alias("iv"), F.sum("n").alias("n"),
-        F.max(F.when(~own, F.struct("uuid", "seq", "pos"))).alias("tail"), F.max("timestamp").alias("timestamp"))
-    part = part.withColumn("iv", F.array_join(F.transform("iv", lambda x: format_interval(x["lo"], x["hi"])), ":"))
-    server = part.groupBy("name", "uuid").agg(
-        F.sort_array(F.collect_list(F.when(F.col("b").isNotNull(), F.struct("b", "iv")))).alias("iv"), F.sum("n").alias("n"),
-        F.max("tail").alias("tail"), F.max("timestamp").alias("timestamp"))
-    server = server.withColumn("iv", F.concat("uuid", F.lit(":"), F.array_join(F.transform("iv", lambda x: x["iv"]), ":")))
-    out = server.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("uuid", "iv"))).alias("iv"), F.max("timestamp").alias("timestamp"),
-                                     F.sort_array(F.collect_list("tail")).alias("tail"), F.sum("n").alias("n_events"))
-    return out.select("name", F.array_join(F.transform("iv", lambda x: x["iv"]), ",").alias("gtid"), "timestamp", "tail", "n_events")
+    return bitmaps.added(processed, p, _now(timestamp), None if previous is None else as_bitmaps(previous))
+
+
+def state_text(rows: DataFrame) -> DataFrame:
+    """The rows of :func:`state_bitmaps` as one row ``(name, gtid, timestamp, tail,
+    n_events)`` per pipeline, its intervals in one text.  A pipeline with more than
+    ``MAX_TEXT`` intervals is an error: its state stays rows."""
+    return bitmaps.texts(rows, MAX_TEXT)
 
 
 def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline", timestamp: Column | None = None,
@@ -130,14 +81,13 @@ def state_from_batch(processed: DataFrame, pipeline: str | Column = "pipeline",
     """One state row per pipeline: ``previous`` (a state table) and what
     this batch processed, dropped events included.
 
-    The intervals are made by :func:`state_ranges`; only they, not events, meet
-    to make a pipeline's one text, up to ``MAX_TEXT`` of them.  ``tail`` keeps,
-    per uuid, the last ``(seq, pos)`` processed, so that
-    ``resume_filter(exact=True)`` can finish a transaction that a batch
-    boundary split.  ``n_events`` counts this batch's events.  Events without a
-    position are left out.
+    Events become bitmap rows in one partial aggregate; only these meet to make a
+    pipeline's one text.  ``tail`` keeps, per uuid, the last ``(seq, pos)``
+    processed, so that ``resume_filter(exact=True)`` can finish a transaction that
+    a batch boundary split.  ``n_events`` counts this batch's events.  Events
+    without a position are left out.
     """
-    return state_text(state_ranges(processed, pipeline, timestamp, previous))
+    return state_text(state_bitmaps(processed, pipeline, timestamp, previous))
 
 
 def latest_state(states: DataFrame) -> DataFrame:
@@ -153,10 +103,10 @@ def latest_state(states: DataFrame) -> DataFrame:
 
 def saved_ranges(states: DataFrame, start: int = 1) -> DataFrame:
     """Latest state per pipeline as rows ``(name, uuid, lo, hi)``; upstream's
-    single saved ``uuid:N`` (no ``tail``) is widened to ``uuid:start-N``.  A
-    state of rows (:func:`state_ranges`) is read as it is."""
-    if "lo" in states.columns:
-        return _latest_rows(states).where("seq is null").select("name", "uuid", "lo", "hi")
+    single saved ``uuid:N`` (no ``tail``) is widened to ``uuid:start-N``.  Bitmap
+    rows are decoded; their intervals end at the rows' edges."""
+    if "bits" in states.columns:
+        return bitmaps.decoded(_latest_rows(states)).where("lo is not null").select("name", "uuid", "lo", "hi")
     latest = latest_state(states)
     parsed = parse_gtid_set("gtid")
     own = F.when(F.col("tail").isNotNull(), parsed).otherwise(widen_single(parsed, start)) if "tail" in latest.columns \
@@ -172,7 +122,7 @@ def _latest_rows(states: DataFrame) -> DataFrame:
 
 def _tails(states: DataFrame) -> DataFrame:
     """Latest state's last processed (seq, pos) per (pipeline, uuid)."""
-    if "lo" in states.columns:
+    if "bits" in states.columns:
         last = _latest_rows(states).where("seq is not null").groupBy("name", "uuid").agg(F.max(F.struct("seq", "pos")).alias("t"))
         return last.select(F.col("name").alias("_tn"), F.col("uuid").alias("_tu"), F.col("t.seq").alias("_ts"), F.col("t.pos").alias("_tp"))
     return (latest_state(states).select("name", F.explode("tail").alias("t"))
@@ -198,9 +148,9 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
                   exact: bool = False, coarse: int = COARSE, fine: int = FINE) -> DataFrame:
     """Drop the events already inside the saved position of their pipeline.
 
-    Two left-anti joins on ``(pipeline, uuid, bucket)``; an event meets at most
-    the pieces of one fine bucket.  ``exact=True`` (states with a ``tail``
-    column, from ``state_from_batch``): events of the last saved transaction
+    Two left-anti joins on ``(pipeline, uuid, bucket)``; an event meets one bitmap
+    (bitmap rows) or at most the pieces of one fine bucket (texts).
+    ``exact=True`` (states saved here, not upstream's): events of the last saved transaction
     that lie after the last saved position (``seq == tail_seq AND pos >
     tail_pos``) are kept, so a transaction split by a batch boundary is
     finished, not skipped.
@@ -213,11 +163,13 @@ def resume_filter(events: DataFrame, states: DataFrame, pipeline: str | Column =
     ev = events.withColumns({"_pipe": p, "_uu": F.lower(GTID_UUID)})
     after = F.lit(False)
     if exact:
-        if "tail" not in states.columns and "lo" not in states.columns:
+        if "tail" not in states.columns and "bits" not in states.columns:
             raise ValueError("exact resume needs state rows with a 'tail' column (see state_from_batch)")
         tails = save_shared(_tails(states).where("_tp is not null"), "resume-tails")
         ev = ev.join(tails, (ev["_pipe"] == tails["_tn"]) & (ev["_uu"] == tails["_tu"]) & (ev[GTID_SEQ] == tails["_ts"]), "left")
         after = F.coalesce(F.col(POS) > F.col("_tp"), F.lit(False))
+    if "bits" in states.columns:
+        return bitmaps.not_in(ev, _latest_rows(states), "_pipe", "_uu", GTID_SEQ, after).select(*events.columns)
     whole, pieces = _bucketed(saved_ranges(states, start), coarse, fine)
     ev = ev.withColumns({"_after": after, "_cb": F.expr(f"`{GTID_SEQ}` div {coarse}"), "_fb": F.expr(f"`{GTID_SEQ}` div {fine}")})
     ev = ev.join(whole, (ev["_pipe"] == whole["_n"]) & (ev["_uu"] == whole["_u"]) & (ev["_cb"] == whole["_c"]) & ~ev["_after"],
@@ -278,28 +230,10 @@ def write_state(state_rows: DataFrame, path: str, fmt: str = "parquet", batch_id
         rows.write.mode("overwrite").format(fmt).save(f"{path}/batch={int(batch_id)}")
 
 
-def state_before(spark, path: str, batch_id: int) -> DataFrame | None:
-    """The state that the batch before ``batch_id`` saved, else the newest
-    earlier one; None if there is none."""
-    schema = "name string, gtid string, timestamp bigint, tail array<struct<uuid:string,seq:bigint,pos:bigint>>"
-    try:
-        last = spark.read.schema(schema).parquet(f"{path}/batch={batch_id - 1}")
-        if not last.isEmpty():
-            return last
-    except AnalysisException:
-        pass
-    try:
-        older = spark.read.schema(f"{schema}, batch bigint").parquet(path).where(F.col("batch") < batch_id)
-    except AnalysisException:
-        return None
-    return None if older.isEmpty() else latest_state(older)
-
-
 def compact_state(states: DataFrame, path: str) -> None:
-    """Write the latest row per pipeline to a new state folder.
+    """Write the latest row per pipeline of a table of texts to a new folder.
 
-    A streaming state table gains one small file per micro-batch; readers
-    only need the newest row per pipeline.  Write to a new folder and switch
-    readers to it (never overwrite the folder being read).
+    Readers only need the newest row per pipeline.  Switch them to the new folder
+    (never overwrite the folder being read).
     """
     latest_state(states).write.mode("errorifexists").parquet(path)

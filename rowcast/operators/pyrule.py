@@ -138,23 +138,33 @@ def encoded(df: DataFrame):
     return F.to_json(F.struct(*payload_parts(df)), JSON_OPTIONS)
 
 
-def apply_python_rule(df: DataFrame, rule: PythonRule, on_null_verdict: str = "fail") -> DataFrame:
+def apply_python_rule(df: DataFrame, rule: PythonRule, on_null_verdict: str = "fail", keep_dropped: bool = False) -> DataFrame:
     """One Python rule over events that carry ``_verdict`` (see rules.apply_rule).
 
     ``mapInArrow``: every column passes through as the same Arrow arrays; only
     events the guard matches are encoded, handed to the function and written
-    back where it changed them.  Unmatched events are untouched.
+    back where it changed them.  Unmatched events are untouched.  With
+    ``keep_dropped`` events that a rule has dropped, this one or an earlier, stay
+    with their verdict and don't reach the function.
     """
+    gone = F.col(VERDICT_COL) == ACTION_DROP
     if rule.fn is None:
-        return df.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
-    keep = [c for c in df.columns if c != VERDICT_COL]
-    packed = df.select(*keep, F.when(rule.guard(), encoded(df)).alias("_evt"))
-    out_schema = T.StructType([df.schema[c] for c in keep]
+        return df.withColumn(VERDICT_COL, F.when(gone, ACTION_DROP).otherwise(ACTION_CONT) if keep_dropped else F.lit(ACTION_CONT))
+    own = [c for c in df.columns if c != VERDICT_COL]
+    guard = rule.guard() & ~gone if keep_dropped else rule.guard()
+    was = [gone.alias("_gone")] if keep_dropped else []
+    packed = df.select(*own, *was, F.when(guard, encoded(df)).alias("_evt"))
+    keep = [c for c in packed.columns if c != "_evt"]
+    out_schema = T.StructType([packed.schema[c] for c in keep]
                               + [T.StructField(f"_out_{f}", T.StringType()) for f in ENVELOPE_FIELDS]
                               + [T.StructField(VERDICT_COL, T.IntegerType())])
     res = packed.mapInArrow(_runner(rule, keep, on_null_verdict), out_schema)
     back, bad = written_back({f: df.schema[f].dataType for f in ENVELOPE_FIELDS}, rule.on_error)
-    if rule.on_error == "drop":
+    verdict = F.col(VERDICT_COL)
+    if keep_dropped:
+        stays = (F.col("_gone") | bad) if rule.on_error == "drop" else F.col("_gone")
+        verdict = F.when(stays, ACTION_DROP).otherwise(verdict)
+    elif rule.on_error == "drop":
         res = res.filter(~bad)
-    out = res.select(*[back[c].alias(c) if c in back else F.col(c) for c in keep], VERDICT_COL)
-    return out.filter(F.col(VERDICT_COL) != ACTION_DROP)
+    out = res.select(*[back[c].alias(c) if c in back else F.col(c) for c in own], verdict.alias(VERDICT_COL))
+    return out if keep_dropped else out.filter(F.col(VERDICT_COL) != ACTION_DROP)

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.model import ACTION_CONT, ACTION_DROP, VERDICT_COL
+from rowcast.session import save_shared
 
 VERDICT_POLICIES = ("fail", "drop", "pass")
 
@@ -192,17 +193,61 @@ def _row_assignment(df: DataFrame, image: str, fields: dict) -> Column:
     return F.expr(f"transform(`{image}`, r -> named_struct({parts}))")
 
 
+class GuardMatrix:
+    """T1-T3 for many rules: all guards evaluated once per distinct (schema,
+    table) instead of once per event.
+
+    The pairs are one partial aggregate over two columns; their guards are bits in
+    an array of longs (``_guards``), written as a small table that events are
+    joined to.  A rule tests its bit, and rules that match no pair leave the plan
+    (:meth:`needed`).  Guards after a rule that rewrites ``schema`` or ``table``
+    see the new names, so they stay expressions.
+    """
+
+    COLUMN = "_guards"
+
+    def __init__(self, log: DataFrame, rules: Sequence[Rule]):
+        self.rules = list(rules)
+        moved = next((i for i, r in enumerate(self.rules) if {"schema", "table"} & set(r.set)), len(self.rules))
+        self.bits = {i: n for n, i in enumerate(i for i, r in enumerate(self.rules[:moved + 1]) if not r.is_noop and not r.matches_all)}
+        guards = [self.rules[i].guard() for i in self.bits]
+        words = [F.lit(0).cast("bigint")] if not guards else [
+            sum((F.when(g, F.lit(1 << k)).otherwise(F.lit(0)) for k, g in enumerate(guards[at:at + 63])),
+                F.lit(0).cast("bigint")) for at in range(0, len(guards), 63)]
+        pairs = log.groupBy("schema", "table").agg(F.lit(1).alias("_one"))
+        self.table = save_shared(pairs.select(F.col("schema").alias("_gs"), F.col("table").alias("_gt"), F.array(*words).alias(self.COLUMN)),
+                                 "guard-matrix")
+        seen = self.table.agg(*[F.bit_or(F.get(F.col(self.COLUMN), F.lit(w))).alias(f"w{w}") for w in range(len(words))]).first()
+        self.any = [seen[w] or 0 for w in range(len(words))]
+
+    def join(self, events: DataFrame) -> DataFrame:
+        """``events`` with their guard bits, by the names before any rule."""
+        t = self.table
+        return events.join(t, events["schema"].eqNullSafe(t["_gs"]) & events["table"].eqNullSafe(t["_gt"]), "left").drop("_gs", "_gt")
+
+    def needed(self, i: int) -> bool:
+        """False for a rule that no event matches."""
+        return i not in self.bits or bool(self.any[self.bits[i] // 63] >> (self.bits[i] % 63) & 1)
+
+    def guard(self, i: int) -> Column:
+        if i not in self.bits:
+            return self.rules[i].guard()
+        return F.getbit(F.get(F.col(self.COLUMN), F.lit(self.bits[i] // 63)), F.lit(self.bits[i] % 63)) == 1
+
+
 def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_circuit: bool = True,
-               active: Column | None = None) -> DataFrame:
+               active: Column | None = None, guard: Column | None = None) -> DataFrame:
     """Apply one rule to events carrying the ``_verdict`` column.
 
     ``active``: optional condition; inactive rows keep their columns and verdict.
+    ``guard``: what stands for the rule's own guard (a bit of a GuardMatrix).
     """
     keep_v = F.col(VERDICT_COL)
     if rule.is_noop:
         v0 = F.lit(ACTION_CONT) if active is None else F.when(active, F.lit(ACTION_CONT)).otherwise(keep_v)
         return df.withColumn(VERDICT_COL, _plan_barrier(v0))
-    g = rule.guard() if active is None else (rule.guard() & active)
+    g = rule.guard() if guard is None else guard
+    g = g if active is None else (g & active)
     v = F.lit(ACTION_CONT) if rule.verdict is None else (
         rule.verdict if isinstance(rule.verdict, Column) else F.lit(int(rule.verdict)))
     v = v.cast("int")
@@ -227,13 +272,21 @@ def apply_rule(df: DataFrame, rule: Rule, on_null_verdict: str = "fail", short_c
 
 
 def apply_rules(events: DataFrame, rules: Sequence[Rule], on_null_verdict: str = "fail",
-                keep_verdict: bool = False) -> DataFrame:
-    """The ordered fold; returns the events to deliver."""
+                keep_verdict: bool = False, guards: GuardMatrix | None = None) -> DataFrame:
+    """The ordered fold; returns the events to deliver.  With ``guards``
+    (of these rules) events carry guard bits and rules that match nothing are
+    left out: a rule's verdict replaces the one before, so leaving it out only
+    matters after the last rule, where it resets the verdict."""
     if on_null_verdict not in VERDICT_POLICIES:
         raise ValueError(f"on_null_verdict must be one of {VERDICT_POLICIES}")
-    df = events.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
-    for r in rules:
-        df = apply_rule(df, r, on_null_verdict)
+    df = (events if guards is None else guards.join(events)).withColumn(VERDICT_COL, F.lit(ACTION_CONT))
+    kept = [i for i in range(len(rules)) if guards is None or guards.needed(i)]
+    for i in kept:
+        df = apply_rule(df, rules[i], on_null_verdict, guard=None if guards is None else guards.guard(i))
+    if guards is not None:
+        if rules and (not kept or kept[-1] != len(rules) - 1):
+            df = df.withColumn(VERDICT_COL, F.lit(ACTION_CONT))
+        df = df.drop(GuardMatrix.COLUMN)
     df = df.filter(F.col(VERDICT_COL) == ACTION_CONT)
     return df if keep_verdict else df.drop(VERDICT_COL)
 

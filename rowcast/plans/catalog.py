@@ -376,6 +376,53 @@ def gtid_stamp(spark, sf_dir):
     return row_events_only(stamped).select("log_file", "pos", "action", "gtid_uuid", "gtid_seq")
 
 
+@query("gtid_stamp_stream", ORACLES["gtid_stamp"])
+def gtid_stamp_stream(spark, sf_dir):
+    """S2 on a stream: log files arrive last part first, and middle after it; the
+    events that wait for an earlier file's marker are state."""
+    from rowcast.session import shared_path
+    from rowcast.sources.changelog import row_events_only, stream_log
+    from rowcast.streaming.stamping import stamp_gtid_stream
+    base = shared_path(spark, "gtid_stamp_stream")
+    log = fx.chg_binlog(spark, sf_dir)
+    n = fx.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    cuts = [0, n // 3000 * 1000, 2 * (n // 3000) * 1000, n + 1]  # at files' ends
+    for part in (2, 1, 0):
+        log.filter(F.col("pos").between(cuts[part], cuts[part + 1] - 1)).repartition("log_file").write.mode("append").parquet(f"{base}/log")
+        stamped = row_events_only(stamp_gtid_stream(stream_log(spark, f"{base}/log", log.schema)))
+        q = (stamped.select("log_file", "pos", "action", "gtid_uuid", "gtid_seq").writeStream.format("parquet")
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("source_restart", f"SELECT log_file, pos, action FROM ({CHG_BINLOG_SQL})")
+def source_restart(spark, sf_dir):
+    """The log as a data source with positions as offsets.  The query stops,
+    its checkpoint is lost, and a new one starts after the position that it had
+    reached, within a segment's successor: nothing twice and nothing lost."""
+    from rowcast.session import shared_path
+    from rowcast.sources.segments import reached, stream_segments
+    base = shared_path(spark, "source_restart")
+    log = fx.chg_binlog(spark, sf_dir).select("log_file", "pos", "action", "gtid_uuid", "gtid_seq")
+    n = fx.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    start = None
+    for run, (lo, hi) in enumerate(((0, n // 2000 * 1000 - 1), (n // 2000 * 1000, n))):
+        log.filter(F.col("pos").between(lo, hi)).repartitionByRange("log_file").sortWithinPartitions("log_file", "pos").write.mode(
+            "append").partitionBy("log_file").parquet(f"{base}/log")
+        s = stream_segments(spark, f"{base}/log", "pos bigint, action string, gtid_uuid string, gtid_seq bigint, log_file string", start=start,
+                            segments_per_trigger=16)
+        q = (s.select("log_file", "pos", "action").writeStream.format("parquet").option("path", f"{base}/out{run}")
+             .option("checkpointLocation", f"{base}/checkpoint{run}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        start = reached(q.lastProgress)
+    return spark.read.parquet(f"{base}/out0").unionByName(spark.read.parquet(f"{base}/out1"))
+
+
 # ---------------------------------------------------------------- guards, filters, verdicts
 
 GUARD_SQL = "regexp_matches(schema_name, 'test_.*') AND regexp_matches(table_name, 'test_.*')"
@@ -724,12 +771,12 @@ FROM events"""
 
 
 def _merged_state(spark, sf_dir):
-    """The state after batches 1 and 2, as rows: each save merges with the one before."""
-    from rowcast.operators.position import state_ranges
+    """The state after batches 1 and 2, as bitmap rows: each save merges with the one before."""
+    from rowcast.operators.position import state_bitmaps
     from rowcast.session import save_shared
     ev, state = _two_server_events(spark, sf_dir), None
     for n in (1, 2):
-        state = save_shared(state_ranges(ev.filter(F.col("batch") == n), "pipeline", timestamp=F.lit(n), previous=state), "state")
+        state = save_shared(state_bitmaps(ev.filter(F.col("batch") == n), "pipeline", timestamp=F.lit(n), previous=state), "state")
     return ev, state
 
 
@@ -765,6 +812,27 @@ def start_without_state(spark, sf_dir):
     return known.unionByName(fresh).select("gtid_seq", "pipeline")
 
 
+@query("restart_without_checkpoint", f"SELECT gtid_seq, topic, key FROM ({ORACLES['sample_chain']})")
+def restart_without_checkpoint(spark, sf_dir):
+    """P1-P4, S4 on a stream: the checkpoint is lost between two parts of the log;
+    the second query checks the saved state against the source, resumes from it
+    and delivers what is missing, nothing twice."""
+    from rowcast.session import shared_path
+    from rowcast.sources.changelog import stream_log
+    from rowcast.streaming.stream import start_pipeline
+    base = shared_path(spark, "restart")
+    log = fx.chg_events(spark, sf_dir)
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    for run, part in enumerate((F.col("ts") < F.lit(CRASH_AT).cast("timestamp_ntz"), F.col("ts") >= F.lit(CRASH_AT).cast("timestamp_ntz"))):
+        log.filter(part).write.mode("append").parquet(f"{base}/log")
+        q = start_pipeline(spec, stream_log(spark, f"{base}/log", log.schema, max_files_per_trigger=4), f"{base}/out",
+                           f"{base}/checkpoint{run}", f"{base}/state", source=spark.read.schema(log.schema).parquet(f"{base}/log"))
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out").select("gtid_seq", "topic", "key")
+
+
 @query("resume_exact", f"""
 WITH r AS (SELECT * FROM ({STAMPED_SQL}) WHERE action IN ('insert', 'update', 'delete')),
 d AS (SELECT * FROM r WHERE ts < TIMESTAMP '{CRASH_AT}' AND gtid_seq IS NOT NULL),
@@ -823,6 +891,40 @@ def dedupe_many_pipelines(spark, sf_dir):
     return dedupe(recs.unionByName(recs), copies="copies").select("pipeline", "gtid_seq", "copies")
 
 
+@query("dedupe_stream_exact", f"SELECT gtid_seq, schema_name || '.' || table_name AS topic FROM ({CHG_EVENTS_SQL})")
+def dedupe_stream_exact(spark, sf_dir):
+    """P7 on a stream without a watermark: the whole log is delivered again after
+    it was processed, however old; every record comes out once."""
+    from rowcast.session import shared_path
+    from rowcast.streaming.dedupe import dedupe_exact_stream
+    log = fx.chg_events(spark, sf_dir)
+    again = F.lit(True)
+    def records(s):
+        ev = build_events(s, pipeline="p1", timestamp=F.lit(0), pk=["user_id"])
+        return dedupe_exact_stream(ev.select(F.col("meta.pipeline").alias("pipeline"), "gtid_uuid", "pos", "gtid_seq",
+                                             F.col("kafka.topic").alias("topic"))).select("gtid_seq", "topic")
+    return _streamed(spark, shared_path(spark, "dedupe_exact"), log, records, [*_thirds(spark, sf_dir), again])
+
+
+@query("fanout_segments", f"SELECT topic, gtid_seq, key, value FROM ({ORACLES['sample_chain']})")
+def fanout_segments(spark, sf_dir):
+    """K1: the sample pipeline as a stream into per-topic segments that a manifest
+    commits; readers follow the manifest."""
+    from rowcast.session import shared_path
+    from rowcast.sinks.segments import read_segments, write_segments
+    from rowcast.sources.changelog import stream_log
+    base = shared_path(spark, "fanout_segments")
+    log = fx.chg_events(spark, sf_dir)
+    log.write.parquet(f"{base}/log")
+    spec = PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    recs = run_batch(spec, stream_log(spark, f"{base}/log", log.schema, max_files_per_trigger=4)).select("topic", "key", "value", "gtid_seq", "pos")
+    q = write_segments(recs, f"{base}/out", f"{base}/checkpoint", segment_bytes=1 << 18)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_segments(spark, f"{base}/out", "topic string, key string, value string, gtid_seq bigint, pos bigint").drop("pos")
+
+
 @query("per_key_order", f"""
 WITH r AS ({ORACLES['sample_chain']})
 SELECT topic, key, gtid_seq, row_number() OVER (PARTITION BY topic, key ORDER BY gtid_seq) AS seq_in_key FROM r
@@ -863,6 +965,53 @@ def multi_spec_union(spark, sf_dir):
     return run_many(specs, log).select("pipeline", "gtid_seq", "topic", "key")
 
 
+MANY = 20
+
+
+def _many_filter(k: int) -> SourceFilter | None:
+    """Pipeline k of many: a third of them takes all tables."""
+    return (None, SourceFilter(include_schemas=["^test_", "^audit_"]), SourceFilter(exclude_tables=["entity_1"]))[k % 3]
+
+
+@query("many_pipelines", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+e AS (SELECT *, CASE WHEN action <> 'delete' THEN text_col END AS t FROM c)
+SELECT 'p' || k AS pipeline, gtid_seq, schema_name || '.' || table_name || '.' || k AS topic,
+       CASE WHEN k % 2 = 0 THEN user_id::VARCHAR ELSE schema_name || '.' || table_name END AS key
+FROM e, range({MANY}) r(k)
+WHERE (k % 3 = 0 OR (k % 3 = 1 AND regexp_matches(schema_name, '^test_|^audit_')) OR (k % 3 = 2 AND table_name <> 'entity_1'))
+  AND NOT (k % 4 = 1 AND coalesce(t = 'ignore', false))
+""")
+def many_pipelines(spark, sf_dir):
+    """Twenty pipelines with their own filters, keys and rules over one scan."""
+    from rowcast.plans.pipeline import run_many
+    drop = Rule("drop", "", "", verdict=F.when(RF.any_row_eq("after", "text_col", "ignore"), 1).otherwise(0))
+    specs = [PipelineSpec(
+        name=f"p{k}", source_filter=_many_filter(k), pk=["user_id"] if k % 2 == 0 else [], timestamp=F.lit(0),
+        rules=[*([drop] if k % 4 == 1 else []),
+               Rule("topic", set={"kafka.topic": F.concat(F.col("kafka.topic"), F.lit(f".{k}"))})]) for k in range(MANY)]
+    return run_many(specs, fx.chg_events(spark, sf_dir)).select("pipeline", "gtid_seq", "topic", "key")
+
+
+def matrix_rules(n: int = 200) -> list[Rule]:
+    """Rules of a source with many tables, most of which this log doesn't have."""
+    return [Rule(f"r{i}", match_schema="^(test|tenant)_", match_table=f"^entity_{1 if i % 20 == 0 else 1000 + i}$",
+                 set={"kafka.topic": F.concat(F.col("kafka.topic"), F.lit(f".r{i}"))}) for i in range(n)]
+
+
+@query("guard_matrix", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT gtid_seq, schema_name || '.' || table_name ||
+       CASE WHEN regexp_matches(schema_name, '^(test|tenant)_') AND table_name = 'entity_1'
+            THEN '.r0.r20.r40.r60.r80.r100.r120.r140.r160.r180' ELSE '' END AS topic
+FROM c
+""")
+def guard_matrix(spark, sf_dir):
+    """200 guarded rules; their guards are evaluated once per table."""
+    spec = PipelineSpec(name="p1", rules=matrix_rules(), pk=["user_id"], timestamp=F.lit(0), guard_matrix=True)
+    return run_batch(spec, fx.chg_events(spark, sf_dir)).select("gtid_seq", "topic")
+
+
 SINK_TIME = "2024-02-01 00:00:00"
 
 
@@ -886,6 +1035,45 @@ def delivery_latency(spark, sf_dir):
     return latency_by_topic(recs, sink, event_time_us=F.col("event_us"))
 
 
+@query("latency_quantiles", f"""
+WITH c AS ({CHG_EVENTS_SQL})
+SELECT schema_name || '.' || table_name AS topic, count(*) AS n, max(epoch_us(TIMESTAMP '{SINK_TIME}') - epoch_us(ts)) AS max_latency_us,
+       true AS p50_within, true AS p99_within
+FROM c GROUP BY 1
+""")
+def latency_quantiles(spark, sf_dir):
+    """P10: sketches of ten parts of a log, merged; their quantiles' true ranks lie
+    within the stated error."""
+    from rowcast.operators.delivery import RANK_ERROR, latency_sketches, merged_sketches
+    from rowcast.session import save_shared
+    ev = _events(spark, sf_dir)
+    delay = F.unix_micros(F.lit(SINK_TIME).cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+    recs = ev.select(F.col("kafka.topic").alias("topic"), delay.alias("delay"), (F.col("gtid_seq") % 10).alias("part"))
+    saved = save_shared(latency_sketches(recs, F.col("delay"), ["topic", "part"]), "sketches")
+    got = merged_sketches(saved)
+    below = recs.join(got.select("topic", "n", "max_latency_us", "p50_latency_us", "p99_latency_us"), "topic")
+    out = below.groupBy("topic").agg(F.first("n").alias("n"), F.first("max_latency_us").alias("max_latency_us"), *[
+        F.struct(F.avg((F.col("delay") < F.col(f"{p}_latency_us")).cast("int")).alias("lo"),
+                 F.avg((F.col("delay") <= F.col(f"{p}_latency_us")).cast("int")).alias("hi")).alias(p) for p in ("p50", "p99")])
+    near = [((F.col(f"{p}.lo") <= q + RANK_ERROR) & (F.col(f"{p}.hi") >= q - RANK_ERROR)).alias(f"{p}_within") for p, q in (("p50", 0.5), ("p99", 0.99))]
+    return out.select("topic", "n", "max_latency_us", *near)
+
+
+@query("enrich_as_of", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+d AS (SELECT user_id, event_id AS since, round(value * 100)::BIGINT AS plan FROM events WHERE event_type = 'signup')
+SELECT c.gtid_seq, d.since, d.plan FROM c ASOF LEFT JOIN d ON c.user_id = d.user_id AND c.event_id >= d.since
+""")
+def enrich_as_of_q(spark, sf_dir):
+    """M8 at a point in time: every event with its user's last signup at or before it."""
+    from rowcast.operators.delivery import enrich_as_of
+    versions = fx.table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+        F.col("user_id").alias("who"), F.col("event_id").alias("since"), F.round(F.col("value") * 100).cast("bigint").alias("plan"))
+    ev = _events(spark, sf_dir).withColumn("at", F.col("gtid_seq") - 1)
+    out = enrich_as_of(ev, versions, (F.get(F.coalesce("after", "before"), 0)["user_id"], "who"), ("at", "since"), ["since", "plan"], width=4096)
+    return out.select("gtid_seq", "since", "plan")
+
+
 @query("enrich_join", f"""
 WITH c AS ({CHG_EVENTS_SQL})
 SELECT c.gtid_seq,
@@ -1106,6 +1294,91 @@ def stateful_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("window_rule_chain", STATEFUL_SQL)
+def window_rule_chain(spark, sf_dir):
+    """U3 as expressions: the same rule with a running number and the previous
+    value, cut by position, so that a hot key is no single task."""
+    from rowcast.plans.pipeline import apply_chain
+    from rowcast.streaming.stateful import WindowRule
+    cents = "cast(round(coalesce(get(coalesce(after, before), 0).value, 0) * 100) as bigint)"
+    rule = WindowRule("repeats", ["kafka.topic", "kafka.key"], number="seen", sums={}, lags={"previous": cents}, maxes={"now": cents},
+                      verdict=F.when(F.col("seen") % 3 == 0, ACTION_DROP).otherwise(ACTION_CONT),
+                      set={"kafka.key": F.concat("kafka.key", F.lit("#"), F.col("seen").cast("string"))},
+                      match_schema="test_.*", match_table="test_.*")
+    ev = _events(spark, sf_dir).withColumn("cents", F.expr(cents))
+    out = apply_chain(ev, [samples.empty_rule(), rule, samples.empty_rule()])
+    change = F.when(F.col("seen").isNotNull(), F.col("cents") - F.coalesce("previous", "cents"))
+    return out.select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "seen", change.alias("change"))
+
+
+def _streamed(spark, base, log, build, parts, order="pos", **write):
+    """Write ``log`` in parts and run ``build(stream)`` over each as it arrives."""
+    from rowcast.sources.changelog import stream_log
+    for part in parts:
+        log.filter(part).write.mode("append").parquet(f"{base}/log")
+        q = (build(stream_log(spark, f"{base}/log", log.schema)).writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/out")
+
+
+def _thirds(spark, sf_dir):
+    last = fx.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    return [F.col("pos").between(k * (last // 3 + 1), (k + 1) * (last // 3 + 1) - 1) for k in range(3)]
+
+
+def raise_odd_keys(event: dict) -> int:
+    """Python rule body: events of odd users go to a topic of their own."""
+    if int(event["kafka"]["key"]) % 2:
+        event["kafka"]["topic"] += ".odd"
+    return ACTION_CONT
+
+
+@query("python_then_stateful", STATEFUL_SQL.replace("schema_name || '.' || table_name AS topic",
+                                                    "schema_name || '.' || table_name || CASE WHEN user_id % 2 = 1 THEN '.odd' ELSE '' END AS topic"))
+def python_then_stateful(spark, sf_dir):
+    """U1 before U3 on a stream: a Python rule changes the topic that the stateful
+    rule keeps its state by."""
+    from rowcast.operators.pyrule import PythonRule
+    from rowcast.plans.pipeline import finished
+    from rowcast.session import shared_path
+    from rowcast.streaming.stream import events_stream
+    spec = PipelineSpec(name="p1", rules=[PythonRule("odd", "", "", raise_odd_keys), _state_rule()], pk=["user_id"],
+                        timestamp=F.col("gtid_seq") * 1000)
+    return _streamed(spark, shared_path(spark, "python_then_stateful"), fx.chg_events(spark, sf_dir), lambda s: finished(
+        events_stream(spec, s)).select("gtid_seq", F.col("kafka.topic").alias("topic"), F.col("kafka.key").alias("key"), "seen", "change"),
+        _thirds(spark, sf_dir))
+
+
+def number_from_start(event: dict, state: dict) -> int:
+    """Stateful rule body: numbers a key's events on from what it starts with."""
+    state["seen"] = state.get("seen", 0) + 1
+    return ACTION_CONT
+
+
+@query("stateful_stream_ttl", f"""
+WITH c AS ({CHG_EVENTS_SQL}),
+h AS (SELECT user_id, count(*) AS before FROM events GROUP BY user_id)
+SELECT gtid_seq, user_id::VARCHAR AS key,
+       before + row_number() OVER (PARTITION BY user_id, schema_name, table_name ORDER BY gtid_seq) AS seen
+FROM c JOIN h USING (user_id)
+""")
+def stateful_stream_ttl(spark, sf_dir):
+    """U3 with a TTL and a start from a batch frame: every key's number goes on
+    from its count in an earlier table; names idle for a day are forgotten."""
+    from rowcast.plans.pipeline import finished
+    from rowcast.session import shared_path
+    from rowcast.streaming.stateful import StatefulRule
+    from rowcast.streaming.stream import events_stream
+    start = fx.table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("seen"))
+    rule = StatefulRule("number", ["kafka.key"], number_from_start, [("seen", "bigint")], ttl="24 hours", initial=start)
+    spec = PipelineSpec(name="p1", rules=[rule], pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
+    return _streamed(spark, shared_path(spark, "stateful_stream_ttl"), fx.chg_events(spark, sf_dir), lambda s: finished(
+        events_stream(spec, s)).select("gtid_seq", F.col("kafka.key").alias("key"), "seen"), _thirds(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- audit and table versions
 
 @query("drop_audit", f"""

@@ -15,15 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowcast.operators.codec import encode
-from rowcast.operators.envelope import build_events
-from rowcast.operators.rules import Rule, SourceFilter, apply_rules
+from rowcast.operators.envelope import apply_error_policy, build_events, event_key
+from rowcast.operators.rules import GuardMatrix, Rule, SourceFilter, apply_rule, apply_rules
 
 
 @dataclass
 class PipelineSpec:
     """What one pipeline does.  ``rules`` may mix expression rules
     (:class:`Rule`), Python rules (:class:`rowcast.operators.pyrule.PythonRule`)
-    and stateful rules (:class:`rowcast.streaming.stateful.StatefulRule`)."""
+    and stateful rules (:class:`rowcast.streaming.stateful.StatefulRule`, or
+    ``WindowRule`` in batch).  ``guard_matrix`` evaluates the guards of a batch's
+    expression rules once per table (many rules, most for other tables)."""
 
     name: str
     rules: Sequence = field(default_factory=list)
@@ -33,6 +35,7 @@ class PipelineSpec:
     on_null_verdict: str = "fail"
     timestamp: Column | None = None
     string_columns: Sequence[str] = ()
+    guard_matrix: bool = False
 
 
 def apply_chain(events: DataFrame, rules: Sequence, on_null_verdict: str = "fail") -> DataFrame:
@@ -54,15 +57,13 @@ def fold(df: DataFrame, rules: Sequence, on_null_verdict: str = "fail", keep_dro
     from rowcast.model import ACTION_DROP, VERDICT_COL
     from rowcast.operators.pyrule import PythonRule, apply_python_rule
     from rowcast.operators.rules import apply_rule
-    from rowcast.streaming.stateful import StatefulRule, apply_state_rule
+    from rowcast.streaming.stateful import StatefulRule, WindowRule, apply_state_rule, apply_window_rule
 
     for r in rules:
         if isinstance(r, PythonRule):
-            if keep_dropped:
-                raise TypeError("a Python rule can't stand before a stateful rule on a stream; use an expression rule there")
-            df = apply_python_rule(df, r, on_null_verdict)
-        elif isinstance(r, StatefulRule):
-            df = apply_state_rule(df, r, on_null_verdict)
+            df = apply_python_rule(df, r, on_null_verdict, keep_dropped)
+        elif isinstance(r, (StatefulRule, WindowRule)):
+            df = (apply_window_rule if isinstance(r, WindowRule) else apply_state_rule)(df, r, on_null_verdict)
             if not keep_dropped:
                 df = df.filter(F.col(VERDICT_COL) != ACTION_DROP)
         elif isinstance(r, Rule):
@@ -89,7 +90,8 @@ def split_at_state(rules: Sequence) -> tuple[list, list]:
 
 
 def run_events(spec: PipelineSpec, log: DataFrame) -> DataFrame:
-    """Filtered, enveloped and transformed events (typed, not yet encoded)."""
+    """Filtered, enveloped and transformed events (typed, not yet encoded).  A
+    batch log with ``guard_matrix`` has its guards evaluated once per table."""
     from rowcast.operators.rules import validate_rules
 
     validate_rules(log.sparkSession, spec.rules, spec.source_filter)
@@ -98,7 +100,8 @@ def run_events(spec: PipelineSpec, log: DataFrame) -> DataFrame:
     events = build_events(log, pipeline=spec.name, timestamp=spec.timestamp, pk=spec.pk,
                           on_error=spec.on_error, string_columns=spec.string_columns)
     if all(isinstance(r, Rule) for r in spec.rules):
-        return apply_rules(events, spec.rules, spec.on_null_verdict)
+        guards = GuardMatrix(log, spec.rules) if spec.guard_matrix and not log.isStreaming else None
+        return apply_rules(events, spec.rules, spec.on_null_verdict, guards=guards)
     return apply_chain(events, spec.rules, spec.on_null_verdict)
 
 
@@ -108,15 +111,88 @@ def run_batch(spec: PipelineSpec, log: DataFrame) -> DataFrame:
 
 
 def run_many(specs: Sequence[PipelineSpec], logs: Sequence[DataFrame] | DataFrame) -> DataFrame:
-    """Several independent pipelines as one batch job (``unionByName``).
+    """Several independent pipelines as one batch job.
 
-    Each pipeline keeps its own name in ``pipeline``; positions stay per
-    pipeline (group state by ``pipeline``).
+    Over one log, pipelines of expression rules share its scan and envelope
+    (:func:`run_routed`); pipelines with Python or stateful rules, with rules that
+    change a column's type, or with a log of their own are a plan each.  Each
+    pipeline keeps its own name in ``pipeline``; positions stay per pipeline
+    (group state by ``pipeline``).
     """
     if isinstance(logs, DataFrame):
-        logs = [logs] * len(specs)
-    out = None
-    for spec, log in zip(specs, logs, strict=True):
-        recs = run_batch(spec, log)
-        out = recs if out is None else out.unionByName(recs, allowMissingColumns=True)
+        routed: dict[tuple, list[PipelineSpec]] = {}
+        for spec in specs:
+            routed.setdefault(_envelope_options(spec), []).append(spec)
+        parts = []
+        for group in routed.values():
+            together = [s for s in group if all(isinstance(r, Rule) for r in s.rules)]
+            one = run_routed(together, logs) if len(together) > 1 else None
+            parts += [run_batch(s, logs) for s in group if one is None or s not in together]
+            parts += [one] if one is not None else []
+    else:
+        parts = [run_batch(spec, log) for spec, log in zip(specs, logs, strict=True)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def _envelope_options(spec: PipelineSpec) -> tuple:
+    """Pipelines with the same options can share one envelope.  Key columns may
+    differ: the key is added per pipeline."""
+    return (spec.on_error, tuple(spec.string_columns), None if spec.timestamp is None else str(spec.timestamp))
+
+
+def run_routed(specs: Sequence[PipelineSpec], log: DataFrame) -> DataFrame | None:
+    """Many pipelines of expression rules over one scan.
+
+    Each event is routed once: the pipelines whose source filters admit it are an
+    array of numbers, and an event that none admits goes no further.  The envelope
+    is built once per event, then the event is exploded into its pipelines, and
+    each chain works on its own copies.  Pipelines that share their rules (the
+    same objects) share the chain.  None if a rule can't work beside others,
+    because it changes a column's type.
+    """
+    from pyspark.errors import AnalysisException
+
+    from rowcast.model import ACTION_CONT, ACTION_DROP, ERROR_COL, VERDICT_COL
+    from rowcast.operators.rules import validate_rules
+
+    for spec in specs:
+        validate_rules(log.sparkSession, spec.rules, spec.source_filter)
+    admits = [F.lit(True) if s.source_filter is None else s.source_filter.condition() for s in specs]
+    to = F.filter(F.array(*[F.when(c, F.lit(k)) for k, c in enumerate(admits)]), lambda k: k.isNotNull())
+    admitted = log.withColumn("_to", to).filter(F.size("_to") > 0)
+    options: list = []  # the different key columns
+    which = []
+    for spec in specs:
+        pk = None if spec.pk is None else tuple(spec.pk)
+        if pk not in options:
+            options.append(pk)
+        which.append(options.index(pk))
+    by_option = [event_key(log, pk, specs[0].string_columns) for pk in options]
+    keyed = admitted.withColumn("_keys", F.array(*[F.struct(key.alias("key"), bad.alias("bad")) for key, bad in by_option]))
+    ev = build_events(keyed, pipeline="", timestamp=specs[0].timestamp, pk=(), on_error="mark", string_columns=specs[0].string_columns)
+
+    def copy(k):
+        own = F.get("_keys", F.get(F.array(*[F.lit(w) for w in which]), k))
+        return F.struct(k.alias("k"), own["key"].alias("key"),
+                        F.coalesce(F.col(ERROR_COL), F.when(own["bad"], F.lit("null key value"))).alias("error"))
+    ev = ev.withColumn("_r", F.explode(F.transform("_to", copy)))
+    names = F.array(*[F.lit(s.name) for s in specs])
+    ev = ev.withColumns({"_k": F.col("_r.k"), "kafka": F.col("kafka").withField("key", F.col("_r.key")),
+                         ERROR_COL: F.col("_r.error"), "meta": F.col("meta").withField("pipeline", F.get(names, F.col("_r.k")))}
+                        ).drop("_r", "_to", "_keys")
+    df = apply_error_policy(ev, specs[0].on_error).withColumn(VERDICT_COL, F.lit(ACTION_CONT))
+    chains: dict[tuple, list[int]] = {}
+    for k, spec in enumerate(specs):
+        chains.setdefault((spec.on_null_verdict, *map(id, spec.rules)), []).append(k)
+    try:
+        for ks in chains.values():
+            active = F.col("_k").isin(*ks) & (F.col(VERDICT_COL) != ACTION_DROP)
+            for r in specs[ks[0]].rules:
+                df = apply_rule(df, r, specs[ks[0]].on_null_verdict, active=active)
+    except AnalysisException:
+        return None
+    return encode(finished(df.drop("_k")))
+

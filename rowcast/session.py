@@ -94,6 +94,27 @@ def save_shared(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store that Spark reads ([] if there is none)."""
+    fs, p = _folder(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.mkdirs(p)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)

@@ -7,8 +7,12 @@ single global state would force every event through one task).
 * In a rule chain: a :class:`StatefulRule` may stand among the rules of a
   ``PipelineSpec``.  Its guard, verdict and edits work like those of any other
   rule (:func:`apply_state_rule`); events that it doesn't match pass by.  On a
-  stream the chain up to the last stateful rule runs on the stream itself, so
-  the state lives in Spark's state store.
+  stream the chain up to the last stateful rule runs on the stream itself with
+  ``transformWithState``: a key's state is a map state with an entry per name, so
+  only what a call changed is written, with a TTL and a start from a batch frame.
+* As expressions: a :class:`WindowRule` declares running numbers, sums, maxima and
+  previous values, which its verdict and edits read as columns.  It has no
+  function, so a hot key is cut by position (batch).
 * On any frame: :func:`apply_stateful_rule` adds what the state says after each
   event.
 * Batch: running counts and sums per key use the bucketed window operators
@@ -25,7 +29,7 @@ state is held.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -39,6 +43,10 @@ from rowcast.operators.pyrule import call_rule, checked_verdict, encoded, writte
 from rowcast.operators.rules import matches
 
 
+#: State store that transformWithState needs (set for the session's next queries).
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def running_totals(events: DataFrame, keys: Sequence[str], value: str, order: Sequence[str] = (GTID_SEQ, POS),
                    count_name: str = "seen", sum_name: str = "running_total",
                    width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
@@ -58,11 +66,127 @@ class StatefulRule:
     output: Sequence[tuple[str, str]] = field(default_factory=list)  # extra (name, ddl type) from the state
     match_schema: str = ""
     match_table: str = ""
+    #: Streams: a name that isn't written for so long ("24 hours") is forgotten
+    #: (processing time; the session's micro-batches without data are turned off,
+    #: as they would never end an ``availableNow`` run), or with ``event_time``, a
+    #: timestamp column, the whole state of a key without events for so long once
+    #: the watermark has passed.
+    ttl: str | None = None
+    event_time: str | None = None
+    watermark: str = "0 seconds"
+    #: Streams: a batch frame with the key columns (named as ``keys``, or their
+    #: last part) and a column per name of the state, for keys that begin with one.
+    initial: DataFrame | None = None
+
+    def __post_init__(self):
+        if self.event_time and not self.ttl:
+            raise ValueError(f"stateful rule {self.name!r}: event_time needs a ttl")
 
     def guard(self):
         return matches("schema", self.match_schema) & matches("table", self.match_table)
 
 
+@dataclass
+class WindowRule:
+    """A stateful rule that is all expressions: per key, in order, the columns
+    ``number`` (1, 2, ...), ``sums``, ``maxes`` and ``lags`` (previous values; all
+    ``{new column: SQL over the event}``) are computed over the events the guard
+    matches, then ``verdict`` and ``set`` work as in a :class:`Rule` and may read
+    them.  They stay as columns (null where the rule doesn't match).  Batch only."""
+
+    name: str
+    keys: Sequence[str]
+    number: str | None = None
+    sums: Mapping[str, str] = field(default_factory=dict)
+    maxes: Mapping[str, str] = field(default_factory=dict)
+    lags: Mapping[str, str] = field(default_factory=dict)
+    verdict: object = None
+    set: Mapping = field(default_factory=dict)
+    match_schema: str = ""
+    match_table: str = ""
+
+    def guard(self):
+        return matches("schema", self.match_schema) & matches("table", self.match_table)
+
+
+def apply_window_rule(df: DataFrame, rule: WindowRule, on_null_verdict: str = "fail",
+                      order: Sequence[str] = (GTID_SEQ, POS), width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """One window rule over events that carry ``_verdict``; nothing is removed."""
+    from rowcast.operators.rules import Rule, apply_rule
+
+    if df.isStreaming:
+        raise TypeError(f"window rule {rule.name!r}: batch only; use a StatefulRule on a stream")
+    columns = [c for c in df.columns if c != VERDICT_COL]
+    active = rule.guard() & (F.col(VERDICT_COL) != ACTION_DROP)
+    inputs = {f"_w{i}": F.expr(x) for i, x in enumerate([*rule.sums.values(), *rule.maxes.values(), *rule.lags.values()])}
+    keys = {f"_k{i}": F.col(k) for i, k in enumerate(rule.keys)}
+    names = iter(inputs)
+    per = {kind: {n: next(names) for n in getattr(rule, kind)} for kind in ("sums", "maxes", "lags")}
+    hit = keyed_windows(df.filter(active).withColumns(keys | inputs), list(keys), list(order), number=rule.number, width=width, **per)
+    made = [c for c in (rule.number, *rule.sums, *rule.maxes, *rule.lags) if c]
+    hit = apply_rule(hit.select(*columns, *made, VERDICT_COL), Rule(rule.name, verdict=rule.verdict, set=rule.set), on_null_verdict,
+                     short_circuit=False)
+    by = df.filter(~active).select(
+        *columns, *[F.lit(None).cast(hit.schema[c].dataType).alias(c) for c in made],
+        F.when(F.col(VERDICT_COL) == ACTION_DROP, ACTION_DROP).otherwise(ACTION_CONT).alias(VERDICT_COL))
+    return hit.select(by.columns).unionByName(by)
+
+
+def _processor(rule: StatefulRule, names: list[str], at: list[str], keys: list[str], rows_of):
+    """The rule as a StatefulProcessor; ``rows_of(frame, state)`` calls it."""
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    ttl_ms = _duration_ms(rule.ttl) if rule.ttl else None
+    by_event = rule.event_time is not None
+
+    class Processor(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.state = handle.getMapState("state", "name string", "value string", None if by_event else ttl_ms)
+            self.idle = handle.getValueState("idle", "until bigint") if by_event else None
+
+        def handleInputRows(self, key, rows, timer_values):
+            import pandas as pd
+
+            was = {n[0]: v[0] for n, v in self.state.iterator()}
+            now = {n: json.loads(v) for n, v in was.items()}
+            pdf = pd.concat(list(rows), ignore_index=True).sort_values(at, kind="mergesort")
+            out = rows_of(pdf, now)
+            for n, v in now.items():
+                text = json.dumps(v)
+                if was.get(n) != text or (ttl_ms and not by_event):  # a write starts the TTL anew
+                    self.state.updateValue((n,), (text,))
+            for n in was.keys() - now.keys():
+                self.state.removeKey((n,))
+            if by_event:
+                until = int(pdf["event_ms"].max()) + ttl_ms
+                last = self.idle.get()[0] if self.idle.exists() else None
+                if last is None or until > last:
+                    if last is not None:
+                        self.handle.deleteTimer(last)
+                    self.idle.update((until,))
+                    self.handle.registerTimer(until)
+            yield out
+
+        def handleExpiredTimer(self, key, timer_values, expired):
+            import pandas as pd
+
+            self.state.clear()
+            self.idle.clear()
+            yield pd.DataFrame(columns=names)
+
+        def handleInitialState(self, key, initial, timer_values):
+            for n in initial.columns:
+                if n not in keys and len(initial) and initial[n].iloc[0] is not None:
+                    value = initial[n].iloc[0]
+                    self.state.updateValue((n,), (json.dumps(value.item() if hasattr(value, "item") else value),))
+
+        def close(self):
+            pass
+
+    return Processor()
+
+
 def apply_stateful_rule(events: DataFrame, rule: StatefulRule, order: Sequence[str] = (GTID_SEQ, POS),
                         state_ttl: str | None = None, event_time: str | None = None,
                         watermark: str = "0 seconds", on_null_verdict: str = "fail") -> DataFrame:
@@ -139,41 +263,38 @@ def apply_state_rule(df: DataFrame, rule: StatefulRule, on_null_verdict: str = "
     row travels as JSON text beside the payload and unchanged fields are read
     back from it with the frame's schema.
     """
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
     columns = [c for c in df.columns if c != VERDICT_COL]
+    if df.isStreaming and rule.event_time:
+        df = df.withWatermark(rule.event_time, rule.watermark)
     active = rule.guard() & (F.col(VERDICT_COL) != ACTION_DROP)
     by = df.filter(~active).select(
         *columns, F.when(F.col(VERDICT_COL) == ACTION_DROP, ACTION_DROP).otherwise(ACTION_CONT).alias(VERDICT_COL),
         *[F.lit(None).cast(t).alias(n) for n, t in rule.output])
     hit = df.filter(active)
     times = {**JSON_OPTIONS, "timestampFormat": TIME_FORMAT, "timestampNTZFormat": TIME_FORMAT}
-    keys, at = [f"_k{i}" for i in range(len(rule.keys))], [f"_o{i}" for i in range(len(order))]
+    # (names as pandas can have them: a leading underscore gets lost on the way to a StatefulProcessor)
+    keys, at = [f"k{i}" for i in range(len(rule.keys))], [f"o{i}" for i in range(len(order))]
     packed = hit.select(*[F.col(k).alias(n) for k, n in zip(rule.keys, keys, strict=True)],
                         *[F.col(o).alias(n) for o, n in zip(order, at, strict=True)],
-                        F.to_json(F.struct(*columns), times).alias("_row"), encoded(hit).alias("_evt"))
+                        F.to_json(F.struct(*columns), times).alias("row"), encoded(hit).alias("evt"),
+                        *([F.col(rule.event_time).alias("event_time"), F.unix_millis(F.col(rule.event_time)).alias("event_ms")]
+                          if df.isStreaming and rule.event_time else []))
     out_schema = T.StructType([T.StructField("_row", T.StringType())]
                               + [T.StructField(f"_out_{f}", T.StringType()) for f in ENVELOPE_FIELDS]
                               + [T.StructField(VERDICT_COL, T.IntegerType())]
                               + [T.StructField(n, T._parse_datatype_string(t)) for n, t in rule.output])
 
+    fn, rule_name, told = rule.fn, rule.name, [n for n, _ in rule.output]  # the rule itself may hold a frame
+
     def rows_of(pdf, st):
         import pandas as pd
 
         rows = []
-        for row, text in zip(pdf["_row"], pdf["_evt"], strict=True):
-            verdict, changed = call_rule(lambda e: rule.fn(e, st), text, on_null_verdict, rule.name)
-            rows.append((row, *[changed.get(f) for f in ENVELOPE_FIELDS], verdict, *[st.get(n) for n, _ in rule.output]))
+        for row, text in zip(pdf["row"], pdf["evt"], strict=True):
+            verdict, changed = call_rule(lambda e: fn(e, st), text, on_null_verdict, rule_name)
+            rows.append((row, *[changed.get(f) for f in ENVELOPE_FIELDS], verdict, *[st.get(n) for n in told]))
         return pd.DataFrame(rows, columns=out_schema.names)
 
-    def run(key, pdfs, state):
-        import pandas as pd
-
-        st = json.loads(state.get[0]) if state.exists else {}
-        out = rows_of(pd.concat(list(pdfs), ignore_index=True).sort_values(at, kind="mergesort"), st)
-        state.update((json.dumps(st),))
-        yield out
-
     def run_sorted(pdfs):
         """Batch: a key's rows come one after the other; only its state is held."""
         last, st = None, {}
@@ -186,8 +307,17 @@ def apply_state_rule(df: DataFrame, rule: StatefulRule, on_null_verdict: str = "
                 yield rows_of(pdf.iloc[i:j], st)
 
     if df.isStreaming:
-        res = packed.groupBy(*keys).applyInPandasWithState(
-            run, out_schema, T.StructType([T.StructField("state_json", T.StringType())]), "append", GroupStateTimeout.NoTimeout)
+        df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        start = None
+        if rule.initial is not None:
+            last = {k: k.rsplit(".", 1)[-1] for k in rule.keys}
+            start = rule.initial.select(*[F.col(k if k in rule.initial.columns else last[k]).alias(n) for k, n in zip(rule.keys, keys, strict=True)],
+                                        *[c for c in rule.initial.columns if c not in rule.keys and c not in last.values()]).groupBy(*keys)
+        mode = "EventTime" if rule.event_time else "ProcessingTime" if rule.ttl else "None"
+        if mode == "ProcessingTime":
+            df.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+        res = packed.groupBy(*keys).transformWithStateInPandas(
+            _processor(rule, out_schema.names, at, keys, rows_of), out_schema, "append", mode, initialState=start)
     else:
         res = packed.repartition(*keys).sortWithinPartitions(*keys, *at).mapInPandas(run_sorted, out_schema)
     whole = res.withColumn("_r", F.from_json("_row", T.StructType([df.schema[c] for c in columns]), times))

@@ -6,11 +6,12 @@ micro-batch can also be ordered per key and produce its position row:
 
 * records go to ``<out>/batch_id=<n>/topic=<t>/``, overwritten when a batch is
   replayed after a failure, so output is exactly once per batch id;
-* the state row of the batch (all positions processed so far per pipeline and
-  source uuid) goes to ``<state>/batch=<n>`` after the records are written,
-  overwritten on a replay like the records;
-* the streaming checkpoint is the resume point (S4); the state table is the
-  readable copy of it.
+* the positions of the batch go to ``<state>/segment=<n>-<n>`` as bitmap rows
+  after the records are written, overwritten on a replay like the records, and
+  are merged by size later (:mod:`rowcast.streaming.statelog`);
+* the streaming checkpoint is the resume point (S4).  A query with a fresh
+  checkpoint and saved state resumes from the state, after a check that no saved
+  position is ahead of the source (P4), and goes on with its batch numbers.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from pyspark.sql.streaming import StreamingQuery
 from rowcast.model import ACTION_CONT, GTID_SEQ, GTID_UUID, POS, VERDICT_COL
 from rowcast.operators.codec import encode
 from rowcast.operators.envelope import build_events
-from rowcast.operators.position import state_before, state_from_batch, write_state
+from rowcast.operators.position import assert_not_ahead, resume_filter, state_bitmaps
 from rowcast.operators.rules import Rule, verdicts
 from rowcast.plans.pipeline import PipelineSpec, finished, fold, split_at_state
+from rowcast.session import save_shared
+from rowcast.streaming import statelog
 
 
 def events_stream(spec: PipelineSpec, log: DataFrame) -> DataFrame:
@@ -45,7 +48,7 @@ RUN_WIDTH = 1 << 16
 
 def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str | None, state_path: str | None,
                   fmt: str = "parquet", ordered: bool = True, metrics_path: str | None = None,
-                  writer=None) -> None:
+                  writer=None, base: int = 0) -> None:
     """Deliver one micro-batch: rules, encode, per-key order, write, save position.
 
     The rule chain runs once: records are exchanged by a hash of topic, key and
@@ -86,8 +89,7 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
                     .sortWithinPartitions("topic", "key", GTID_SEQ, POS))
         recs.write.mode("overwrite").partitionBy("topic").format(fmt).save(f"{out}/batch_id={batch_id}")
     if state_path:
-        before = state_before(events.sparkSession, state_path, batch_id)
-        write_state(state_from_batch(events, F.col("meta.pipeline"), previous=before), state_path, batch_id=batch_id)
+        statelog.append(state_bitmaps(events, F.col("meta.pipeline")), state_path, batch_id, base)
     if metrics_path:
         i, o = obs_in.get, obs_out.get
         n, written = int(i.get("events_in") or 0), int(o.get("written") or 0)
@@ -99,22 +101,44 @@ def deliver_batch(spec: PipelineSpec, events: DataFrame, batch_id: int, out: str
          .write.mode("overwrite").parquet(f"{metrics_path}/batch={int(batch_id)}"))
 
 
+def resumed(spec: PipelineSpec, log: DataFrame, checkpoint: str, state_path: str, source: DataFrame | None) -> tuple[DataFrame, int]:
+    """S4 at a start: (what of ``log`` is to be processed, number of the first
+    batch).  A checkpoint that has begun goes on by itself; a fresh one starts
+    from the saved state, if there is one: P4 (with ``source``, the log as a batch
+    frame), then P3.  The state is that of the batches before this query, so a
+    replayed batch sees the same."""
+    spark = log.sparkSession
+    base = statelog.first_number(spark, checkpoint, state_path)
+    saved = statelog.read_state(spark, state_path, below=base) if base else None
+    if saved is None:
+        return log, base
+    saved = save_shared(saved, "resume-state")
+    if source is not None:
+        assert_not_ahead(source, saved.where(F.col("name") == spec.name))
+    return resume_filter(log, saved, F.lit(spec.name), exact=POS in log.columns), base
+
+
 def start_pipeline(spec: PipelineSpec, log: DataFrame, out: str | None, checkpoint: str,
                    state_path: str | None = None, available_now: bool = True, processing_time: str | None = None,
                    fmt: str = "parquet", ordered: bool = True, query_name: str | None = None,
-                   metrics_path: str | None = None, writer=None) -> StreamingQuery:
+                   metrics_path: str | None = None, writer=None, source: DataFrame | None = None) -> StreamingQuery:
     """Start one pipeline as a streaming query (one checkpoint per pipeline).
 
     Records go to ``out`` as files, or to ``writer(records, batch_id)`` when
     given (e.g. ``sinks.fanout.kafka_writer(servers)``).  Rule patterns are
-    checked before the query starts.
+    checked before the query starts.  With ``state_path`` a query without a
+    checkpoint resumes from the saved state, and with ``source`` (the same log as
+    a batch frame) it refuses a state that is ahead of the source.
     """
     from rowcast.operators.rules import validate_rules
 
     validate_rules(log.sparkSession, spec.rules, spec.source_filter)
+    base = 0
+    if state_path:
+        log, base = resumed(spec, log, checkpoint, state_path, source)
     ev = events_stream(spec, log)
     w = (ev.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: deliver_batch(spec, b, i, out, state_path, fmt, ordered, metrics_path, writer)))
+         .foreachBatch(lambda b, i: deliver_batch(spec, b, base + i, out, state_path, fmt, ordered, metrics_path, writer, base)))
     if query_name:
         w = w.queryName(query_name)
     if processing_time:

@@ -99,3 +99,32 @@ def test_kafka_writer_needs_the_connector(spark):
                                  "topic string, key string, value string, gtid_uuid string, gtid_seq bigint, pos bigint")
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_writer("localhost:1")(recs, 0)
+
+
+def test_enrich_as_of_with_a_hot_key(spark):
+    """90 % of the events and versions on one key, in buckets of 100 positions."""
+    from rowcast.operators.delivery import enrich_as_of
+
+    ev = spark.range(3000).select(F.col("id").alias("at"), F.when(F.col("id") % 10 < 9, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    ev = ev.unionByName(spark.createDataFrame([(5, None), (None, "hot")], "at bigint, k string"))
+    dim = spark.range(0, 3000, 7).select(F.lit("hot").alias("who"), F.col("id").alias("since"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"))
+    dim = dim.unionByName(spark.createDataFrame([("9", 9, 1), ("19", 20, 1), (None, 0, 1)], "who string, since bigint, v bigint"))
+    got = {(r.at, r.k): (r.since, r.v) for r in enrich_as_of(ev, dim, (F.col("k"), "who"), ("at", "since"), ["since", "v"], width=100).collect()}
+    assert len(got) == 3002
+    for (at, k), (since, v) in got.items():
+        if k == "hot" and at is not None:
+            last = at // 7 * 7
+            assert (since, v) == (last, last if last % 2 == 0 else None)
+        else:
+            assert (since, v) == ((9, 1) if k == "9" else (None, None))
+
+
+def test_sketches_merge(spark):
+    from rowcast.operators.delivery import RANK_ERROR, latency_sketches, merged_sketches
+
+    n = 50_000
+    recs = spark.range(n).select(F.lit("t").alias("topic"), (F.col("id") * 7919 % n).alias("d"), (F.col("id") % 5).alias("part"))
+    got = merged_sketches(latency_sketches(recs, F.col("d"), ["topic", "part"]), quantiles=(0.01, 0.5, 0.99)).first()
+    assert (got.n, got.min_latency_us, got.max_latency_us) == (n, 0, n - 1)
+    for q in (0.01, 0.5, 0.99):
+        assert abs(got[f"p{q * 100:g}_latency_us"] / n - q) <= RANK_ERROR

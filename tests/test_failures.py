@@ -12,6 +12,8 @@ from rowcast.plans import samples
 from rowcast.plans.pipeline import PipelineSpec, run_batch
 from rowcast.sources import fixtures as fx
 from rowcast.sources.changelog import stream_log
+from rowcast.operators.position import state_text
+from rowcast.streaming.statelog import read_state, segments
 from rowcast.streaming.stream import start_pipeline
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -46,8 +48,8 @@ def test_crashed_batch_is_replayed_without_duplicates(spark, tmp_dir):
     got = spark.read.parquet(f"{tmp_dir}/out").select("gtid_seq", "topic", "key", "value")
     want = run_batch(spec(), log).select("gtid_seq", "topic", "key", "value")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
-    assert spark.read.parquet(f"{tmp_dir}/state").select("batch").distinct().count() == \
-        spark.read.parquet(f"{tmp_dir}/state").count()
+    assert segments(spark, f"{tmp_dir}/state") == [(0, 0), (1, 1), (2, 2)]
+    assert state_text(read_state(spark, f"{tmp_dir}/state")).first().n_events == log.count()
     assert spark.read.parquet(f"{tmp_dir}/metrics").count() == 3
 
 

@@ -130,3 +130,49 @@ def test_hot_key_is_spread_over_window_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_many_pipelines_have_one_scan(spark, tmp_dir):
+    """Twenty pipelines over a stored log: one scan, one envelope, and each gives
+    what it gives alone."""
+    from rowcast import functions as RF
+    from rowcast.operators.rules import Rule, SourceFilter
+    from rowcast.plans.pipeline import PipelineSpec, run_batch, run_many
+
+    log = fx.chg_events(spark, SF_SMALL)
+    log.write.parquet(f"{tmp_dir}/log")
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    drop = Rule("drop", "test_.*", "", verdict=F.when(RF.any_row_eq("after", "text_col", "ignore"), 1).otherwise(2))
+    specs = [PipelineSpec(f"p{k}", [drop, Rule("t", set={"kafka.topic": F.lit(f"t{k}")})][: 1 + k % 2],
+                          source_filter=SourceFilter(exclude_schemas=["audit"]) if k % 3 == 0 else None,
+                          pk=["user_id"] if k % 4 else None, timestamp=F.lit(0)) for k in range(20)]
+    out = run_many(specs, log)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Union") == 0
+    for k in (0, 3, 5, 6):
+        alone = run_batch(specs[k], log)
+        mine = out.where(F.col("pipeline") == f"p{k}").select(alone.columns)
+        assert mine.count() == alone.count() > 0 and mine.exceptAll(alone).count() == 0
+
+
+def test_guard_matrix_equals_guards(spark):
+    """The fold with guard bits: no-ops, rules that match nothing before, between
+    and after others, and guards after a rule that renames the table."""
+    from rowcast.operators.rules import GuardMatrix, Rule, apply_rules
+    from rowcast.operators.envelope import build_events
+
+    log = fx.chg_events(spark, SF_SMALL)
+    ev = build_events(log, pipeline="p", timestamp=F.lit(0), pk=["user_id"])
+    none = Rule("none", "^nowhere$", "", verdict=1)
+    odd = Rule("odd", "^test", "entity", verdict=F.when(F.col("gtid_seq") % 2 == 1, 2).otherwise(0))
+    rename = Rule("rename", "^tenant", "", set={"table": F.lit("renamed")})
+    after = Rule("after", "", "^renamed$", verdict=F.when(F.col("gtid_seq") % 3 == 0, 1).otherwise(0))
+    for rules in ([none, odd], [odd, none], [odd, Rule("noop")], [none, none], [none, odd, rename, after, none],
+                  [*[Rule(f"x{i}", f"^no{i}$", "", verdict=1) for i in range(130)], odd]):
+        want = apply_rules(ev, rules).select("gtid_seq", "table")
+        guards = GuardMatrix(log, rules)
+        got = apply_rules(ev, rules, guards=guards)
+        assert got.columns == ev.columns
+        got = got.select("gtid_seq", "table")
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert sum(guards.needed(i) for i in range(131)) == 1

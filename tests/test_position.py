@@ -164,41 +164,93 @@ def test_many_intervals(spark):
     assert time.time() - began < 60
 
 
-def test_state_ranges_over_bucket_edges(spark):
-    import random
+def islands(seqs):
+    out = []
+    for x in sorted(seqs):
+        if out and x <= out[-1][1] + 1:
+            out[-1][1] = x
+        else:
+            out.append([x, x])
+    return [tuple(x) for x in out]
+
+
+def numbers(rows, name, uuid):
+    return sorted(x for r in rows if (r.name, r.uuid) == (name, uuid) and r.lo is not None for x in range(r.lo, r.hi + 1))
 
-    from rowcast.operators.position import state_ranges, state_text
 
-    def islands(seqs):
-        out = []
-        for x in sorted(seqs):
-            if out and x <= out[-1][1] + 1:
-                out[-1][1] = x
-            else:
-                out.append([x, x])
-        return [tuple(x) for x in out]
+@pytest.mark.parametrize("shift", [3, 15])
+def test_state_bitmaps_over_bucket_edges(spark, monkeypatch, shift):
+    """Buckets of 8 numbers: many are full and become bits of level 1."""
+    import random
+
+    from rowcast.operators import bitmaps
+    from rowcast.operators.position import state_bitmaps, state_text
+    from rowcast.session import save_shared
 
+    monkeypatch.setattr(bitmaps, "SHIFT", shift)
+    monkeypatch.setattr(bitmaps, "WIDTH", 1 << shift)
     rnd = random.Random(3)
-    done = {("p", U): {*range(5, 60), *rnd.sample(range(100), 20)}, ("p", V): set(rnd.sample(range(200), 120)), (None, U): {1, 2, 8, 9}}
+    done = {("p", U): {*range(5, 160), *rnd.sample(range(300), 20)}, ("p", V): set(rnd.sample(range(200), 120)), (None, U): {1, 2, 8, 9}}
     rows = [(n, u, x, i) for (n, u), v in done.items() for x in v for i in range(rnd.randrange(1, 3))]
     rnd.shuffle(rows)
-    half = len(rows) // 2
+    third = len(rows) // 3
     st = None
-    for n, part in enumerate((rows[:half], rows[half:])):
-        st = state_ranges(spark.createDataFrame(part, COLS), timestamp=F.lit(n), previous=st, width=8)
-    got = st.collect()
+    for n, part in enumerate((rows[:third], rows[third:2 * third], rows[2 * third:], rows[:10])):
+        st = save_shared(state_bitmaps(spark.createDataFrame(part, COLS).coalesce(1), timestamp=F.lit(n), previous=st), "test-state")
+        if n == 1:  # a text on the way is as good
+            st = save_shared(state_text(st), "test-state")
+    kept = st.collect()
+    assert len(kept) == len({(r.name, r.uuid, r.level, r.bucket) for r in kept}) and {r.level for r in kept} == ({0, 1, 2} if shift == 3 else {0, 2})
+    got = bitmaps.decoded(st).collect()
     for (n, u), v in done.items():
-        assert sorted((r.lo, r.hi) for r in got if (r.name, r.uuid) == (n, u) and r.seq is None) == islands(v)
+        assert sorted(set(numbers(got, n, u))) == sorted(v)
         last = [(r.seq, r.pos) for r in got if (r.name, r.uuid) == (n, u) and r.seq is not None]
         assert last == [max((x[2], x[3]) for x in rows if x[:2] == (n, u))]
-    assert sum(r.n for r in got) == len(rows) - half
+    assert sum(r.n for r in kept) == 10
     # the same state as a text, and the resume from the rows
-    text = {r.name: r.gtid for r in state_text(st, width=8).collect()}
+    text = {r.name: r.gtid for r in state_text(st).collect()}
     assert text[None] == f"{U}:1-2:8-9"
     assert text["p"] == ",".join(f"{u}:" + ":".join(f"{a}-{b}" if a < b else str(a) for a, b in islands(done["p", u])) for u in sorted((U, V)))
-    log = spark.createDataFrame([("p", u, x, 0) for u in (U, V) for x in range(210)], COLS)
-    left = sorted((r.gtid_uuid, r.gtid_seq) for r in resume_filter(log, st, coarse=16, fine=4).collect())
-    assert left == sorted((u, x) for u in (U, V) for x in range(210) if x not in done["p", u])
+    log = spark.createDataFrame([("p", u, x, 0) for u in (U, V) for x in range(310)], COLS)
+    left = sorted((r.gtid_uuid, r.gtid_seq) for r in resume_filter(log, st).collect())
+    assert left == sorted((u, x) for u in (U, V) for x in range(310) if x not in done["p", u])
+
+
+def test_bitmaps_of_long_intervals(spark):
+    """Upstream's one interval from the start: whole buckets aren't spelled out."""
+    from rowcast.operators import bitmaps
+    from rowcast.operators.position import as_bitmaps
+
+    top = 3 * 2 ** 30 + 5 * 2 ** 15 + 7
+    states = spark.createDataFrame([("p", f"{U}:{top},{V}:10-40000:65536-98303:98305", 1)], "name string, gtid string, timestamp bigint")
+    rows = as_bitmaps(states)
+    assert rows.count() == 6 + 4  # buckets 0 and the last, four of level 1; buckets 0, 1, 3 and one of level 1
+    ev = [("p", U, x, 0) for x in (0, 1, 32767, 32768, 2 ** 30 - 1, 2 ** 30, 3 * 2 ** 30, top, top + 1)]
+    ev += [("p", V, x, 0) for x in (9, 10, 40000, 40001, 65535, 65536, 98303, 98304, 98305, 98306)]
+    log = spark.createDataFrame(ev, COLS)
+    from rowcast.operators.position import state_bitmaps
+    st = state_bitmaps(log.limit(0), timestamp=F.lit(2), previous=states)
+    left = sorted(r.gtid_seq for r in resume_filter(log, st).collect())
+    assert left == sorted([0, top + 1, 9, 40001, 65535, 98304, 98306])
+    assert sorted((r.uuid, r.lo, r.hi) for r in saved_ranges(st).where(F.col("uuid") == V).collect()) == [
+        (V, 10, 32767), (V, 32768, 40000), (V, 65536, 98303), (V, 98305, 98305)]
+    assert {r.uuid: r.saved_seq for r in check_ahead(log, st).collect()} == {U: top, V: 98305}
+
+
+def test_one_bit_of_a_hot_server(spark):
+    """90 % of all events on one server: its rows are spread over its buckets."""
+    from rowcast.operators.bitmaps import has_bit, one_bit
+    from rowcast.operators.position import state_bitmaps
+
+    at = spark.range(0, 32768, 37).select(F.col("id"), one_bit(F.col("id")).alias("b"))
+    assert at.where(~has_bit(F.col("b"), F.col("id")) | has_bit(F.col("b"), F.col("id") + 1) | (F.length("b") != 4096)).count() == 0
+    n = 400_000
+    ev = spark.range(n).select(F.lit("p").alias("pipeline"), F.when(F.col("id") % 10 < 9, U).otherwise(V).alias("gtid_uuid"),
+                               F.col("id").alias("gtid_seq"), F.lit(0).cast("bigint").alias("pos"))
+    st = state_bitmaps(ev, timestamp=F.lit(1))
+    rows = st.where("level = 0").collect()
+    assert len(rows) == 2 * (n // 32768 + 1) and {len(r.bits) for r in rows} == {4096}
+    assert resume_filter(ev, st).count() == 0
 
 
 def test_state_with_too_many_intervals_stays_rows(spark, monkeypatch):
@@ -206,7 +258,7 @@ def test_state_with_too_many_intervals_stays_rows(spark, monkeypatch):
 
     monkeypatch.setattr(position, "MAX_TEXT", 3)
     ev = spark.createDataFrame([("p", U, s, 0) for s in (1, 3, 5, 7)], COLS)
-    assert position.state_ranges(ev).where("seq is null").count() == 4
-    with pytest.raises(ValueError, match="rows"):
-        state_from_batch(ev)
+    assert position.state_bitmaps(ev).where("level = 0").count() == 1
+    with pytest.raises(Exception, match="rows"):
+        state_from_batch(ev).collect()
     assert state_from_batch(ev.where("gtid_seq < 6")).collect()[0].gtid == f"{U}:1:3:5"
