@@ -27,7 +27,7 @@ from rowcast.operators.delivery import dedupe, enrich_rows, sequence_in_key  # n
 from rowcast.operators.envelope import build_events  # noqa: E402
 from rowcast.operators.position import resume_filter, state_from_batch  # noqa: E402
 from rowcast.plans import catalog, samples  # noqa: E402
-from rowcast.plans.pipeline import PipelineSpec, run_batch  # noqa: E402
+from rowcast.plans.pipeline import PipelineSpec, run_batch, run_many  # noqa: E402
 from rowcast.session import env_int, local_session, shared_path  # noqa: E402
 from rowcast.sources import fixtures as fx  # noqa: E402
 from rowcast.sources.changelog import stream_log  # noqa: E402
@@ -105,6 +105,12 @@ def main() -> None:
     timed("enrich_join", lambda: run(enrich_rows(build_events(log, pipeline="p1", timestamp=ts), "after", cust,
                                                  on=("user_id", "c_custkey"), fields=["c_name"])), q)
     timed("state_from_batch", lambda: run(state_from_batch(piped, "pipeline")), q)
+    twenty = [PipelineSpec(name=f"p{k}", source_filter=catalog._many_filter(k), pk=["user_id"], timestamp=ts,
+                           rules=samples.sample_rules()) for k in range(20)]
+    timed("twenty_pipelines", lambda: run(run_many(twenty, log)), q)
+    for n in (20, 200):
+        many = PipelineSpec(name="p1", rules=catalog.matrix_rules(n), pk=["user_id"], timestamp=ts, guard_matrix=True)
+        timed(f"guard_matrix_{n}_rules", lambda many=many: run(run_batch(many, log)), q)
 
     runs = iter(range(100))
 

@@ -27,7 +27,7 @@ def _processor(width: int):
         def init(self, handle):
             self.seen = handle.getValueState("seen", "bits binary")
 
-        def handleInputRows(self, key, rows, timer_values):
+        def handleInputRows(self, key, rows, timerValues):
             import numpy as np
             import pandas as pd
 

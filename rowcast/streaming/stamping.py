@@ -38,7 +38,7 @@ def _processor(first: int, late_ms: int | None):
             self.early = handle.getMapState("early", "file bigint", "uuid string, seq bigint, marked boolean")
             self.waiting = handle.getListState("waiting", "file bigint, pos bigint, row string")
 
-        def handleInputRows(self, key, rows, timer_values):
+        def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
             out = []
@@ -84,7 +84,7 @@ def _processor(first: int, late_ms: int | None):
                 self.handle.registerTimer(int(time.time() * 1000) + late_ms)
             return out
 
-        def handleExpiredTimer(self, key, timer_values, expired):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             import pandas as pd
 
             done = self.done.get() if self.done.exists() else (first - 1, None, None)

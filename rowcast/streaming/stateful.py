@@ -145,7 +145,7 @@ def _processor(rule: StatefulRule, names: list[str], at: list[str], keys: list[s
             self.state = handle.getMapState("state", "name string", "value string", None if by_event else ttl_ms)
             self.idle = handle.getValueState("idle", "until bigint") if by_event else None
 
-        def handleInputRows(self, key, rows, timer_values):
+        def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
             was = {n[0]: v[0] for n, v in self.state.iterator()}
@@ -168,17 +168,17 @@ def _processor(rule: StatefulRule, names: list[str], at: list[str], keys: list[s
                     self.handle.registerTimer(until)
             yield out
 
-        def handleExpiredTimer(self, key, timer_values, expired):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             import pandas as pd
 
             self.state.clear()
             self.idle.clear()
             yield pd.DataFrame(columns=names)
 
-        def handleInitialState(self, key, initial, timer_values):
-            for n in initial.columns:
-                if n not in keys and len(initial) and initial[n].iloc[0] is not None:
-                    value = initial[n].iloc[0]
+        def handleInitialState(self, key, initialState, timerValues):
+            for n in initialState.columns:
+                if n not in keys and len(initialState) and initialState[n].iloc[0] is not None:
+                    value = initialState[n].iloc[0]
                     self.state.updateValue((n,), (json.dumps(value.item() if hasattr(value, "item") else value),))
 
         def close(self):
