@@ -1375,8 +1375,11 @@ def stateful_stream_ttl(spark, sf_dir):
     start = fx.table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("seen"))
     rule = StatefulRule("number", ["kafka.key"], number_from_start, [("seen", "bigint")], ttl="24 hours", initial=start)
     spec = PipelineSpec(name="p1", rules=[rule], pk=["user_id"], timestamp=F.col("gtid_seq") * 1000)
-    return _streamed(spark, shared_path(spark, "stateful_stream_ttl"), fx.chg_events(spark, sf_dir), lambda s: finished(
-        events_stream(spec, s)).select("gtid_seq", F.col("kafka.key").alias("key"), "seen"), _thirds(spark, sf_dir))
+    try:
+        return _streamed(spark, shared_path(spark, "stateful_stream_ttl"), fx.chg_events(spark, sf_dir), lambda s: finished(
+            events_stream(spec, s)).select("gtid_seq", F.col("kafka.key").alias("key"), "seen"), _thirds(spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
 
 
 # ---------------------------------------------------------------- audit and table versions

@@ -10,6 +10,7 @@ from rowcast.plans import samples
 from rowcast.plans.config import load_configs
 from rowcast.plans.pipeline import PipelineSpec, run_batch
 from rowcast.sources import fixtures as fx
+from rowcast.streaming.statelog import segments
 
 SAMPLE = '''
 [mysql]
@@ -77,5 +78,5 @@ def test_command_line_runs_the_configured_pipelines(spark, tmp_dir):
           "--checkpoint", f"{tmp_dir}/ck", "--pk", "user_id", "--files-per-trigger", "1", "--once"])
     got = spark.read.parquet(f"{tmp_dir}/out/p1/records")
     assert got.count() == run_batch(PipelineSpec(name="p1", rules=samples.sample_rules(), pk=["user_id"]), log).count()
-    assert spark.read.parquet(f"{tmp_dir}/out/p1/p1-state").count() == 3
+    assert segments(spark, f"{tmp_dir}/out/p1/p1-state") == [(0, 0), (1, 1), (2, 2)]
     assert spark.read.parquet(f"{tmp_dir}/out/p1/metrics").count() == 3
