@@ -358,12 +358,12 @@ def hosts_own(lines: DataFrame, doubtful: DataFrame) -> DataFrame:
     """Those (host, line) of ``doubtful`` that are the host's by their share of its
     pages and of all other hosts' pages.
     ``lines`` has a row (host, lines) per page; counts are summed in tasks first."""
-    per_host = lines.select("host", F.explode(F.array_distinct("lines")).alias("line")).groupBy("line", "host").agg(
-        F.count(F.lit(1)).alias("here"))
+    asked = written(doubtful.select("host", "line").distinct(), "doubtful-lines")
+    every = lines.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+    per_host = every.join(asked.select("line").distinct(), "line", "left_semi").groupBy("line", "host").agg(F.count(F.lit(1)).alias("here"))
     overall = per_host.groupBy("line").agg(F.sum("here").alias("everywhere"))
     pages = lines.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     total = lines.count()
-    asked = doubtful.select("host", "line").distinct()
     got = asked.join(per_host, ["line", "host"]).join(overall, "line").join(pages, "host")
     elsewhere = (F.col("everywhere") - F.col("here")) / F.greatest(F.lit(1), F.lit(total) - F.col("pages"))
     share = F.col("here") / F.col("pages")
