@@ -1,7 +1,7 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Small transducers read the symbols of a clause: insult and threat mark what is
-said, target, negation and reported speech how.  ``compose`` makes one machine of
+said, target, negation, reported speech and an insult before another (heaped) how.  ``compose`` makes one machine of
 them (the reachable product of their states) whose arcs carry weights: an arc that
 completes a match weighs what its kind of match (the marks of all parts together)
 adds to the log-odds of toxicity.  A clause is what its best path says: the path
@@ -62,11 +62,11 @@ REPORTS = ("said", "says", "wrote", "claimed", "called", "quoted", "sagte", "dit
 
 WORD, INSULT, THREAT, TARGET, NOT, REPORT = range(6)
 #: Kinds of match, in the order of the features.
-KINDS = ("insult", "aimed", "negated", "reported", "threat")
+KINDS = ("insult", "aimed", "heaped", "negated", "reported", "threat")
 BINS = 7
 #: Weights without training: bias, then one per kind of match; and how firmly the
 #: fit is held to them.
-PRIOR = np.array([-3.0, 3.0, 4.0, 0.2, 0.2, 4.0])
+PRIOR = np.array([-3.0, 3.0, 4.0, 4.0, 0.2, 0.2, 4.0])
 FIRMNESS = 0.5
 SCOPE = 3
 
@@ -121,13 +121,14 @@ def compose(*parts: Transducer):
     return rows
 
 
-def _kind(insult, threat, target, beside, had_insult, had_threat, negated, reported) -> int:
+def _kind(insult, threat, target, beside, had_insult, had_threat, negated, reported, earlier) -> int:
     """The kind of match that an arc with these marks completes, or -1."""
     aimed = (insult and beside) or (target and had_insult)
     threatens = (threat and beside) or (target and had_threat)
     if not (insult or aimed or threatens):
         return -1
-    return KINDS.index("negated" if negated else "reported" if reported else "threat" if threatens else "aimed" if aimed else "insult")
+    return KINDS.index("negated" if negated else "reported" if reported else "threat" if threatens else "aimed" if aimed else
+                       "heaped" if earlier else "insult")
 
 
 class Grammar:
@@ -136,7 +137,7 @@ class Grammar:
 
     def __init__(self):
         rows = compose(marks(INSULT), marks(THREAT), marks(TARGET), within(TARGET), within(INSULT), within(THREAT),
-                       scoped(NOT, (INSULT, THREAT)), after(REPORT))
+                       scoped(NOT, (INSULT, THREAT)), after(REPORT), after(INSULT))
         self.arcs = [[(to, _kind(*m)) for to, m in row] for row in rows]
 
     def best_path(self, symbols, weights) -> int:
@@ -340,7 +341,7 @@ def _features(rows: DataFrame, lexicon: Lexicon, keep: list[str], ddl: str) -> D
 
 def fit(train: DataFrame, lexicon: Lexicon) -> np.ndarray:
     """Logistic weights by Newton steps over the counts of equal features (at
-    most BINS ** 5 rows, whatever the corpus), held to PRIOR by FIRMNESS."""
+    most BINS ** 6 rows, whatever the corpus), held to PRIOR by FIRMNESS."""
     names = list(KINDS)
     rows = _features(train, lexicon, ["toxic"], "toxic int").groupBy("toxic", *names).count().collect()
     y = np.array([r["toxic"] for r in rows], float)

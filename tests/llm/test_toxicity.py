@@ -24,13 +24,13 @@ def test_clauses_are_matched_not_words():
             "what an idiot": "insult", "you are an idiot": "aimed", "idiot that you are": "aimed", "she is not an idiot": "negated",
             "he said what an idiot": "reported", "we will hurt you": "threat", "we will not hurt you": "negated", "they hurt nobody": None,
             "das ist grobianisch": "insult", "das sind grobiansverehrerinnen": None, "kaum ein grobian": "negated",
-            "ihr seid grobian": "aimed", "the path of wort and worth": None, "not an idiot but you are scum": "aimed"}.items():
+            "ihr seid grobian": "aimed", "the path of wort and worth": None, "not an idiot but you are scum": "aimed", "idiot moron": "heaped"}.items():
         assert kind_of(lex, text) == want, text
-    assert lex.features("Fine. You idiot! He said: moron") == (1, 1, 0, 0, 0)
+    assert lex.features("Fine. You idiot! He said: moron") == (1, 1, 0, 0, 0, 0)
     # the best path is the heaviest: with other weights on the arcs another match is the clause's
-    heavy = T.Lexicon([], weights=np.array([9.0, 1.0, 0, 0, 0]))
-    assert kind_of(heavy, "you idiot yes and what a moron") == "insult"
-    assert kind_of(T.Lexicon([]), "you idiot yes and what a moron") == "aimed"
+    heavy = T.Lexicon([], weights=np.array([9.0, 1.0, 1.0, 0, 0, 0]))
+    assert kind_of(heavy, "what an idiot yes and you are scum") == "insult"
+    assert kind_of(T.Lexicon([]), "what an idiot yes and you are scum") == "aimed"
 
 
 def test_composition_is_the_product():
@@ -58,7 +58,7 @@ def plain_score(lex, weights, text):
             negated, reported = soft > 0, T.REPORT in sym[:i]
             soft = T.SCOPE if x == T.NOT or soft and x in (T.INSULT, T.THREAT) else max(0, soft - 1)
             if x == T.INSULT or aimed or threat:
-                k = "negated" if negated else "reported" if reported else "threat" if threat else "aimed" if aimed else "insult"
+                k = "negated" if negated else "reported" if reported else "threat" if threat else "aimed" if aimed else "heaped" if T.INSULT in sym[:i] else "insult"
                 w = lex.weights[T.KINDS.index(k)]
                 if best is None or w > best[0]:
                     best = (w, k)
