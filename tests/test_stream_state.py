@@ -47,6 +47,21 @@ def test_files_out_of_order_wait_for_their_marker(spark, tmp_dir):
     assert seen[3] == {1: None, 3: 7, 11: 7, 21: 7, 23: 8, 31: 8}
 
 
+def test_files_of_one_log_are_stamped_in_many_tasks(spark, tmp_dir):
+    """One log isn't one task, and numbers beside nulls keep all their digits."""
+    big = (1 << 53) + 1
+    rows = [r for n in range(1, 41) for r in entries(n, (n * 10, "insert", None), (n * 10 + 1, "gtid" if n % 2 else "xid", big + 2 * n if n % 2 else None),
+                                                     (n * 10 + 2, "delete", None))]
+    arrive(spark, tmp_dir, rows)
+    stamped = row_events_only(stamp_gtid_stream(stream_log(spark, f"{tmp_dir}/log", BINLOG)))
+    run(stamped.select("pos", "gtid_seq", F.spark_partition_id().alias("task")), tmp_dir)
+    got = spark.read.parquet(f"{tmp_dir}/out").collect()
+    own = lambda n: big + 2 * n if n % 2 else big + 2 * (n - 1)
+    want = {10: None} | {n * 10: own(n - 1) for n in range(2, 41)} | {n * 10 + 2: own(n) for n in range(1, 41)}
+    assert {r.pos: r.gtid_seq for r in got} == want and len(got) == 80
+    assert len({r.task for r in got}) > 1
+
+
 LOG = "schema string, table string, action string, rows array<struct<id:bigint,v:bigint>>, gtid_uuid string, gtid_seq bigint, pos bigint, ts timestamp"
 
 
