@@ -8,8 +8,10 @@ single global state would force every event through one task).
   ``PipelineSpec``.  Its guard, verdict and edits work like those of any other
   rule (:func:`apply_state_rule`); events that it doesn't match pass by.  On a
   stream the chain up to the last stateful rule runs on the stream itself with
-  ``transformWithState``: a key's state is a map state with an entry per name, so
-  only what a call changed is written, with a TTL and a start from a batch frame.
+  ``transformWithState``: keys are dealt into groups, of which each is one call in
+  a micro-batch, and a group's state is a map state with an entry per key, so only
+  keys with events are read and only what a call changed is written, with a TTL and
+  a start from a batch frame.
 * As expressions: a :class:`WindowRule` declares running numbers, sums, maxima and
   previous values, which its verdict and edits read as columns.  It has no
   function, so a hot key is cut by position (batch).
@@ -21,7 +23,8 @@ single global state would force every event through one task).
 Order: a call sees a key's events of one micro-batch sorted by ``order``, and
 micro-batches follow the order in which files arrive, so a log that is written
 in source order reaches the state in source order.  One key's events of one
-micro-batch are held at once; the trigger's file limit bounds them.  In batch a
+micro-batch (and those of the other keys of its group) are held at once; the
+trigger's file limit bounds them.  In batch a
 key's events pass one task in order (the function needs them so) and only the
 state is held.
 """
@@ -132,8 +135,22 @@ def apply_window_rule(df: DataFrame, rule: WindowRule, on_null_verdict: str = "f
     return hit.select(by.columns).unionByName(by)
 
 
-def _processor(rule: StatefulRule, names: list[str], at: list[str], keys: list[str], rows_of):
-    """The rule as a StatefulProcessor; ``rows_of(frame, state)`` calls it."""
+#: Keys are dealt into so many groups, of which each is one call of the processor
+#: in a micro-batch that has events for it.
+KEY_GROUPS = 4096
+
+
+def _frame(rows: list[tuple], names: Sequence[str]):
+    """Rows as a frame; numbers beside nulls stay as they are."""
+    import pandas as pd
+
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pd.DataFrame({n: pd.Series(c, dtype=object if not c or None in c else None) for n, c in zip(names, columns, strict=True)})
+
+
+def _processor(rule: StatefulRule, names: list[str], at: list[str], rows_of):
+    """The rule as a StatefulProcessor; ``rows_of(rows, events, state)`` calls it
+    with one key's."""
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
     ttl_ms = _duration_ms(rule.ttl) if rule.ttl else None
@@ -142,44 +159,62 @@ def _processor(rule: StatefulRule, names: list[str], at: list[str], keys: list[s
     class Processor(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.state = handle.getMapState("state", "name string", "value string", None if by_event else ttl_ms)
-            self.idle = handle.getValueState("idle", "until bigint") if by_event else None
+            self.state = handle.getMapState("state", "key string", "value string", None if by_event else ttl_ms)
+            self.idle = handle.getMapState("idle", "key string", "until bigint") if by_event else None
 
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
-            was = {n[0]: v[0] for n, v in self.state.iterator()}
-            now = {n: json.loads(v) for n, v in was.items()}
-            pdf = pd.concat(list(rows), ignore_index=True).sort_values(at, kind="mergesort")
-            out = rows_of(pdf, now)
-            for n, v in now.items():
-                text = json.dumps(v)
-                if was.get(n) != text or (ttl_ms and not by_event):  # a write starts the TTL anew
-                    self.state.updateValue((n,), (text,))
-            for n in was.keys() - now.keys():
-                self.state.removeKey((n,))
+            pdf = pd.concat(list(rows), ignore_index=True).sort_values(["key", *at], kind="mergesort")
+            keys, row, evt = pdf["key"].tolist(), pdf["row"].tolist(), pdf["evt"].tolist()
+            cuts = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]] + [len(keys)]
+            out = []
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                was = self.state.getValue((keys[i],))
+                was = None if was is None else was[0]
+                now = json.loads(was) if was else {}
+                out += rows_of(row[i:j], evt[i:j], now)
+                text = json.dumps(now) if now else None
+                if text is None:
+                    if was is not None:
+                        self.state.removeKey((keys[i],))
+                elif text != was or (ttl_ms and not by_event):  # a write starts the TTL anew
+                    self.state.updateValue((keys[i],), (text,))
             if by_event:
-                until = int(pdf["event_ms"].max()) + ttl_ms
-                last = self.idle.get()[0] if self.idle.exists() else None
-                if last is None or until > last:
-                    if last is not None:
-                        self.handle.deleteTimer(last)
-                    self.idle.update((until,))
-                    self.handle.registerTimer(until)
-            yield out
+                self._note(pdf.groupby("key")["event_ms"].max())
+            yield _frame(out, names)
+
+        def _note(self, latest):
+            """The time each key is idle from; the group's one timer is the first of them."""
+            until = {k: int(ms) + ttl_ms for k, ms in latest.items()}
+            for k, t in until.items():
+                last = self.idle.getValue((k,))
+                if last is None or t > last[0]:
+                    self.idle.updateValue((k,), (t,))
+            timers = list(self.handle.listTimers())
+            first = min([*until.values(), *timers])
+            if first not in timers:
+                for t in timers:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(first)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            import pandas as pd
-
-            self.state.clear()
-            self.idle.clear()
-            yield pd.DataFrame(columns=names)
+            now, left = expiredTimerInfo.getExpiryTimeInMs(), []
+            now = max(now, timerValues.getCurrentWatermarkInMs())
+            for (k,), (t,) in list(self.idle.iterator()):
+                if t <= now:
+                    self.state.removeKey((k,))
+                    self.idle.removeKey((k,))
+                else:
+                    left.append(t)
+            if left:
+                self.handle.registerTimer(min(left))
+            yield _frame([], names)
 
         def handleInitialState(self, key, initialState, timerValues):
-            for n in initialState.columns:
-                if n not in keys and len(initialState) and initialState[n].iloc[0] is not None:
-                    value = initialState[n].iloc[0]
-                    self.state.updateValue((n,), (json.dumps(value.item() if hasattr(value, "item") else value),))
+            for k, text in zip(initialState["key"], initialState["state"], strict=True):
+                if text != "{}" and self.state.getValue((k,)) is None:
+                    self.state.updateValue((k,), (text,))
 
         def close(self):
             pass
@@ -286,38 +321,47 @@ def apply_state_rule(df: DataFrame, rule: StatefulRule, on_null_verdict: str = "
 
     fn, rule_name, told = rule.fn, rule.name, [n for n, _ in rule.output]  # the rule itself may hold a frame
 
-    def rows_of(pdf, st):
-        import pandas as pd
-
-        rows = []
-        for row, text in zip(pdf["row"], pdf["evt"], strict=True):
+    def rows_of(rows, events, st):
+        out = []
+        for row, text in zip(rows, events, strict=True):
             verdict, changed = call_rule(lambda e: fn(e, st), text, on_null_verdict, rule_name)
-            rows.append((row, *[changed.get(f) for f in ENVELOPE_FIELDS], verdict, *[st.get(n) for n in told]))
-        return pd.DataFrame(rows, columns=out_schema.names)
+            out.append((row, *[changed.get(f) for f in ENVELOPE_FIELDS], verdict, *[st.get(n) for n in told]))
+        return out
 
     def run_sorted(pdfs):
         """Batch: a key's rows come one after the other; only its state is held."""
         last, st = None, {}
         for pdf in pdfs:
             codes = list(pdf[keys].itertuples(index=False, name=None))
+            row, evt = pdf["row"].tolist(), pdf["evt"].tolist()
             cuts = [i for i in range(len(codes)) if not i or codes[i] != codes[i - 1]] + [len(codes)]
+            out = []
             for i, j in zip(cuts, cuts[1:], strict=False):
                 if codes[i] != last:
                     last, st = codes[i], {}
-                yield rows_of(pdf.iloc[i:j], st)
+                out += rows_of(row[i:j], evt[i:j], st)
+            yield _frame(out, out_schema.names)
 
     if df.isStreaming:
         df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        key = F.to_json(F.struct(*keys), JSON_OPTIONS).alias("key")
+
+        def dealt(frame):
+            return frame.withColumn("g", F.pmod(F.xxhash64("key"), F.lit(KEY_GROUPS)).cast("int")).groupBy("g")
+
         start = None
         if rule.initial is not None:
             last = {k: k.rsplit(".", 1)[-1] for k in rule.keys}
-            start = rule.initial.select(*[F.col(k if k in rule.initial.columns else last[k]).alias(n) for k, n in zip(rule.keys, keys, strict=True)],
-                                        *[c for c in rule.initial.columns if c not in rule.keys and c not in last.values()]).groupBy(*keys)
+            names = [c for c in rule.initial.columns if c not in rule.keys and c not in last.values()]
+            start = rule.initial.select(
+                *[F.col(k if k in rule.initial.columns else last[k]).cast(packed.schema[n].dataType).alias(n)
+                  for k, n in zip(rule.keys, keys, strict=True)], (F.to_json(F.struct(*names)) if names else F.lit("{}")).alias("state"))
+            start = dealt(start.select(key, "state"))
         mode = "EventTime" if rule.event_time else "ProcessingTime" if rule.ttl else "None"
         if mode == "ProcessingTime":
             df.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-        res = packed.groupBy(*keys).transformWithStateInPandas(
-            _processor(rule, out_schema.names, at, keys, rows_of), out_schema, "append", mode, initialState=start)
+        res = dealt(packed.withColumn("key", key).drop(*keys)).transformWithStateInPandas(
+            _processor(rule, out_schema.names, at, rows_of), out_schema, "append", mode, initialState=start)
     else:
         res = packed.repartition(*keys).sortWithinPartitions(*keys, *at).mapInPandas(run_sorted, out_schema)
     whole = res.withColumn("_r", F.from_json("_row", T.StructType([df.schema[c] for c in columns]), times))

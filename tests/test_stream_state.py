@@ -91,6 +91,29 @@ def test_idle_keys_are_forgotten_and_start_from_a_frame(spark, tmp_dir):
     assert got[5] == 1 and got[6] == 2 and len(got) == 6
 
 
+def test_keys_of_one_group_keep_their_own_state(spark, tmp_dir, monkeypatch):
+    """Keys share calls of the processor, but neither state nor time to live, and
+    big numbers beside nulls keep all their digits."""
+    from rowcast.streaming import stateful
+
+    def count(e, state):
+        if e["kafka"]["key"] != "3":  # key 3 has no state at all
+            state["seen"] = state.get("seen", 0) + 1
+        return 0
+
+    big = (1 << 53) + 1
+    monkeypatch.setattr(stateful, "KEY_GROUPS", 1)
+    start = spark.createDataFrame([("1", big), ("2", None), (None, 7)], "key string, seen bigint")
+    rule = StatefulRule("n", ["kafka.key"], count, [("seen", "bigint")], ttl="10 seconds", event_time="ts", initial=start)
+    arrive(spark, tmp_dir, [event(1, 1), event(2, 2), event(3, 3), event(4, 1, 5), event(5, 9, 8)], LOG)
+    assert numbers(spark, tmp_dir, rule) == {1: big + 1, 2: 1, 3: None, 4: big + 2, 5: 1}
+    arrive(spark, tmp_dir, [event(6, 9, 16)], LOG)  # the watermark passes key 2 and 1, not 9
+    numbers(spark, tmp_dir, rule)
+    arrive(spark, tmp_dir, [event(7, 1, 17), event(8, 2, 17), event(9, 9, 17)], LOG)
+    got = numbers(spark, tmp_dir, rule)
+    assert (got[6], got[7], got[8], got[9]) == (2, 1, 1, 3) and len(got) == 9
+
+
 def test_exact_dedupe_collapses_full_buckets(spark, tmp_dir, monkeypatch):
     from rowcast.streaming import dedupe
 
