@@ -155,6 +155,35 @@ def test_many_pipelines_have_one_scan(spark, tmp_dir):
         assert mine.count() == alone.count() > 0 and mine.exceptAll(alone).count() == 0
 
 
+def test_many_chains_are_a_few_projections(spark, tmp_dir):
+    """Thirty chains of their own rules: as many projections as the longest chain
+    needs, and each chain gives what it gives alone."""
+    from rowcast import functions as RF
+    from rowcast.operators.rules import Rule
+    from rowcast.plans.pipeline import PipelineSpec, run_batch, run_many
+
+    log = fx.chg_events(spark, SF_SMALL)
+    log.write.parquet(f"{tmp_dir}/log")
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    kinds = [
+        [Rule("odd", "^test", "", verdict=F.when(F.col("gtid_seq") % 2 == 1, 1).otherwise(2)), Rule("noop")],
+        [Rule("null", "", "entity", verdict=F.when(F.col("gtid_seq") % 3 == 0, 0))],
+        [Rule("whole", "", "entity", set={"kafka": F.struct(F.lit("w").alias("topic"), F.col("kafka.topic").alias("key"))}),
+         Rule("field", set={"kafka.key": F.concat("kafka.key", F.lit("+"))})],
+        [Rule("rows", "", "", set={"after[].text_col": "upper(r.text_col)", "kafka.topic": F.lit("t")})],
+        [Rule("table", "^test", "", set={"table": F.lit("renamed"), "meta.timestamp": F.col("gtid_seq")}), Rule("seen", "", "renamed", verdict=1)],
+        []]
+    specs = [PipelineSpec(f"p{k}", [Rule(r.name, r.match_schema, r.match_table, r.verdict, r.set) for r in kinds[k % 6]], pk=["user_id"],
+                          timestamp=F.lit(0), on_null_verdict="drop" if k % 2 else "pass") for k in range(30)]
+    out = run_many(specs, log)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Project [") <= 8
+    for k in range(12):
+        alone = run_batch(specs[k], log)
+        mine = out.where(F.col("pipeline") == f"p{k}").select(alone.columns)
+        assert mine.count() == alone.count() > 0 and mine.exceptAll(alone).count() == 0
+
+
 def test_guard_matrix_equals_guards(spark):
     """The fold with guard bits: no-ops, rules that match nothing before, between
     and after others, and guards after a rule that renames the table."""
