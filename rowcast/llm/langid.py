@@ -15,7 +15,8 @@ search; what tasks receive is bounded by the key space whatever the corpus, and
 The language of the lowest cross-entropy per character wins.  The score is its
 calibrated share against the others; ``rejected`` tells a text whose
 cross-entropy no language explains.  Temperature and rejection are calibrated
-on at most ``MAX_CALIBRATION`` training rows (chosen by a hash of the id).
+on every training row: cross-entropies are written once for all rows, tasks sum
+each temperature's loss, and the rejection's quantile is found by counting.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 equal cross-entropies go to the first language by name; rows of null language
@@ -35,8 +36,9 @@ ORDER = 4
 ALPHABET = 40
 BASE = ALPHABET + 2
 HOLD_MOD, HOLD_REST = 5, 0
-MAX_CALIBRATION = 2_000
-#: Share of calibration rows that rejection may take.
+#: Temperatures that are tried.
+SCALES = np.geomspace(0.05, 20, 30)
+#: Share of training rows that rejection may take.
 REJECT_SHARE = 0.001
 MODEL_BYTES = 1 << 30
 UNKNOWN = "und"
@@ -220,8 +222,12 @@ class Memo:
 def train_rows(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                       F.col("lang").cast("string").alias("lang"))
-    return own.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                     & F.coalesce(crc_mod(F.col("doc_id"), HOLD_MOD) != HOLD_REST, F.lit(True)))
+    return own.where(_learned())
+
+
+def _learned():
+    return (F.col("lang").isNotNull() & F.col("text").isNotNull()
+            & F.coalesce(crc_mod(F.col("doc_id"), HOLD_MOD) != HOLD_REST, F.lit(True)))
 
 
 def fit(docs: DataFrame):
@@ -261,26 +267,55 @@ def _entropies(rows: DataFrame, held, keep: list[str], ddl: str) -> DataFrame:
     return rows.select(*keep, "text").mapInArrow(run, f"{ddl}, letters long, entropies array<double>")
 
 
-def _calibrate(docs: DataFrame, held, names: list[str]) -> tuple[float, float]:
-    """(temperature, cross-entropy above which a text is rejected)."""
-    train = train_rows(docs)
-    n = train.count()
-    if n > MAX_CALIBRATION:
-        train = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < max(1, int(MAX_CALIBRATION / n * (1 << 20))))
-    rows = _entropies(train, held, ["lang"], "lang string").where("letters > 0").collect()
-    if not rows:
+def _ranked(low: DataFrame, rank: int) -> float:
+    """The value of 0-based ``rank`` of the only column, exact: the bin that holds
+    it is cut again until all its values are equal."""
+    name, at, width = low.columns[0], 0.0, 1 / 1024
+    while True:
+        bins = low.groupBy(F.floor((F.col(name) - at) / width).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(name).alias("first"), F.max(name).alias("last")).orderBy("b").collect()
+        for r in bins:
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        if r["first"] == r["last"]:
+            return r["first"]
+        low = low.where(F.col(name).between(r["first"], r["last"]))
+        at, width = r["first"], (r["last"] - r["first"]) / 1024
+        if not width:  # neighbouring numbers
+            return sorted([r["first"], r["last"]])[rank >= low.where(F.col(name) == r["first"]).count()]
+
+
+def _calibrate(rows: DataFrame, names: list[str]) -> tuple[float, float]:
+    """(temperature, cross-entropy above which a text is rejected) from every row:
+    lang, letters, entropies of the training texts with a letter."""
+    def run(batches):
+        import pyarrow as pa
+
+        total = [0] * len(SCALES)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ce = b.column("entropies").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            own = np.array([names.index(x) for x in b.column("lang").to_pylist()])
+            weight = np.sqrt(b.column("letters").to_numpy(zero_copy_only=False).astype(float))[:, None]
+            for i, scale in enumerate(SCALES):
+                z = -ce * weight * scale
+                z -= z.max(1, keepdims=True)
+                loss = np.log(np.exp(z).sum(1)) - z[np.arange(len(own)), own]
+                total[i] += int(np.rint(loss * 1e6).astype(np.int64).sum())  # whole numbers: their sum has no order
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(SCALES)), pa.int32()), pa.array(total, pa.int64())], names=["i", "loss"])
+
+    n = rows.count()
+    if not n:
         return 20.0, float("inf")
-    ce = np.array([r["entropies"] for r in rows])
-    own = np.array([names.index(r["lang"]) for r in rows])
-    weight = np.sqrt(np.array([r["letters"] for r in rows], float))[:, None]
-    best = (float("inf"), 1.0)
-    for scale in np.geomspace(0.05, 20, 30):
-        z = -ce * weight * scale
-        z -= z.max(1, keepdims=True)
-        loss = float((np.log(np.exp(z).sum(1)) - z[np.arange(len(own)), own]).mean())
-        best = min(best, (loss, float(scale)))
-    low = ce.min(1)
-    return best[1], float(np.quantile(low, 1 - REJECT_SHARE) * 1.05)
+    losses = rows.select("lang", "letters", "entropies").mapInArrow(run, "i int, loss long").groupBy("i").agg(
+        F.sum(F.col("loss").cast("decimal(38,0)")).alias("loss")).collect()
+    scale = min((r["loss"], float(SCALES[r["i"]])) for r in losses)[1]
+    low, place = rows.select(F.array_min("entropies").alias("low")), (n - 1) * (1 - REJECT_SHARE)
+    below = _ranked(low, int(place))
+    above = _ranked(low, int(place) + 1) if place > int(place) else below
+    return scale, float(below + (place - int(place)) * (above - below)) * 1.05
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -289,9 +324,12 @@ def identified(docs: DataFrame) -> DataFrame:
     letters, models = fit(docs)
     names = sorted(models)
     held = spark.sparkContext.broadcast((letters, models))
-    scale, reject = _calibrate(docs, held, names) if names else (1.0, float("inf"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = _entropies(rows, held, ["doc_id"], "doc_id long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       F.col("lang").cast("string").alias("lang"))
+    # the language of rows that are learned from, for the calibration alone
+    rows = rows.withColumn("lang", F.when(_learned(), F.col("lang")))
+    out = written(_entropies(rows, held, ["doc_id", "lang"], "doc_id long, lang string"), "entropies")
+    scale, reject = _calibrate(out.where("lang is not null and letters > 0"), names) if names else (1.0, float("inf"))
     least = F.array_min("entropies")
     share = F.aggregate("entropies", F.lit(0.0),
                         lambda s, e: s + F.exp((least - e) * F.sqrt("letters") * F.lit(scale)), lambda s: 1 / s)

@@ -39,6 +39,24 @@ def test_held_out_accuracy(spark):
     assert len(rows) > 100 and sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
 
 
+def test_calibration_is_that_of_every_row(spark):
+    """More rows than any sample: temperature and rejection are those of all."""
+    rng = np.random.RandomState(1)
+    ce, letters, own = rng.rand(6000, 3) * 2 + 1, rng.randint(1, 400, 6000), rng.randint(0, 3, 6000)
+    ce[np.arange(6000), own] -= 0.05
+    ce[:7] += np.array([90, 80, 80, 80, 70, 60, 50])[:, None]  # few rows decide what is rejected
+    rows = spark.createDataFrame([(["a", "b", "c"][o], int(n), c.tolist()) for o, n, c in zip(own, letters, ce, strict=True)],
+                                 "lang string, letters long, entropies array<double>").repartition(5)
+    scale, reject = L._calibrate(rows, ["a", "b", "c"])
+    def loss(x):
+        z = -ce * np.sqrt(letters)[:, None] * x
+        return (np.log(np.exp(z - z.max(1, keepdims=True)).sum(1)) + z.max(1) - z[np.arange(6000), own]).mean()
+    assert scale == min(np.geomspace(0.05, 20, 30), key=loss)
+    assert abs(reject - np.quantile(ce.min(1), 1 - L.REJECT_SHARE) * 1.05) < 1e-9
+    same = rows.limit(0).union(rows.limit(1)).crossJoin(spark.range(50)).drop("id")
+    assert L._calibrate(same, ["a", "b", "c"])[1] > 0 and L._calibrate(rows.limit(0), ["a", "b", "c"]) == (20.0, float("inf"))
+
+
 def test_edge_rows(spark, make_docs):
     en, xx = "the cat sat on the mat and then it went home ", "zuk pra luz kra pluz zzat kluz prak zu "
     rows = [(i, en * (1 + i % 3) if i % 2 else xx * (1 + i % 3), "en" if i % 2 else "xx") for i in range(60)]
